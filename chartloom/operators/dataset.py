@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.keys import PATIENT_STRATEGIES, pair_key
-from chartloom.operators.labels import labels_of_notes, labels_per_note, rollup_labels
+from chartloom.operators.labels import labels_per_note, rollup_labels
 from chartloom.operators.notes import encounter_notes, latest_notes
+from chartloom.operators.ranking import first_by
+from chartloom.session import materialize
 
 MIN_CODE_FREQ = 3
 BUCKETS = {"dev": ("dev",), "test": ("test",), "all": ("dev", "test")}
@@ -25,10 +27,14 @@ class Dataset:
     info: DataFrame
 
 
-def bucket_notes(keyed_notes: DataFrame, split: DataFrame, bucket: str) -> DataFrame:
-    """Notes whose ``key`` the split puts in the bucket ("dev", "test" or "all")."""
+def _check_bucket(bucket: str) -> None:
     if bucket not in BUCKETS:
         raise ValueError(f"unknown bucket {bucket!r}")
+
+
+def bucket_notes(keyed_notes: DataFrame, split: DataFrame, bucket: str) -> DataFrame:
+    """Notes whose ``key`` the split puts in the bucket ("dev", "test" or "all")."""
+    _check_bucket(bucket)
     wanted = split.where(F.col("bucket").isin(*BUCKETS[bucket])).select("key", "bucket")
     return keyed_notes.join(wanted, "key")
 
@@ -104,18 +110,26 @@ def dataset_info(
     )
 
 
-def _assemble(keyed_notes, labels, split, rollup, bucket, min_code_freq) -> Dataset:
-    """``keyed_notes``: note_id, note_text, key. ``labels``: rolled-up (note_id, label_code)."""
-    wanted = bucket_notes(keyed_notes, split, bucket)
-    dev = bucket_notes(keyed_notes, split, "dev")
-    counts = code_counts(labels_of_notes(labels, dev), min_code_freq)
+def _assemble(current, notes, labels, split, rollup, bucket, min_code_freq) -> Dataset:
+    """``current``: (note_id, key) of the usable notes. ``labels``: raw label rows.
+
+    Membership and labels are narrow and used many times, so they are written once; note
+    texts are read a single time, by the dataset's consumer.
+    """
+    _check_bucket(bucket)
+    members = materialize(bucket_notes(current, split, "all").select("note_id", "bucket"), "members")
+    found = materialize(
+        rollup_labels(labels, rollup).join(members, "note_id").select("note_id", "label_code", "bucket"), "found-labels"
+    )
+    counts = materialize(code_counts(found.where("bucket = 'dev'"), min_code_freq), "code-counts")
     vocab = counts.where("kept").select("label_code")
-    kept = keep_vocab(labels_of_notes(labels, wanted), vocab)
+    in_bucket = F.col("bucket").isin(*BUCKETS[bucket])
+    kept = materialize(keep_vocab(found.where(in_bucket), vocab), "kept-labels")
     return Dataset(
-        notes=nonempty_notes(wanted.select("note_id", "note_text"), kept),
+        notes=nonempty_notes(notes.select("note_id", "note_text"), kept),
         labels=kept,
         vocab=vocab,
-        info=dataset_info(wanted, kept, counts, rollup, bucket, min_code_freq),
+        info=dataset_info(members.where(in_bucket), kept, counts, rollup, bucket, min_code_freq),
     )
 
 
@@ -131,9 +145,9 @@ def load_patient_dataset(
 ) -> Dataset:
     """Latest note per (patient, strategy) in the bucket, with labels frequent in dev."""
     current = latest_notes(notes, strategies).select(
-        "note_id", "note_text", pair_key(F.col("patient_id"), F.col("strategy")).alias("key")
+        "note_id", pair_key(F.col("patient_id"), F.col("strategy")).alias("key")
     )
-    return _assemble(current, rollup_labels(labels, rollup), split, rollup, bucket, min_code_freq)
+    return _assemble(current, notes, labels, split, rollup, bucket, min_code_freq)
 
 
 def load_encounter_dataset(
@@ -149,8 +163,6 @@ def load_encounter_dataset(
     """Encounter notes in the bucket; every version counts unless ``latest_only``."""
     current = encounter_notes(notes)
     if latest_only:
-        from chartloom.operators.ranking import first_by
-
         current = first_by(current, ["encounter_id"], [F.desc("generated_at"), F.desc("note_id")])
-    current = current.select("note_id", "note_text", F.col("encounter_id").alias("key"))
-    return _assemble(current, rollup_labels(labels, rollup), split, rollup, bucket, min_code_freq)
+    current = current.select("note_id", F.col("encounter_id").alias("key"))
+    return _assemble(current, notes, labels, split, rollup, bucket, min_code_freq)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.operators.ranking import with_hash_rank
+from chartloom.session import materialize
 
 SEED = 42
 TEST_FRACTION = 0.20
@@ -45,11 +46,11 @@ def stratified_folds(labels: DataFrame, k: int, seed: int = SEED) -> DataFrame:
 
     Keys are laid out by rarest label and, inside it, by seeded hash, then dealt to the
     folds in turn: every fold gets its share of each stratum, and fold sizes differ by
-    at most one. The same keys always land in the same folds.
+    at most one. The same keys always land in the same folds. The (key, stratum) table is
+    written once, because ranking reads it twice.
     """
-    ranked = with_hash_rank(
-        rarest_label(labels), "key", group="stratum", seed=seed, rank="_rank", across_groups=True
-    )
+    strata = materialize(rarest_label(labels), "strata")
+    ranked = with_hash_rank(strata, "key", group="stratum", seed=seed, rank="_rank", across_groups=True)
     return ranked.select("key", "stratum", (F.pmod(F.col("_rank") - 1, F.lit(k)) + 1).cast("int").alias("fold"))
 
 
@@ -78,7 +79,7 @@ def assert_disjoint(split: DataFrame) -> DataFrame:
 
 def encounter_split(encounter_ids: DataFrame, test_fraction: float = TEST_FRACTION, seed: int = SEED) -> DataFrame:
     """(key, bucket): exactly floor(fraction * n) of the keys, first in seeded hash order, are test."""
-    keys = encounter_ids.select("key").distinct()
+    keys = materialize(encounter_ids.select("key").distinct(), "encounter-keys")
     n_test = keys.agg(F.floor(F.count("*") * test_fraction)).scalar()
     ranked = with_hash_rank(keys, "key", seed=seed, rank="_rank")
     return ranked.select("key", F.when(F.col("_rank") <= n_test, "test").otherwise("dev").alias("bucket"))

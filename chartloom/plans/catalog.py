@@ -99,6 +99,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._datasets: dict[tuple[str, str], ds.Dataset] = {}
 
     def table(self, name: str) -> DataFrame:
         return test_table(self.spark, self.sf_dir, name)
@@ -155,7 +156,7 @@ class Inputs:
     @cached_property
     def current(self):
         latest = nt.latest_notes(self.notes, ks.PATIENT_STRATEGIES)
-        return nt.with_pair(latest).withColumnRenamed("pair", "key")
+        return materialize(nt.with_pair(latest).select("note_id", F.col("pair").alias("key")), "current")
 
     @cached_property
     def old_split(self):
@@ -163,14 +164,21 @@ class Inputs:
 
     @cached_property
     def pair_labels(self):
-        return self.current.select("note_id", "key").join(self.labels_3char, "note_id").select("key", "label_code")
+        found = self.current.join(self.labels_3char, "note_id").select("key", "label_code")
+        return materialize(found, "pair-labels")
 
     @cached_property
     def split(self):
-        return sp.merge_split(self.old_split, self.current, self.pair_labels)
+        """The merged split, stored as it would be between jobs."""
+        return materialize(sp.merge_split(self.old_split, self.current, self.pair_labels), "split")
 
     def dataset(self, bucket: str, rollup: str = "3char"):
-        return ds.load_patient_dataset(self.notes, self.labels, self.split, bucket=bucket, rollup=rollup)
+        key = (bucket, rollup)
+        if key not in self._datasets:
+            self._datasets[key] = ds.load_patient_dataset(
+                self.notes, self.labels, self.split, bucket=bucket, rollup=rollup
+            )
+        return self._datasets[key]
 
     @cached_property
     def encounter_ids(self):
