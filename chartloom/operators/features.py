@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartloom.functions import text as tx
@@ -169,6 +169,10 @@ def feature_rows(notes: DataFrame, vocabularies: DataFrame, blocks=BLOCKS) -> Da
     return joint
 
 
+def _scaled(array: str, length: Column) -> Column:
+    return F.transform(array, lambda v: v / length)
+
+
 def feature_vectors(notes: DataFrame, vocabularies: DataFrame, blocks=BLOCKS) -> DataFrame:
     """(note_id, indices, values): one sparse row per note, empty where no term is known.
 
@@ -196,6 +200,5 @@ def feature_vectors(notes: DataFrame, vocabularies: DataFrame, blocks=BLOCKS) ->
     indices = [F.coalesce(F.col(f"{name}.i").cast("array<int>"), no_ints) for name in arrays]
     values = []
     for name in arrays:
-        scaled = F.transform(f"{name}.v", lambda v, name=name: v / F.col(f"{name}_length"))
-        values.append(F.coalesce(scaled, no_doubles))
+        values.append(F.coalesce(_scaled(f"{name}.v", F.col(f"{name}_length")), no_doubles))
     return joined.select("note_id", F.concat(*indices).alias("indices"), F.concat(*values).alias("values"))

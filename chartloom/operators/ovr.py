@@ -13,6 +13,7 @@ Labels are independent, so a model too large for one pass is fitted in label gro
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -28,14 +29,20 @@ from chartloom.session import materialize, scratch_path, ship_package
 
 MAX_ITERATIONS = 2000
 TOLERANCE = 1e-4
+# The objective is 1-strongly convex, so a gradient this small puts the weights within the
+# same distance of the optimum, and probabilities within a quarter of it per unit of length.
+GRADIENT_FLOOR = 1e-3
 C = 1.0
 # Labels x features kept on the driver and broadcast per pass; beyond it labels are grouped.
 MAX_GROUP_ENTRIES = 4_000_000
 ROWS_PER_PACK = 256
+MIN_PARTITION_ROWS = 128
+# Up to this many partial gradients are summed on the driver; more are summed in a shuffle.
+MAX_DRIVER_PARTIALS = 8
 HISTORY = 8
 
 COEFFICIENT_SCHEMA = "label_code string, intercept double, weights array<double>"
-PACK_SCHEMA = "n int, indptr binary, cols binary, vals binary, y_indptr binary, y_cols binary"
+PACK_SCHEMA = "n int, indptr binary, touched binary, cols binary, vals binary, y_indptr binary, y_cols binary"
 
 
 @dataclass
@@ -78,11 +85,20 @@ def _as_bytes(rows: Sequence[Sequence[Any]], dtype: Any) -> tuple[bytes, bytes]:
 
 
 def pack(
-    rows: DataFrame, label_names: list[str], vectorise: Callable[[pd.DataFrame], pd.DataFrame] | None = None
+    rows: DataFrame,
+    label_names: list[str],
+    features: np.ndarray,
+    vectorise: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
 ) -> DataFrame:
-    """Training rows (indices, values, label_codes) packed a few hundred per row, written once."""
-    ship_package(rows.sparkSession)
+    """Training rows (indices, values, label_codes) packed a few hundred per row, written once.
+
+    ``features`` are the sorted joint feature ids in use; packed columns are positions in it.
+    Small data is kept on few partitions, since each one returns a model-sized gradient.
+    """
+    spark = rows.sparkSession
+    ship_package(spark)
     position = {name: i for i, name in enumerate(label_names)}
+    shared = spark.sparkContext.broadcast(features)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -91,22 +107,35 @@ def pack(
             packed = []
             for start in range(0, len(batch), ROWS_PER_PACK):
                 part = batch.iloc[start : start + ROWS_PER_PACK]
-                indptr, cols = _as_bytes(part["indices"].tolist(), np.int32)
+                indptr, flat = _as_bytes(part["indices"].tolist(), np.int64)
+                compact = np.searchsorted(shared.value, np.frombuffer(flat, np.int64))
+                touched, cols = np.unique(compact, return_inverse=True)
                 _, vals = _as_bytes(part["values"].tolist(), np.float64)
                 labels = [[position[c] for c in codes if c in position] for codes in part["label_codes"]]
                 y_indptr, y_cols = _as_bytes(labels, np.int32)
-                packed.append((len(part), indptr, cols, vals, y_indptr, y_cols))
+                packed.append(
+                    (
+                        len(part),
+                        indptr,
+                        touched.astype(np.int32).tobytes(),
+                        cols.astype(np.int32).tobytes(),
+                        vals,
+                        y_indptr,
+                        y_cols,
+                    )
+                )
             yield pd.DataFrame(packed, columns=[c.split()[0] for c in PACK_SCHEMA.split(", ")])
 
-    return materialize(rows.mapInPandas(run, PACK_SCHEMA), "packed")
+    packed = materialize(rows.mapInPandas(run, PACK_SCHEMA), "packed")
+    n_rows = packed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return packed.coalesce(max(1, n_rows // MIN_PARTITION_ROWS))
 
 
-def _dense(indptr: np.ndarray, cols: np.ndarray, vals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Dense rows over only the columns that occur, and those columns."""
-    touched, local = np.unique(cols, return_inverse=True)
-    x = np.zeros((len(indptr) - 1, len(touched)))
-    x[np.repeat(np.arange(len(indptr) - 1), np.diff(indptr)), local] = vals
-    return touched, x
+def _dense(indptr: np.ndarray, cols: np.ndarray, vals: np.ndarray, width: int) -> np.ndarray:
+    """Ragged rows as a dense matrix."""
+    x = np.zeros((len(indptr) - 1, width))
+    x[np.repeat(np.arange(len(indptr) - 1), np.diff(indptr)), cols] = vals
+    return x
 
 
 # ---------------------------------------------------------------- one pass over the data
@@ -134,9 +163,10 @@ def _gradient_pass(
         row_of[ids] = np.arange(len(ids))
         total = np.zeros((n_labels, n_params + 1))  # gradient, intercept, loss
         for batch in batches:
-            for n, indptr, cols, vals, y_indptr, y_cols in batch.itertuples(index=False, name=None):
-                touched, x = _dense(
-                    np.frombuffer(indptr, np.int32), np.frombuffer(cols, np.int32), np.frombuffer(vals)
+            for n, indptr, touched, cols, vals, y_indptr, y_cols in batch.itertuples(index=False, name=None):
+                touched = np.frombuffer(touched, np.int32)
+                x = _dense(
+                    np.frombuffer(indptr, np.int32), np.frombuffer(cols, np.int32), np.frombuffer(vals), len(touched)
                 )
                 y = np.full((n, n_labels), -1.0)
                 who = np.repeat(np.arange(n), np.diff(np.frombuffer(y_indptr, np.int32)))
@@ -164,14 +194,17 @@ def _gradient_pass(
         )
 
     parts = packed.mapInPandas(partial, chunk_schema)
-    if packed.rdd.getNumPartitions() > 64:
+    n_parts = packed.rdd.getNumPartitions()
+    if n_parts > 64:
         parts = parts.groupBy("chunk", "slot").applyInPandas(combine, chunk_schema)
-    summed = parts.groupBy("chunk").applyInPandas(combine, chunk_schema).collect()
+    if n_parts > MAX_DRIVER_PARTIALS:
+        parts = parts.groupBy("chunk").applyInPandas(combine, chunk_schema)
+    total = np.zeros((n_labels, n_params + 1))
+    sums = parts.select("chunk", "payload").toArrow()
+    for chunk, payload in zip(sums["chunk"].to_pylist(), sums["payload"]):
+        piece = np.frombuffer(payload.as_buffer()).reshape(n_labels, -1)
+        total[:, chunk * width : chunk * width + piece.shape[1]] += piece
     shared.destroy()
-    pieces = [
-        np.frombuffer(row.payload).reshape(n_labels, -1) for row in sorted(summed, key=lambda row: row.chunk)
-    ]
-    total = np.concatenate(pieces, axis=1)
     return total[:, -1], total[:, :-1]
 
 
@@ -185,70 +218,65 @@ def minimise(
     tolerance: np.ndarray,
     max_iterations: int = MAX_ITERATIONS,
 ) -> tuple[np.ndarray, int]:
-    """L-BFGS on independent problems side by side.
+    """L-BFGS on independent problems, one trial point of each per evaluation.
 
-    ``evaluate(ids, points)`` returns values and gradients of the named problems.
-    A problem stops when its gradient norm falls to ``tolerance`` times the first one.
-    Returns the solutions and the number of evaluations.
+    ``evaluate(ids, points)`` returns values and gradients of the named problems. Problems
+    do not wait for each other: one whose step is rejected retries a shorter step while
+    the others move on, so the evaluations needed are those of the slowest problem.
+    A problem stops when its gradient norm falls to ``tolerance`` times the first one, or
+    to the floor. Returns the solutions and the number of evaluations.
     """
     w = np.zeros((n_problems, n_params))
     value, grad = evaluate(np.arange(n_problems), w)
-    goal = tolerance * np.linalg.norm(grad, axis=1)
-    scale = np.ones(n_problems)
-    first = np.ones(n_problems, dtype=bool)
-    stuck = np.zeros(n_problems, dtype=bool)
-    steps: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    goal = np.maximum(tolerance * np.linalg.norm(grad, axis=1), GRADIENT_FLOOR)
+    history: list[deque[tuple[np.ndarray, np.ndarray, float]]] = [deque(maxlen=HISTORY) for _ in range(n_problems)]
+    direction = -grad
+    slope = -np.einsum("ij,ij->i", grad, grad)
+    step = 1 / np.maximum(1.0, np.linalg.norm(grad, axis=1))
+    tries = np.zeros(n_problems, dtype=int)
     evaluations = 1
 
-    for _ in range(max_iterations):
-        active = np.flatnonzero((np.linalg.norm(grad, axis=1) > goal) & ~stuck)
-        if not len(active):
-            break
-        # Two-loop recursion over the active problems; skipped updates have rho = 0.
-        q = grad[active].copy()
+    def redirect(i: int) -> None:
+        q = grad[i].copy()
         alphas = []
-        for s, y, rho in reversed(steps):
-            alpha = rho[active] * np.einsum("ij,ij->i", s[active], q)
-            q -= alpha[:, None] * y[active]
+        for s, y, rho in reversed(history[i]):
+            alpha = rho * (s @ q)
+            q -= alpha * y
             alphas.append(alpha)
-        q *= scale[active, None]
-        for (s, y, rho), alpha in zip(steps, reversed(alphas)):
-            beta = rho[active] * np.einsum("ij,ij->i", y[active], q)
-            q += (alpha - beta)[:, None] * s[active]
-        direction = -q
-        slope = np.einsum("ij,ij->i", direction, grad[active])
-        uphill = slope >= 0
-        direction[uphill] = -grad[active][uphill]
-        slope[uphill] = -np.einsum("ij,ij->i", grad[active][uphill], grad[active][uphill])
-
-        step = np.where(first[active], 1 / np.maximum(1.0, np.linalg.norm(direction, axis=1)), 1.0)
-        s_all, y_all = np.zeros_like(w), np.zeros_like(w)
-        waiting = np.arange(len(active))
-        for _ in range(40):
-            ids = active[waiting]
-            moved = w[ids] + step[waiting, None] * direction[waiting]
-            new_value, new_grad = evaluate(ids, moved)
-            evaluations += 1
-            slack = 1e-12 * np.abs(value[ids])
-            good = new_value <= value[ids] + 1e-4 * step[waiting] * slope[waiting] + slack
-            done = ids[good]
-            s_all[done], y_all[done] = moved[good] - w[done], new_grad[good] - grad[done]
-            w[done], value[done], grad[done] = moved[good], new_value[good], new_grad[good]
-            waiting = waiting[~good]
-            if not len(waiting):
-                break
-            step[waiting] *= 0.5
-        stuck[active[waiting]] = True
-        first[active] = False
-
-        sy = np.einsum("ij,ij->i", s_all, y_all)
-        yy = np.einsum("ij,ij->i", y_all, y_all)
-        curved = sy > 1e-12 * np.maximum(yy, 1e-300)
-        scale[curved] = sy[curved] / yy[curved]
-        rho = np.zeros(n_problems)
-        rho[curved] = 1 / sy[curved]
-        steps.append((s_all, y_all, rho))
-        del steps[:-HISTORY]
+        if history[i]:
+            s, y, rho = history[i][-1]
+            q /= rho * (y @ y)
+        for (s, y, rho), alpha in zip(history[i], reversed(alphas)):
+            q += (alpha - rho * (y @ q)) * s
+        if q @ grad[i] <= 0:  # lost descent to rounding
+            q = grad[i].copy()
+        direction[i], slope[i], step[i], tries[i] = -q, -(q @ grad[i]), 1.0, 0
+
+    for _ in range(max_iterations):
+        ids = np.flatnonzero((np.linalg.norm(grad, axis=1) > goal) & (tries < 30))
+        if not len(ids):
+            break
+        moved = w[ids] + step[ids, None] * direction[ids]
+        new_value, new_grad = evaluate(ids, moved)
+        evaluations += 1
+        slack = 1e-12 * np.abs(value[ids])
+        good = new_value <= value[ids] + 1e-4 * step[ids] * slope[ids] + slack
+
+        bad = ids[~good]
+        # Shorter step from the parabola through both values and the slope.
+        rise = new_value[~good] - value[bad] - step[bad] * slope[bad]
+        bend = -slope[bad] * step[bad] / (2 * np.maximum(rise, 1e-300))
+        step[bad] *= np.clip(bend, 0.1, 0.5)
+        tries[bad] += 1
+
+        for row in np.flatnonzero(good):
+            i = ids[row]
+            moved_by, turned_by = moved[row] - w[i], new_grad[row] - grad[i]
+            w[i], value[i], grad[i] = moved[row], new_value[row], new_grad[row]
+            curvature = moved_by @ turned_by
+            if curvature > 1e-12 * (turned_by @ turned_by):
+                history[i].append((moved_by, turned_by, 1 / curvature))
+            redirect(i)
     return w, evaluations
 
 
@@ -266,6 +294,7 @@ def fit_packed(
     label_names: list[str],
     positives: dict[str, int],
     n_notes: int,
+    features: np.ndarray,
     n_features: int,
     *,
     c: float = C,
@@ -274,15 +303,17 @@ def fit_packed(
 ) -> tuple[DataFrame, int]:
     """Coefficient table for packed training rows, and the number of data passes taken.
 
-    A label that every or no row has gets zero weights and an infinite intercept, so its
+    ``features`` are the joint feature ids behind the packed columns; coefficients cover all
+    ``n_features``. A label that every or no row has gets zero weights and an infinite intercept, so its
     probability is the constant 1 or 0.
     """
     path = scratch_path(spark, "coefficients")
     passes = 0
-    for group in _groups(len(label_names), n_features + 1):
+    n_params = len(features) + 1
+    for group in _groups(len(label_names), n_params):
         counts = np.array([positives.get(label_names[i], 0) for i in group], dtype=float)
         varied = np.flatnonzero((counts > 0) & (counts < n_notes))
-        weights = np.zeros((len(group), n_features + 1))
+        weights = np.zeros((len(group), n_params))
         weights[counts == 0, -1] = -np.inf
         weights[(counts == n_notes) & (counts > 0), -1] = np.inf
         if len(varied):
@@ -295,14 +326,16 @@ def fit_packed(
                 return loss + 0.5 * np.einsum("ij,ij->i", points, points), grad + points
 
             rarity = np.minimum(counts[varied], n_notes - counts[varied]) / n_notes
-            solved, used = minimise(evaluate, len(varied), n_features + 1, tolerance * rarity, max_iterations)
+            solved, used = minimise(evaluate, len(varied), n_params, tolerance * rarity, max_iterations)
             weights[varied] = solved
             passes += used
+        full = np.zeros((len(group), n_features))
+        full[:, features] = weights[:, :-1]
         rows = pd.DataFrame(
             {
                 "label_code": [label_names[i] for i in group],
                 "intercept": weights[:, -1],
-                "weights": list(weights[:, :-1]),
+                "weights": list(full),
             }
         )
         spark.createDataFrame(rows, COEFFICIENT_SCHEMA).write.mode("append").parquet(path)
@@ -314,17 +347,25 @@ def _names(vocab: DataFrame) -> list[str]:
     return sorted(row.label_code for row in vocab.select("label_code").collect())
 
 
+def _feature_ids(vocabularies: DataFrame, blocks) -> np.ndarray:
+    """Sorted joint feature ids in use; at most the blocks' max_features together."""
+    offsets = block_offsets(blocks)
+    rows = vocabularies.select("block", "feature_id").toPandas()
+    return np.sort((rows["feature_id"] + rows["block"].map(offsets)).to_numpy(dtype=np.int64))
+
+
 def fit(notes: DataFrame, labels: DataFrame, vocab: DataFrame, *, blocks=BLOCKS, **options: Any) -> Model:
     """Fit features and all label models on (note_id, note_text) and (note_id, label_code)."""
     spark = notes.sparkSession
     vocabularies = materialize(fit_vocabularies(notes, blocks), "vocabulary")
     names = _names(vocab)
     rows = labels_per_note(feature_vectors(notes, vocabularies, blocks), labels)
-    packed = pack(rows, names)
+    features = _feature_ids(vocabularies, blocks)
+    packed = pack(rows, names, features)
     n_notes = packed.agg(F.sum("n")).first()[0] or 0
     counts = {row.label_code: row["count"] for row in labels.groupBy("label_code").count().collect()}
     n_features = sum(block.max_features for block in blocks)
-    coefficients, passes = fit_packed(spark, packed, names, counts, n_notes, n_features, **options)
+    coefficients, passes = fit_packed(spark, packed, names, counts, n_notes, features, n_features, **options)
     return Model(vocabularies, coefficients, names, {"n_notes": n_notes, "n_codes_kept": len(names), "n_passes": passes})
 
 
@@ -373,7 +414,8 @@ def _scorer(shared, min_proba, vectorise):
                 bounds = np.cumsum([0, *map(len, part["indices"])])
                 cols = np.concatenate([np.asarray(v, dtype=np.int64) for v in part["indices"]])
                 vals = np.concatenate([np.asarray(v, dtype=float) for v in part["values"]])
-                touched, x = _dense(bounds, cols, vals)
+                touched, local = np.unique(cols, return_inverse=True)
+                x = _dense(bounds, local, vals, len(touched))
                 with np.errstate(over="ignore"):
                     proba = 1 / (1 + np.exp(-(x @ matrix[:, touched].T + intercepts)))
                 ids = np.repeat(part["note_id"].to_numpy(), len(codes))

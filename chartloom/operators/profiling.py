@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
-def table_profile(df: DataFrame, name: str) -> DataFrame:
-    """One row per column: table name, row count, type and mode."""
+def table_profile(df: DataFrame, name: str, declared: StructType | None = None) -> DataFrame:
+    """One row per column: table name, row count, type and mode.
+
+    ``declared`` gives the modes where reading files has made every column nullable.
+    """
     entries = []
-    for field in df.schema.fields:
+    for field in (declared or df.schema).fields:
         repeated = field.dataType.typeName() == "array"
         kind = field.dataType.elementType if repeated else field.dataType
         mode = "REPEATED" if repeated else ("NULLABLE" if field.nullable else "REQUIRED")

@@ -265,13 +265,14 @@ def cross_validate(
 
     def run(fold: int) -> DataFrame:
         weigh = _fold_weights(local_vocabularies[local_vocabularies["fold"] == fold], local_terms, blocks)
-        packed = ovr.pack(rows.where(F.col("fold") != fold), names, weigh)
+        features = np.sort(weigh.feature_of[weigh.feature_of >= 0])
+        packed = ovr.pack(rows.where(F.col("fold") != fold), names, features, weigh)
         positives: dict[str, int] = {}
         for row in per_code:
             if row.fold != fold:
                 positives[row.label_code] = positives.get(row.label_code, 0) + row["count"]
         n_train = sum(n for f, n in sizes.items() if f != fold)
-        coefficients, _ = ovr.fit_packed(spark, packed, names, positives, n_train, n_features, **options)
+        coefficients, _ = ovr.fit_packed(spark, packed, names, positives, n_train, features, n_features, **options)
         held = rows.where(F.col("fold") == fold)
         scored = ovr.score_vectors(held, coefficients, n_features, vectorise=weigh)
         return materialize(scored.withColumn("fold", F.lit(fold)), "fold-scores")
