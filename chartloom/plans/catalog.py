@@ -228,11 +228,13 @@ class Inputs:
         return known.groupBy(family.alias("code_3char")).agg(F.min("icd10_description").alias("description"))
 
 
+BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {}
 QUERIES: dict[str, Query] = {}
 
 
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     """Register ``build`` under its own name."""
+    BUILDERS[build.__name__] = build
     QUERIES[build.__name__] = lambda spark, sf_dir: build(Inputs(spark, sf_dir))
     return build
 
