@@ -25,12 +25,13 @@ def char_windows(word: Column, low: int, high: int) -> Column:
     """Every window of ``low``..``high`` characters of a space-padded word.
 
     The zero-width look-ahead makes one regex pass return overlapping windows, which
-    stays in generated code where a lambda over a sequence would not. Padded words
-    are never shorter than three characters, so no size needs a short-word case.
+    stays in generated code where a lambda over a sequence would not; windows never start
+    inside a surrogate pair. Padded words are never shorter than three characters, so no
+    size needs a short-word case.
     """
     padded = F.concat(F.lit(" "), word, F.lit(" "))
     return F.concat(
-        *[F.regexp_extract_all(padded, F.lit(f"(?=(.{{{n}}}))"), F.lit(1)) for n in range(low, high + 1)]
+        *[F.regexp_extract_all(padded, F.lit(rf"(?![\uDC00-\uDFFF])(?=(.{{{n}}}))"), F.lit(1)) for n in range(low, high + 1)]
     )
 
 
