@@ -565,8 +565,10 @@ def split_report(x):
 
 @query
 def codes_test_not_dev(x):
-    raw = x.current.select("note_id", "key").join(lb.rollup_labels(x.labels, "dirty"), "note_id")
-    return sp.codes_test_not_dev(x.split, raw.select("key", "label_code").distinct())
+    split = sp.encounter_split(x.encounter_ids)
+    keyed = nt.encounter_notes(x.notes).select("note_id", F.col("encounter_id").alias("key"))
+    raw = keyed.join(lb.rollup_labels(x.labels, "dirty"), "note_id").select("key", "label_code").distinct()
+    return sp.codes_test_not_dev(split, raw)
 
 
 @query

@@ -483,8 +483,8 @@ FINAL: dict[str, str] = {
     "stratified_split": "SELECT key, bucket FROM fresh_split",
     "encounter_split": "SELECT key, bucket FROM enc_split",
     "split_report": SPLIT_REPORT,
-    "codes_test_not_dev": "SELECT DISTINCT l.icd10_code AS label_code FROM pairs p JOIN notes_labels l ON p.note_id = l.note_id JOIN split s ON p.key = s.key WHERE s.bucket = 'test' AND l.icd10_code NOT IN "
-    "(SELECT l.icd10_code FROM pairs p JOIN notes_labels l ON p.note_id = l.note_id JOIN split s ON p.key = s.key WHERE s.bucket = 'dev')",
+    "codes_test_not_dev": "SELECT DISTINCT l.icd10_code AS label_code FROM enc_bucketed b JOIN notes_labels l ON b.note_id = l.note_id WHERE b.bucket = 'test' AND l.icd10_code NOT IN "
+    "(SELECT l.icd10_code FROM enc_bucketed b JOIN notes_labels l ON b.note_id = l.note_id WHERE b.bucket = 'dev')",
     "kfold_assign": "SELECT key, stratum, fold FROM folds",
     "fold_balance": "SELECT l.label_code, f.fold, count(*) AS n FROM fold_labels l JOIN folds f ON l.key = f.key GROUP BY l.label_code, f.fold",
     "bucket_notes": "SELECT key, note_id, bucket FROM bucketed",
