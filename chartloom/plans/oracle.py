@@ -331,6 +331,9 @@ STEPS: dict[str, str] = {
     "summary": "SELECT count(*) AS n_folds, avg(micro_f1) AS mean_micro_f1, stddev_pop(micro_f1) AS std_micro_f1, "
     "avg(macro_f1) AS mean_macro_f1, stddev_pop(macro_f1) AS std_macro_f1 FROM fold_table",
     "encounter_keys": "SELECT DISTINCT encounter_id AS key FROM notes_synth WHERE strategy = 'encounter-multilabel' AND encounter_id IS NOT NULL",
+    "mostly_test": "SELECT l.icd10_code, CASE WHEN s.r <= (SELECT floor(count(*) * 0.9::DOUBLE) FROM encounter_keys) THEN 'test' ELSE 'dev' END AS bucket "
+    "FROM (SELECT key, row_number() OVER (ORDER BY md5('42:' || key), key) AS r FROM encounter_keys) s JOIN notes_synth n ON n.encounter_id = s.key "
+    "AND n.strategy = 'encounter-multilabel' JOIN notes_labels l ON l.note_id = n.note_id",
     "enc_split": "SELECT key, CASE WHEN row_number() OVER (ORDER BY md5('42:' || key), key) <= "
     "(SELECT floor(count(*) * 0.2::DOUBLE) FROM encounter_keys) THEN 'test' ELSE 'dev' END AS bucket FROM encounter_keys",
     "enc_bucketed": "SELECT n.note_id, s.bucket FROM notes_synth n JOIN enc_split s ON n.encounter_id = s.key WHERE n.strategy = 'encounter-multilabel'",
@@ -483,8 +486,7 @@ FINAL: dict[str, str] = {
     "stratified_split": "SELECT key, bucket FROM fresh_split",
     "encounter_split": "SELECT key, bucket FROM enc_split",
     "split_report": SPLIT_REPORT,
-    "codes_test_not_dev": "SELECT DISTINCT l.icd10_code AS label_code FROM enc_bucketed b JOIN notes_labels l ON b.note_id = l.note_id WHERE b.bucket = 'test' AND l.icd10_code NOT IN "
-    "(SELECT l.icd10_code FROM enc_bucketed b JOIN notes_labels l ON b.note_id = l.note_id WHERE b.bucket = 'dev')",
+    "codes_test_not_dev": "SELECT DISTINCT l.icd10_code AS label_code FROM mostly_test l WHERE l.bucket = 'test' AND l.icd10_code NOT IN (SELECT icd10_code FROM mostly_test WHERE bucket = 'dev')",
     "kfold_assign": "SELECT key, stratum, fold FROM folds",
     "fold_balance": "SELECT l.label_code, f.fold, count(*) AS n FROM fold_labels l JOIN folds f ON l.key = f.key GROUP BY l.label_code, f.fold",
     "bucket_notes": "SELECT key, note_id, bucket FROM bucketed",
