@@ -35,7 +35,8 @@ GRADIENT_FLOOR = 1e-3
 C = 1.0
 # Labels x features kept on the driver and broadcast per pass; beyond it labels are grouped.
 MAX_GROUP_ENTRIES = 4_000_000
-ROWS_PER_PACK = 256
+# Few enough that a pack, made dense over the columns it touches, stays in cache.
+ROWS_PER_PACK = 48
 MIN_PARTITION_ROWS = 128
 # Up to this many partial gradients are summed on the driver; more are summed in a shuffle.
 MAX_DRIVER_PARTIALS = 8
@@ -90,7 +91,7 @@ def pack(
     features: np.ndarray,
     vectorise: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
 ) -> DataFrame:
-    """Training rows (indices, values, label_codes) packed a few hundred per row, written once.
+    """Training rows (indices, values, label_codes) packed a few dozen per row, written once.
 
     ``features`` are the sorted joint feature ids in use; packed columns are positions in it.
     Small data is kept on few partitions, since each one returns a model-sized gradient.
