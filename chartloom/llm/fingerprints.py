@@ -12,36 +12,30 @@ from pyspark.sql import functions as F
 
 SHINGLE = 5
 K = 128
-HASH_BITS = 48
+HEX_DIGITS = 12
 # Documents whose ids agree above this many low bits are put in order by one task.
 ID_BITS = 10
 
 
-def with_sketch(df: DataFrame, text: Column, name: str, *, k: int = K, shingle: int = SHINGLE) -> DataFrame:
+def with_sketch(df: DataFrame, text: Column, name: str, *, k: int = K) -> DataFrame:
     """Add the sketch of ``text`` as array<long> ``name``.
 
-    Words are runs of other than ASCII white space. A text of fewer words than
-    ``shingle`` has one shingle, its whole word sequence; without words (null, empty,
-    blank) the sketch is empty.
+    Words are runs of other than ASCII white space; a shingle is five of them. A shorter
+    text has one shingle, its whole word sequence; without words (null, empty, blank) the
+    sketch is empty.
     """
-    words, hashes = f"_{name}_words", f"_{name}_hashes"
-    # Word hashes are a column of their own: a lambda that refers to an expression would
-    # evaluate it again for every element.
+    w, p2, p4, p5 = (f"_{name}_{part}" for part in ("w", "p2", "p4", "p5"))
+    end = 2**31 - 1
+    # Each step is a column of its own: a lambda that refers to an expression would evaluate
+    # it again for every element. Past the end a step hashes what is left, so only a text
+    # shorter than a shingle keeps such a value, that of its whole sequence.
     split = F.array_remove(F.split(F.coalesce(text, F.lit("")), "[ \t-\r]+"), "")
-    df = df.withColumn(words, F.transform(split, lambda w: F.xxhash64(w)))
-    n = F.size(words)
-
-    def hashed(i: Column) -> Column:
-        parts = [F.get(F.col(words), i + j) for j in range(shingle)]
-        return F.shiftrightunsigned(F.xxhash64(*parts), 64 - HASH_BITS)
-
-    df = df.withColumn(
-        hashes,
-        F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - shingle, F.lit(0))), hashed)).otherwise(
-            F.array().cast("array<bigint>")
-        ),
-    )
-    return df.withColumn(name, F.slice(F.sort_array(F.array_distinct(hashes)), 1, k)).drop(words, hashes)
+    df = df.withColumn(w, F.transform(split, lambda word: F.xxhash64(word)))
+    df = df.withColumn(p2, F.zip_with(w, F.slice(w, 2, end), lambda a, b: F.xxhash64(a, b)))
+    df = df.withColumn(p4, F.zip_with(p2, F.slice(p2, 3, end), lambda a, b: F.xxhash64(a, b)))
+    df = df.withColumn(p5, F.zip_with(p4, F.slice(w, 5, end), lambda a, b: F.xxhash64(a, b)))
+    whole = F.slice(p5, F.lit(1), F.greatest(F.size(w) - (SHINGLE - 1), F.lit(1)))
+    return df.withColumn(name, F.slice(F.sort_array(F.array_distinct(whole)), 1, k)).drop(w, p2, p4, p5)
 
 
 def merge(a: Column, b: Column, k: int = K) -> Column:
@@ -58,7 +52,8 @@ def resemblance(a: Column, b: Column, k: int = K) -> Column:
 
 def distinct_count(a: Column, k: int = K) -> Column:
     """Estimated number of distinct shingles; exact below k."""
-    full = F.lit(k - 1) * F.lit(float(2**HASH_BITS)) / (F.get(a, F.lit(k - 1)) + 1)
+    share = (F.get(a, F.lit(k - 1)).cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    full = F.lit(float(k - 1)) / share
     return F.when(F.size(a) < k, F.size(a).cast("double")).otherwise(full)
 
 
@@ -69,8 +64,9 @@ def containment(a: Column, b: Column, k: int = K) -> Column:
 
 
 def encoded(sketch: Column) -> Column:
-    """The sketch as text, 12 hex digits a hash."""
-    return F.array_join(F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), HASH_BITS // 4, "0")), "")
+    """The sketch as text, the leading 12 hex digits of each hash."""
+    digits = F.transform(sketch, lambda h: F.substring(F.lpad(F.hex(h), 16, "0"), 1, HEX_DIGITS))
+    return F.lower(F.array_join(digits, ""))
 
 
 def merge_sketches(df: DataFrame, keys: list[str], sketch: str, *, k: int = K) -> DataFrame:
@@ -99,17 +95,17 @@ def with_next(df: DataFrame, id_column: str, carried: list[str], tie: list[str],
         {
             **{f"next_{c}": F.lead(c).over(inside) for c in carried},
             "_more": F.lead(F.lit(True)).over(inside),
-            "_n": F.row_number().over(inside),
+            "_after": F.lag(F.lit(True)).over(inside),
         }
     )
-    firsts = rows.where(F.col("_n") == 1).select(
+    firsts = rows.where(F.col("_after").isNull()).select(
         F.col("_group").alias("_next"), *[F.col(c).alias(f"next_{c}") for c in carried]
     )
     lasts = rows.where(F.col("_more").isNull()).drop(*[f"next_{c}" for c in carried])
     follows = _following(df.select(group.alias("_group")).distinct())
     joined = lasts.join(follows, "_group").join(firsts, "_next")
     plain = rows.where(F.col("_more").isNotNull())
-    return plain.unionByName(joined.select(plain.columns)).drop("_group", "_more", "_n")
+    return plain.unionByName(joined.select(plain.columns)).drop("_group", "_more", "_after")
 
 
 def _following(groups: DataFrame, bits: int = 12) -> DataFrame:
@@ -140,18 +136,15 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     itself. Other columns are ignored.
     """
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    base = with_next(base, "doc_id", ["text"], ["text"])
+    base = with_next(with_sketch(base, F.col("text"), "own"), "doc_id", ["text", "own"], ["text"])
     base = base.withColumn("n_chars", F.length("text").cast("long"))
     base = base.withColumn("edited", edited(F.col("text"), F.col("n_chars"), F.col("next_text")))
-    sketched = with_sketch(base, F.col("text"), "own")
-    sketched = with_sketch(sketched, F.col("edited"), "changed")
-    sketched = with_sketch(sketched, F.col("next_text"), "ahead")
-    return sketched.select(
+    return with_sketch(base, F.col("edited"), "changed").select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         encoded(F.col("own")).alias("fingerprint"),
         encoded(F.col("changed")).alias("edited_fingerprint"),
         resemblance(F.col("own"), F.col("changed")).alias("near_edited"),
-        resemblance(F.col("own"), F.col("ahead")).alias("near_next"),
+        resemblance(F.col("own"), F.col("next_own")).alias("near_next"),
     )
