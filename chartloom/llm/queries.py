@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, chat, fingerprints, packing, simhash
+from chartloom.llm import bpe, chat, fingerprints, html, linear, packing, quality, simhash, toxicity
 
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -26,6 +26,11 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_chats(chat.rows_as_events(rows.unionByName(probe))))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html.extract(_table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer's file."""
     import public_tokenizers
@@ -48,6 +53,18 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return linear.report(toxicity.score(docs, model), toxicity.THRESHOLD)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return linear.report(quality.score(docs, model), quality.THRESHOLD)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -58,9 +75,12 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_html": op2_html,
     "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
     "op8_fingerprints": op8_fingerprints,
+    "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
 
