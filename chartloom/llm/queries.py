@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, chat, fingerprints, html, linear, packing, quality, simhash, toxicity
+from chartloom.llm import bpe, chat, fingerprints, html, linear, packing, quality, simhash, toxicity, vectors
 
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -69,6 +69,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(_table(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
+    "op7_vectors": op7_vectors,
     "op8_fingerprints": op8_fingerprints,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
