@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, chat, fingerprints, html, linear, packing, quality, simhash, toxicity, vectors
+from chartloom.llm import bpe, chat, fingerprints, html, linear, packing, quality, simhash, suffix, toxicity, vectors
 
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -69,6 +69,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(_table(spark, sf_dir, "documents"), stored=True).select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]), F.lit(0)).alias(
+            "n_removed"
+        ),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -83,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_vectors": op7_vectors,
     "op8_fingerprints": op8_fingerprints,
     "op9_quality": op9_quality,
