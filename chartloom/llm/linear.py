@@ -79,6 +79,19 @@ def score(docs: DataFrame, scorer: Callable[[str], float]) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
 
 
+def keep(docs: DataFrame, scorer: Callable[[str], float], wanted: Callable[[float], bool]) -> DataFrame:
+    """The rows of ``docs`` whose text (null: empty) has a score that is wanted, all columns as they are."""
+    ship_package(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            use = [wanted(scorer(t or "")) for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(use, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def report(scored: DataFrame, threshold: float) -> DataFrame:
     """doc_id, held_out, score and the decision at ``threshold``."""
     return scored.select(

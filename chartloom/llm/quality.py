@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from chartloom.llm import linear
 
@@ -134,13 +134,18 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = linear.MAX_FIT_ROW
     return weights, bias
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
-    """(doc_id, score) of every row: the probability of good quality."""
+def scorer(spark: SparkSession, model: tuple[np.ndarray, float]) -> Callable[[str], float]:
+    """What gives a text its score, the probability of good quality; the model is sent to the tasks once."""
     # One number per hash bucket, whatever the corpus.
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model)
 
-    def scorer(text: str) -> float:
+    def of(text: str) -> float:
         weights, bias = shared.value
         return float(linear.sigmoid(weights[features(text)].sum() + bias))
 
-    return linear.score(docs, scorer)
+    return of
+
+
+def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
+    """(doc_id, score) of every row."""
+    return linear.score(docs, scorer(docs.sparkSession, model))

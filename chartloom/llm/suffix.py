@@ -19,9 +19,9 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.llm.blocks import packed, unpacked
-from chartloom.llm.tokens import slices
 from chartloom.session import materialize, ship_package
 
 WINDOW = 50
@@ -237,20 +237,30 @@ def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 # --- chunks of documents ---------------------------------------------------------------
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, list[bytes]]]:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, list[bytes], pa.Table]]:
+    """(chunk, ids, texts, whatever columns follow those two)."""
     part, chunk, size = TaskContext.get().partitionId(), 0, 0
-    ids: list[int] = []
-    texts: list[bytes] = []
+    held: list[pa.RecordBatch] = []
+
+    def whole() -> tuple[int, np.ndarray, list[bytes], pa.Table]:
+        table = pa.Table.from_batches(held)
+        ids = pc.fill_null(table.column(0), _NO_ID).to_numpy()
+        texts = [t.encode("utf-8", "surrogatepass") for t in pc.fill_null(table.column(1), "").to_pylist()]
+        return part << 24 | chunk, ids, texts, table.select(table.schema.names[2:])
+
     for batch in batches:
-        for rows in slices(batch, 1, CHUNK_BYTES // 4):
-            ids += pc.fill_null(rows.column(0), _NO_ID).to_pylist()
-            texts += [t.encode("utf-8", "surrogatepass") for t in pc.fill_null(rows.column(1), "").to_pylist()]
-            size += rows.nbytes
+        # A chunk ends by its texts alone, whatever other columns are read and however rows are batched.
+        start = 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
+            size += n + 64
             if size >= CHUNK_BYTES:
-                yield part << 24 | chunk, np.array(ids, np.int64), texts
-                chunk, size, ids, texts = chunk + 1, 0, [], []
-    if ids:
-        yield part << 24 | chunk, np.array(ids, np.int64), texts
+                held.append(batch.slice(start, i + 1 - start))
+                yield whole()
+                chunk, size, start, held = chunk + 1, 0, i + 1, []
+        if start < batch.num_rows:
+            held.append(batch.slice(start))
+    if held:
+        yield whole()
 
 
 def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -265,17 +275,21 @@ def _by_bucket(hashes: np.ndarray, buckets: int) -> list[tuple[int, slice]]:
 
 
 def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk, ids, texts in _chunks(batches):
+    for chunk, ids, texts, rest in _chunks(batches):
         data, ends = _joined(texts)
         sizes = np.diff(ends, prepend=0)
+        carried = pa.BufferOutputStream()
+        with pa.ipc.new_stream(carried, rest.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(rest)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([chunk]),
                 pa.array([len(ids)]),
                 pa.array([len(data)]),
                 pa.array([packed(ids, sizes, data)], pa.binary()),
+                pa.array([carried.getvalue().to_pybytes()], pa.binary()),
             ],
-            ["chunk", "n", "n_bytes", "block"],
+            ["chunk", "n", "n_bytes", "block", "carried"],
         )
 
 
@@ -293,7 +307,7 @@ def _send_hashes(buckets: int):
     """Distinct anchor hashes of a chunk per bucket; those of two of its documents are marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, ids, texts in _chunks(batches):
+        for chunk, ids, texts, _ in _chunks(batches):
             data, ends = _joined(texts)
             hashes, first, _ = anchors(data, ends)
             owner = ids[np.searchsorted(ends, first, side="right")]
@@ -428,20 +442,35 @@ def _sort_stretches(table: pa.Table) -> pa.Table:
     )
 
 
-def _remove(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
-    """Kept bytes of a chunk's documents and the spans that went."""
-    schema = pa.schema(
-        [
-            ("chunk", pa.int64()),
-            ("row", pa.int64()),
-            ("doc_id", pa.int64()),
-            ("n_bytes", pa.int64()),
-            ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-            ("kept", pa.binary()),
-        ]
-    )
-    if not texts.num_rows:
-        return schema.empty_table()
+def _kept_schema(carried: pa.Schema) -> pa.Schema:
+    fields = [
+        ("doc_id", pa.int64()),
+        ("n_bytes", pa.int64()),
+        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+        ("kept", pa.binary()),
+    ]
+    return pa.schema([*fields, *carried])
+
+
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone`` with every character that loses a byte gone as a whole."""
+    character = np.cumsum((data & 0xC0) != 0x80)
+    hit = np.zeros(int(character[-1]) + 1 if len(character) else 1, bool)
+    hit[character[gone]] = True
+    return hit[character]
+
+
+def _remove(whole: bool):
+    """Kept bytes of a chunk's documents and the spans that went; ``whole``: no character is cut."""
+
+    def run(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
+        carried = pa.ipc.open_stream(texts.column("carried")[0].as_buffer()).read_all()
+        return _removed(key, texts, answers, carried, whole)
+
+    return run
+
+
+def _removed(key: tuple, texts: pa.Table, answers: pa.Table, carried: pa.Table, whole: bool) -> pa.Table:
     ids, ends, data = _unpack_texts(texts)
     marks = np.zeros(len(data) + 1, np.int64)
     parts = []
@@ -471,6 +500,8 @@ def _remove(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
                         place += size[j]
                 at += k
     gone = np.cumsum(marks[:-1]) > 0
+    if whole:
+        gone = _whole_characters(data, gone)
     doc_ids, sizes, spans, kept = [], [], [], []
     start = 0
     for doc, end in zip(ids.tolist(), ends.tolist(), strict=True):
@@ -481,28 +512,33 @@ def _remove(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
         spans.append([{"start": a, "end": b} for a, b in edge.reshape(-1, 2).tolist()])
         kept.append(data[start:end][~own].tobytes())
         start = end
-    n = len(doc_ids)
-    return pa.table(
-        [pa.array(np.full(n, key[0].as_py())), pa.array(np.arange(n)), doc_ids, sizes, spans, kept], schema=schema
-    )
+    schema = _kept_schema(carried.schema)
+    own = [pa.array(c, f.type) for c, f in zip((doc_ids, sizes, spans, kept), schema, strict=False)]
+    return pa.table([*own, *carried.columns], schema=schema)
 
 
-def dedup(docs: DataFrame, *, stored: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, spans, kept) of every row of (doc_id, text).
+def dedup(docs: DataFrame, *, stored: bool = False, carry: tuple[str, ...] = (), whole: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, spans, kept, and the columns of ``carry``) of every row of (doc_id, text).
 
     spans are the maximal runs of removed bytes, [start, end): those covered by a string of
     WINDOW bytes that also starts in a document with a smaller doc_id. kept is what
-    remains, as bytes (a span may begin or end inside a character). Null texts are empty;
-    rows of one id do not thin each other; a null id comes after all others. ``docs`` is
-    read twice and must give the same rows in the same tasks both times, as a stored table
-    does (``stored``); anything else is written to the shared folder first.
+    remains, as bytes; a span may begin or end inside a character unless ``whole``, which
+    removes such a character entirely. Null texts are empty; rows of one id do not thin each
+    other; a null id comes after all others. ``docs`` is read twice and must give the same
+    rows in the same tasks both times, as a stored table does (``stored``); anything else
+    is written to the shared folder first.
     """
     ship_package(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    # Carried columns may have the names of the others.
+    named = [F.col(c).alias(f"_carried_{i}") for i, c in enumerate(carry)]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *named)
     docs = docs if stored else materialize(docs, "texts")
+    carried = docs.schema[2:]
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.mapInArrow(_pack_texts, "chunk long, n long, n_bytes long, block binary")
-    hashes = docs.mapInArrow(_send_hashes(buckets), "bucket int, chunk long, n long, block binary")
+    texts = docs.mapInArrow(_pack_texts, "chunk long, n long, n_bytes long, block binary, carried binary")
+    hashes = docs.select("doc_id", "text").mapInArrow(
+        _send_hashes(buckets), "bucket int, chunk long, n long, block binary"
+    )
     repeated = hashes.groupBy("bucket").applyInArrow(_repeated, "chunk long, n long, block binary")
     stretches = (
         texts.groupBy("chunk")
@@ -512,11 +548,39 @@ def dedup(docs: DataFrame, *, stored: bool = False) -> DataFrame:
     answers = stretches.groupBy("bucket").applyInArrow(
         _sort_stretches, "chunk long, n long, n_runs long, block binary"
     )
-    return (
+    out = T._parse_datatype_string("doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    kept = (
         texts.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(
-            _remove,
-            "chunk long, row long, doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary",
-        )
+        .applyInArrow(_remove(whole), T.StructType([*out.fields, *carried]))
     )
+    return kept.toDF("doc_id", "n_bytes", "spans", "kept", *carry)
+
+
+def thin(docs: DataFrame, *, stored: bool = False) -> DataFrame:
+    """``docs`` with repeated passages taken out of the texts, rows and other columns as they are.
+
+    A character that loses a byte goes as a whole, so texts stay valid. n_chars, where
+    there is such a column, is the new number of code points of a text that lost some. A
+    null text stays null.
+    """
+    columns = docs.columns
+    others = [c for c in columns if c != "text"]
+    marked = docs.withColumn("_has_text", F.col("text").isNotNull())
+    cut = dedup(marked, stored=stored, carry=(*others, "_has_text"), whole=True)
+    # The operator's own columns come first; a carried one of the same name is the later one.
+    names = [f"_c{i}" for i in range(len(others))]
+    cut = cut.toDF("_id", "_bytes", "_spans", "_kept", *names, "_has_text")
+    text = F.when(F.col("_has_text"), F.col("_kept").cast("string"))
+    cut = cut.withColumn("_text", text)
+    out = []
+    for c in columns:
+        if c == "text":
+            out.append(F.col("_text").alias("text"))
+            continue
+        value = F.col(names[others.index(c)])
+        if c == "n_chars":
+            now = F.when(F.size("_spans") > 0, F.length("_text").cast(docs.schema["n_chars"].dataType))
+            value = F.coalesce(now, value)
+        out.append(value.alias(c))
+    return cut.select(*out)
