@@ -25,7 +25,7 @@ def with_sketch(df: DataFrame, text: Column, name: str, *, k: int = K) -> DataFr
     sketch is empty.
     """
     w, p2, p4, p5 = (f"_{name}_{part}" for part in ("w", "p2", "p4", "p5"))
-    end = 2**31 - 1
+    end = 1 << 30  # longer than any array; start + length must not overflow
     # Each step is a column of its own: a lambda that refers to an expression would evaluate
     # it again for every element. Past the end a step hashes what is left, so only a text
     # shorter than a shingle keeps such a value, that of its whole sequence.
