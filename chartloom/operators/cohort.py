@@ -99,20 +99,19 @@ def drop_patients(patients: DataFrame, unwanted: DataFrame) -> DataFrame:
 
 
 def patient_pool(
-    patients: DataFrame, n: int, *, include: DataFrame | None = None, exclude: DataFrame | None = None
+    patients: DataFrame,
+    n: int,
+    *,
+    include: DataFrame | None = None,
+    exclude: DataFrame | None = None,
+    pool_factor: int = 2,
 ) -> DataFrame:
-    """``n`` patients by id out of a generous hash-ordered pool, after include/exclude.
+    """``n`` patients by id out of the first ``pool_factor * n`` in hash order, after include/exclude.
 
-    The pool holds ``2n`` patients; ``max(3n, 200)`` when some are excluded (an empty
-    exclusion counts as none); ``max(2 * included, n)`` when only a set is allowed.
-    Sizes that depend on data are scalar subqueries, so nothing runs on the driver.
+    Sets are applied before the pool is cut, so as many come back as there are, up to ``n``.
     """
     if include is not None:
-        size = include.agg(F.greatest(F.count("*") * 2, F.lit(n))).scalar()
-        candidates = keep_patients(hash_sample(patients, "patient_id", size), include)
-    elif exclude is not None:
-        size = exclude.agg(F.when(F.count("*") > 0, max(n * 3, 200)).otherwise(n * 2)).scalar()
-        candidates = drop_patients(hash_sample(patients, "patient_id", size), exclude)
-    else:
-        candidates = hash_sample(patients, "patient_id", n * 2)
-    return candidates.orderBy("patient_id").limit(n)
+        patients = keep_patients(patients, include)
+    if exclude is not None:
+        patients = drop_patients(patients, exclude)
+    return hash_sample(patients, "patient_id", n * pool_factor).orderBy("patient_id").limit(n)

@@ -20,6 +20,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +38,9 @@ C = 1.0
 MAX_GROUP_ENTRIES = 4_000_000
 # Few enough that a pack, made dense over the columns it touches, stays in cache.
 ROWS_PER_PACK = 48
-MIN_PARTITION_ROWS = 128
 # Up to this many partial gradients are summed on the driver; more are summed in a shuffle.
-MAX_DRIVER_PARTIALS = 8
+# Partial sums that one task, or the driver, adds up at most.
+FAN_IN = 16
 HISTORY = 8
 
 COEFFICIENT_SCHEMA = "label_code string, intercept double, weights array<double>"
@@ -128,8 +129,8 @@ def pack(
             yield pd.DataFrame(packed, columns=[c.split()[0] for c in PACK_SCHEMA.split(", ")])
 
     packed = materialize(rows.mapInPandas(run, PACK_SCHEMA), "packed")
-    n_rows = packed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return packed.coalesce(max(1, n_rows // MIN_PARTITION_ROWS))
+    # Each task of a pass returns one gradient, so there are no more tasks than cores.
+    return packed.coalesce(packed.sparkSession.sparkContext.defaultParallelism)
 
 
 def _dense(indptr: np.ndarray, cols: np.ndarray, vals: np.ndarray, width: int) -> np.ndarray:
@@ -149,8 +150,13 @@ def _gradient_pass(
     weights: np.ndarray,
     positive: np.ndarray,
     negative: np.ndarray,
+    n_parts: int,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Summed loss (labels,) and gradient (labels, features + intercept) at ``weights``."""
+    """Summed loss (labels,) and gradient (labels, features + intercept) at ``weights``.
+
+    The sums of the ``n_parts`` partitions are added up in a tree: no task and no driver
+    step takes in more than FAN_IN of them.
+    """
     n_labels, n_params = weights.shape
     shared = spark.sparkContext.broadcast((label_ids, weights, positive, negative))
     width = max(1, min(n_params + 1, math.ceil(500_000 / n_labels)))
@@ -181,7 +187,7 @@ def _gradient_pass(
                 total[:, touched] += slope.T @ x
                 total[:, -2] += slope.sum(axis=0)
                 total[:, -1] += (cost * np.logaddexp(0, -margin)).sum(axis=0)
-        slot = TaskContext.get().partitionId() % 32
+        slot = TaskContext.get().partitionId()
         pieces = [
             (start // width, slot, np.ascontiguousarray(total[:, start : start + width]).tobytes())
             for start in range(0, n_params + 1, width)
@@ -195,11 +201,10 @@ def _gradient_pass(
         )
 
     parts = packed.mapInPandas(partial, chunk_schema)
-    n_parts = packed.rdd.getNumPartitions()
-    if n_parts > 64:
+    while n_parts > FAN_IN:
+        parts = parts.withColumn("slot", F.floor(F.col("slot") / FAN_IN).cast("int"))
         parts = parts.groupBy("chunk", "slot").applyInPandas(combine, chunk_schema)
-    if n_parts > MAX_DRIVER_PARTIALS:
-        parts = parts.groupBy("chunk").applyInPandas(combine, chunk_schema)
+        n_parts = math.ceil(n_parts / FAN_IN)
     total = np.zeros((n_labels, n_params + 1))
     sums = parts.select("chunk", "payload").toArrow()
     for chunk, payload in zip(sums["chunk"].to_pylist(), sums["payload"]):
@@ -218,14 +223,15 @@ def minimise(
     n_params: int,
     tolerance: np.ndarray,
     max_iterations: int = MAX_ITERATIONS,
-) -> tuple[np.ndarray, int]:
+) -> tuple[np.ndarray, int, np.ndarray]:
     """L-BFGS on independent problems, one trial point of each per evaluation.
 
     ``evaluate(ids, points)`` returns values and gradients of the named problems. Problems
     do not wait for each other: one whose step is rejected retries a shorter step while
     the others move on, so the evaluations needed are those of the slowest problem.
     A problem stops when its gradient norm falls to ``tolerance`` times the first one, or
-    to the floor. Returns the solutions and the number of evaluations.
+    to the floor. Returns the solutions, the number of evaluations and which problems got there;
+    one that ran out of iterations or of shorter steps is not among them.
     """
     w = np.zeros((n_problems, n_params))
     value, grad = evaluate(np.arange(n_problems), w)
@@ -278,7 +284,7 @@ def minimise(
             if curvature > 1e-12 * (turned_by @ turned_by):
                 history[i].append((moved_by, turned_by, 1 / curvature))
             redirect(i)
-    return w, evaluations
+    return w, evaluations, np.linalg.norm(grad, axis=1) <= goal
 
 
 # ---------------------------------------------------------------- fitting
@@ -301,15 +307,16 @@ def fit_packed(
     c: float = C,
     tolerance: float = TOLERANCE,
     max_iterations: int = MAX_ITERATIONS,
-) -> tuple[DataFrame, int]:
-    """Coefficient table for packed training rows, and the number of data passes taken.
+) -> tuple[DataFrame, int, list[str]]:
+    """Coefficient table for packed training rows, the data passes taken, and labels that did not converge.
 
     ``features`` are the joint feature ids behind the packed columns; coefficients cover all
     ``n_features``. A label that every or no row has gets zero weights and an infinite intercept, so its
     probability is the constant 1 or 0.
     """
     path = scratch_path(spark, "coefficients")
-    passes = 0
+    passes, unsettled = 0, []
+    n_parts = packed.rdd.getNumPartitions()
     n_params = len(features) + 1
     for group in _groups(len(label_names), n_params):
         counts = np.array([positives.get(label_names[i], 0) for i in group], dtype=float)
@@ -323,13 +330,14 @@ def fit_packed(
             neg = c * n_notes / (2 * (n_notes - counts[varied]))
 
             def evaluate(which, points):
-                loss, grad = _gradient_pass(spark, packed, ids[which], points, pos[which], neg[which])
+                loss, grad = _gradient_pass(spark, packed, ids[which], points, pos[which], neg[which], n_parts)
                 return loss + 0.5 * np.einsum("ij,ij->i", points, points), grad + points
 
             rarity = np.minimum(counts[varied], n_notes - counts[varied]) / n_notes
-            solved, used = minimise(evaluate, len(varied), n_params, tolerance * rarity, max_iterations)
+            solved, used, settled = minimise(evaluate, len(varied), n_params, tolerance * rarity, max_iterations)
             weights[varied] = solved
             passes += used
+            unsettled += [label_names[i] for i in ids[~settled]]
         full = np.zeros((len(group), n_features))
         full[:, features] = weights[:, :-1]
         rows = pd.DataFrame(
@@ -339,8 +347,10 @@ def fit_packed(
                 "weights": list(full),
             }
         )
-        spark.createDataFrame(rows, COEFFICIENT_SCHEMA).write.mode("append").parquet(path)
-    return spark.read.schema(COEFFICIENT_SCHEMA).parquet(path), passes
+        # An Arrow table is taken as it is, whatever the session's settings for pandas are.
+        table = pa.table({"label_code": rows["label_code"], "intercept": rows["intercept"], "weights": list(full)})
+        spark.createDataFrame(table, COEFFICIENT_SCHEMA).write.mode("append").parquet(path)
+    return spark.read.schema(COEFFICIENT_SCHEMA).parquet(path), passes, unsettled
 
 
 def _names(vocab: DataFrame) -> list[str]:
@@ -366,8 +376,9 @@ def fit(notes: DataFrame, labels: DataFrame, vocab: DataFrame, *, blocks=BLOCKS,
     n_notes = packed.agg(F.sum("n")).first()[0] or 0
     counts = {row.label_code: row["count"] for row in labels.groupBy("label_code").count().collect()}
     n_features = sum(block.max_features for block in blocks)
-    coefficients, passes = fit_packed(spark, packed, names, counts, n_notes, features, n_features, **options)
-    return Model(vocabularies, coefficients, names, {"n_notes": n_notes, "n_codes_kept": len(names), "n_passes": passes})
+    coefficients, passes, unsettled = fit_packed(spark, packed, names, counts, n_notes, features, n_features, **options)
+    facts = {"n_notes": n_notes, "n_codes_kept": len(names), "n_passes": passes, "not_converged": unsettled}
+    return Model(vocabularies, coefficients, names, facts)
 
 
 # ---------------------------------------------------------------- scoring

@@ -61,9 +61,14 @@ def stratified_split(labels: DataFrame, test_fraction: float = TEST_FRACTION, se
 
 
 def merge_split(previous: DataFrame, current: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFrame:
-    """Carried assignments plus a stratified split of the new, labelled keys."""
+    """Carried assignments plus a stratified split of the new, labelled keys.
+
+    New keys are not among the carried ones, so the merge is disjoint if those are; a
+    previous split with a key in both buckets is an error.
+    """
     fresh = labels.join(new_keys(previous, current), "key", "left_semi")
-    return carried(previous, current).select("key", "bucket").unionByName(stratified_split(fresh, seed=seed))
+    kept = assert_disjoint(carried(previous, current).select("key", "bucket"))
+    return kept.unionByName(stratified_split(fresh, seed=seed))
 
 
 def overlapping_keys(split: DataFrame) -> DataFrame:

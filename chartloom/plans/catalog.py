@@ -8,11 +8,13 @@ compare exactly across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from chartloom.functions import codes as cd
 from chartloom.functions import keys as ks
@@ -40,6 +42,7 @@ from chartloom.streaming import scoring as st_scoring
 
 RUN_ID = "20260201-080000"
 N_FEATURES = sum(block.max_features for block in ft.BLOCKS)
+ROLLUPS = ("dirty", "3char", "chapter")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -53,6 +56,11 @@ def text_dates(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) if t == "date" else F.col(c) for c, t in df.dtypes])
 
 
+def _nullable(schema: StructType) -> StructType:
+    """The schema as a reader of files declares it."""
+    return StructType([StructField(f.name, f.dataType) for f in schema])
+
+
 def hash_unit(text: Column) -> Column:
     """A reproducible number in [0, 1] from a text."""
     return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("double") / 16777215.0
@@ -86,9 +94,8 @@ def hashed_coefficients(vocabularies: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
     def dense(group: pd.DataFrame) -> pd.DataFrame:
-        weights = [0.0] * N_FEATURES
-        for i, w in zip(group["feature_id"], group["w"]):
-            weights[i] = w
+        weights = np.zeros(N_FEATURES)
+        weights[group["feature_id"].to_numpy()] = group["w"].to_numpy()
         return pd.DataFrame({"label_code": group["label_code"].iloc[:1], "intercept": [-0.5], "weights": [weights]})
 
     return materialize(cells.groupBy("label_code").applyInPandas(dense, ovr.COEFFICIENT_SCHEMA), "hashed")
@@ -603,7 +610,7 @@ def nonempty_notes(x):
 
 @query
 def dataset_info(x):
-    infos = [x.dataset(bucket, rollup).info for rollup in ("3char", "chapter") for bucket in ("dev", "test")]
+    infos = [x.dataset(bucket, rollup).info for rollup in ROLLUPS for bucket in ("dev", "test")]
     joined = infos[0]
     for info in infos[1:]:
         joined = joined.unionByName(info)
@@ -710,8 +717,8 @@ def support_buckets(x):
 
 @query
 def rollup_comparison(x):
-    per_rollup = [x._predictions("dev", r).withColumn("rollup", F.lit(r)) for r in ("3char", "chapter")]
-    return rounded(ev.rollup_comparison(per_rollup[0].unionByName(per_rollup[1])))
+    per_rollup = [x._predictions("dev", r).withColumn("rollup", F.lit(r)) for r in ROLLUPS]
+    return rounded(ev.rollup_comparison(reduce(DataFrame.unionByName, per_rollup)))
 
 
 @query
@@ -739,7 +746,9 @@ def sample_prediction(x):
 
 @query
 def table_profile(x):
-    return pf.table_profile(x.labels.select("note_id", "icd10_code", "icd10_description"), "notes_labels").drop("mode")
+    tables = (("notes_synth", x.notes), ("notes_labels", x.labels))
+    profiles = [pf.table_profile(df, name, _nullable(df.schema)) for name, df in tables]
+    return profiles[0].unionByName(profiles[1])
 
 
 @query
@@ -866,7 +875,7 @@ def ranked_predictions(x):
 
 @query
 def fit_ovr(x):
-    data = x.dataset("dev", "chapter")
+    data = x.dev
     model = ovr.fit(data.notes, data.labels, data.vocab)
     weight = F.aggregate("weights", F.lit(0.0), lambda total, w: total + w * w)
     return rounded(model.coefficients.select("label_code", "intercept", F.sqrt(weight).alias("weight_length")), 3)
@@ -874,14 +883,14 @@ def fit_ovr(x):
 
 @query
 def cross_validate(x):
-    data = x.dataset("dev", "chapter")
+    data = x.dev
     oof = wf.cross_validate(data, k=5)
     return rounded(ev.fold_scores(oof), 3)
 
 
 @query
 def evaluate_bucket(x):
-    dev, test = x.dataset("dev", "chapter"), x.dataset("test", "chapter")
+    dev, test = x.dev, x.dataset("test")
     model = ovr.fit(dev.notes, dev.labels, dev.vocab)
     return rounded(ev.score_table(wf.evaluate(model, test)), 3)
 
@@ -899,8 +908,8 @@ def stream_latest(x):
     return st_latest.read_latest(x.spark, out).select("patient_id", "strategy", "note_id")
 
 
-@query
-def stream_score(x):
+def _scored_stream(x):
+    """Folder of what a stream over all documents wrote."""
     vocabularies, coefficients = x.hashed_model
     model = ovr.Model(vocabularies, coefficients, [], {})
     out = scratch_path(x.spark, "scored")
@@ -909,5 +918,22 @@ def stream_score(x):
     arriving = x.spark.readStream.schema(columns).parquet(source).select(
         F.col("doc_id").cast("string").alias("note_id"), F.col("text").alias("note_text")
     )
-    st_scoring.score_stream(arriving, model, out, threshold=0.6).awaitTermination()
-    return st_scoring.read_predictions(x.spark, out)
+    st_scoring.score_stream(arriving, model, out, threshold=0.6, model_name="hashed").awaitTermination()
+    return out
+
+
+@query
+def stream_score(x):
+    return st_scoring.read_predictions(x.spark, _scored_stream(x))
+
+
+@query
+def stream_responses(x):
+    return st_scoring.read_responses(x.spark, _scored_stream(x)).select(
+        "note_id", "model", "n_codes_evaluated", "note_length", F.size("predictions").alias("n_predictions")
+    )
+
+
+@query
+def stream_rejects(x):
+    return st_scoring.read_rejects(x.spark, _scored_stream(x))

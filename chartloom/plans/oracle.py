@@ -205,8 +205,27 @@ JOIN concept_relationship r ON s.concept_id = r.concept_id_1 AND r.relationship_
 JOIN concept i ON r.concept_id_2 = i.concept_id AND i.vocabulary_id = 'ICD10CM'
 """
 
+# Columns and types of the two stored tables, as files declare them.
+PROFILED = {
+    "notes_synth": {
+        **dict.fromkeys(("note_id", "run_id", "patient_id", "strategy", "prompt_version", "model"), "string"),
+        "generated_at": "timestamp",
+        **dict.fromkeys(("note_text", "primary_code", "encounter_id"), "string"),
+        **dict.fromkeys(("input_tokens", "output_tokens"), "bigint"),
+        "finish_reason": "string",
+    },
+    "notes_labels": {
+        **dict.fromkeys(("note_id", "icd10_code", "icd10_description"), "string"),
+        "is_primary": "boolean",
+    },
+}
+# What the deterministic writer says of a prompt's list lines.
+WRITTEN = (
+    "array_to_string(list_transform(list_filter(string_split(prompt, chr(10)), lambda x: starts_with(x, '- ') AND contains(x, ': ')), "
+    "lambda x: 'Managed for ' || substr(x, strpos(x, ': ') + 2) || '.'), ' ')"
+)
 CARRIED = ["icd10_description", "snomed_code", "snomed_description"]
-LINE = "'- ' || icd10_code || ' (' || coalesce(CAST(start_date AS VARCHAR), 'unknown date') || '): ' || icd10_description"
+LINE = "'- ' || icd10_code || ' (' || coalesce(CAST(start_date AS VARCHAR), 'unknown date') || '): ' || coalesce(icd10_description, 'no description')"
 
 
 def _rolled(size: int) -> str:
@@ -216,10 +235,10 @@ def _rolled(size: int) -> str:
     )
 
 
-def _pool(name: str, size: str, where: str) -> str:
+def _pool(name: str, where: str) -> str:
     return (
         f"SELECT *, '{name}' AS kind FROM (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY md5(patient_id), patient_id) AS r "
-        f"FROM eligible_p) WHERE r <= ({size}) AND {where} ORDER BY patient_id LIMIT 30)"
+        f"FROM eligible_p WHERE {where}) WHERE r <= 60 ORDER BY patient_id LIMIT 30)"
     )
 
 
@@ -286,6 +305,7 @@ STEPS: dict[str, str] = {
     "FROM picked p LEFT JOIN secondary s ON p.patient_id = s.patient_id",
     "labels3": _rolled(3),
     "labels1": _rolled(1),
+    "labels0": "SELECT note_id, icd10_code AS label_code, is_primary FROM notes_labels",
     "latest_all": _latest("notes_synth"),
     "latest": _latest("notes_synth WHERE strategy IN ('multilabel', 'primary_dx')"),
     "pairs": "SELECT note_id, patient_id || '::' || strategy AS key FROM latest",
@@ -298,7 +318,7 @@ STEPS: dict[str, str] = {
     "bucketed": "SELECT l.note_id, l.note_text, s.key, s.bucket FROM latest l JOIN pairs p ON l.note_id = p.note_id JOIN split s ON p.key = s.key",
     **{
         name: sql
-        for rollup, labels in (("3char", "labels3"), ("chapter", "labels1"))
+        for rollup, labels in (("dirty", "labels0"), ("3char", "labels3"), ("chapter", "labels1"))
         for name, sql in (
             (
                 f"counts_{rollup}",
@@ -458,11 +478,11 @@ FINAL: dict[str, str] = {
     "patients_from_run": "SELECT * FROM eligible_p WHERE patient_id IN (SELECT patient_id FROM in_run)",
     "patients_exclude_run": "SELECT * FROM eligible_p WHERE patient_id NOT IN (SELECT patient_id FROM in_run)",
     "patient_pool": "SELECT patient_id, n_codes, kind FROM ("
-    + _pool("plain", "60", "TRUE")
+    + _pool("plain", "TRUE")
     + " UNION ALL "
-    + _pool("include", "SELECT greatest(2 * count(*), 30) FROM in_run", "patient_id IN (SELECT patient_id FROM in_run)")
+    + _pool("include", "patient_id IN (SELECT patient_id FROM in_run)")
     + " UNION ALL "
-    + _pool("exclude", "SELECT CASE WHEN count(*) > 0 THEN 200 ELSE 60 END FROM in_run", "patient_id NOT IN (SELECT patient_id FROM in_run)")
+    + _pool("exclude", "patient_id NOT IN (SELECT patient_id FROM in_run)")
     + ")",
     "strategy_fanout": f"SELECT patient_id, strategy, CASE strategy WHEN 'multilabel' THEN 'v1-multilabel' ELSE 'v2-primary_dx' END AS prompt_version FROM eligible_p CROSS JOIN {STRATEGIES}",
     "label_rows": f"SELECT '{RUN_ID}_' || c.patient_id || '_' || s.strategy AS note_id, c.icd10_code, c.icd10_description, "
@@ -472,6 +492,12 @@ FINAL: dict[str, str] = {
     "(SELECT patient_id, 'multilabel' AS strategy, 'v1-multilabel' AS prompt_version, '' AS primary_code, prompt FROM multilabel_prompts UNION ALL "
     "SELECT patient_id, 'primary_dx', 'v2-primary_dx', primary_code, prompt FROM primary_prompts) JOIN "
     "(SELECT patient_id, string_agg(icd10_code, ',' ORDER BY icd10_code) AS labels FROM patient_cap GROUP BY patient_id) USING (patient_id)",
+    "generate_notes": "SELECT patient_id, strategy, prompt_version, primary_code, note_text, input_tokens, "
+    "CAST(floor(length(note_text) / 4) AS BIGINT) AS output_tokens, 'template-writer' AS model, 'STOP' AS finish_reason, "
+    "'ok' AS status, CAST(NULL AS VARCHAR) AS error FROM (SELECT *, CAST(floor(length(prompt) / 4) AS BIGINT) AS input_tokens, "
+    f"'HOSPITAL COURSE' || chr(10) || {WRITTEN} AS note_text FROM ("
+    "SELECT patient_id, 'multilabel' AS strategy, 'v1-multilabel' AS prompt_version, CAST(NULL AS VARCHAR) AS primary_code, prompt "
+    "FROM multilabel_prompts UNION ALL SELECT patient_id, 'primary_dx', 'v2-primary_dx', primary_code, prompt FROM primary_prompts))",
     "generation_failures": "SELECT * FROM generation_outcome WHERE status = 'failed'",
     "generation_cost": "SELECT run_id, CAST(total_in AS BIGINT) AS total_in, CAST(total_out AS BIGINT) AS total_out, round(total_in * 0.30::DOUBLE / 1e6 + total_out * 2.50::DOUBLE / 1e6, 6) AS cost_usd FROM "
     "(SELECT run_id, sum(coalesce(input_tokens, 0)) AS total_in, sum(coalesce(output_tokens, 0)) AS total_out FROM notes_synth GROUP BY run_id)",
@@ -492,7 +518,7 @@ FINAL: dict[str, str] = {
     "bucket_notes": "SELECT key, note_id, bucket FROM bucketed",
     "label_vocab": "SELECT label_code, n_rows FROM vocab_3char",
     "nonempty_notes": "SELECT note_id, note_text FROM dev_notes",
-    "dataset_info": " UNION ALL ".join(_info(r, b) for r in ("3char", "chapter") for b in ("dev", "test")),
+    "dataset_info": " UNION ALL ".join(_info(r, b) for r in ("dirty", "3char", "chapter") for b in ("dev", "test")),
     "encounter_dataset_info": " UNION ALL ".join(_enc_info(b) for b in ("dev", "test")),
     "binarize_long": "SELECT note_id, code, y_true FROM dev_dense_3char",
     "rebinarize": "SELECT note_id, code, y_true FROM test_dense_3char",
@@ -523,7 +549,8 @@ FINAL: dict[str, str] = {
     "count(*) AS n_codes, round(avg(f1), 6) AS mean_f1, round(min(f1), 6) AS min_f1, round(max(f1), 6) AS max_f1 FROM oof_stats WHERE support > 0 GROUP BY ALL",
     "rollup_comparison": f"SELECT rollup, n_notes, n_codes, {_round(*SCORES)} FROM ("
     + _score_table(
-        "(SELECT note_id, code, y_true, y_pred, '3char' AS rollup FROM dev_pred_3char UNION ALL SELECT note_id, code, y_true, y_pred, 'chapter' FROM dev_pred_chapter)",
+        "(SELECT note_id, code, y_true, y_pred, '3char' AS rollup FROM dev_pred_3char UNION ALL SELECT note_id, code, y_true, y_pred, 'chapter' FROM dev_pred_chapter "
+        "UNION ALL SELECT note_id, code, y_true, y_pred, 'dirty' FROM dev_pred_dirty)",
         "rollup",
     )
     + ")",
@@ -532,7 +559,12 @@ FINAL: dict[str, str] = {
     "top_codes_by_support": "SELECT * FROM stats ORDER BY support DESC, code LIMIT 20",
     "sample_prediction": "SELECT h.note_id, coalesce(string_agg(h.code, ',' ORDER BY h.code) FILTER (h.y_true = 1), '') AS truth, coalesce(string_agg(h.code, ',' ORDER BY h.code) FILTER (h.y_pred = 1), '') AS predicted, "
     "replace(substr(any_value(n.note_text), 1, 200), chr(10), ' ') AS head FROM held_out h JOIN notes_synth n ON h.note_id = n.note_id WHERE h.note_id = (SELECT min(note_id) FROM held_out WHERE y_true = 1) GROUP BY h.note_id",
-    "table_profile": "SELECT 'notes_labels' AS table_name, (SELECT count(*) FROM notes_labels) AS n_rows, unnest(['note_id', 'icd10_code', 'icd10_description']) AS column_name, 'string' AS data_type",
+    "table_profile": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, (SELECT count(*) FROM {table}) AS n_rows, '{column}' AS column_name, "
+        f"'{kind}' AS data_type, 'NULLABLE' AS mode"
+        for table, columns in PROFILED.items()
+        for column, kind in columns.items()
+    ),
     "top_conditions": "SELECT CAST(CODE AS VARCHAR) AS snomed_code, DESCRIPTION AS description, count(*) AS n FROM conditions GROUP BY CODE, DESCRIPTION ORDER BY n DESC, snomed_code LIMIT 20",
     "billable_profile": "SELECT (SELECT count(*) FROM conditions) AS n_conditions, (SELECT count(DISTINCT CODE) FROM conditions) AS n_source_codes, count(*) AS n_billable, count(DISTINCT icd10_code) AS n_icd10_codes, count(DISTINCT patient_id) AS n_patients FROM billable",
     "fanout_profile": _shape("raw", "notes_labels", "icd10_code") + " UNION ALL " + _shape("rolled", "labels3", "label_code"),
@@ -558,6 +590,11 @@ FINAL: dict[str, str] = {
     "LEFT JOIN dictionary d ON h.code = d.code_3char CROSS JOIN (VALUES ('cli', '—'), ('service', '')) s(surface, default_text) WHERE h.y_proba >= 0.5",
     "ranked_predictions": "SELECT note_id, code, confidence, CAST(row_number() OVER (PARTITION BY note_id ORDER BY confidence DESC, code) AS INT) AS rank FROM (SELECT note_id, code, round(y_proba, 4) AS confidence FROM held_out WHERE y_proba >= 0.3)",
     "stream_latest": "SELECT patient_id, strategy, note_id FROM latest_all",
+    "stream_responses": "SELECT t.note_id, 'hashed' AS model, CAST((SELECT count(*) FROM vocab) AS INT) AS n_codes_evaluated, "
+    "CAST(length(t.note_text) AS INT) AS note_length, CAST(count(s.code) AS INT) AS n_predictions FROM valid_texts t "
+    "LEFT JOIN (SELECT note_id, code FROM arrived_scored WHERE y_proba >= 0.6) s ON t.note_id = s.note_id GROUP BY t.note_id, t.note_text",
+    "stream_rejects": "SELECT CAST(doc_id AS VARCHAR) AS note_id, CAST(length(text) AS INT) AS note_length, "
+    "CASE WHEN text IS NULL THEN 'no text' ELSE 'too short' END AS reason FROM documents WHERE text IS NULL OR length(text) < 10",
     "stream_score": "SELECT note_id, code, round(y_proba, 4) AS confidence FROM arrived_scored WHERE y_proba >= 0.6",
 }
 

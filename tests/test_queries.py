@@ -10,7 +10,8 @@ SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-WITHOUT_SQL = {"generate_notes", "fit_ovr", "cross_validate", "evaluate_bucket"}
+WITHOUT_SQL = {"fit_ovr", "cross_validate", "evaluate_bucket"}
+MAY_BE_EMPTY = {"stream_rejects"}
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +41,8 @@ def test_query_matches_sql(name, inputs, engine):
     assert sorted(relation.columns) == columns
     order = [relation.columns.index(c) for c in columns]
     expected = sorted((tuple(row[i] for i in order) for row in relation.fetchall()), key=str)
-    assert found and found == expected
+    assert found == expected
+    assert found or name in MAY_BE_EMPTY
 
 
 def test_generated_notes_cover_every_prompt(inputs):
