@@ -272,7 +272,7 @@ def cross_validate(
             if row.fold != fold:
                 positives[row.label_code] = positives.get(row.label_code, 0) + row["count"]
         n_train = sum(n for f, n in sizes.items() if f != fold)
-        coefficients, _ = ovr.fit_packed(spark, packed, names, positives, n_train, features, n_features, **options)
+        coefficients, _, _ = ovr.fit_packed(spark, packed, names, positives, n_train, features, n_features, **options)
         held = rows.where(F.col("fold") == fold)
         scored = ovr.score_vectors(held, coefficients, n_features, vectorise=weigh)
         return materialize(scored.withColumn("fold", F.lit(fold)), "fold-scores")
