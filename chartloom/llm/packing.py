@@ -13,8 +13,10 @@ piece by its rank in a last distributed pass.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,9 +30,39 @@ from chartloom.session import materialize, ship_package
 
 CAPACITY = 2048
 END_ID = 0
+# White space ends words and is dropped, so a newline is as good as a space.
+_LINE_END = " "
+# A word of plain letters and what ASCII marks follow them are tokenised apart from each other.
+_STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local_rank long"
 
 
+class _LowerEncoder(WordEncoder):
+    """Encodes the lower-case stem and the tail of a plain word once each, other words whole."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self._parts = WordEncoder(path, plain=True)
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        split = [_STEM.fullmatch(w) for w in words]
+        whole = [w for m, w in zip(split, words, strict=True) if not m]
+        pairs = [(m[1].lower(), m[2]) for m in split if m]
+        numbers = {p: i for i, p in enumerate(dict.fromkeys(p for pair in pairs for p in pair if p))}
+        flat, counts = self._parts.lookup(list(numbers))
+        ends, data = np.cumsum(counts).tolist(), flat.tobytes()
+        ids = {p: data[4 * (ends[i] - n) : 4 * ends[i]] for (p, i), n in zip(numbers.items(), counts.tolist(), strict=True)}
+        ids[""] = b""
+        plain, others = iter(pairs), iter(super().encode(whole))
+        return [ids[(p := next(plain))[0]] + ids[p[1]] if m else next(others) for m in split]
+
+
+@lru_cache(maxsize=1)
+def _encoder(vocabulary: str) -> _LowerEncoder:
+    """One encoder a worker process: its next task finds the words of the last one."""
+    return _LowerEncoder(vocabulary)
+
+
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of every row of ``docs`` (doc_id, text): the text's ids and END_ID, cut every ``capacity``.
 
@@ -40,12 +72,12 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) ->
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary)
+        encoder = _encoder(vocabulary)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for rows in slices(batch, 1):
-                words, at, offsets = words_of(rows.column(1))
+                words, at, offsets = words_of(rows.column(1), _LINE_END)
                 ids, ends = gather(*encoder.lookup(words.to_pylist()), at)
                 ends = np.concatenate(([0], ends))[offsets]
                 out = []

@@ -27,27 +27,35 @@ def slices(batch: pa.RecordBatch, text_column: int, limit: int = SLICE_BYTES) ->
         yield batch.slice(start)
 
 
-def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def words_of(texts: pa.Array, line_end: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(distinct words, position -> word number, text -> first position; one more at the end).
 
-    A word is what stands between single spaces. Null texts are empty and have one empty word.
+    A word is what stands between single spaces once ``line_end`` is put for every newline.
+    Null texts are empty and have one empty word.
     """
-    lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", line_end), " ")
     coded = lists.flatten().dictionary_encode()
     offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     return coded.dictionary, coded.indices.to_numpy(), offsets
 
 
 class WordEncoder:
-    """Ids of words by the tokenizers library; each word is encoded once while it is cached."""
+    """Ids of words by the tokenizers library; each word is encoded once while it is cached.
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    ``plain`` is for words that the vocabulary's normaliser and splitter leave as they are:
+    it spares them both.
+    """
+
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS, *, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_padding()
         self._tokenizer.no_truncation()
+        if plain:
+            self._tokenizer.normalizer = normalizers.Sequence([])
+            self._tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._cache: dict[str, bytes] = {}
         self._limit = cache_words
 
