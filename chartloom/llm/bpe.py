@@ -12,15 +12,17 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chartloom.llm.blocks import packed, unpacked
 from chartloom.llm.tokens import WordEncoder, gather, slices, words_of
 from chartloom.session import materialize, ship_package
 
@@ -31,20 +33,22 @@ WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 # A word is a run of white space and what follows it up to the next one. No token runs from
 # other text into white space, so the ids of words strung together are those of the text.
 WORD = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+\\Z")
-# What stands between single spaces is such a word, but for its space, unless it is one of these.
-ODD = re.compile(f"\\A[{WHITE}]|[{WHITE}]\\Z|\\A\\Z")
+# What stands between single spaces, newlines having got a space before them, is such a word
+# but for its space, unless it is one of these.
+ODD = re.compile(f"\\A(?!\n[^{WHITE}])[{WHITE}]|[{WHITE}]\\Z|\\A\\Z")
 
 
 def _slice_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct words, word number per position, first position per text (one more at the end)."""
-    parts, at, offsets = words_of(texts)
+    parts, at, offsets = words_of(texts, " \n")
     parts = parts.to_pylist()
     n = len(parts)
     odd = np.fromiter((ODD.search(w) is not None for w in parts), bool, n)
     irregular = np.add.reduceat(odd[at], offsets[:-1]) > 0
-    # Part p is word p at the start of a text and word n + p after a space.
-    codes = at.astype(np.int64) + n
-    codes[offsets[:-1]] -= n
+    # Part p is word p at the start of a text or of a line and word n + p after a space.
+    after_space = np.fromiter((not w.startswith("\n") for w in parts), bool, n)[at]
+    after_space[offsets[:-1]] = False
+    codes = at + n * after_space.astype(np.int64)
     extra: dict[str, int] = {}
     runs = []
     for i, irregular_text in enumerate(irregular):
@@ -59,21 +63,6 @@ def _slice_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return words, numbers, np.concatenate(([0], np.cumsum([len(r) for r in runs])))
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed block, byte planes apart."""
-    planes = [a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(planes))
-
-
-def _unpacked(block: bytes, *shapes: tuple[str, int]) -> list[np.ndarray]:
-    data, out, start = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8), [], 0
-    for kind, n in shapes:
-        size = np.dtype(kind).itemsize
-        out.append(np.ascontiguousarray(data[start : start + n * size].reshape(size, n).T).view(kind).reshape(n))
-        start += n * size
-    return out
-
-
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[str, int], list]]:
     """(chunk, its words with their numbers, (doc_id, positions) of its documents)."""
     part, chunk, size = TaskContext.get().partitionId(), 0, 0
@@ -96,20 +85,33 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[str,
         yield part << 24 | chunk, numbers, docs
 
 
-def _chunk_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk, numbers, _ in _chunks(batches):
-        n = len(numbers)
-        words = list(numbers)
-        for at in range(0, n, 50_000):
-            part = words[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(part), chunk)),
-                    pa.array(np.arange(at, at + len(part), dtype=np.int32)),
-                    pa.array(part, pa.string()),
-                ],
-                ["chunk", "number", "word"],
-            )
+def _chunk_words(buckets: int):
+    """A chunk's words, packed by hash bucket in order of their numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, numbers, _ in _chunks(batches):
+            words: list[list[bytes]] = [[] for _ in range(buckets)]
+            own: list[list[int]] = [[] for _ in range(buckets)]
+            for word, number in numbers.items():
+                data = word.encode("utf-8", "surrogatepass")
+                b = crc32(data) % buckets
+                words[b].append(data)
+                own[b].append(number)
+            rows = []
+            for b in range(buckets):
+                if own[b]:
+                    step = np.diff(np.array(own[b], np.int32), prepend=np.int32(0)).astype(np.int32)
+                    sizes = np.fromiter(map(len, words[b]), np.uint32, len(words[b]))
+                    text = np.frombuffer(b"".join(words[b]), np.uint8)
+                    rows.append((b, chunk, len(step), len(text), packed(step, sizes, text)))
+            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                    ["bucket", "chunk", "n", "n_bytes", "block"],
+                )
+
+    return run
 
 
 def _chunk_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +119,7 @@ def _chunk_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start in range(0, len(docs), 1000):
             part = docs[start : start + 1000]
             at = np.concatenate([p for _, p in part])
-            block = _packed(np.array([len(p) for _, p in part], np.int64), at)
+            block = packed(np.array([len(p) for _, p in part], np.int64), at)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([chunk]),
@@ -131,9 +133,18 @@ def _chunk_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def encode(docs: DataFrame, vocabulary: str, *, stored: bool = False) -> DataFrame:
+@lru_cache(maxsize=1)
+def _encoder(vocabulary: str) -> WordEncoder:
+    """One encoder a worker process: its next task finds the words of the last one."""
+    return WordEncoder(vocabulary)
+
+
+def encode(docs: DataFrame, vocabulary: str, *, stored: bool = False, decoded: bool = False) -> DataFrame:
     """(doc_id, ids) of every row of (doc_id, text): ids as little-endian unsigned 32-bit integers.
 
+    With ``decoded`` the column ``text`` follows, what ``decode`` makes of the ids, joined
+    to their pieces where they arise.
+
     Equal to the tokenizers library's encoding of the whole text without special tokens
     added. Null texts are empty and have no ids; repeated rows are repeated. ``docs`` is
     read twice and must give the same rows in the same tasks both times, as a stored table
@@ -144,33 +155,27 @@ def encode(docs: DataFrame, vocabulary: str, *, stored: bool = False) -> DataFra
     docs = docs if stored else materialize(docs, "texts")
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary)
+        encoder = _encoder(vocabulary)
         for batch in batches:
-            coded = batch.column(2).dictionary_encode()
-            flat, counts = encoder.lookup(coded.dictionary.to_pylist())
-            flat, which = flat.astype(np.uint32), coded.indices.to_numpy()
-            chunks, numbers = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            order = np.argsort(chunks, kind="stable")
-            cuts = np.concatenate(([0], np.flatnonzero(np.diff(chunks[order])) + 1, [len(order)]))
-            rows = []
-            for lo, hi in zip(cuts, cuts[1:], strict=False):
-                own = order[lo:hi]
-                own = own[np.argsort(numbers[own])]
-                ids, _ = gather(flat, counts, which[own])
-                n = counts[which[own]].astype(np.uint32)
-                step = np.diff(numbers[own], prepend=0).astype(np.int32)
-                rows.append((int(chunks[own[0]]), len(own), len(ids), _packed(step, n, ids)))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                ["chunk", "n", "n_ids", "block"],
-            )
+            for chunk, n, n_bytes, block in zip(
+                *(batch.column(c).to_pylist() for c in ("chunk", "n", "n_bytes", "block")), strict=True
+            ):
+                step, sizes, text = unpacked(block, ("<i4", n), ("<u4", n), ("u1", n_bytes))
+                data, ends = text.tobytes(), np.cumsum(sizes, dtype=np.int64)
+                words = [data[hi - k : hi].decode("utf-8", "surrogatepass") for k, hi in zip(sizes.tolist(), ends.tolist(), strict=True)]
+                flat, counts = encoder.lookup(words)
+                ids = flat.astype(np.uint32)
+                out = packed(step, counts.astype(np.uint32), ids)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk]), pa.array([n], pa.int32()), pa.array([len(ids)]), pa.array([out], pa.binary())],
+                    ["chunk", "n", "n_ids", "block"],
+                )
 
     def join_positions(key: tuple, texts: pa.Table, encoded: pa.Table) -> pa.Table:
         n_words = texts.column("n_words")[0].as_py()
         numbers, counts, flat = [], [], []
         for n, n_ids, block in zip(*(encoded.column(c).to_pylist() for c in ("n", "n_ids", "block")), strict=True):
-            step, count, ids = _unpacked(block, ("<i4", n), ("<u4", n), ("<u4", n_ids))
+            step, count, ids = unpacked(block, ("<i4", n), ("<u4", n), ("<u4", n_ids))
             numbers.append(np.cumsum(step))
             counts.append(count)
             flat.append(ids)
@@ -181,18 +186,24 @@ def encode(docs: DataFrame, vocabulary: str, *, stored: bool = False) -> DataFra
         place[number] = np.arange(n_words)
         counts = np.concatenate(counts).astype(np.int64) if counts else np.zeros(0, np.int64)
         flat = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-        doc_ids, out = [], []
+        doc_ids, out, said = [], [], []
         for docs_of, n, block in zip(*(texts.column(c).to_pylist() for c in ("doc_ids", "n_positions", "block")), strict=True):
-            sizes, at = _unpacked(block, ("<i8", len(docs_of)), ("<i4", n))
+            sizes, at = unpacked(block, ("<i8", len(docs_of)), ("<i4", n))
             ids, ends = gather(flat, counts, place[at])
             ends = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))]
             data = ids.tobytes()
             doc_ids += docs_of
-            out += [data[4 * lo : 4 * hi] for lo, hi in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
-        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(out, pa.binary())})
-
-    words = docs.mapInArrow(_chunk_words, "chunk long, number int, word string")
-    encoded = words.repartition("word").mapInArrow(encode_words, "chunk long, n int, n_ids long, block binary")
+            cuts = list(zip(ends.tolist(), ends[1:].tolist(), strict=False))
+            out += [data[4 * lo : 4 * hi] for lo, hi in cuts]
+            if decoded:
+                said += [_text(vocabulary, ids[lo:hi]) for lo, hi in cuts]
+        table = pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(out, pa.binary())})
+        return table.append_column("text", pa.array(said, pa.string())) if decoded else table
+
+    # A word's bucket is a hash of it, so equal words of all chunks meet in one task.
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = docs.mapInArrow(_chunk_words(buckets), "bucket int, chunk long, n int, n_bytes long, block binary")
+    encoded = words.repartition("bucket").mapInArrow(encode_words, "chunk long, n int, n_ids long, block binary")
     texts = docs.mapInArrow(
         _chunk_docs,
         "chunk long, start int, n_words int, doc_ids array<long>, n_positions long, block binary",
@@ -200,7 +211,7 @@ def encode(docs: DataFrame, vocabulary: str, *, stored: bool = False) -> DataFra
     return (
         texts.groupBy("chunk")
         .cogroup(encoded.groupBy("chunk"))
-        .applyInArrow(join_positions, "doc_id long, ids binary")
+        .applyInArrow(join_positions, "doc_id long, ids binary" + (", text string" if decoded else ""))
     )
 
 
@@ -228,14 +239,12 @@ def decode(tokens: DataFrame, vocabulary: str) -> DataFrame:
     ship_package(tokens.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = pa.array(piece_table(vocabulary), pa.binary())
-        sizes = pc.binary_length(pieces).to_numpy()
         for batch in batches:
             for rows in slices(batch, 1, 16 << 20):
                 texts = []
                 for block in rows.column(1).to_pylist():
                     ids = np.frombuffer(block or b"", "<u4")
-                    texts.append(_strung(pieces, sizes, ids).decode("utf-8", "replace"))
+                    texts.append(_text(vocabulary, ids))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "text"]
                 )
@@ -243,9 +252,16 @@ def decode(tokens: DataFrame, vocabulary: str) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 
 
-def _strung(pieces: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> bytes:
-    """The pieces of ``ids`` as one string: what a join of ids with pieces leaves in its value buffer."""
+@lru_cache(maxsize=1)
+def _pieces(vocabulary: str) -> tuple[pa.Array, np.ndarray]:
+    pieces = pa.array(piece_table(vocabulary), pa.binary())
+    return pieces, pc.binary_length(pieces).to_numpy()
+
+
+def _text(vocabulary: str, ids: np.ndarray) -> str:
+    """The pieces of ``ids`` strung together: what a join of ids with pieces leaves in its value buffer."""
     if not len(ids):
-        return b""
+        return ""
+    pieces, sizes = _pieces(vocabulary)
     taken = pieces.take(pa.array(ids))
-    return taken.buffers()[2].slice(0, int(sizes[ids].sum())).to_pybytes()
+    return taken.buffers()[2].slice(0, int(sizes[ids].sum())).to_pybytes().decode("utf-8", "replace")
