@@ -26,7 +26,7 @@ from chartloom.session import materialize, ship_package
 
 WINDOW = 50
 GRAM = 25
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 # An anchor's order: 46 bits of its hash, then its place in a segment of the text.
 _PLACE = 18
 _SEGMENT = 1 << _PLACE
@@ -46,6 +46,8 @@ def suffix_array(text: list[int]) -> list[int]:
     places all suffixes whose Lyndon prefix ends where it begins.
     """
     n = len(text)
+    if not n:
+        return []
     end = list(range(1, n + 1))  # where the Lyndon prefix known so far ends
     before = [-1] * n
     done = [False] * n
@@ -130,20 +132,45 @@ def suffix_array(text: list[int]) -> list[int]:
     return out
 
 
-def least_owner(stretches: list[bytes], owners: list[int], window: int = WINDOW) -> list[list[int]]:
-    """Per stretch and window in it the least owner of a stretch that has the window."""
+def _agreement(texts: list[bytes]) -> list[int]:
+    """Per text the longest prefix that it shares with any other one."""
+    order = sorted(range(len(texts)), key=texts.__getitem__)
+    out = [0] * len(texts)
+    for a, b in zip(order, order[1:], strict=False):
+        n = min(len(texts[a]), len(texts[b]))
+        differ = int.from_bytes(texts[a][:n]) ^ int.from_bytes(texts[b][:n])
+        shared = n - (differ.bit_length() + 7) // 8
+        out[a], out[b] = max(out[a], shared), max(out[b], shared)
+    return out
+
+
+def least_owner(stretches: list[bytes], owners: list[int], places: list[int], window: int = WINDOW) -> list[list[int]]:
+    """Per stretch and window in it the least owner of a stretch that has the window.
+
+    ``places`` say where in a stretch the anchor is that all of them share. Equal windows
+    have it at equal places, so a window reaches no farther from it, either way, than the
+    stretch agrees with some other one; only what lies inside that is sorted.
+    """
+    out = [[m] * (len(s) - window + 1) for s, m in zip(stretches, owners, strict=True)]
     if len(stretches) == 1:
-        return [[owners[0]] * (len(stretches[0]) - window + 1)]
+        return out
+    left = _agreement([s[:p][::-1] for s, p in zip(stretches, places, strict=True)])
+    right = _agreement([s[p:] for s, p in zip(stretches, places, strict=True)])
     text: list[int] = []
     own: list[int] = []
     starts = []
-    for k, s in enumerate(stretches):
-        starts.append(len(text))
-        text += [b + 1 for b in s]
-        text.append(0)  # below every byte, so no window runs on into the next stretch
-        own += [k] * (len(s) - window + 1) + [-1] * window
-    joined = b"\0".join(stretches)
-    out = [[0] * (len(s) - window + 1) for s in stretches]
+    parts = []
+    for k, (s, p, lo, hi) in enumerate(zip(stretches, places, left, right, strict=True)):
+        starts.append(len(text) - (p - lo))
+        if lo + hi >= window:
+            part = s[p - lo : p + hi]
+            text += [b + 1 for b in part]
+            text.append(0)  # below every byte, so no window runs on into the next stretch
+            own += [k] * (len(part) - window + 1) + [-1] * window
+            parts.append(part)
+    if len(parts) < 2:
+        return out
+    joined = b"\0".join(parts)
     last, same = b"", []
 
     def settle() -> None:
@@ -199,8 +226,10 @@ def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(v[:-rest], v[rest:]) if rest else v
 
 
-def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first, last) of runs of windows with one anchor; a run begins at first and its last window at last.
+def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first, last, place) of runs of windows with one anchor.
+
+    A run's first window begins at first, its last one at last, and the anchor at place.
 
     ``text`` holds documents end to end; no window runs over an end. An anchor is a
     window's least gram by hash, the first of equal ones, so equal windows have equal
@@ -228,9 +257,10 @@ def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         last = np.append(change[1:], len(least)) - 1
         use = whole[change]
         change, last = change[use], last[use]
-        found.append((least[change] >> np.uint64(_PLACE), change + lo, last + lo))
+        place = (least[change] & np.uint64(_SEGMENT - 1)).astype(np.int64)
+        found.append((least[change] >> np.uint64(_PLACE), change + lo, last + lo, place + lo))
     if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
@@ -309,7 +339,7 @@ def _send_hashes(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, ids, texts, _ in _chunks(batches):
             data, ends = _joined(texts)
-            hashes, first, _ = anchors(data, ends)
+            hashes, first, _, _ = anchors(data, ends)
             owner = ids[np.searchsorted(ends, first, side="right")]
             order = np.argsort(hashes, kind="stable")
             hashes, owner = hashes[order], owner[order]
@@ -359,15 +389,15 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 
 def _stretches(data: np.ndarray, ends: np.ndarray, ids: np.ndarray, common: np.ndarray) -> tuple[list, dict]:
-    """Runs of a chunk whose anchor is in ``common``: (owner, first, last) and (hash, stretch) -> its runs."""
-    hashes, first, last = anchors(data, ends)
+    """Runs of a chunk whose anchor is in ``common``: (owner, first, place in it) and (hash, stretch) -> its runs."""
+    hashes, first, last, place = anchors(data, ends)
     use = np.isin(hashes, common)
-    hashes, first, last = hashes[use].tolist(), first[use], last[use]
+    hashes, first, last, place = hashes[use].tolist(), first[use], last[use].tolist(), (place - first)[use].tolist()
     owner = ids[np.searchsorted(ends, first, side="right")].tolist()
-    runs = list(zip(owner, first.tolist(), last.tolist(), strict=True))
+    runs = list(zip(owner, first.tolist(), place, strict=True))
     text = data.tobytes()
     same: dict[tuple[int, bytes], list[int]] = {}
-    for i, (h, (_, lo, hi)) in enumerate(zip(hashes, runs, strict=True)):
+    for i, (h, (_, lo, _), hi) in enumerate(zip(hashes, runs, last, strict=True)):
         same.setdefault((h, text[lo : hi + WINDOW]), []).append(i)
     return runs, same
 
@@ -387,10 +417,12 @@ def _send_stretches(buckets: int):
             listed = sorted(same)
             hashes = np.array([h for h, _ in listed], np.uint64)
             least = np.array([min(runs[i][0] for i in same[k]) for k in listed], np.int64)
+            place = np.array([runs[same[k][0]][2] for k in listed], np.uint8)
             for b, cut in _by_bucket(hashes, buckets):
                 own = [s for _, s in listed[cut]]
                 sizes = np.array([len(s) for s in own], np.uint32)
-                block = packed(_steps(hashes[cut]), least[cut], sizes, np.frombuffer(b"".join(own), np.uint8))
+                text = np.frombuffer(b"".join(own), np.uint8)
+                block = packed(_steps(hashes[cut]), least[cut], place[cut], sizes, text)
                 rows.append((b, key[0].as_py(), len(own), int(sizes.sum()), block))
         columns = list(zip(*rows, strict=True)) or [()] * 5
         kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -403,24 +435,29 @@ def _send_stretches(buckets: int):
 def _sort_stretches(table: pa.Table) -> pa.Table:
     """Of one bucket: per chunk and stretch the runs of windows and their least owners."""
     blocks = []
-    groups: dict[int, dict[bytes, int]] = {}
+    groups: dict[int, dict[bytes, tuple[int, int]]] = {}
     for chunk, n, n_bytes, block in zip(
         *(table.column(c).to_pylist() for c in ("chunk", "n", "n_bytes", "block")), strict=True
     ):
-        step, least, sizes, data = unpacked(block, ("<u8", n), ("<i8", n), ("<u4", n), ("u1", n_bytes))
+        step, least, place, sizes, data = unpacked(
+            block, ("<u8", n), ("<i8", n), ("u1", n), ("<u4", n), ("u1", n_bytes)
+        )
         hashes, text = np.cumsum(step, dtype=np.uint64).tolist(), data.tobytes()
         at, own = 0, []
-        for h, m, size in zip(hashes, least.tolist(), sizes.tolist(), strict=True):
+        for h, m, p, size in zip(hashes, least.tolist(), place.tolist(), sizes.tolist(), strict=True):
             stretch = text[at : at + size]
             at += size
             group = groups.setdefault(h, {})
-            group[stretch] = min(group.get(stretch, m), m)
+            known = group.get(stretch)
+            if known is None or m < known[0]:
+                group[stretch] = (m, p)
             own.append((h, stretch))
         blocks.append((chunk, step, own))
     answers: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
     for h, group in groups.items():
         stretches = list(group)
-        for stretch, owners in zip(stretches, least_owner(stretches, list(group.values())), strict=True):
+        owner, place = zip(*group.values(), strict=True)
+        for stretch, owners in zip(stretches, least_owner(stretches, list(owner), list(place)), strict=True):
             runs: list[list[int]] = []
             for m in owners:
                 if runs and runs[-1][0] == m:
