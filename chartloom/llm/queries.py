@@ -41,7 +41,7 @@ def vocabulary(name: str) -> str:
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_50k.json")
     docs = _table(spark, sf_dir, "documents")
-    return bpe.decode(bpe.encode(docs, path, stored=True), path).select(
+    return bpe.encode(docs, path, stored=True, decoded=True).select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 8 << 20
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 
 def slices(batch: pa.RecordBatch, text_column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
