@@ -37,6 +37,9 @@ from chartloom.plans import workflows as wf
 from chartloom.plans.testtables import clinical_table, test_table
 from chartloom.plans.writers import template_writer
 from chartloom.session import materialize, scratch_path, ship_package
+from chartloom.sources import landing as ld
+from chartloom.sources import results as rs
+from chartloom.sources.notestore import NoteStore, read_backup, write_backup
 from chartloom.streaming import latest as st_latest
 from chartloom.streaming import scoring as st_scoring
 
@@ -191,6 +194,13 @@ class Inputs:
     def encounter_ids(self):
         return nt.encounter_notes(self.notes).select(F.col("encounter_id").alias("key"))
 
+    def encounter_dataset(self, bucket: str):
+        key = (bucket, "encounter")
+        if key not in self._datasets:
+            split = materialize(sp.encounter_split(self.encounter_ids), "encounter-split")
+            self._datasets[key] = ds.load_encounter_dataset(self.notes, self.labels, split, bucket=bucket)
+        return self._datasets[key]
+
     @cached_property
     def dev(self):
         return self.dataset("dev")
@@ -895,6 +905,75 @@ def evaluate_bucket(x):
     return rounded(ev.score_table(wf.evaluate(model, test)), 3)
 
 
+@query
+def encounter_cross_validate(x):
+    data = x.encounter_dataset("dev")
+    return rounded(ev.fold_scores(wf.cross_validate(data, k=5)), 3)
+
+
+@query
+def encounter_evaluate(x):
+    dev, test = x.encounter_dataset("dev"), x.encounter_dataset("test")
+    model = ovr.fit(dev.notes, dev.labels, dev.vocab)
+    return rounded(ev.score_table(wf.evaluate(model, test)), 3)
+
+
+# ------------------------------------------------------------------ storage
+
+
+@query
+def csv_landing(x):
+    """Conditions written as CSV and landed again."""
+    path = f"{scratch_path(x.spark, 'landing')}/conditions.csv"
+    x.conditions.write.csv(path, header=True, escape='"')
+    landed = ld.read_records_csv(x.spark, path, ld.CONDITIONS_SCHEMA, multi_line=False)
+    return text_dates(landed).select("PATIENT", "ENCOUNTER", "START", "STOP", "CODE", "DESCRIPTION")
+
+
+@query
+def tsv_vocabulary(x):
+    """Concepts written as unquoted TSV and read again."""
+    path = scratch_path(x.spark, "vocabulary")
+    x.concept.write.csv(path, header=True, sep="\t", quote="")
+    return ld.read_vocabulary_tsv(x.spark, path, ld.CONCEPT_COLUMNS)
+
+
+def _store(x):
+    store = NoteStore(x.spark, scratch_path(x.spark, "store"))
+    store.ensure_tables()
+    store.ensure_tables()
+    for half in (0, 1):
+        part = F.pmod(F.xxhash64("note_id"), F.lit(2)) == half
+        store.append(x.notes.where(part), x.labels.where(part))
+    return store
+
+
+@query
+def stored_notes(x):
+    """Notes appended in two runs, read from the store."""
+    return _store(x).notes().select("note_id", "run_id", "patient_id", "strategy", "note_text")
+
+
+@query
+def stored_labels(x):
+    return _store(x).labels().select("note_id", "icd10_code", "is_primary")
+
+
+@query
+def notes_backup(x):
+    """Notes written as JSON lines and read again."""
+    path = scratch_path(x.spark, "backup")
+    write_backup(x.notes, path)
+    return read_backup(x.spark, path).select("note_id", "run_id", "strategy", "primary_code", "input_tokens", "note_text")
+
+
+@query
+def stored_split(x):
+    path = scratch_path(x.spark, "stored-split")
+    rs.save_split(x.split, path, "pairs")
+    return rs.load_split(x.spark, path, "pairs").select("key", "bucket")
+
+
 # ------------------------------------------------------------------ streaming
 
 

@@ -590,6 +590,13 @@ FINAL: dict[str, str] = {
     "LEFT JOIN dictionary d ON h.code = d.code_3char CROSS JOIN (VALUES ('cli', '—'), ('service', '')) s(surface, default_text) WHERE h.y_proba >= 0.5",
     "ranked_predictions": "SELECT note_id, code, confidence, CAST(row_number() OVER (PARTITION BY note_id ORDER BY confidence DESC, code) AS INT) AS rank FROM (SELECT note_id, code, round(y_proba, 4) AS confidence FROM held_out WHERE y_proba >= 0.3)",
     "stream_latest": "SELECT patient_id, strategy, note_id FROM latest_all",
+    "csv_landing": "SELECT PATIENT, ENCOUNTER, CAST(START AS VARCHAR) AS START, CAST(STOP AS VARCHAR) AS STOP, "
+    "CAST(CODE AS VARCHAR) AS CODE, DESCRIPTION FROM conditions",
+    "tsv_vocabulary": "SELECT * FROM concept",
+    "stored_notes": "SELECT note_id, run_id, patient_id, strategy, note_text FROM notes_synth",
+    "stored_labels": "SELECT note_id, icd10_code, is_primary FROM notes_labels",
+    "notes_backup": "SELECT note_id, run_id, strategy, primary_code, input_tokens, note_text FROM notes_synth",
+    "stored_split": "SELECT key, bucket FROM split",
     "stream_responses": "SELECT t.note_id, 'hashed' AS model, CAST((SELECT count(*) FROM vocab) AS INT) AS n_codes_evaluated, "
     "CAST(length(t.note_text) AS INT) AS note_length, CAST(count(s.code) AS INT) AS n_predictions FROM valid_texts t "
     "LEFT JOIN (SELECT note_id, code FROM arrived_scored WHERE y_proba >= 0.6) s ON t.note_id = s.note_id GROUP BY t.note_id, t.note_text",

@@ -22,13 +22,17 @@ VOCABULARY_FILES = {"concept": "CONCEPT.csv", "concept_relationship": "CONCEPT_R
 CONDITIONS_SCHEMA = "START date, STOP date, PATIENT string, ENCOUNTER string, SYSTEM string, CODE string, DESCRIPTION string"
 
 
-def read_records_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """CSV with a header whose quoted values may span lines.
+def read_records_csv(
+    spark: SparkSession, path: str, schema: str | None = None, *, multi_line: bool = True
+) -> DataFrame:
+    """CSV with a header.
 
+    Quoted values may span lines with ``multi_line``; Spark then reads a file in one task,
+    so turn it off for tables that are known to have no such values.
     Columns are matched to ``schema`` by header name, whatever their order in the file;
     columns the file lacks are null. Without a schema every column is text.
     """
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False)
+    raw = spark.read.csv(path, header=True, multiLine=multi_line, escape='"', inferSchema=False)
     if schema is None:
         return raw
     wanted = spark.createDataFrame([], schema).schema
@@ -42,15 +46,32 @@ def read_records_csv(spark: SparkSession, path: str, schema: str | None = None)
 
 
 def land_tables(
-    spark: SparkSession, base: str, version: str, *, dataset: str = "synthea", files: dict[str, str] | None = None
+    spark: SparkSession,
+    base: str,
+    version: str,
+    *,
+    dataset: str = "synthea",
+    files: dict[str, str] | None = None,
+    multi_line: tuple[str, ...] | None = None,
+    out: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Register every landed table as a view; missing files fail the landing as a whole."""
+    """Register every landed table as a view; missing files fail the landing as a whole.
+
+    ``multi_line`` names the tables whose values may span lines, by default all. With ``out`` the tables are
+    written there once as parquet, replacing what was there, and the views read that.
+    """
     files = files or RECORD_FILES
     require_files(spark, versioned_path(base, dataset, version), files.values())
     tables = {}
     for name, file in files.items():
         path = versioned_path(base, dataset, version, file)
-        tables[name] = read_records_csv(spark, path, CONDITIONS_SCHEMA if name == "conditions" else None)
+        schema = CONDITIONS_SCHEMA if name == "conditions" else None
+        table = read_records_csv(spark, path, schema, multi_line=multi_line is None or name in multi_line)
+        if out:
+            landed = f"{out.rstrip('/')}/{name}"
+            table.write.mode("overwrite").parquet(landed)
+            table = spark.read.schema(table.schema).parquet(landed)
+        tables[name] = table
         tables[name].createOrReplaceTempView(name)
     return tables
 

@@ -107,7 +107,13 @@ def load_named_model(spark: SparkSession, models_dir: str, model: str = "encount
 
 
 def available_models(spark: SparkSession, models_dir: str) -> list[str]:
-    return [n for n, folder in MODEL_BUNDLES.items() if exists(spark, f"{models_dir.rstrip('/')}/{folder}/info")]
+    """Public names with a stored model, from one listing of the folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(models_dir)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    present = {s.getPath().getName() for s in files.listStatus(path)} if files.exists(path) else set()
+    # The info table is written last; its folder marks a whole model.
+    whole = {f for f in present if files.exists(spark._jvm.org.apache.hadoop.fs.Path(path, f"{f}/info"))}
+    return sorted((n for n, folder in MODEL_BUNDLES.items() if folder in whole), key=list(MODEL_BUNDLES).index)
 
 
 # ---------------------------------------------------------------- code dictionary

@@ -10,7 +10,7 @@ SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-WITHOUT_SQL = {"fit_ovr", "cross_validate", "evaluate_bucket"}
+WITHOUT_SQL = {"fit_ovr", "cross_validate", "evaluate_bucket", "encounter_cross_validate", "encounter_evaluate"}
 MAY_BE_EMPTY = {"stream_rejects"}
 
 
