@@ -95,3 +95,12 @@ def billable_conditions(
         "icd10_code",
         "icd10_description",
     )
+
+
+def register_billable_view(
+    conditions: DataFrame, concept: DataFrame, concept_relationship: DataFrame, name: str = "conditions_billable"
+) -> DataFrame:
+    """The billable conditions as a named view, for use from SQL."""
+    billable = billable_conditions(conditions, concept, concept_relationship)
+    billable.createOrReplaceTempView(name)
+    return billable

@@ -482,7 +482,8 @@ def strategy_fanout(x):
 
 @query
 def label_rows(x):
-    picked = x.patient_conditions.join(pk.pick_primary(x.patient_conditions, co.PATIENT_KEY), co.PATIENT_KEY)
+    conditions = materialize(x.patient_conditions, "patient-conditions")
+    picked = conditions.join(pk.pick_primary(conditions, co.PATIENT_KEY), co.PATIENT_KEY)
     both = nt.strategy_fanout(picked, ks.PATIENT_STRATEGIES)
     note_id = ks.patient_note_id(F.lit(RUN_ID), F.col("patient_id"), F.col("strategy"))
     primary = F.when(F.col("strategy") == "primary_dx", F.col("primary_code"))

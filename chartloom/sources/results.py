@@ -7,8 +7,10 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chartloom.functions.keys import pair_from_note_id
 from chartloom.operators.evaluation import DEFAULT_THRESHOLD
 from chartloom.operators.ovr import COEFFICIENT_SCHEMA, Model
+from chartloom.operators.splits import assert_disjoint
 from chartloom.sources.paths import exists
 
 KEY_TYPES = ("pairs", "encounter_ids")
@@ -17,16 +19,42 @@ MODEL_BUNDLES = {"encounter": "baseline_encounter", "patient": "baseline_3char"}
 VOCABULARY_SCHEMA = "block string, term string, feature_id int, df bigint, cf bigint, idf double"
 OOF_SCHEMA = "note_id string, fold int, code string, y_true int, y_proba double, y_pred int"
 DICTIONARY_SCHEMA = "code_3char string, description string"
+SPLIT_FACTS_SCHEMA = "key_type string, seed long, test_fraction double, rollup string"
 
 
 # ---------------------------------------------------------------- splits
 
 
-def save_split(split: DataFrame, path: str, key_type: str) -> None:
-    """Store (key, bucket) marked with what its keys are."""
+def save_split(
+    split: DataFrame,
+    path: str,
+    key_type: str,
+    *,
+    seed: int | None = None,
+    test_fraction: float | None = None,
+    rollup: str | None = None,
+) -> None:
+    """Store (key, bucket) marked with what its keys are, and beside it how the split was made."""
     if key_type not in KEY_TYPES:
         raise ValueError(f"unknown key type {key_type!r}")
     split.select("key", "bucket", F.lit(key_type).alias("key_type")).write.mode("overwrite").parquet(path)
+    facts = split.sparkSession.createDataFrame([(key_type, seed, test_fraction, rollup)], SPLIT_FACTS_SCHEMA)
+    facts.write.mode("overwrite").parquet(f"{path.rstrip('/')}.facts")
+
+
+def load_split_facts(spark: SparkSession, path: str) -> DataFrame:
+    """One row: key type, seed, test fraction and rollup of a stored split; unknown ones are null."""
+    return spark.read.schema(SPLIT_FACTS_SCHEMA).parquet(f"{path.rstrip('/')}.facts")
+
+
+def migrate_legacy_split(legacy: DataFrame) -> DataFrame:
+    """(key, bucket) of a split of old note ids: each id's patient and strategy is the key.
+
+    Several ids of one pair give one row; a pair that the old split had in both buckets is
+    an error, and ids of another format are left out.
+    """
+    keyed = legacy.select(pair_from_note_id(F.col("note_id")).alias("key"), "bucket")
+    return assert_disjoint(keyed.where("key is not null").distinct())
 
 
 def load_split(spark: SparkSession, path: str, key_type: str) -> DataFrame:

@@ -43,3 +43,19 @@ def test_gradient_is_the_same_over_few_and_many_partitions(spark):
 
     (few_loss, few), (many_loss, many) = evaluate(2), evaluate(300)
     assert np.allclose(few, many) and np.allclose(few_loss, many_loss)
+
+
+def test_split_facts_and_migration_of_old_ids(spark, tmp_path):
+    from chartloom.sources import results as rs
+
+    old = [("r1_p1_multilabel", "dev"), ("r2_p1_multilabel", "dev"), ("r1_p_2_primary_dx", "test"), ("odd", "dev")]
+    legacy = spark.createDataFrame(old, "note_id string, bucket string")
+    split = rs.migrate_legacy_split(legacy)
+    assert sorted(map(tuple, split.collect())) == [("p1::multilabel", "dev"), ("p_2::primary_dx", "test")]
+    path = str(tmp_path / "split")
+    rs.save_split(split, path, "pairs", seed=42, test_fraction=0.2, rollup="3char")
+    assert tuple(rs.load_split_facts(spark, path).first()) == ("pairs", 42, 0.2, "3char")
+    assert rs.load_split(spark, path, "pairs").count() == 2
+    both = legacy.unionByName(spark.createDataFrame([("r3_p1_multilabel", "test")], legacy.schema))
+    with pytest.raises(ValueError):
+        rs.migrate_legacy_split(both)
