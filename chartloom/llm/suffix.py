@@ -12,6 +12,7 @@ a chunk.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,29 @@ def suffix_array(text: list[int]) -> list[int]:
     above = [*range(1, len(letters)), -1]
     g = len(letters) - 1
     while g >= 0:
+        if len(members[g]) == 1:  # the usual case once groups are small: one suffix, one parent
+            (s,) = members[g]
+            p = s - 1
+            while p >= 0 and done[p]:
+                p = before[p]
+            before[s] = p
+            done[s] = True
+            if p >= 0:
+                if end[p] < end[s]:
+                    end[p] = end[s]
+                old = group[p]
+                if len(members[old]) > 1:
+                    members[old].discard(p)
+                    group[p] = len(members)
+                    up = above[old]
+                    below.append(old)
+                    above.append(up)
+                    above[old] = group[p]
+                    if up >= 0:
+                        below[up] = group[p]
+                    members.append({p})
+            g = below[g]
+            continue
         children: dict[int, int] = {}
         for s in sorted(members[g]):
             p = s - 1
@@ -388,18 +412,25 @@ def _repeated(table: pa.Table) -> pa.Table:
     )
 
 
-def _stretches(data: np.ndarray, ends: np.ndarray, ids: np.ndarray, common: np.ndarray) -> tuple[list, dict]:
-    """Runs of a chunk whose anchor is in ``common``: (owner, first, place in it) and (hash, stretch) -> its runs."""
+def _stretches(
+    data: np.ndarray, ends: np.ndarray, ids: np.ndarray, common: np.ndarray
+) -> tuple[list[tuple[int, int, int, int]], dict[bytes, list[int]], list[bytes]]:
+    """Runs of a chunk whose anchor is in ``common``.
+
+    (owner, first, place in it, hash) of each, stretch -> its runs (equal stretches have
+    equal anchors), and the stretches in order of hash, then text.
+    """
     hashes, first, last, place = anchors(data, ends)
     use = np.isin(hashes, common)
     hashes, first, last, place = hashes[use].tolist(), first[use], last[use].tolist(), (place - first)[use].tolist()
     owner = ids[np.searchsorted(ends, first, side="right")].tolist()
-    runs = list(zip(owner, first.tolist(), place, strict=True))
+    first = first.tolist()
+    runs = list(zip(owner, first, place, hashes, strict=True))
     text = data.tobytes()
-    same: dict[tuple[int, bytes], list[int]] = {}
-    for i, (h, (_, lo, _), hi) in enumerate(zip(hashes, runs, last, strict=True)):
-        same.setdefault((h, text[lo : hi + WINDOW]), []).append(i)
-    return runs, same
+    same: dict[bytes, list[int]] = {}
+    for i, (lo, hi) in enumerate(zip(first, last, strict=True)):
+        same.setdefault(text[lo : hi + WINDOW], []).append(i)
+    return runs, same, sorted(same, key=lambda s: (runs[same[s][0]][3], s))
 
 
 def _all_hashes(table: pa.Table) -> np.ndarray:
@@ -413,13 +444,12 @@ def _send_stretches(buckets: int):
         common, rows = _all_hashes(repeated), []
         if texts.num_rows and len(common):
             ids, ends, data = _unpack_texts(texts)
-            runs, same = _stretches(data, ends, ids, common)
-            listed = sorted(same)
-            hashes = np.array([h for h, _ in listed], np.uint64)
-            least = np.array([min(runs[i][0] for i in same[k]) for k in listed], np.int64)
-            place = np.array([runs[same[k][0]][2] for k in listed], np.uint8)
+            runs, same, listed = _stretches(data, ends, ids, common)
+            hashes = np.array([runs[same[s][0]][3] for s in listed], np.uint64)
+            least = np.array([min([runs[i][0] for i in same[s]]) for s in listed], np.int64)
+            place = np.array([runs[same[s][0]][2] for s in listed], np.uint8)
             for b, cut in _by_bucket(hashes, buckets):
-                own = [s for _, s in listed[cut]]
+                own = listed[cut]
                 sizes = np.array([len(s) for s in own], np.uint32)
                 text = np.frombuffer(b"".join(own), np.uint8)
                 block = packed(_steps(hashes[cut]), least[cut], place[cut], sizes, text)
@@ -451,26 +481,24 @@ def _sort_stretches(table: pa.Table) -> pa.Table:
             known = group.get(stretch)
             if known is None or m < known[0]:
                 group[stretch] = (m, p)
-            own.append((h, stretch))
+            own.append(stretch)
         blocks.append((chunk, step, own))
-    answers: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
-    for h, group in groups.items():
+    answers: dict[bytes, list[int]] = {}  # owner and size of one run after the other
+    for group in groups.values():
+        if len(group) == 1:
+            ((stretch, (m, _)),) = group.items()
+            answers[stretch] = [m, len(stretch) - WINDOW + 1]
+            continue
         stretches = list(group)
         owner, place = zip(*group.values(), strict=True)
         for stretch, owners in zip(stretches, least_owner(stretches, list(owner), list(place)), strict=True):
-            runs: list[list[int]] = []
-            for m in owners:
-                if runs and runs[-1][0] == m:
-                    runs[-1][1] += 1
-                else:
-                    runs.append([m, 1])
-            answers[h, stretch] = runs
+            answers[stretch] = [x for m, same in groupby(owners) for x in (m, len(list(same)))]
     rows = []
     for chunk, step, own in blocks:
-        found = [answers[k] for k in own]
-        n_runs = np.array([len(f) for f in found], np.uint32)
-        owner = np.array([m for f in found for m, _ in f], np.int64)
-        size = np.array([k for f in found for _, k in f], np.uint32)
+        found = [answers[s] for s in own]
+        n_runs = np.fromiter(map(len, found), np.uint32, len(found)) // np.uint32(2)
+        flat = np.fromiter(chain.from_iterable(found), np.int64)
+        owner, size = np.ascontiguousarray(flat[::2]), flat[1::2].astype(np.uint32)
         rows.append((chunk, len(own), len(owner), packed(step, n_runs, owner, size)))
     columns = list(zip(*rows, strict=True)) or [()] * 4
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -515,20 +543,20 @@ def _removed(key: tuple, texts: pa.Table, answers: pa.Table, carried: pa.Table,
         parts.append(unpacked(block, ("<u8", n), ("<u4", n), ("<i8", n_runs), ("<u4", n_runs)))
     if parts:
         hashes = [np.cumsum(p[0], dtype=np.uint64) for p in parts]
-        runs, same = _stretches(data, ends, ids, np.unique(np.concatenate(hashes)))
+        runs, same, listed = _stretches(data, ends, ids, np.unique(np.concatenate(hashes)))
         # Blocks hold the chunk's stretches in order, bucket by bucket.
         hash_order = sorted(range(len(parts)), key=lambda i: int(hashes[i][0]))
-        listed = iter(sorted(same))
+        ordered = iter(listed)
         for i in hash_order:
             _, counts, owner, size = parts[i]
             at = 0
             owner, size = owner.tolist(), size.tolist()
             for h, k in zip(hashes[i].tolist(), counts.tolist(), strict=True):
-                stretch = next(listed)
-                if stretch[0] != h:
+                own = same[next(ordered)]
+                if runs[own[0]][3] != h:
                     raise RuntimeError(f"chunk {key[0]}: its documents changed between two readings")
-                for r in same[stretch]:
-                    doc, first, _ = runs[r]
+                for r in own:
+                    doc, first, _, _ = runs[r]
                     place = first
                     for j in range(at, at + k):
                         if owner[j] < doc:
