@@ -39,8 +39,9 @@ MAX_GROUP_ENTRIES = 4_000_000
 # Few enough that a pack, made dense over the columns it touches, stays in cache.
 ROWS_PER_PACK = 48
 # Up to this many partial gradients are summed on the driver; more are summed in a shuffle.
-# Partial sums that one task, or the driver, adds up at most.
+# Partial sums that one task adds up at most, and that the driver does.
 FAN_IN = 16
+MAX_DRIVER_PARTIALS = 16
 HISTORY = 8
 
 COEFFICIENT_SCHEMA = "label_code string, intercept double, weights array<double>"
@@ -150,12 +151,12 @@ def _gradient_pass(
     weights: np.ndarray,
     positive: np.ndarray,
     negative: np.ndarray,
-    n_parts: int,
+    n_parts: int | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Summed loss (labels,) and gradient (labels, features + intercept) at ``weights``.
 
-    The sums of the ``n_parts`` partitions are added up in a tree: no task and no driver
-    step takes in more than FAN_IN of them.
+    The sums of the ``n_parts`` partitions are added up in a tree: no task takes in more
+    than FAN_IN of them, and the driver no more than MAX_DRIVER_PARTIALS.
     """
     n_labels, n_params = weights.shape
     shared = spark.sparkContext.broadcast((label_ids, weights, positive, negative))
@@ -201,7 +202,8 @@ def _gradient_pass(
         )
 
     parts = packed.mapInPandas(partial, chunk_schema)
-    while n_parts > FAN_IN:
+    n_parts = n_parts or packed.rdd.getNumPartitions()
+    while n_parts > MAX_DRIVER_PARTIALS:
         parts = parts.withColumn("slot", F.floor(F.col("slot") / FAN_IN).cast("int"))
         parts = parts.groupBy("chunk", "slot").applyInPandas(combine, chunk_schema)
         n_parts = math.ceil(n_parts / FAN_IN)
