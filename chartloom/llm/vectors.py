@@ -2,10 +2,12 @@
 
 Distinct vectors of a label are divided into clusters, and clusters that are too large
 again, each vector going to its nearest and next nearest one. In every shard a flat graph
-is built by robust pruning; a vector's adjacency lists from its shards are united. Each
-vector is then searched for from its shards' medoids: a greedy beam walk that, once it is
-in range, expands every neighbour in range. Found pairs are verified by their cosine, and
-the recall is audited by brute force on a bounded set of queries.
+is built by robust pruning, its islands are tied, and a vector's adjacency lists from its
+shards are united. Each vector is then searched for from its shards' medoids and from
+itself: a greedy beam walk that, once it is in range, expands every neighbour in range.
+What cannot be split into small shards is compared in pairs of bounded blocks. Found pairs
+are verified by their cosine, and the recall is audited by brute force on a bounded set of
+queries.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from chartloom.llm.tokens import gather
 from chartloom.session import materialize, ship_package
 
 COSINE = 0.98
-# Vectors a shard should hold; the sample a split is fitted on; parts a split makes at most.
+# Vectors a shard should hold; vectors of a graph or a block at most (a block: about);
+# the sample a split is fitted on; parts a split makes at most.
 SHARD = 1000
 MAX_SHARD = 2 * SHARD
 FIT_ROWS = 4096
@@ -28,11 +31,12 @@ FIT_ROWS = 4096
 MARGIN = 0.1
 FAN_OUT = 64
 MAX_LEVELS = 8
-# Centres nearer than this are one: a knot of near-equal vectors is not cut.
+# Centres nearer than this are one: a knot of near-equal vectors is cut into blocks.
 KNOT = 0.35
 DEGREE, POOL, ALPHA, BEAM = 24, 64, 1.2, 16
 AUDIT_QUERIES = 1000
-MIN_RECALL = 0.95
+# Of the links, and of the queries that have links those with all of them.
+MIN_RECALL, MIN_WHOLE = 0.95, 0.9
 _SHARDED = "rep long, n long, v array<double>, shard string"
 
 
@@ -72,13 +76,13 @@ def _centres(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c[kept]
 
 
-def shards(distinct: DataFrame, overlap: int = 2) -> DataFrame:
+def shards(distinct: DataFrame, overlap: int = 2, levels: int = MAX_LEVELS) -> DataFrame:
     """(rep, n, v, shard): each vector, of unit length, in up to ``overlap`` parts of each split.
 
     A label is one shard at first. A shard of more than SHARD vectors is split around
     centres fitted on at most FIT_ROWS of them, the first by a hash of their id. Its
     vectors go to their nearest centres. Splitting ends when every shard is small, does not
-    fall apart (its vectors form one knot), or after MAX_LEVELS levels.
+    fall apart (its vectors form one knot), or after ``levels`` levels.
     """
 
     def norm(batches):
@@ -93,7 +97,7 @@ def shards(distinct: DataFrame, overlap: int = 2) -> DataFrame:
         "shards",
     )
     done = []
-    for _ in range(MAX_LEVELS):
+    for _ in range(levels):
         sizes = placed.groupBy("shard").count()
         big = materialize(sizes.where(F.col("count") > MAX_SHARD).where(~F.col("shard").endswith("!")), "sizes")
         if big.isEmpty():
@@ -105,7 +109,10 @@ def shards(distinct: DataFrame, overlap: int = 2) -> DataFrame:
 
         def fit(rows: pd.DataFrame) -> pd.DataFrame:
             k = min(FAN_OUT, -(-2 * int(rows["count"].iloc[0]) // SHARD))
-            c = _centres(np.array(rows["v"].tolist()), k)
+            x = np.array(rows["v"].tolist())
+            c = _centres(x, k)
+            if len(c) <= overlap and np.mean(np.ptp(x @ c.T, axis=1) <= MARGIN) > 0.5:
+                c = c[:1]  # most vectors would go to every part
             return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "centres": [c.ravel()]})
 
         centres = materialize(
@@ -170,11 +177,45 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE, pool: int = POOL, alpha: f
     return out
 
 
+def _merge(island: np.ndarray, own: np.ndarray) -> None:
+    """Make one island, named by the least, of those that the positions ``own`` are in."""
+    names = np.unique(island[own])
+    if len(names) > 1:
+        island[np.isin(island, names)] = names[0]
+
+
+def tie_islands(x: np.ndarray, graph: np.ndarray, cosine: float = COSINE) -> list[np.ndarray]:
+    """Adjacency lists of a graph (n × degree, -1 where shorter) whose islands are tied to each other.
+
+    A dense group's nearest vectors all lie inside it, so pruning leaves it alone. Every
+    vector gets an edge to the nearest one of each other island if that is in range, and
+    every island one to the vector nearest to it, until there is one island.
+    """
+    near = [g[g >= 0] for g in graph]
+    island = np.arange(len(x))
+    for i, own in enumerate(near):
+        _merge(island, np.append(own, i))
+    while len(names := np.unique(island)) > 1:
+        found = []
+        for name in names:
+            inside, outside = np.flatnonzero(island == name), np.flatnonzero(island != name)
+            sim = x[outside] @ x[inside].T
+            best = np.argmax(sim, axis=1)
+            sim = sim[np.arange(len(outside)), best]
+            use = sim >= cosine
+            use[np.argmax(sim)] = True
+            found.append(np.stack([outside[use], inside[best[use]]], axis=1))
+        for a, b in np.unique(np.concatenate(found), axis=0):
+            near[a] = np.append(near[a], b)
+            _merge(island, np.array([a, b]))
+    return near
+
+
 def range_search(x: np.ndarray, graph: list[np.ndarray], queries: np.ndarray, cosine: float = COSINE, beam: int = BEAM):
     """Yield (query, found): positions of x within ``cosine`` of each query position, itself left out.
 
-    A beam walk from the medoid; after it, every found vector in range is expanded until no
-    new one comes into range.
+    A beam walk from the medoid and the query itself; after it, every found vector in range
+    is expanded until no new one comes into range.
     """
     n = len(x)
     medoid = int(np.argmax(x @ x.mean(0)))
@@ -188,9 +229,11 @@ def range_search(x: np.ndarray, graph: list[np.ndarray], queries: np.ndarray, co
         at = np.full((b, beam), -1, np.int64)
         sim = np.full((b, beam), -np.inf)
         at[:, 0], sim[:, 0] = medoid, x[q] @ x[medoid]
+        at[:, 1], sim[:, 1] = np.where(q == medoid, -1, q), np.where(q == medoid, -np.inf, 1.0)
         seen[:, medoid] = True
-        hits_q, hits_v = [], []
-        start = np.flatnonzero(sim[:, 0] >= cosine)
+        seen[np.arange(b), q] = True
+        hits_q, hits_v = [np.arange(b)], [q]
+        start = np.flatnonzero((sim[:, 0] >= cosine) & (q != medoid))
         hits_q.append(start)
         hits_v.append(np.full(len(start), medoid))
         row = np.arange(b)
@@ -265,64 +308,108 @@ def _fresh(
     return qi, v
 
 
-def links(placed: DataFrame, cosine: float = COSINE, beam: int = BEAM) -> DataFrame:
-    """(rep, n_links, least): per vector its verified links to other vectors' rows, and a vector it is tied to.
+def _counted_before(rows: pd.DataFrame) -> np.ndarray:
+    """Rows × names of shards before this one: whether the vector is in the shard, too."""
+    names: dict[str, int] = {}
+    shard = rows["shard"].iloc[0]
+    member = [[names.setdefault(s, len(names)) for s in own if s < shard] for own in rows["shards"]]
+    out = np.zeros((len(rows), max(1, len(names))), np.float32)
+    for i, own in enumerate(member):
+        out[i, own] = 1
+    return out
+
+
+def links(placed: DataFrame, cosine: float = COSINE, beam: int = BEAM, *, limit: int | None = None) -> DataFrame:
+    """(rep, n_links, least): verified links of a vector to other vectors' rows, and a vector it is tied to.
 
-    A pair is counted in the first of the shards that both are in. ``placed`` is written
-    once by ``shards``; each shard is one group of about SHARD vectors (a knot of near-equal
-    vectors is one group whatever its size, worked through in blocks of queries).
+    A pair is counted in the first of the shards that both are in; a vector has a row per
+    task that found links of it, tied to the least vector that links lead to there.
+    ``placed`` is written once by ``shards``. A shard of up to ``limit`` vectors (MAX_SHARD)
+    is searched by its graph. A larger one is cut into blocks of about MAX_SHARD, and every
+    two blocks are compared in a task of their own.
     """
+    limit = MAX_SHARD if limit is None else limit
+    sizes = materialize(
+        placed.groupBy("shard").count().select("shard", F.ceil(F.col("count") / MAX_SHARD).alias("blocks"), "count"), "sizes"
+    )
+    knots = sizes.where(F.col("count") > limit).select("shard", "blocks")
+    small = placed.join(knots, "shard", "left_anti").select("rep", "n", "v", "shard")
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rep", kind="stable")
         x, rep = np.array(rows["v"].tolist()), rows["rep"].to_numpy()
-        graph = robust_prune(x)
-        return pd.DataFrame({"rep": rep, "near": [rep[g[g >= 0]] for g in graph]})
+        graph = tie_islands(x, robust_prune(x), cosine)
+        return pd.DataFrame({"rep": rep, "near": [rep[g] for g in graph]})
 
-    # A list has DEGREE entries at most, and a vector is in a few shards: the union is short.
-    near = placed.groupBy("shard").applyInPandas(build, "rep long, near array<long>")
+    # A list has DEGREE entries and one for some islands, and a vector is in a few shards: the union is short.
+    near = small.groupBy("shard").applyInPandas(build, "rep long, near array<long>")
     joined = near.groupBy("rep").agg(
         F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")
     )
     listed = placed.groupBy("rep").agg(F.sort_array(F.collect_set("shard")).alias("shards"))
-    full = placed.join(joined, "rep").join(listed, "rep")
+    full = small.join(joined, "rep").join(listed, "rep")
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rep", kind="stable")
         x, rep, n = np.array(rows["v"].tolist()), rows["rep"].to_numpy(), rows["n"].to_numpy()
-        names: dict[str, int] = {}
-        shard = rows["shard"].iloc[0]
-        member = [{names.setdefault(s, len(names)) for s in own} for own in rows["shards"]]
-        earlier = {i for s, i in names.items() if s < shard}
-        before = [m & earlier for m in member]
-        shared = np.zeros((len(rep), max(1, len(names))), bool)
-        for i, m in enumerate(before):
-            shared[i, list(m)] = True
+        before = _counted_before(rows) > 0
         graph = []
         for own in rows["near"]:
             at = np.searchsorted(rep, own)
             at[at == len(rep)] = 0
             graph.append(at[rep[at] == own])
-        out_n, least = np.zeros(len(rep), np.int64), rep.copy()
+        out_n, island = np.zeros(len(rep), np.int64), np.arange(len(rep))
         for i, found in range_search(x, graph, np.arange(len(rep)), cosine, beam):
             if len(found):
-                least[i] = min(least[i], rep[found].min())
-                counted = ~(shared[found] & shared[i]).any(1)
+                _merge(island, np.append(found, i))
+                counted = ~(before[found] & before[i]).any(1)
                 out_n[i] = n[found[counted]].sum()
-        return pd.DataFrame({"rep": rep, "n_links": out_n, "least": least})
+        return pd.DataFrame({"rep": rep, "n_links": out_n, "least": rep[island]})
 
-    found = full.select("rep", "n", "v", "shard", "shards", "near").groupBy("shard").applyInPandas(
-        search, "rep long, n_links long, least long"
-    )
-    return found.where("n_links > 0 or least <> rep")
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("rep", kind="stable")
+        x, rep, n = np.array(rows["v"].tolist()), rows["rep"].to_numpy(), rows["n"].to_numpy()
+        before = _counted_before(rows)
+        one, other = (np.flatnonzero((rows["block"] == rows[c]).to_numpy()) for c in ("low", "high"))
+        out_n, island = np.zeros(len(rep), np.int64), np.arange(len(rep))
+        for lo in range(0, len(one), 512):
+            own = one[lo : lo + 512]
+            found = (x[own] @ x[other].T >= cosine) & (own[:, None] != other)
+            counted = found & (before[own] @ before[other].T == 0)
+            out_n[own] += counted @ n[other]
+            if rows["low"].iloc[0] != rows["high"].iloc[0]:  # one block with itself has each pair twice
+                out_n[other] += n[own] @ counted
+            for i, row in zip(own, found, strict=True):
+                if row.any():
+                    _merge(island, np.append(other[row], i))
+        return pd.DataFrame({"rep": rep, "n_links": out_n, "least": rep[island]})
+
+    block = F.pmod(F.xxhash64(F.lit("block"), "rep"), "blocks").cast("int")
+    dealt = (
+        placed.join(knots, "shard")
+        .join(listed, "rep")
+        .select("rep", "n", "v", "shard", "shards", block.alias("block"), "blocks")
+        .withColumn("with", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
+        .select(
+            "rep", "n", "v", "shard", "shards", "block",
+            F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"),
+        )
+    )
+    result = "rep long, n_links long, least long"
+    searched = full.select("rep", "n", "v", "shard", "shards", "near").groupBy("shard").applyInPandas(search, result)
+    compared = dealt.groupBy("shard", "low", "high").applyInPandas(compare, result)
+    return searched.unionByName(compared).where("n_links > 0 or least <> rep")
 
 
-def audit(distinct: DataFrame, found: DataFrame, cosine: float = COSINE, queries: int = AUDIT_QUERIES) -> float:
-    """Share of the links of a bounded set of queries, by brute force against all rows, that were found."""
+def audit(distinct: DataFrame, found: DataFrame, cosine: float = COSINE, queries: int = AUDIT_QUERIES) -> tuple[float, float]:
+    """(share of links found, share of queries with all links) of a bounded set of queries, by brute force against all rows.
+
+    The second is taken of the queries that have links.
+    """
     unit = distinct.select("rep", "n", "label", F.col("embedding").cast("array<double>").alias("embedding"))
     chosen = unit.orderBy(F.xxhash64("rep"), "rep").limit(queries).toPandas()
     if chosen.empty:
-        return 1.0
+        return 1.0, 1.0
     q, label, ids = _unit(chosen["embedding"]), chosen["label"].to_numpy(), chosen["rep"].to_numpy()
 
     def count(batches):
@@ -337,29 +424,31 @@ def audit(distinct: DataFrame, found: DataFrame, cosine: float = COSINE, queries
     per = found.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
     row = (
         true.join(per, "rep", "left")
-        .agg(F.sum("n_true"), F.sum(F.least("n_true", F.coalesce("n_links", F.lit(0)))))
+        .where("n_true > 0")
+        .withColumn("n_found", F.least("n_true", F.coalesce("n_links", F.lit(0))))
+        .agg(F.sum("n_true"), F.sum("n_found"), F.avg((F.col("n_found") == F.col("n_true")).cast("double")))
         .first()
     )
-    return 1.0 if not row[0] else row[1] / row[0]
+    return (row[1] / row[0], row[2]) if row[0] else (1.0, 1.0)
 
 
 def near_duplicates(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding, label).
 
     Rows with one vector and label count as linked with each other. Vectors that cannot
-    link stand alone. If the audit finds too few of the links, shards overlap more and the
-    walk is wider, twice at most; after that it is an error. Repeated rows stay.
+    link stand alone. If the audit finds too few of the links, or too many queries without
+    all of theirs, shards overlap more and the walk is wider, twice at most; after that
+    every label is compared block by block. Repeated rows stay.
     """
     ship_package(rows.sparkSession)
     distinct = materialize(distinct_vectors(rows), "vectors")
-    recall = 0.0
     for overlap, beam in ((2, BEAM), (3, 2 * BEAM), (5, 4 * BEAM)):
         found = materialize(links(shards(distinct, overlap), cosine, beam), "links")
-        recall = audit(distinct, found, cosine)
-        if recall >= MIN_RECALL:
+        recall, whole = audit(distinct, found, cosine)
+        if recall >= MIN_RECALL and whole >= MIN_WHOLE:
             break
     else:
-        raise RuntimeError(f"recall {recall:.3f} is below {MIN_RECALL}")
+        found = materialize(links(shards(distinct, levels=0), cosine, limit=0), "links")
     groups = connected(found.select(F.col("rep").alias("a"), F.col("least").alias("b")))
     counts = found.groupBy("rep").agg(F.sum("n_links").alias("near"))
     known = (

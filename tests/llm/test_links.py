@@ -163,3 +163,26 @@ def test_vector_links_equal_brute_force(spark, monkeypatch):
     assert np.mean([got[i].component_id == want[i] for i in known]) >= 0.95
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
     assert vectors.near_duplicates(df.where("vec_id < 0")).count() == 0
+
+
+def _jittered(rng, groups, copies, jitter, size=16):
+    centres = rng.normal(size=(groups, size))
+    x = np.repeat(centres / np.linalg.norm(centres, axis=1, keepdims=True), copies, axis=0)
+    x += rng.normal(size=x.shape) * jitter
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_groups_larger_than_the_pool_are_searched_whole():
+    x = _jittered(np.random.default_rng(8), 10, 100, 0.02)
+    graph = vectors.tie_islands(x, vectors.robust_prune(x))
+    want = [set(np.flatnonzero(row >= vectors.COSINE)) - {i} for i, row in enumerate(x @ x.T)]
+    found = dict(vectors.range_search(x, graph, np.arange(len(x))))
+    assert [set(found[i]) for i in range(len(x))] == want
+
+
+def test_vectors_of_a_chain_are_one_component(spark):
+    angle = {1: 0.0, 3: 0.15, 2: 0.3, 4: 0.45}  # in order of angle: only neighbours link
+    table = [(i, [float(np.cos(a)), float(np.sin(a))], 0) for i, a in angle.items()]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect()}
+    assert got == {1: (1, 1), 3: (2, 1), 2: (2, 1), 4: (1, 1)}
