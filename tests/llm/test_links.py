@@ -180,6 +180,29 @@ def test_groups_larger_than_the_pool_are_searched_whole():
     assert [set(found[i]) for i in range(len(x))] == want
 
 
+@pytest.mark.parametrize("limit", [40, 0])
+def test_knots_are_compared_in_bounded_blocks(spark, monkeypatch, limit):
+    monkeypatch.setattr(vectors, "MAX_SHARD", 40)
+    x = _jittered(np.random.default_rng(9), 2, 150, 0.03)
+    table = [(i, x[i].tolist(), 1 + i % 3, s) for i in range(len(x)) for s in ("a", "b!")[: 1 + (i % 5 > 0)]]
+    table += [(i, x[i].tolist(), 1 + i % 3, "0") for i in range(0, len(x), 10)]
+    placed = spark.createDataFrame(table, "rep long, v array<double>, n long, shard string").select("rep", "n", "v", "shard")
+    sizes = []
+    apply = type(placed.groupBy("shard")).applyInPandas
+
+    def sized(self, f, schema):
+        sizes.append(self.count())
+        return apply(self, f, schema)
+
+    monkeypatch.setattr(type(placed.groupBy("shard")), "applyInPandas", sized)
+    got = vectors.links(placed, limit=limit).groupBy("rep").sum("n_links").collect()
+    near = x @ x.T >= vectors.COSINE
+    np.fill_diagonal(near, False)
+    n = 1 + np.arange(len(x)) % 3
+    assert {r[0]: r[1] for r in got} == {i: k for i, k in enumerate((near @ n).tolist()) if k}
+    assert max(r["count"] for s in sizes for r in s.collect()) < 3 * 40
+
+
 def test_vectors_of_a_chain_are_one_component(spark):
     angle = {1: 0.0, 3: 0.15, 2: 0.3, 4: 0.45}  # in order of angle: only neighbours link
     table = [(i, [float(np.cos(a)), float(np.sin(a))], 0) for i, a in angle.items()]
