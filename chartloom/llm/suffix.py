@@ -4,9 +4,10 @@ Windows of 50 bytes that are equal share the same least 25-byte gram (their anch
 windows meet by anchor: anchors are counted over all documents, and the stretches of text
 around anchors that more than one document has are brought together. Per anchor the
 suffixes of those stretches are sorted by linear grouping construction; equal windows are
-then neighbours, and each learns the least doc_id that has it. Documents are read in
-chunks; a chunk sends each stretch once, so a passage that fills the corpus costs one row
-a chunk.
+then neighbours, and each learns the least doc_id that has it. Round a crowded anchor, one with
+very many different stretches, windows meet by a hash of all their bytes instead.
+Documents are read in chunks; a chunk sends each stretch once, so a passage that fills the
+corpus costs one row a chunk.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ CHUNK_BYTES = 8 << 20
 # An anchor's order: 46 bits of its hash, then its place in a segment of the text.
 _PLACE = 18
 _SEGMENT = 1 << _PLACE
+# An anchor is crowded if the hash of one of its stretches begins with so many zero bits: it
+# then has about 2 ** CROWDED different ones, and hardly ever 20 times that unnoticed.
+CROWDED = 10
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -220,6 +224,13 @@ def least_owner(stretches: list[bytes], owners: list[int], places: list[int], wi
 _TABLE = np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
 
 
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes ^= hashes >> np.uint64(31)
+    hashes *= np.uint64(0xBF58476D1CE4E5B9)
+    hashes ^= hashes >> np.uint64(29)
+    return hashes
+
+
 def _gram_hashes(b: np.ndarray, k: int = GRAM) -> np.ndarray:
     """A 64-bit hash of every k-gram."""
     n = len(b) - k + 1
@@ -236,10 +247,7 @@ def _gram_hashes(b: np.ndarray, k: int = GRAM) -> np.ndarray:
         part = hashes[at : at + n]
         out = part if out is None else out * np.uint64(power) + part
         at += length
-    out ^= out >> np.uint64(31)
-    out *= np.uint64(0xBF58476D1CE4E5B9)
-    out ^= out >> np.uint64(29)
-    return out
+    return _mixed(out)
 
 
 def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
@@ -259,6 +267,13 @@ def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     window's least gram by hash, the first of equal ones, so equal windows have equal
     anchors at equal places.
     """
+    return _ranked_anchors(text, ends)[:4]
+
+
+def _ranked_anchors(
+    text: np.ndarray, ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``anchors``, and of each run how many zero bits a hash of its stretch begins with."""
     found = []
     step = _SEGMENT - WINDOW
     document = np.searchsorted(ends, np.arange(0, len(text), step), side="right")
@@ -282,9 +297,13 @@ def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         use = whole[change]
         change, last = change[use], last[use]
         place = (least[change] & np.uint64(_SEGMENT - 1)).astype(np.int64)
-        found.append((least[change] >> np.uint64(_PLACE), change + lo, last + lo, place + lo))
+        # The first and the last gram with the anchor between them cover the stretch.
+        edge = grams >> np.uint64(_PLACE)
+        whole = _mixed(edge[change] * np.uint64(0x9E3779B97F4A7C15) + edge[last + WINDOW - GRAM])
+        rank = (64 - np.frexp(whole.astype(np.float64))[1]).astype(np.uint8)
+        found.append((least[change] >> np.uint64(_PLACE), change + lo, last + lo, place + lo, rank))
     if not found:
-        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint8)
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
@@ -358,22 +377,27 @@ def _steps(sorted_hashes: np.ndarray) -> np.ndarray:
 
 
 def _send_hashes(buckets: int):
-    """Distinct anchor hashes of a chunk per bucket; those of two of its documents are marked."""
+    """Distinct anchor hashes of a chunk per bucket; those of two of its documents are marked.
+
+    With each goes the highest rank of its stretches.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, ids, texts, _ in _chunks(batches):
             data, ends = _joined(texts)
-            hashes, first, _, _ = anchors(data, ends)
+            hashes, first, _, _, rank = _ranked_anchors(data, ends)
             owner = ids[np.searchsorted(ends, first, side="right")]
             order = np.argsort(hashes, kind="stable")
-            hashes, owner = hashes[order], owner[order]
+            hashes, owner, rank = hashes[order], owner[order], rank[order]
             start = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1]))) if len(hashes) else order
             if not len(start):
                 continue
             several = np.minimum.reduceat(owner, start) != np.maximum.reduceat(owner, start)
-            hashes = hashes[start]
+            hashes, rank = hashes[start], np.maximum.reduceat(rank, start)
+            # Only whether it is crowded matters; equal bytes pack well.
+            marks = several.astype(np.uint8) | (rank >= CROWDED).astype(np.uint8) << 1
             rows = [
-                (b, chunk, cut.stop - cut.start, packed(_steps(hashes[cut]), several[cut].astype(np.uint8)))
+                (b, chunk, cut.stop - cut.start, packed(_steps(hashes[cut]), marks[cut]))
                 for b, cut in _by_bucket(hashes, buckets)
             ]
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
@@ -386,22 +410,23 @@ def _send_hashes(buckets: int):
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """Of one bucket: per chunk the hashes that more than one document has."""
+    """Of one bucket: per chunk the hashes that more than one document has, those crowded marked."""
     chunks, hashes, marks = [], [], []
     for chunk, n, block in zip(*(table.column(c).to_pylist() for c in ("chunk", "n", "block")), strict=True):
-        step, several = unpacked(block, ("<u8", n), ("u1", n))
+        step, mark = unpacked(block, ("<u8", n), ("u1", n))
         chunks.append(chunk)
         hashes.append(np.cumsum(step, dtype=np.uint64))
-        marks.append(several)
+        marks.append(mark)
     every = np.sort(np.concatenate(hashes))
     twice = every[1:][every[1:] == every[:-1]]
-    inside = np.concatenate([h[m > 0] for h, m in zip(hashes, marks, strict=True)])
+    inside = np.concatenate([h[m & 1 > 0] for h, m in zip(hashes, marks, strict=True)])
+    crowded = np.unique(np.concatenate([h[m & 2 > 0] for h, m in zip(hashes, marks, strict=True)]))
     common = np.unique(np.concatenate([twice, inside]))
     rows = []
     for chunk, own in zip(chunks, hashes, strict=True):
         own = own[np.isin(own, common, assume_unique=True)]
         if len(own):
-            rows.append((chunk, len(own), packed(_steps(own))))
+            rows.append((chunk, len(own), packed(_steps(own), np.isin(own, crowded).astype(np.uint8))))
     columns = list(zip(*rows, strict=True)) or [(), (), ()]
     return pa.table(
         {
@@ -433,15 +458,67 @@ def _stretches(
     return runs, same, sorted(same, key=lambda s: (runs[same[s][0]][3], s))
 
 
-def _all_hashes(table: pa.Table) -> np.ndarray:
+def _windows(
+    data: np.ndarray, ends: np.ndarray, ids: np.ndarray, crowded: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of a chunk whose anchor is in ``crowded``, in order of a hash of their bytes.
+
+    (hash, first, owner) of each, and where a text begins that the one before does not
+    have. Equal windows are neighbours, unless another one has their hash: then a text may
+    begin twice.
+    """
+    hashes, first, last, _ = anchors(data, ends)
+    use = np.isin(hashes, crowded)
+    first, n = first[use], (last - first)[use] + 1
+    first = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    key = np.zeros(len(first), np.uint64)
+    for i in range(WINDOW):
+        key *= np.uint64(0x9E3779B97F4A7C15)
+        key += _TABLE[data[first + i]]
+    key = _mixed(key)
+    order = np.argsort(key, kind="stable")
+    key, first = key[order], first[order]
+    begins = np.ones(len(first), bool)
+    begins[1:] = key[1:] != key[:-1]
+    again = np.flatnonzero(~begins)
+    for lo in range(0, len(again), 100_000):
+        at = again[lo : lo + 100_000]
+        begins[at] = (_texts_at(data, first[at]) != _texts_at(data, first[at - 1])).any(1)
+    owner = ids[np.searchsorted(ends, first, side="right")]
+    return key, first, owner, np.flatnonzero(begins)
+
+
+def _texts_at(data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return data[first[:, None] + np.arange(WINDOW)]
+
+
+def _all_hashes(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, those of them that are crowded)."""
     blocks = zip(*(table.column(c).to_pylist() for c in ("n", "block")), strict=True)
-    own = [np.cumsum(unpacked(block, ("<u8", n))[0], dtype=np.uint64) for n, block in blocks]
-    return np.concatenate(own) if own else np.zeros(0, np.uint64)
+    own = [unpacked(block, ("<u8", n), ("u1", n)) for n, block in blocks]
+    if not own:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    hashes = np.concatenate([np.cumsum(step, dtype=np.uint64) for step, _ in own])
+    mark = np.concatenate([mark for _, mark in own]) > 0
+    return hashes[~mark], np.sort(hashes[mark])
+
+
+# What a block is about: stretches, windows of crowded anchors, or the chunk's crowded anchors themselves.
+_STRETCHES, _WINDOWS, _CROWDED = range(3)
+_SENT = "kind int, bucket int, chunk long, n long, n_bytes long, block binary"
+_ANSWERED = "kind int, bucket int, chunk long, n long, n_runs long, block binary"
+_BLOCK_KINDS = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+
+
+def _block_table(rows: list[tuple], size: str) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [()] * 6
+    names = ("kind", "bucket", "chunk", "n", size, "block")
+    return pa.table({name: pa.array(c, k) for name, c, k in zip(names, columns, _BLOCK_KINDS, strict=True)})
 
 
 def _send_stretches(buckets: int):
     def run(key: tuple, texts: pa.Table, repeated: pa.Table) -> pa.Table:
-        common, rows = _all_hashes(repeated), []
+        (common, crowded), rows, chunk = _all_hashes(repeated), [], key[0].as_py()
         if texts.num_rows and len(common):
             ids, ends, data = _unpack_texts(texts)
             runs, same, listed = _stretches(data, ends, ids, common)
@@ -453,22 +530,53 @@ def _send_stretches(buckets: int):
                 sizes = np.array([len(s) for s in own], np.uint32)
                 text = np.frombuffer(b"".join(own), np.uint8)
                 block = packed(_steps(hashes[cut]), least[cut], place[cut], sizes, text)
-                rows.append((b, key[0].as_py(), len(own), int(sizes.sum()), block))
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        names = ("bucket", "chunk", "n", "n_bytes", "block")
-        return pa.table({name: pa.array(c, k) for name, c, k in zip(names, columns, kinds, strict=True)})
+                rows.append((_STRETCHES, b, chunk, len(own), int(sizes.sum()), block))
+        if texts.num_rows and len(crowded):
+            ids, ends, data = _unpack_texts(texts)
+            hashes, first, owner, begins = _windows(data, ends, ids, crowded)
+            least, first = np.minimum.reduceat(owner, begins), first[begins]
+            for b, cut in _by_bucket(hashes[begins] >> np.uint64(_PLACE), buckets):
+                text = _texts_at(data, first[cut]).ravel()
+                rows.append((_WINDOWS, b, chunk, len(first[cut]), len(text), packed(least[cut], text)))
+            rows.append((_CROWDED, chunk % buckets, chunk, len(crowded), 0, packed(_steps(crowded))))
+        return _block_table(rows, "n_bytes")
 
     return run
 
 
+def _least_of_windows(blocks: list[tuple[int, int, int, np.ndarray, np.ndarray]]) -> list[tuple]:
+    """Answers to one bucket's blocks of windows: the least owner of each."""
+    if not blocks:
+        return []
+    text = pa.py_buffer(np.concatenate([data for *_, data in blocks]))
+    owner = np.concatenate([least for *_, least, _ in blocks])
+    same = pa.FixedSizeBinaryArray.from_buffers(pa.binary(WINDOW), len(owner), [None, text]).dictionary_encode()
+    number = same.indices.to_numpy()
+    least = np.full(len(same.dictionary), _NO_ID)
+    np.minimum.at(least, number, owner)
+    rows, at = [], 0
+    for bucket, chunk, n, *_ in blocks:
+        rows.append((_WINDOWS, bucket, chunk, n, 0, packed(least[number[at : at + n]])))
+        at += n
+    return rows
+
+
 def _sort_stretches(table: pa.Table) -> pa.Table:
-    """Of one bucket: per chunk and stretch the runs of windows and their least owners."""
-    blocks = []
+    """Of one bucket: per chunk and stretch the runs of windows and their least owners.
+
+    Blocks of crowded anchors' windows get their least owners; what else there is goes on as it is.
+    """
+    blocks, windows, rows = [], [], []
     groups: dict[int, dict[bytes, tuple[int, int]]] = {}
-    for chunk, n, n_bytes, block in zip(
-        *(table.column(c).to_pylist() for c in ("chunk", "n", "n_bytes", "block")), strict=True
+    for kind, bucket, chunk, n, n_bytes, block in zip(
+        *(table.column(c).to_pylist() for c in ("kind", "bucket", "chunk", "n", "n_bytes", "block")), strict=True
     ):
+        if kind == _WINDOWS:
+            windows.append((bucket, chunk, n, *unpacked(block, ("<i8", n), ("u1", n_bytes))))
+            continue
+        if kind == _CROWDED:
+            rows.append((kind, bucket, chunk, n, 0, block))
+            continue
         step, least, place, sizes, data = unpacked(
             block, ("<u8", n), ("<i8", n), ("u1", n), ("<u4", n), ("u1", n_bytes)
         )
@@ -482,7 +590,7 @@ def _sort_stretches(table: pa.Table) -> pa.Table:
             if known is None or m < known[0]:
                 group[stretch] = (m, p)
             own.append(stretch)
-        blocks.append((chunk, step, own))
+        blocks.append((bucket, chunk, step, own))
     answers: dict[bytes, list[int]] = {}  # owner and size of one run after the other
     for group in groups.values():
         if len(group) == 1:
@@ -493,18 +601,14 @@ def _sort_stretches(table: pa.Table) -> pa.Table:
         owner, place = zip(*group.values(), strict=True)
         for stretch, owners in zip(stretches, least_owner(stretches, list(owner), list(place)), strict=True):
             answers[stretch] = [x for m, same in groupby(owners) for x in (m, len(list(same)))]
-    rows = []
-    for chunk, step, own in blocks:
+    rows += _least_of_windows(windows)
+    for bucket, chunk, step, own in blocks:
         found = [answers[s] for s in own]
         n_runs = np.fromiter(map(len, found), np.uint32, len(found)) // np.uint32(2)
         flat = np.fromiter(chain.from_iterable(found), np.int64)
         owner, size = np.ascontiguousarray(flat[::2]), flat[1::2].astype(np.uint32)
-        rows.append((chunk, len(own), len(owner), packed(step, n_runs, owner, size)))
-    columns = list(zip(*rows, strict=True)) or [()] * 4
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    return pa.table(
-        {name: pa.array(c, k) for name, c, k in zip(("chunk", "n", "n_runs", "block"), columns, kinds, strict=True)}
-    )
+        rows.append((_STRETCHES, bucket, chunk, len(own), len(owner), packed(step, n_runs, owner, size)))
+    return _block_table(rows, "n_runs")
 
 
 def _kept_schema(carried: pa.Schema) -> pa.Schema:
@@ -538,8 +642,16 @@ def _remove(whole: bool):
 def _removed(key: tuple, texts: pa.Table, answers: pa.Table, carried: pa.Table, whole: bool) -> pa.Table:
     ids, ends, data = _unpack_texts(texts)
     marks = np.zeros(len(data) + 1, np.int64)
-    parts = []
-    for n, n_runs, block in zip(*(answers.column(c).to_pylist() for c in ("n", "n_runs", "block")), strict=True):
+    parts, windows, crowded = [], {}, None
+    for kind, bucket, n, n_runs, block in zip(
+        *(answers.column(c).to_pylist() for c in ("kind", "bucket", "n", "n_runs", "block")), strict=True
+    ):
+        if kind == _WINDOWS:
+            windows[bucket] = unpacked(block, ("<i8", n))[0]
+            continue
+        if kind == _CROWDED:
+            crowded = np.cumsum(unpacked(block, ("<u8", n))[0], dtype=np.uint64)
+            continue
         parts.append(unpacked(block, ("<u8", n), ("<u4", n), ("<i8", n_runs), ("<u4", n_runs)))
     if parts:
         hashes = [np.cumsum(p[0], dtype=np.uint64) for p in parts]
@@ -564,6 +676,14 @@ def _removed(key: tuple, texts: pa.Table, answers: pa.Table, carried: pa.Table,
                             marks[place + size[j] - 1 + WINDOW] -= 1
                         place += size[j]
                 at += k
+    if crowded is not None:
+        _, first, owner, begins = _windows(data, ends, ids, crowded)
+        least = np.concatenate([windows[b] for b in sorted(windows)])
+        if len(least) != len(begins):
+            raise RuntimeError(f"chunk {key[0]}: its documents changed between two readings")
+        first = first[np.repeat(least, np.diff(begins, append=len(first))) < owner]
+        marks[first] += 1
+        marks[first + WINDOW] -= 1
     gone = np.cumsum(marks[:-1]) > 0
     if whole:
         gone = _whole_characters(data, gone)
@@ -608,11 +728,9 @@ def dedup(docs: DataFrame, *, stored: bool = False, carry: tuple[str, ...] = (),
     stretches = (
         texts.groupBy("chunk")
         .cogroup(repeated.groupBy("chunk"))
-        .applyInArrow(_send_stretches(buckets), "bucket int, chunk long, n long, n_bytes long, block binary")
-    )
-    answers = stretches.groupBy("bucket").applyInArrow(
-        _sort_stretches, "chunk long, n long, n_runs long, block binary"
+        .applyInArrow(_send_stretches(buckets), _SENT)
     )
+    answers = stretches.groupBy("bucket").applyInArrow(_sort_stretches, _ANSWERED)
     out = T._parse_datatype_string("doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     kept = (
         texts.groupBy("chunk")

@@ -209,3 +209,44 @@ def test_vectors_of_a_chain_are_one_component(spark):
     df = spark.createDataFrame(table, "vec_id long, embedding array<double>, label int")
     got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect()}
     assert got == {1: (1, 1), 3: (2, 1), 2: (2, 1), 4: (1, 1)}
+
+
+def test_no_group_grows_with_an_anchor_of_many_stretches(documents, monkeypatch):
+    rng = random.Random(6)
+    phrase, copied = "all rights reserved by the house xyzw ", "\0" * 10 + "".join(rng.choice("abcdefgh") for _ in range(70))
+
+    def noise(n):
+        return "".join(rng.choice("ijklmnopqrstuvé") for _ in range(n))
+
+    pairs = [(i, noise(26) + phrase + noise(26)) for i in range(10_000, 16_000)]
+    repeated = [pairs[i][1] for i in (5, 5, 700, 5999)]
+    pairs += [(20_000 + i, noise(9) + t[10:80] + noise(9)) for i, t in enumerate(repeated)]
+    pairs += [(i, noise(3) + copied + phrase + noise(40)) for i in range(20_010, 20_020)]
+    pairs += [(None, repeated[0]), (9, None), (8, phrase)]
+    docs = documents(pairs)
+    sort = suffix._sort_stretches
+
+    def counted(table):
+        out = sort(table)
+        for kind, n in zip(table.column("kind").to_pylist(), table.column("n").to_pylist(), strict=True):
+            if kind == 0 and n > 1500:
+                raise ValueError(f"{n} stretches of one chunk in a bucket")
+        return out
+
+    monkeypatch.setattr(suffix, "_sort_stretches", counted)
+    got = suffix.dedup(docs).collect()
+    found = sorted(((r.doc_id, r.n_bytes, bytes(r.kept), sum(s.end - s.start for s in r.spans)) for r in got), key=str)
+    first = {}  # window -> least document that has it
+    texts = [(i, (t or "").encode()) for i, t in pairs]
+    for i, b in texts:
+        for s in range(len(b) - 49):
+            w, k = b[s : s + 50], float("inf") if i is None else i
+            first[w] = min(first.get(w, k), k)
+    want = []
+    for i, b in texts:
+        gone = bytearray(len(b))
+        for s in range(len(b) - 49):
+            if first[b[s : s + 50]] < (float("inf") if i is None else i):
+                gone[s : s + 50] = b"\1" * 50
+        want.append((i, len(b), bytes(x for x, g in zip(b, gone, strict=True) if not g), sum(gone)))
+    assert found == sorted(want, key=str)
