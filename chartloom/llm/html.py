@@ -3,7 +3,7 @@
 Every page scores its containers by the running text they hold. A container goes by its
 generalised path: tags and classes from the root down, digits and ids left out. Pages vote
 for their best path, votes are counted per host in Spark, and each page is extracted again
-from the container its host agrees on.
+from the container its host agrees on, if that holds enough of the page's own text.
 """
 
 from __future__ import annotations
@@ -13,13 +13,14 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm.tokens import slices
 from chartloom.session import materialize, ship_package
 
-MAX_PATHS = 8
+# A host's path is right for a page if it holds this share of the running text of the page's own best.
+ABOUT = 0.8
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
@@ -186,7 +187,11 @@ class _Page:
         return True
 
     def best(self) -> str | None:
-        """Path of the container with most running text; the article around it if there is one."""
+        """Path of the container with most running text; the article around it if there is one.
+
+        Without an article it is lifted to what is around it, up to <main> or below the
+        body, as long as what that adds is mostly unlinked text.
+        """
         score: dict[int, float] = {}
         for element, block, links in self.blocks:
             if not self.clear(element, -1):
@@ -202,26 +207,52 @@ class _Page:
             return None
         top = max(score, key=lambda e: (score[e], e))
         up = top
+        article = False
         while up > 0:
             if self.tag[up] == "article":
-                top = up
+                top, article = up, True
             up = self.parent[up]
-        return self.path[top]
+        return self.path[top if article else self._lifted(top)]
+
+    def _lifted(self, top: int) -> int:
+        up, inside = top, self._within(top)
+        while self.tag[up] != "main" and (up := self.parent[up]) > 0 and self.tag[up] not in ("body", "html"):
+            around = self._within(up)
+            added = [self.blocks[i] for i in sorted(around - inside)]
+            if 2 * sum(links for *_, links in added) > sum(len(block) for _, block, _ in added):
+                break
+            if added:
+                top, inside = up, around
+        return top
+
+    def _within(self, top: int) -> set[int]:
+        """Numbers of the blocks in an element, without those to be skipped there."""
+        return {i for i, (element, *_) in enumerate(self.blocks) if self._inside(element, top)}
+
+    def _inside(self, element: int, top: int) -> bool:
+        while element > top:
+            if self.skip[element]:
+                return False
+            element = self.parent[element]
+        return element == top
+
+    def running(self, path: str) -> int:
+        """Characters outside links that ``text`` has for a path."""
+        own = {e for e, p in enumerate(self.path) if p == path}
+        return sum(max(0, len(block) - links) for element, block, links in self.blocks if self._held(element, own))
+
+    def _held(self, element: int, own: set[int]) -> bool:
+        """Whether an element is in one of ``own`` and nothing below that is to be skipped."""
+        while element >= 0 and element not in own:
+            if self.skip[element]:
+                return False
+            element = self.parent[element]
+        return element >= 0
 
     def text(self, path: str) -> str:
         """Blocks inside the elements of ``path``, without what is to be skipped there."""
         own = {e for e, p in enumerate(self.path) if p == path}
-        out = []
-        for element, block, _ in self.blocks:
-            up = element
-            while up >= 0 and up not in own:
-                if self.skip[up]:
-                    up = -1
-                    break
-                up = self.parent[up]
-            if up >= 0:
-                out.append(block)
-        return "\n".join(out)
+        return "\n".join(block for element, block, _ in self.blocks if self._held(element, own))
 
 
 def page_path(source: str | None) -> str | None:
@@ -229,42 +260,74 @@ def page_path(source: str | None) -> str | None:
     return _Page(source or "").best()
 
 
-def page_text(source: str | None, paths: list[str]) -> str:
-    """Text of a page by the first of its host's paths that yields any, else by its own best path."""
+def page_text(source: str | None, paths: list[str], settled: set[str] | None = None) -> str:
+    """Text of a page by one of its host's paths, else by its own best path.
+
+    It is the first path that holds about as much running text as the page's own best one.
+    If that is not among ``settled`` (None: it is), most pages that have it prefer another
+    one, and the first path that yields any text is taken.
+    """
     page = _Page(source or "")
-    present = set(page.path)
+    present, own = set(page.path), page.best()
+    least = ABOUT * page.running(own) if own is not None and (settled is None or own in settled) else 0
     for path in paths:
-        if path in present and (text := page.text(path)):
+        if path in present and page.running(path) >= least and (text := page.text(path)):
             return text
-    own = page.best()
     return page.text(own) if own is not None else ""
 
 
+def page_votes(source: str | None) -> list[tuple[str, int]]:
+    """(path, whether the page votes for it) of all elements round running text."""
+    page = _Page(source or "")
+    own = page.best()
+    held: set[int] = set()
+    for element, block, links in page.blocks:
+        if len(block) > 2 * links and page.clear(element, -1):
+            while element > 0 and element not in held:
+                held.add(element)
+                element = page.parent[element]
+    paths = {page.path[e] for e in held} | ({own} if own is not None else set())
+    return [(path, int(path == own)) for path in sorted(paths)]
+
+
 def host(url: str = "url"):
     """Lower-case host of a URL column; empty if there is none."""
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def host_paths(pages: DataFrame, max_paths: int = MAX_PATHS) -> DataFrame:
-    """(host, paths): what a host's pages voted for, most votes first (ties: the path), at most ``max_paths``.
+def host_paths(pages: DataFrame) -> DataFrame:
+    """(host, paths, settled): what a host's pages voted for, most votes first (ties: the path).
 
-    Votes are counted before they are shuffled, so a host with most of the pages costs a
-    row per path and task.
+    settled are the paths that at least half of the pages with running text there voted
+    for. Votes are counted before they are shuffled, so a host with most of the pages costs
+    a row per path and task.
     """
     ship_package(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, 1):
-                found = [page_path(s) for s in rows.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(found, pa.string())], ["host", "path"])
+                found = [page_votes(s) for s in rows.column(1).to_pylist()]
+                at = [i for i, own in enumerate(found) for _ in own]
+                path, vote = [p for own in found for p, _ in own], [v for own in found for _, v in own]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0).take(pa.array(at, pa.int64())), pa.array(path, pa.string()), pa.array(vote, pa.int64())],
+                    ["host", "path", "vote"],
+                )
 
-    votes = pages.select(host().alias("host"), "html").mapInArrow(run, "host string, path string")
-    counted = votes.where("path is not null").groupBy("host", "path").count()
-    order = Window.partitionBy("host").orderBy(F.desc("count"), "path")
-    ranked = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max_paths)
-    listed = F.array_sort(F.collect_list(F.struct("rank", "path")))
-    return ranked.groupBy("host").agg(F.transform(listed, lambda r: r["path"]).alias("paths"))
+    votes = pages.select(host().alias("host"), "html").mapInArrow(run, "host string, path string, vote long")
+    counted = votes.groupBy("host", "path").agg(F.sum("vote").alias("votes"), F.count("*").alias("had")).where("votes > 0")
+    settled = (2 * F.col("votes") >= F.col("had")).alias("settled")
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("order"), "path", settled)))
+    return (
+        counted.groupBy("host")
+        .agg(listed.alias("listed"))
+        .select(
+            "host",
+            F.transform("listed", lambda r: r["path"]).alias("paths"),
+            F.transform(F.filter("listed", lambda r: r["settled"]), lambda r: r["path"]).alias("settled"),
+        )
+    )
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -282,13 +345,13 @@ def extract(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for rows in slices(batch, 2):
                 found = [
-                    page_text(s, p or [])
-                    for s, p in zip(rows.column(2).to_pylist(), rows.column(3).to_pylist(), strict=True)
+                    page_text(s, p or [], set(known or []))
+                    for s, p, known in zip(*(rows.column(i).to_pylist() for i in (2, 3, 4)), strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(1), pa.array(found, pa.string())], ["page_id", "url", "text"]
                 )
 
-    return joined.select(F.col("page_id").cast("long"), "url", "html", "paths").mapInArrow(
+    return joined.select(F.col("page_id").cast("long"), "url", "html", "paths", "settled").mapInArrow(
         run, "page_id long, url string, text string"
     )

@@ -49,3 +49,24 @@ def test_host_votes_outweigh_one_page(spark):
     assert [t for i, t in got if i == 9] == ["short article"] * 2
     assert dict(got)[10] == "alone" and dict(got)[None] == "" and len(got) == len(rows)
     assert html.extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+@pytest.mark.parametrize("around", ["main", "div class=post"])
+def test_heading_and_lead_beside_a_longer_body_stay(around):
+    source = (
+        f"<body><div class=top>Welcome to this site</div><{around}><h1>Head</h1><div class=lead><p>{'lead ' * 4}</p></div>"
+        f"<div class=body><p>{'body ' * 16}</p></div></{around.split()[0]}><div class=more>Other text</div></body>"
+    )
+    assert html.page_text(source, []) == "\n".join(["Head", ("lead " * 4).strip(), ("body " * 16).strip()])
+    linked = source.replace("<h1>Head</h1>", "<div class=x><a href=/1>one more of many</a> <a href=/2>and another of them</a></div>")
+    assert html.page_text(linked.replace("lead ", ""), []) == ("body " * 16).strip()
+
+
+def test_pages_of_a_smaller_template_keep_their_text(spark):
+    short, long = '<div class="main"><p>In short</p></div>', '<div class="story{c}"><p>' + "story words " * 30 + "</p></div>"
+    rows = [(i, "http://a.org/", f'<body><div class="main"><p>{"news words " * 30}</p></div></body>', "x") for i in range(9)]
+    rows += [(20 + i, "http://a.org/", f"<body>{short}{long.format(c=c)}</body>", "x") for i, c in enumerate("ab" * 2 + "cdefghijkl")]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert [got[i] for i in range(9)] == [("news words " * 30).strip()] * 9
+    assert {got[i] for i in got if i >= 20} == {("story words " * 30).strip()}
+    assert len(html.host_paths(spark.createDataFrame(rows, PAGES)).first().paths) == 13
