@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import deque
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -82,27 +82,39 @@ def features(text: str) -> np.ndarray:
     return _features(text)
 
 
+def _swapped(text: str) -> Iterator[np.ndarray]:
+    words = _words(text)
+    for term in sorted(words & _KIND.keys()):
+        for other in _KIND[term]:
+            if other not in words:
+                yield _features.of_words(words - {term} | {other})
+
+
 def swaps(text: str) -> list[np.ndarray]:
     """Features of the text with each group it names swapped for each other group of that kind."""
-    words = _words(text)
-    return [
-        _features.of_words(words - {term} | {other})
-        for term in sorted(words & _KIND.keys())
-        for other in _KIND[term]
-        if other not in words
-    ]
+    return list(_swapped(text))
+
+
+def changed(own: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lost, gained) features of a swap."""
+    return np.setdiff1d(own, other), np.setdiff1d(other, own)
 
 
 def coded(text: str) -> np.ndarray:
-    """Features of a text and of its swaps as one array: number of parts, their lengths, the parts."""
-    parts = [features(text), *swaps(text)]
+    """Features of a text, and those each swap loses and gains, as one array: number of parts, their lengths, the parts.
+
+    What a swap leaves as it is would be sent over and over.
+    """
+    own = features(text)
+    parts = [own, *(part for other in _swapped(text) for part in changed(own, other))]
     return np.concatenate([[len(parts)], [len(p) for p in parts], *parts]).astype(np.int32)
 
 
-def decoded(row: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+def decoded(row: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(features, (lost, gained) of each swap)."""
     n = int(row[0])
     parts = np.split(row[1 + n :], np.cumsum(row[1 : 1 + n])[:-1])
-    return parts[0], parts[1:]
+    return parts[0], list(zip(parts[1::2], parts[2::2], strict=True))
 
 
 class _Sparse:
@@ -137,7 +149,7 @@ def telling(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
 def fit(
     rows: list[np.ndarray],
     y: np.ndarray,
-    swapped: list[list[np.ndarray]],
+    swapped: list[list[np.ndarray | tuple[np.ndarray, np.ndarray]]],
     *,
     penalty: float = SWAP_PENALTY,
     ridge: float = RIDGE,
@@ -145,7 +157,7 @@ def fit(
 ) -> tuple[np.ndarray, float]:
     """Weights and bias: mean logistic loss + ridge + penalty * mean squared change of a swap's margin.
 
-    Only ``telling`` features get a weight. Minimised by limited-memory quasi-Newton steps
+    A swap is given by its features, or by those it loses and gains. Only ``telling`` features get a weight. Minimised by limited-memory quasi-Newton steps
     with backtracking.
     """
     kept = telling(rows, y)
@@ -157,7 +169,7 @@ def fit(
     gaps, signs = [], []
     for r, others in zip(rows, swapped, strict=True):
         for other in others:
-            lost, gained = np.setdiff1d(r, other), np.setdiff1d(other, r)
+            lost, gained = other if isinstance(other, tuple) else changed(r, other)
             gaps.append(np.concatenate([lost, gained]))
             signs.append(np.concatenate([np.ones(len(lost)), -np.ones(len(gained))]))
     d = _Sparse(gaps, signs)

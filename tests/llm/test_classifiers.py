@@ -103,3 +103,17 @@ def test_held_out_rows_by_hash(spark):
     df = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long")
     got = {r[0]: r[1] for r in df.select("doc_id", linear.held_out(F.col("doc_id"))).collect()}
     assert got == {**{i: crc32(str(i).encode()) % 5 == 0 for i in range(50)}, None: True}
+
+
+def test_swaps_are_sent_as_what_they_change():
+    text = " ".join(["a muslim and a woman wrote", *(f"word{i}" for i in range(5000))])
+    own, others = toxicity.features(text), toxicity.swaps(text)
+    row = toxicity.coded(text)
+    assert len(others) > 3 and len(row) < len(own) + 100 * len(others)
+    features, pairs = toxicity.decoded(row)
+    assert features.tolist() == own.tolist() and len(pairs) == len(others)
+    for other, (lost, gained) in zip(others, pairs, strict=True):
+        assert np.union1d(np.setdiff1d(own, lost), gained).tolist() == other.tolist()
+    y, rows = np.array([0, 1] * 20), [own] * 40
+    by_pairs = toxicity.fit(rows, y, [pairs] * 40, rounds=3)
+    assert np.array_equal(by_pairs[0], toxicity.fit(rows, y, [others] * 40, rounds=3)[0])
