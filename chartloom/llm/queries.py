@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, chat, fingerprints, html, linear, packing, quality, simhash, suffix, toxicity, vectors
+from chartloom.llm import (
+    bpe,
+    chat,
+    fingerprints,
+    html,
+    linear,
+    packing,
+    pii,
+    quality,
+    search,
+    simhash,
+    suffix,
+    toxicity,
+    trie,
+    vectors,
+)
 
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -89,6 +104,18 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.detect(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_html": op2_html,
@@ -100,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_search": op12_search,
+    "op13_pii": op13_pii,
 }
 
 
@@ -125,5 +155,74 @@ SELECT conv_id, count(*) AS n_turns,
         AS loss_sha256,
     sum(length({_escaped("role")}) + length({_escaped("text")}) + 8)::BIGINT AS formatted_chars
 FROM rows GROUP BY conv_id
+""",
+    # CRC-32 bit by bit: at every eighth step the next digit is mixed in.
+    "op11_prefix_trie": """
+WITH own AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), coded AS (
+    SELECT conv_id, turns, xor(list_reduce(range(8 * length(conv_id::VARCHAR)), lambda acc, i:
+        (CASE WHEN (CASE WHEN i % 8 = 0 THEN xor(acc, ascii(substr(conv_id::VARCHAR, (i // 8 + 1)::INT, 1))::BIGINT)
+                ELSE acc END) & 1 = 1
+            THEN xor((CASE WHEN i % 8 = 0 THEN xor(acc, ascii(substr(conv_id::VARCHAR, (i // 8 + 1)::INT, 1))::BIGINT)
+                ELSE acc END) >> 1, 3988292384)
+            ELSE (CASE WHEN i % 8 = 0 THEN xor(acc, ascii(substr(conv_id::VARCHAR, (i // 8 + 1)::INT, 1))::BIGINT)
+                ELSE acc END) >> 1 END), 4294967295::BIGINT), 4294967295) % 6 AS h
+    FROM own
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+    FROM coded c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+), members AS (
+    SELECT conv_id, len(turns) AS n, unnest(range(len(turns) + 1)) AS depth, turns FROM rebuilt
+), nodes AS (
+    SELECT depth, turns[1:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs, bool_and(n = depth) AS leaf,
+        string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth) AS ends
+    FROM members GROUP BY 1, 2
+), above AS (
+    SELECT prefix[1:d] AS top, leaf, depth = d + 1 AS child,
+        (n_convs - 1) * coalesce(length(prefix[depth].text), 0) AS saved
+    FROM (SELECT *, unnest(range(depth + 1)) AS d FROM nodes)
+), totals AS (
+    SELECT top, count(*) FILTER (child) AS n_children, count(*) FILTER (leaf) AS n_leaves,
+        sum(saved)::BIGINT AS saved_tokens
+    FROM above GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, t.n_children, t.n_leaves, t.saved_tokens,
+    sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN totals t ON t.top = n.prefix
+    LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
+""",
+    "op12_search": r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), asked AS (
+    SELECT item_id, term, count(*) AS repeats FROM (
+        SELECT item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark
+    ) GROUP BY ALL
+), lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY 1
+), corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS all_terms FROM lengths
+), tf AS (
+    SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM tf, corpus GROUP BY term, docs
+), worth AS (
+    SELECT doc_id, term,
+        w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // all_terms))) AS worth
+    FROM tf JOIN weights USING (term) JOIN lengths USING (doc_id), corpus
+), scored AS (
+    SELECT item_id, doc_id, sum(repeats * worth)::BIGINT AS score FROM asked JOIN worth USING (term) GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 20
 """,
 }
