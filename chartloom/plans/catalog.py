@@ -595,6 +595,17 @@ def kfold_assign(x):
     return x.folds
 
 
+@query
+def stratified_iterative(x):
+    fresh = x.pair_labels.join(sp.new_keys(x.old_split, x.current), "key", "left_semi")
+    return sp.iterative_split(fresh)
+
+
+@query
+def kfold_iterative(x):
+    return sp.iterative_folds(x.dev.labels.withColumnRenamed("note_id", "key"), 5)
+
+
 @query
 def fold_balance(x):
     return sp.fold_balance(x.folds, x.dev.labels.withColumnRenamed("note_id", "key"))

@@ -88,6 +88,39 @@ def _folds(strata: str, k: int) -> str:
     )
 
 
+def _dealt(k: int) -> str:
+    """Folds of the stratum whose turn it is in ``state``: slots above each fold's count are taken from the lowest."""
+    slots = (
+        "SELECT o.r, o.f, s.n, row_number() OVER (PARTITION BY o.r ORDER BY o.n + j.j, "
+        f"(o.f - (o.r - 1) % {k} + {k}) % {k}) AS slot FROM state o JOIN strata s ON s.r = o.r AND o.r = o.done + 1 "
+        "JOIN (SELECT unnest(range(1, (SELECT max(n) FROM strata) + 1)) AS j) j ON j.j <= s.n"
+    )
+    quotas = f"SELECT r, f, count(*) AS n FROM ({slots}) WHERE slot <= n GROUP BY r, f"
+    ends = f"SELECT r, f, n, sum(n) OVER (PARTITION BY r ORDER BY f) AS hi FROM ({quotas})"
+    return (
+        f"SELECT p.key, p.stratum, p.rs, q.f FROM placed p JOIN strata s ON s.r = p.r JOIN ({ends}) q ON q.r = p.r "
+        "AND p.position * s.step % s.n < q.hi AND p.position * s.step % s.n >= q.hi - q.n"
+    )
+
+
+def _iterative(source: str, k: int) -> str:
+    """Folds levelled label by label: each step of the recursion deals one stratum and counts its labels."""
+    return (
+        "SELECT key, stratum, CAST(f + 1 AS INT) AS fold FROM (WITH RECURSIVE ranked AS (SELECT label_code, "
+        f"row_number() OVER (ORDER BY count(*), label_code) AS r FROM {source} GROUP BY label_code), "
+        f"listed AS (SELECT t.key, list(r.r ORDER BY r.r) AS rs, list(r.label_code ORDER BY r.r) AS codes FROM {source} t "
+        "JOIN ranked r ON t.label_code = r.label_code GROUP BY t.key), "
+        "placed AS (SELECT key, rs, codes[1] AS stratum, rs[1] AS r, CAST(row_number() OVER (PARTITION BY codes[1] "
+        "ORDER BY coalesce(codes[2], ''), coalesce(codes[3], ''), md5('42:' || key), key) - 1 AS HUGEINT) AS position FROM listed), "
+        "strata AS (SELECT r, n, (SELECT max(x) FROM unnest(range(1, greatest(2, CAST(floor(0.618::DOUBLE * n) AS BIGINT) + 1))) "
+        "AS u(x) WHERE gcd(x, n) = 1) AS step FROM (SELECT r, count(*) AS n FROM placed GROUP BY r)), "
+        f"state AS (SELECT 0::BIGINT AS done, r, f, 0::BIGINT AS n FROM ranked CROSS JOIN unnest(range({k})) AS u(f) UNION ALL "
+        "SELECT o.done + 1, o.r, o.f, o.n + coalesce(a.c, 0) FROM state o LEFT JOIN (SELECT r, f, count(*) AS c FROM "
+        f"(SELECT f, unnest(rs) AS r FROM ({_dealt(k)})) GROUP BY r, f) a ON a.r = o.r AND a.f = o.f "
+        f"WHERE o.done < (SELECT count(*) FROM ranked)) {_dealt(k)})"
+    )
+
+
 def _kept(labels: str, bucket: str, vocab: str) -> str:
     return (
         f"SELECT DISTINCT l.note_id, l.label_code FROM {labels} l JOIN bucketed b ON l.note_id = b.note_id "
@@ -486,7 +519,9 @@ FINAL: dict[str, str] = {
     + ")",
     "strategy_fanout": f"SELECT patient_id, strategy, CASE strategy WHEN 'multilabel' THEN 'v1-multilabel' ELSE 'v2-primary_dx' END AS prompt_version FROM eligible_p CROSS JOIN {STRATEGIES}",
     "label_rows": f"SELECT '{RUN_ID}_' || c.patient_id || '_' || s.strategy AS note_id, c.icd10_code, c.icd10_description, "
-    f"s.strategy = 'primary_dx' AND c.icd10_code = p.icd10_code AS is_primary FROM patient_cap c JOIN picked p ON c.patient_id = p.patient_id CROSS JOIN {STRATEGIES} s",
+    "s.strategy = 'primary_dx' AND c.icd10_code = c.top AS is_primary FROM (SELECT *, first_value(icd10_code) OVER (PARTITION BY patient_id "
+    "ORDER BY score DESC, coalesce(CAST(start_date AS VARCHAR), '0000-00-00') DESC, position) AS top FROM (SELECT *, "
+    f"{_score('icd10_code', 'icd10_description')} AS score FROM patient_cap)) c CROSS JOIN {STRATEGIES} s",
     "note_rows": f"SELECT '{RUN_ID}_' || patient_id || '_' || strategy AS note_id, '{RUN_ID}' AS run_id, patient_id, strategy, prompt_version, 'none' AS model, prompt AS note_text, "
     "labels, primary_code, '' AS encounter_id, length(prompt) AS input_tokens, CAST(0 AS BIGINT) AS output_tokens, 'STOP' AS finish_reason FROM "
     "(SELECT patient_id, 'multilabel' AS strategy, 'v1-multilabel' AS prompt_version, '' AS primary_code, prompt FROM multilabel_prompts UNION ALL "
@@ -510,6 +545,8 @@ FINAL: dict[str, str] = {
     "split_orphaned": "SELECT key, bucket FROM old_split WHERE key NOT IN (SELECT key FROM pairs)",
     "split_merged": "SELECT key, bucket FROM split",
     "stratified_split": "SELECT key, bucket FROM fresh_split",
+    "stratified_iterative": f"SELECT key, CASE WHEN fold = 1 THEN 'test' ELSE 'dev' END AS bucket FROM ({_iterative('fresh', 5)})",
+    "kfold_iterative": _iterative("fold_labels", 5),
     "encounter_split": "SELECT key, bucket FROM enc_split",
     "split_report": SPLIT_REPORT,
     "codes_test_not_dev": "SELECT DISTINCT l.icd10_code AS label_code FROM mostly_test l WHERE l.bucket = 'test' AND l.icd10_code NOT IN (SELECT icd10_code FROM mostly_test WHERE bucket = 'dev')",
