@@ -33,7 +33,9 @@ STRETCH = 10_000
 QUEUE_ROWS = 1 << 18
 # Nodes with more children are joined to them apart.
 MANY_CHILDREN = 10_000
-# Member ids that are written into one text at once.
+# Tables up to so many rows of a few numbers are broadcast.
+FEW_ROWS = 500_000
+# Bits of a conversation's id that one text of member ids spans.
 _ID_BLOCK = 16
 
 _KEY = ["depth", "a", "b"]
@@ -350,6 +352,11 @@ def time_forward(blocks: Iterator[np.ndarray], band: int = BAND, limit: int = QU
     yield from settle(kept)
 
 
+def _sent_whole_if_few(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcasting if it is small; a larger one is joined by its key."""
+    return F.broadcast(df) if df.count() <= FEW_ROWS else df
+
+
 def _shards(df: DataFrame, hot: DataFrame, shards: int, band: int) -> DataFrame:
     """Add the shard of a row of ``conv_id`` at ``depth`` below the first turn ``g``."""
     salt = F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("conv_id"), F.col("salts")))
@@ -366,6 +373,7 @@ def _records(rows: DataFrame, nodes: DataFrame, shard_rows: int, band: int) -> D
     zero, one = (F.lit(v).cast("long") for v in (0, 1))
     first_turns = below.groupBy("g").agg(F.count("*").alias("n"))
     hot = first_turns.where(F.col("n") > shard_rows).select("g", F.ceil(F.col("n") / shard_rows).alias("salts"))
+    hot = _sent_whole_if_few(materialize(hot, "hot"))  # one row for so many rows of the table
     shards = max(1, -(-below.count() // shard_rows))
     columns = ["shard", (-F.col("depth")).alias("level"), "a", "b", "pa", "pb", "is_node", *_TOTALS]
 
@@ -450,7 +458,7 @@ def prefix_trie(
     # Parents of very many children are few; a group of their children is never brought together.
     large = F.col("n_children") > many_children
     many, few = (parents.where(c).drop("n_children") for c in (large | (F.col("depth") == 1), ~large & (F.col("depth") > 1)))
-    many = F.broadcast(many) if many.count() <= 1_000_000 else many
+    many = _sent_whole_if_few(many)
     below = known.where("depth > 0")
     with_parents = below.join(many, up).unionByName(below.join(many, up, "left_anti").join(few, up))
     roots = known.where("depth = 0").withColumn("parent_conv_id", F.lit(None).cast("long"))
