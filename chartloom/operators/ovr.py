@@ -38,7 +38,6 @@ C = 1.0
 MAX_GROUP_ENTRIES = 4_000_000
 # Few enough that a pack, made dense over the columns it touches, stays in cache.
 ROWS_PER_PACK = 48
-# Up to this many partial gradients are summed on the driver; more are summed in a shuffle.
 # Partial sums that one task adds up at most, and that the driver does.
 FAN_IN = 16
 MAX_DRIVER_PARTIALS = 16
@@ -393,13 +392,16 @@ def score_vectors(
     *,
     min_proba: float | None = None,
     vectorise: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
+    truth: bool = False,
 ) -> DataFrame:
     """(note_id, code, y_proba) for every note and label, or only those at ``min_proba`` or above.
 
     Coefficients travel to the tasks in label groups of bounded size; with ``min_proba``
-    the rows below it are never emitted.
+    the rows below it are never emitted. With ``truth`` a column y_true tells whether the
+    code is among the note's ``label_codes``.
     """
     spark = vectors.sparkSession
+    schema = "note_id string, code string, y_proba double" + ", y_true int" * truth
     ship_package(spark)
     names = _names(coefficients)
     scored = None
@@ -409,17 +411,18 @@ def score_vectors(
         rows.sort(key=lambda row: row.label_code)
         matrix = np.array([row.weights for row in rows], dtype=float).reshape(len(rows), n_features)
         shared = spark.sparkContext.broadcast((members, matrix, np.array([row.intercept for row in rows])))
-        part = vectors.mapInPandas(_scorer(shared, min_proba, vectorise), "note_id string, code string, y_proba double")
+        part = vectors.mapInPandas(_scorer(shared, min_proba, vectorise, truth), schema)
         scored = part if scored is None else scored.unionByName(part)
     if scored is None:
-        return spark.createDataFrame([], "note_id string, code string, y_proba double")
+        return spark.createDataFrame([], schema)
     return scored
 
 
-def _scorer(shared, min_proba, vectorise):
+def _scorer(shared, min_proba, vectorise, truth):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes, matrix, intercepts = shared.value
         code_array = np.array(codes, dtype=object)
+        place = {code: i for i, code in enumerate(codes)}
         for batch in batches:
             if vectorise:
                 batch = vectorise(batch)
@@ -436,6 +439,11 @@ def _scorer(shared, min_proba, vectorise):
                 frame = pd.DataFrame(
                     {"note_id": ids, "code": np.tile(code_array, len(part)), "y_proba": proba.ravel()}
                 )
+                if truth:
+                    has = np.zeros((len(part), len(codes)), dtype=np.int32)
+                    for row, own in zip(has, part["label_codes"], strict=True):
+                        row[[place[c] for c in own if c in place]] = 1
+                    frame["y_true"] = has.ravel()
                 yield frame if min_proba is None else frame[frame["y_proba"] >= min_proba]
 
     return run

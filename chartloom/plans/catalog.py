@@ -18,6 +18,7 @@ from pyspark.sql.types import StructField, StructType
 
 from chartloom.functions import codes as cd
 from chartloom.functions import keys as ks
+from chartloom.operators import certificate as cf
 from chartloom.operators import cohort as co
 from chartloom.operators import dataset as ds
 from chartloom.operators import evaluation as ev
@@ -897,37 +898,75 @@ def ranked_predictions(x):
 
 @query
 def fit_ovr(x):
+    """The fit over dev with its certificate: class sizes, balanced weights, gradient under its bound."""
     data = x.dev
     model = ovr.fit(data.notes, data.labels, data.vocab)
-    weight = F.aggregate("weights", F.lit(0.0), lambda total, w: total + w * w)
-    return rounded(model.coefficients.select("label_code", "intercept", F.sqrt(weight).alias("weight_length")), 3)
+    vectors = materialize(wf.training_vectors(model, data), "training-vectors")
+    proved = cf.certify(vectors, model.coefficients).select("label_code", "is_optimal")
+    weights = ovr.class_weights(data.labels, data.vocab, model.info["n_notes"])
+    return rounded(weights.join(proved, "label_code", "left"))
+
+
+def _checked_folds(data):
+    """Per fold its sizes, whether each of its notes has each code once, and whether every label converged."""
+    done = wf.cross_validation(data, k=5)
+    oof = materialize(done.predictions, "oof")
+    n_notes, n_codes = (oof.agg(F.count_distinct(c)).scalar() for c in ("note_id", "code"))
+    bad = [fold for fold, labels in done.not_converged.items() if labels]
+    per_note = oof.groupBy("fold", "note_id").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("code").alias("n_different"),
+        F.sum("y_true").alias("positives"),
+        F.bool_and((F.col("y_pred") == (F.col("y_proba") > 0.5).cast("int")) & F.col("y_proba").between(0, 1)).alias("sound"),
+    )
+    whole = (F.col("n") == n_codes) & (F.col("n_different") == n_codes)
+    return per_note.groupBy("fold").agg(
+        (n_notes - F.count("*")).alias("n_train"),
+        F.count("*").alias("n_val"),
+        F.sum("positives").alias("n_positive"),
+        F.bool_and(whole).alias("each_code_once"),
+        F.bool_and("sound").alias("predictions_sound"),
+        (~F.col("fold").isin(bad)).alias("converged"),
+    )
+
+
+def _checked_evaluation(dev, test):
+    """Sizes of an evaluation, and whether its probabilities are those recomputed from the coefficients."""
+    model = ovr.fit(dev.notes, dev.labels, dev.vocab)
+    scored = materialize(wf.evaluate(model, test), "evaluation")
+    again = cf.probabilities(wf.training_vectors(model, test), model.coefficients).withColumnRenamed("y_proba", "again")
+    joined = scored.join(again, ["note_id", "code"], "left")
+    # A label that every dev note has, or none, has a constant instead of a margin.
+    differs = F.abs(F.col("y_proba") - F.coalesce("again", F.round("y_proba"))) > 1e-9
+    return joined.agg(
+        F.count_distinct("note_id").alias("n_notes"),
+        F.count_distinct("code").alias("n_codes"),
+        F.count("*").alias("n_rows"),
+        F.sum("y_true").alias("n_positive"),
+        (F.count_if(differs) == 0).alias("probabilities_agree"),
+        F.bool_and(F.col("y_pred") == (F.col("y_proba") > 0.5).cast("int")).alias("predictions_sound"),
+        F.lit(not model.info["not_converged"]).alias("converged"),
+    )
 
 
 @query
 def cross_validate(x):
-    data = x.dev
-    oof = wf.cross_validate(data, k=5)
-    return rounded(ev.fold_scores(oof), 3)
+    return _checked_folds(x.dev)
 
 
 @query
 def evaluate_bucket(x):
-    dev, test = x.dev, x.dataset("test")
-    model = ovr.fit(dev.notes, dev.labels, dev.vocab)
-    return rounded(ev.score_table(wf.evaluate(model, test)), 3)
+    return _checked_evaluation(x.dev, x.dataset("test"))
 
 
 @query
 def encounter_cross_validate(x):
-    data = x.encounter_dataset("dev")
-    return rounded(ev.fold_scores(wf.cross_validate(data, k=5)), 3)
+    return _checked_folds(x.encounter_dataset("dev"))
 
 
 @query
 def encounter_evaluate(x):
-    dev, test = x.encounter_dataset("dev"), x.encounter_dataset("test")
-    model = ovr.fit(dev.notes, dev.labels, dev.vocab)
-    return rounded(ev.score_table(wf.evaluate(model, test)), 3)
+    return _checked_evaluation(x.encounter_dataset("dev"), x.encounter_dataset("test"))
 
 
 # ------------------------------------------------------------------ storage

