@@ -1,20 +1,26 @@
 """TF-IDF features as DataFrames.
 
-Layout: notes are hash-partitioned by id once, while they are still plain text. Every
-later per-note step (counting, weighting, normalising, packing) groups by note id and
-something else, which that partitioning already satisfies, so the exploded n-grams are
-never shuffled. Only the vocabulary count, which combines on the map side, is.
+Layout: notes are spread while they are still plain text and split into tokens by generated
+code. N-grams are counted batch by batch where the note is, and leave the task as what is
+asked for: counts per term, already added up over the batch, or one sparse vector per note.
+Exploded n-grams are never rows; only vocabulary counts are shuffled. Every row of ``notes``
+is a note of its own, whatever its id.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartloom.functions import text as tx
+from chartloom.operators import ngrams as ng
+from chartloom.session import ship_package
 
 
 @dataclass(frozen=True)
@@ -34,56 +40,72 @@ CHAR = Block("char", 3, 5)
 BLOCKS = (WORD, CHAR)
 
 
-def by_note(notes: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """(note_id, note_text) and carried columns, hash-partitioned by note id.
+def spread(notes: DataFrame, *columns: str) -> DataFrame:
+    """Columns of the notes, in partitions that the text's size decides.
 
-    The partition count is given explicitly: the text is small next to the n-grams it
-    explodes into, and adaptive coalescing would judge by the text.
+    Small ones are merged and large ones split by the engine at run time, so neither a
+    few large files nor a hot note id makes one task do the work.
     """
-    n = int(notes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return notes.select("note_id", *carry, "note_text").repartition(n, "note_id")
-
-
-def _word_occurrences(notes: DataFrame, block: Block, carry: Sequence[str]) -> DataFrame:
-    tokens = notes.select("note_id", *carry, tx.word_tokens(F.col("note_text")).alias("tokens"))
-    size = F.size("tokens")
-    runs = []
-    for n in range(block.low, block.high + 1):
-        count = F.greatest(size - (n - 1), F.lit(0))
-        run = F.slice("tokens", 1, count)
-        for start in range(2, n + 1):
-            run = F.zip_with(run, F.slice("tokens", start, count), lambda a, b: F.concat(a, F.lit(" "), b))
-        runs.append(run)
-    return tokens.select("note_id", *carry, F.explode(F.concat(*runs)).alias("term"), F.lit(1).cast("long").alias("n"))
-
-
-def _char_occurrences(notes: DataFrame, block: Block, carry: Sequence[str]) -> DataFrame:
-    # Count each distinct word of a note once, then cut it into windows.
-    words = (
-        notes.select("note_id", *carry, F.explode(tx.spaced_words(F.col("note_text"))).alias("word"))
-        .where("word != ''")
-        .groupBy("note_id", *carry, "word")
-        .agg(F.count("*").alias("n"))
-    )
-    windows = tx.char_windows(F.col("word"), block.low, block.high)
-    return words.select("note_id", *carry, F.explode(windows).alias("term"), "n")
+    return notes.select(*columns, "note_text").hint("rebalance", "note_id")
+
+
+def _tokens(block: Block) -> Column:
+    text = F.col("note_text")
+    return tx.word_tokens(text) if block.name == WORD.name else tx.spaced_words(text)
+
+
+def _count(tokens: pa.ListArray, block: Block) -> ng.Counts:
+    count = ng.word_counts if block.name == WORD.name else ng.char_counts
+    return count(tokens, block.low, block.high)
+
+
+def _mapped(notes: DataFrame, schema: str, run: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+    """``run`` over slices of the notes; the last column holds the tokens that bound a slice."""
+    ship_package(notes.sparkSession)
+    last = len(notes.columns) - 1
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in ng.slices(batch, last):
+                yield run(part)
+
+    return notes.mapInArrow(each, schema)
+
 
+def term_counts(notes: DataFrame, block: Block) -> DataFrame:
+    """(note_id, term, tf)."""
 
-def occurrences(notes: DataFrame, block: Block, carry: Sequence[str] = ()) -> DataFrame:
-    """(note_id, carried, term, n): n-gram occurrences, the same term possibly on several rows."""
-    cut = _word_occurrences if block.name == WORD.name else _char_occurrences
-    return cut(notes, block, carry)
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        found = _count(part.column(1), block)
+        columns = [part.column(0).take(pa.array(found.note)), found.terms.take(pa.array(found.term)), pa.array(found.tf)]
+        return pa.RecordBatch.from_arrays(columns, ["note_id", "term", "tf"])
 
+    kind = notes.schema["note_id"].dataType.simpleString()
+    tokens = spread(notes, "note_id").select("note_id", _tokens(block).alias("tokens"))
+    return _mapped(tokens, f"note_id {kind}, term string, tf long", run)
 
-def term_counts(notes: DataFrame, block: Block, carry: Sequence[str] = ()) -> DataFrame:
-    """(note_id, carried, term, tf)."""
-    found = occurrences(by_note(notes, carry), block, carry)
-    return found.groupBy("note_id", *carry, "term").agg(F.sum("n").alias("tf"))
 
+def document_frequencies(notes: DataFrame, block: Block, by: str | None = None) -> DataFrame:
+    """(term, df, cf): notes holding the term, and its occurrences in all; per value of an integer column ``by``."""
 
-def document_frequencies(notes: DataFrame, block: Block) -> DataFrame:
-    """(term, df, cf): notes holding the term, and its occurrences in all."""
-    return term_counts(notes, block).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        found = _count(part.column(1), block)
+        group = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[found.note]
+        width = max(1, len(found.terms))
+        at, place = np.unique(group * width + found.term, return_inverse=True)
+        columns = [
+            pa.array(at // width),
+            found.terms.take(pa.array(at % width)),
+            pa.array(np.bincount(place, minlength=len(at))),
+            pa.array(np.bincount(place, weights=found.tf, minlength=len(at)).astype(np.int64)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["_by", "term", "df", "cf"])
+
+    group = F.coalesce(F.col(by).cast("long"), F.lit(0).cast("long")) if by else F.lit(0).cast("long")
+    tokens = spread(notes, "note_id", *([by] if by else [])).select(group.alias("_by"), _tokens(block).alias("tokens"))
+    keys = [F.col("_by").alias(by)] if by else []
+    counted = _mapped(tokens, "_by long, term string, df long, cf long", run)
+    return counted.groupBy(*keys, "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
 
 
 def vocabulary(notes: DataFrame, block: Block) -> DataFrame:
@@ -114,25 +136,6 @@ def idf(n_notes, df):
     return F.ln((n_notes + 1) / (df + 1)) + 1
 
 
-def _weights(partitioned: DataFrame, vocab: DataFrame, block: Block) -> DataFrame:
-    # The vocabulary is capped at max_features rows, which bounds the broadcast.
-    known = F.broadcast(vocab.select("term", "feature_id", "idf"))
-    counted = (
-        occurrences(partitioned, block)
-        .join(known, "term")
-        .groupBy("note_id", "feature_id", "idf")
-        .agg(F.sum("n").alias("tf"))
-    )
-    return counted.select("note_id", "feature_id", ((F.ln("tf") + 1) * F.col("idf")).alias("raw"))
-
-
-def tfidf(notes: DataFrame, vocab: DataFrame, block: Block) -> DataFrame:
-    """(note_id, feature_id, weight): sublinear TF-IDF with unit length per note."""
-    raw = _weights(by_note(notes), vocab, block)
-    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("note_id")))
-    return raw.select("note_id", "feature_id", (F.col("raw") / length).alias("weight"))
-
-
 def block_offsets(blocks=BLOCKS) -> dict[str, int]:
     """First feature id of each block in the joint feature space."""
     offsets, start = {}, 0
@@ -151,54 +154,85 @@ def fit_vocabularies(notes: DataFrame, blocks=BLOCKS) -> DataFrame:
     return joint.select("block", "term", "feature_id", "df", "cf", "idf")
 
 
-def feature_rows(notes: DataFrame, vocabularies: DataFrame, blocks=BLOCKS) -> DataFrame:
-    """(note_id, block, feature_id, weight) in the joint space; blocks keep their own unit length."""
-    offsets = block_offsets(blocks)
-    parts = [
-        tfidf(notes, vocabularies.where(F.col("block") == block.name), block).select(
-            "note_id",
-            F.lit(block.name).alias("block"),
-            (F.col("feature_id") + offsets[block.name]).alias("feature_id"),
-            "weight",
-        )
-        for block in blocks
-    ]
-    joint = parts[0]
-    for part in parts[1:]:
-        joint = joint.unionByName(part)
-    return joint
+def known_counts(notes: DataFrame, terms: DataFrame, blocks=BLOCKS) -> DataFrame:
+    """(note_id, terms, counts): ids and occurrences of the (block, term, id) listed, one row per note, ids ascending.
+
+    The list is brought to every task: it is a vocabulary, or the vocabularies of some folds, cut to
+    ``max_features`` terms each.
+    """
+    return _known(notes, terms, blocks, lambda counts: counts[2], "long")
 
 
-def _scaled(array: str, length: Column) -> Column:
-    return F.transform(array, lambda v: v / length)
+def _known(notes: DataFrame, terms: DataFrame, blocks, finish, value_type: str) -> DataFrame:
+    """Per note the ids of known terms and what ``finish`` makes of a block's (note, id, tf, number of notes), as arrays."""
+    listed = terms.select("block", "term", "id").toArrow()
+    tables = []
+    for block in blocks:
+        own = listed.filter(pc.equal(listed["block"], block.name))
+        tables.append((own["term"].combine_chunks(), own["id"].to_numpy().astype(np.int64)))
+    shared = notes.sparkSession.sparkContext.broadcast(tables)
+    kinds = {"long": pa.int64(), "double": pa.float64()}
+
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        note, ids, values = [], [], []
+        for i, block in enumerate(blocks):
+            known, number = shared.value[i]
+            found = _count(part.column(1 + i), block)
+            place = pc.fill_null(pc.index_in(found.terms, value_set=known), -1).to_numpy().astype(np.int64)[found.term]
+            use = place >= 0
+            note.append(found.note[use])
+            ids.append(number[place[use]])
+            values.append(finish((found.note[use], ids[-1], found.tf[use], part.num_rows)))
+        note, ids, values = (np.concatenate(c) for c in (note, ids, values))
+        order = np.lexsort((ids, note))
+        ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(note, minlength=part.num_rows)))).astype(np.int32))
+        columns = [
+            part.column(0),
+            pa.ListArray.from_arrays(ends, pa.array(ids[order].astype(np.int32))),
+            pa.ListArray.from_arrays(ends, pa.array(values[order], kinds[value_type])),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["note_id", "terms", "counts"])
+
+    kind = notes.schema["note_id"].dataType.simpleString()
+    tokens = spread(notes, "note_id").select("note_id", *(_tokens(block).alias(block.name) for block in blocks))
+    return _mapped(tokens, f"note_id {kind}, terms array<int>, counts array<{value_type}>", run)
 
 
 def feature_vectors(notes: DataFrame, vocabularies: DataFrame, blocks=BLOCKS) -> DataFrame:
-    """(note_id, indices, values): one sparse row per note, empty where no term is known.
+    """(note_id, indices, values): one sparse row per note in the joint space, empty where no term is known.
 
-    Each block is packed per note before the blocks meet, and all of them share the
-    note-id partitioning, so the joins move nothing.
+    Sublinear TF-IDF; each block has unit length.
     """
     offsets = block_offsets(blocks)
-    partitioned = by_note(notes)
-    joined = partitioned.select("note_id")
-    arrays = []
-    for block in blocks:
-        vocab = vocabularies.where(F.col("block") == block.name)
-        entry = F.struct((F.col("feature_id") + offsets[block.name]).alias("i"), F.col("raw").alias("v"))
-        packed = (
-            _weights(partitioned, vocab, block)
-            .groupBy("note_id")
-            .agg(
-                F.sort_array(F.collect_list(entry)).alias(block.name),
-                F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias(f"{block.name}_length"),
-            )
-        )
-        joined = joined.join(packed, "note_id", "left")
-        arrays.append(block.name)
-    no_ints, no_doubles = F.array().cast("array<int>"), F.array().cast("array<double>")
-    indices = [F.coalesce(F.col(f"{name}.i").cast("array<int>"), no_ints) for name in arrays]
-    values = []
-    for name in arrays:
-        values.append(F.coalesce(_scaled(f"{name}.v", F.col(f"{name}_length")), no_doubles))
-    return joined.select("note_id", F.concat(*indices).alias("indices"), F.concat(*values).alias("values"))
+    start = F
+    for name, first in offsets.items():
+        start = start.when(F.col("block") == name, first)
+    listed = vocabularies.select("block", "term", (F.col("feature_id") + start).alias("id"), "idf")
+    weights = listed.select("id", "idf").toArrow()
+    idf_of = np.zeros(sum(block.max_features for block in blocks))
+    idf_of[weights["id"].to_numpy()] = weights["idf"].to_numpy()
+    shared = notes.sparkSession.sparkContext.broadcast(idf_of)
+
+    def weigh(counts) -> np.ndarray:
+        note, ids, tf, n_notes = counts
+        raw = (np.log(tf) + 1) * shared.value[ids]
+        return raw / np.sqrt(np.bincount(note, weights=raw * raw, minlength=n_notes))[note]
+
+    vectors = _known(notes, listed, blocks, weigh, "double")
+    return vectors.withColumnsRenamed({"terms": "indices", "counts": "values"})
+
+
+def tfidf(notes: DataFrame, vocab: DataFrame, block: Block) -> DataFrame:
+    """(note_id, feature_id, weight): sublinear TF-IDF with unit length per note."""
+    vectors = feature_vectors(notes, vocab.withColumn("block", F.lit(block.name)), (block,))
+    return vectors.select("note_id", F.inline(F.arrays_zip("indices", "values"))).toDF("note_id", "feature_id", "weight")
+
+
+def feature_rows(notes: DataFrame, vocabularies: DataFrame, blocks=BLOCKS) -> DataFrame:
+    """(note_id, block, feature_id, weight) in the joint space; blocks keep their own unit length."""
+    name = F
+    for block, first in sorted(block_offsets(blocks).items(), key=lambda b: -b[1]):
+        name = name.when(F.col("feature_id") >= first, block)
+    vectors = feature_vectors(notes, vocabularies, blocks)
+    rows = vectors.select("note_id", F.inline(F.arrays_zip("indices", "values"))).toDF("note_id", "feature_id", "weight")
+    return rows.select("note_id", name.alias("block"), "feature_id", "weight")

@@ -139,7 +139,7 @@ def predict(
 def fold_vocabularies(notes: DataFrame, k: int, blocks=ft.BLOCKS) -> DataFrame:
     """(fold, block, term, feature_id, idf): the vocabulary learnt without each fold.
 
-    ``notes`` carry a fold number. Text is exploded once for all folds: a term's counts
+    ``notes`` carry a fold number. Text is counted once for all folds: a term's counts
     outside a fold are its totals less those inside it.
     """
     folds = range(1, k + 1)
@@ -147,10 +147,10 @@ def fold_vocabularies(notes: DataFrame, k: int, blocks=ft.BLOCKS) -> DataFrame:
     n_notes = sum(sizes.values())
     picked = []
     for block in blocks:
-        counts = ft.term_counts(notes, block, ["fold"])
+        counts = ft.document_frequencies(notes, block, "fold")
         per_fold = counts.groupBy("term").agg(
-            *[F.count_if(F.col("fold") == f).alias(f"df_{f}") for f in folds],
-            *[F.sum(F.when(F.col("fold") == f, F.col("tf")).otherwise(0)).alias(f"cf_{f}") for f in folds],
+            *[F.sum(F.when(F.col("fold") == f, F.col("df")).otherwise(0)).alias(f"df_{f}") for f in folds],
+            *[F.sum(F.when(F.col("fold") == f, F.col("cf")).otherwise(0)).alias(f"cf_{f}") for f in folds],
         )
         df_all = sum(F.col(f"df_{f}") for f in folds)
         cf_all = sum(F.col(f"cf_{f}") for f in folds)
@@ -182,29 +182,6 @@ def fold_vocabularies(notes: DataFrame, k: int, blocks=ft.BLOCKS) -> DataFrame:
     return materialize(joint, "fold-vocabularies")
 
 
-def _count_vectors(notes: DataFrame, terms: DataFrame, blocks=ft.BLOCKS) -> DataFrame:
-    """(note_id, terms, counts): occurrences of the (block, term, term_id) listed, one row per note."""
-    partitioned = ft.by_note(notes)
-    joined = partitioned.select("note_id")
-    for block in blocks:
-        # At most max_features terms per fold and block.
-        known = F.broadcast(terms.where(F.col("block") == block.name).select("term", "term_id"))
-        packed = (
-            ft.occurrences(partitioned, block)
-            .join(known, "term")
-            .groupBy("note_id", "term_id")
-            .agg(F.sum("n").alias("tf"))
-            .groupBy("note_id")
-            .agg(F.sort_array(F.collect_list(F.struct("term_id", "tf"))).alias(block.name))
-        )
-        joined = joined.join(packed, "note_id", "left")
-    empty = F.array().cast("array<struct<term_id:int,tf:bigint>>")
-    both = F.concat(*[F.coalesce(block.name, empty) for block in blocks])
-    return joined.select("note_id", both.alias("entries")).select(
-        "note_id", F.col("entries.term_id").alias("terms"), F.col("entries.tf").alias("counts")
-    )
-
-
 class _FoldWeights:
     """Turns count vectors into one fold's TF-IDF vectors, batch by batch."""
 
@@ -279,7 +256,7 @@ def cross_validation(
         .withColumn("term_id", F.row_number().over(Window.orderBy("block", "term")) - 1),
         "fold-term-ids",
     )
-    counted = _count_vectors(notes, terms, blocks).join(notes.select("note_id", "fold"), "note_id")
+    counted = ft.known_counts(notes, terms.withColumnRenamed("term_id", "id"), blocks).join(notes.select("note_id", "fold"), "note_id")
     rows = materialize(labels_per_note(counted, labels), "fold-counts")
 
     local_terms = terms.toPandas()
