@@ -46,8 +46,10 @@ _CLOSES = {  # a start tag that ends these, if they are open nearer than the tag
     "option": ({"option"}, {"select"}),
 }
 _SCOPE = {"table", "td", "th", "object", "button", "body"}
-_SKIP_TAGS = set("head nav footer aside form button dialog menu fieldset".split())
-_SKIP_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
+_SKIP_TAGS = set("head nav footer aside button dialog menu".split())
+_SKIP_ROLES = set("navigation banner contentinfo complementary search dialog alert menu menubar toolbar".split())
+# Forms and what has one of these names go too, unless they hold nearly all running text.
+_SOFT_TAGS = {"form", "fieldset"}
 _SKIP_NAMES = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner cookie cookies"
     " consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login sidebar"
@@ -55,40 +57,94 @@ _SKIP_NAMES = set(
     " share sharing social related recommended recommendations comment comments commentlist respond reply replies"
     " disqus discussion pager pagination toolbar skip copyright legal disclaimer tags toc".split()
 )
+# Words that say nothing beside such a name: "post-comments-list" is a name for comments,
+# "no-sidebar", "comments-open" or "legal-analysis" are names for something else.
+_NEUTRAL = set(
+    "area article bar block blog body bottom box btn button buttons container content entry field fixed form global"
+    " group header heading holder icon icons inner item items js left link links list main message mobile module"
+    " news outer page panel placeholder popular post posts primary reader region right row secondary section site"
+    " slot sticky text thread title top unit user view wrap wrapper zone".split()
+)
+# Names that mean the same whatever stands beside them.
+_PLAIN_NAMES = set(
+    "advert adverts advertisement advertising breadcrumb breadcrumbs commentlist consent disqus gdpr masthead navbar"
+    " sidenav topbar".split()
+)
+_COMMENTS = set("comment comments commentlist respond reply replies disqus discussion".split())
+# An element is not skipped for its name if it holds so many times the running text that is left
+# otherwise, and more of it than a notice has; or if nothing else is left.
+NEARLY_ALL = 3
+NOTICE = 200
 _NAME = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
 
 
+def _layout_words(name: str) -> set[str]:
+    """What of the layout a class or id names; nothing if it names something else as well."""
+    out: set[str] = set()
+    for words in ([w.lower() for w in _NAME.split(name)], _NAME.split(name.lower())):
+        words = {w.strip("0123456789") for w in words} - {""}
+        if words & _PLAIN_NAMES or words <= _SKIP_NAMES | _NEUTRAL:
+            out |= words & _SKIP_NAMES
+    return out
+
+
 class _Page:
     """Elements and text blocks of one page, in page order."""
 
     def __init__(self, source: str):
         self.parent, self.tag, self.path, self.skip = [-1], ["#"], [""], [False]
+        self.soft: dict[int, bool] = {}  # elements to skip for a name or as a form; whether it names comments
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters inside links
         self._read(source)
+        self._settle()
+
+    def _settle(self) -> None:
+        """Decide which elements are skipped for what they are called."""
         # A name speaks of the layout, not of the content, where the article stands inside.
         for i, tag in enumerate(self.tag):
-            if tag == "main" or tag == "article" and not self.skip[i]:
+            if tag == "main" or tag == "article" and not self.skip[i] and i not in self.soft:
                 up = self.parent[i]
                 while up > 0:
-                    self.skip[up] = self.skip[up] and self.tag[up] in _SKIP_TAGS
+                    self.soft.pop(up, None)
                     up = self.parent[up]
+        if not self.soft:
+            return
+        # Running text in no skipped element, and in each element with a name, comments apart.
+        left, inside = 0, dict.fromkeys(self.soft, 0)
+        for element, block, links in self.blocks:
+            named, comments, up = [], False, element
+            while up > 0 and not self.skip[up]:
+                if up in self.soft:
+                    named.append(up)
+                    comments = comments or self.soft[up]
+                up = self.parent[up]
+            weight = max(0, len(block) - 2 * links)
+            if up <= 0 and not named:
+                left += weight
+            elif up <= 0 and not comments:
+                for e in named:
+                    inside[e] += weight
+        for e in self.soft:
+            self.skip[e] = self.skip[e] or inside[e] <= (max(NOTICE, NEARLY_ALL * left) if left else 0)
 
     def _element(self, parent: int, tag: str, attributes: str) -> int:
         names, skip = [], tag in _SKIP_TAGS
+        soft, comments = tag in _SOFT_TAGS, False
         if attributes and not attributes.isspace():
             found = {}
             for key, *values in _ATTRIBUTE.findall(attributes):
                 found.setdefault(key.lower(), next((v for v in values if v), ""))
             names = references.unescape(found.get("class", "")).split()
-            words = {w.lower() for n in [*names, found.get("id", "")] for w in _NAME.split(n) if w}
-            words |= {w for n in names for w in _NAME.split(n.lower())}
+            words = set().union(*map(_layout_words, [*names, found.get("id", "")]))
+            if tag not in ("html", "body", "main"):
+                soft, comments = soft or bool(words), bool(words & _COMMENTS)
+            role = found.get("role", "").lower()
+            soft = soft or role == "form"
             style = found.get("style", "").replace(" ", "").lower()
             skip = (
                 skip
-                or tag not in ("html", "body", "main")
-                and bool(words & _SKIP_NAMES)
-                or found.get("role", "").lower() in _SKIP_ROLES
+                or role in _SKIP_ROLES
                 or "hidden" in found
                 or found.get("aria-hidden") == "true"
                 or "display:none" in style
@@ -103,6 +159,8 @@ class _Page:
         self.tag.append(tag)
         self.path.append("/".join((self.path[parent], ".".join([tag, *general]))))
         self.skip.append(skip)
+        if soft:
+            self.soft[len(self.tag) - 1] = comments
         return len(self.tag) - 1
 
     def _read(self, source: str) -> None:

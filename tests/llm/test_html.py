@@ -70,3 +70,44 @@ def test_pages_of_a_smaller_template_keep_their_text(spark):
     assert [got[i] for i in range(9)] == [("news words " * 30).strip()] * 9
     assert {got[i] for i in got if i >= 20} == {("story words " * 30).strip()}
     assert len(html.host_paths(spark.createDataFrame(rows, PAGES)).first().paths) == 13
+
+
+LONG = "This is the article, and it has some words in it as articles do. " * 8
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div class="content no-sidebar">', '<div class="entry comments-open">', '<div id="social-history">',
+        '<article class="post tags-spark related-science">', '<form id="aspnetForm">', '<div class="sidebar">',
+        '<main class="comments-closed">', '<div class="share"><div class="legal">',
+    ],
+)
+def test_no_name_takes_the_article_away(around):
+    tags = [t.split()[0].strip("<>") for t in around.split("><")]
+    close = "".join(f"</{t}>" for t in reversed(tags))
+    beside = '<nav><p>Menu words</p></nav><div class="cookie-notice"><p>Cookies</p></div><div class="comments"><p>Me too</p></div>'
+    assert html.page_text(f"<body>{beside}{around}<h1>Head</h1><p>{LONG}</p>{close}</body>", []) == f"Head\n{LONG.strip()}"
+
+
+def test_names_take_away_what_they_name():
+    names = "ad-slot sidebar-right post-comments-list js-cookie-consent-banner newsletter-signup related-posts footer2 google-advertisement"
+    inside = "".join(f'<div class="{n}"><p>{n} says something or other</p></div>' for n in names.split())
+    kept = "legal-analysis social-history related-science no-ads comments-policy-debate"
+    stays = "".join(f'<div class="{n}"><p>{n} is told</p></div>' for n in kept.split())
+    text = html.page_text(f"<article><p>{LONG}</p>{inside}{stays}</article>", [])
+    assert text.split("\n") == [LONG.strip(), *(f"{n} is told" for n in kept.split())]
+
+
+def test_long_comments_and_sidebars_do_not_become_the_article():
+    page = '<body><div class="story"><p>{}</p></div><div class="{}"><p>{}</p></div></body>'
+    for name in ("comments", "reader-replies", "sidebar"):
+        assert html.page_text(page.format("A short story is told here. " * 9, name, "words " * 120), []).startswith("A short story")
+    # A small notice is no article, however short the article is.
+    assert html.page_text(page.format("Too short.", "cookie-notice", "We keep some cookies on this page."), []) == "Too short."
+    assert html.page_text(f'<div class="comments"><p>{LONG}</p></div>', []) == ""
+
+
+def test_an_article_of_comments_is_no_article():
+    page = f'<body><div class=post><p>{LONG}</p></div><div class=comments><article class=comment><p>I say.</p></article></div></body>'
+    assert html.page_text(page, []) == LONG.strip()
