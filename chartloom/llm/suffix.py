@@ -13,7 +13,8 @@ corpus costs one row a chunk.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain, groupby
+from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartloom.llm.blocks import packed, unpacked
+from chartloom.llm.tokens import gather
 from chartloom.session import materialize, ship_package
 
 WINDOW = 50
@@ -36,6 +38,8 @@ _SEGMENT = 1 << _PLACE
 # then has about 2 ** CROWDED different ones, and hardly ever 20 times that unnoticed.
 CROWDED = 10
 _NO_ID = np.iinfo(np.int64).max
+# The longest stretch: windows of one anchor begin at most WINDOW - GRAM bytes apart.
+_WIDTH = 2 * WINDOW - GRAM
 
 
 # --- linear grouping construction ---------------------------------------------------
@@ -437,25 +441,76 @@ def _repeated(table: pa.Table) -> pa.Table:
     )
 
 
-def _stretches(
-    data: np.ndarray, ends: np.ndarray, ids: np.ndarray, common: np.ndarray
-) -> tuple[list[tuple[int, int, int, int]], dict[bytes, list[int]], list[bytes]]:
-    """Runs of a chunk whose anchor is in ``common``.
+def _cut(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Stretches of ``data`` as rows of bytes, zeros behind the shorter ones and the size at the end."""
+    out = np.zeros((len(first), _WIDTH + 1), np.uint8)
+    at = np.arange(_WIDTH)
+    for lo in range(0, len(first), 100_000):
+        part = slice(lo, lo + 100_000)
+        own = first[part, None] + at
+        inside = at < size[part, None]
+        np.minimum(own, len(data) - 1, out=own)
+        out[part, :_WIDTH] = data[own] * inside
+    out[:, _WIDTH] = size
+    return out
 
-    (owner, first, place in it, hash) of each, stretch -> its runs (equal stretches have
-    equal anchors), and the stretches in order of hash, then text.
-    """
+
+def _filled(text: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Rows as those of ``_cut`` from stretches that stand end to end in ``text``."""
+    out = np.zeros((len(size), _WIDTH + 1), np.uint8)
+    out[:, :_WIDTH][np.arange(_WIDTH) < size[:, None]] = text
+    out[:, _WIDTH] = size
+    return out
+
+
+def _end_to_end(rows: np.ndarray) -> np.ndarray:
+    return rows[:, :_WIDTH][np.arange(_WIDTH) < rows[:, _WIDTH :]]
+
+
+def _told_apart(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the stretch in each row, row where each stretch first stands)."""
+    if not len(rows):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kind = pa.binary(_WIDTH + 1)
+    same = pa.FixedSizeBinaryArray.from_buffers(kind, len(rows), [None, pa.py_buffer(rows)]).dictionary_encode()
+    number = same.indices.to_numpy().astype(np.int64)
+    first = np.empty(len(same.dictionary), np.int64)
+    first[number[::-1]] = np.arange(len(rows))[::-1]
+    return number, first
+
+
+class _Stretches(NamedTuple):
+    """Distinct stretches in order of anchor hash, then place in the chunk, and the runs of windows that are each of them."""
+
+    hashes: np.ndarray
+    place: np.ndarray  # of the anchor in the stretch
+    rows: np.ndarray  # as of ``_cut``
+    begins: np.ndarray  # where a stretch's runs begin in the two below
+    owner: np.ndarray
+    first: np.ndarray
+
+
+def _stretches(data: np.ndarray, ends: np.ndarray, ids: np.ndarray, common: np.ndarray) -> _Stretches:
+    """Stretches of a chunk whose anchor is in ``common``; equal ones have equal anchors at equal places."""
     hashes, first, last, place = anchors(data, ends)
     use = np.isin(hashes, common)
-    hashes, first, last, place = hashes[use].tolist(), first[use], last[use].tolist(), (place - first)[use].tolist()
-    owner = ids[np.searchsorted(ends, first, side="right")].tolist()
-    first = first.tolist()
-    runs = list(zip(owner, first, place, hashes, strict=True))
-    text = data.tobytes()
-    same: dict[bytes, list[int]] = {}
-    for i, (lo, hi) in enumerate(zip(first, last, strict=True)):
-        same.setdefault(text[lo : hi + WINDOW], []).append(i)
-    return runs, same, sorted(same, key=lambda s: (runs[same[s][0]][3], s))
+    hashes, first, last, place = hashes[use], first[use], last[use], place[use]
+    rows = _cut(data, first, last - first + WINDOW)
+    number, seen = _told_apart(rows)
+    listed = np.lexsort((seen, hashes[seen]))
+    rank = np.empty(len(seen), np.int64)
+    rank[listed] = np.arange(len(seen))
+    rank = rank[number]
+    order = np.argsort(rank, kind="stable")
+    at = seen[listed]
+    return _Stretches(
+        hashes[at],
+        (place - first)[at],
+        rows[at],
+        np.searchsorted(rank[order], np.arange(len(seen))),
+        ids[np.searchsorted(ends, first[order], side="right")],
+        first[order],
+    )
 
 
 def _windows(
@@ -521,16 +576,12 @@ def _send_stretches(buckets: int):
         (common, crowded), rows, chunk = _all_hashes(repeated), [], key[0].as_py()
         if texts.num_rows and len(common):
             ids, ends, data = _unpack_texts(texts)
-            runs, same, listed = _stretches(data, ends, ids, common)
-            hashes = np.array([runs[same[s][0]][3] for s in listed], np.uint64)
-            least = np.array([min([runs[i][0] for i in same[s]]) for s in listed], np.int64)
-            place = np.array([runs[same[s][0]][2] for s in listed], np.uint8)
-            for b, cut in _by_bucket(hashes, buckets):
-                own = listed[cut]
-                sizes = np.array([len(s) for s in own], np.uint32)
-                text = np.frombuffer(b"".join(own), np.uint8)
-                block = packed(_steps(hashes[cut]), least[cut], place[cut], sizes, text)
-                rows.append((_STRETCHES, b, chunk, len(own), int(sizes.sum()), block))
+            own = _stretches(data, ends, ids, common)
+            least = np.minimum.reduceat(own.owner, own.begins) if len(own.begins) else own.owner
+            for b, cut in _by_bucket(own.hashes, buckets):
+                text, sizes = _end_to_end(own.rows[cut]), own.rows[cut, _WIDTH].copy()
+                block = packed(_steps(own.hashes[cut]), least[cut], own.place[cut].astype(np.uint8), sizes, text)
+                rows.append((_STRETCHES, b, chunk, len(sizes), len(text), block))
         if texts.num_rows and len(crowded):
             ids, ends, data = _unpack_texts(texts)
             hashes, first, owner, begins = _windows(data, ends, ids, crowded)
@@ -567,50 +618,71 @@ def _sort_stretches(table: pa.Table) -> pa.Table:
     Blocks of crowded anchors' windows get their least owners; what else there is goes on as it is.
     """
     blocks, windows, rows = [], [], []
-    groups: dict[int, dict[bytes, tuple[int, int]]] = {}
     for kind, bucket, chunk, n, n_bytes, block in zip(
         *(table.column(c).to_pylist() for c in ("kind", "bucket", "chunk", "n", "n_bytes", "block")), strict=True
     ):
         if kind == _WINDOWS:
             windows.append((bucket, chunk, n, *unpacked(block, ("<i8", n), ("u1", n_bytes))))
-            continue
-        if kind == _CROWDED:
+        elif kind == _CROWDED:
             rows.append((kind, bucket, chunk, n, 0, block))
-            continue
-        step, least, place, sizes, data = unpacked(
-            block, ("<u8", n), ("<i8", n), ("u1", n), ("<u4", n), ("u1", n_bytes)
-        )
-        hashes, text = np.cumsum(step, dtype=np.uint64).tolist(), data.tobytes()
-        at, own = 0, []
-        for h, m, p, size in zip(hashes, least.tolist(), place.tolist(), sizes.tolist(), strict=True):
-            stretch = text[at : at + size]
-            at += size
-            group = groups.setdefault(h, {})
-            known = group.get(stretch)
-            if known is None or m < known[0]:
-                group[stretch] = (m, p)
-            own.append(stretch)
-        blocks.append((bucket, chunk, step, own))
-    answers: dict[bytes, list[int]] = {}  # owner and size of one run after the other
-    for group in groups.values():
-        if len(group) == 1:
-            ((stretch, (m, _)),) = group.items()
-            answers[stretch] = [m, len(stretch) - WINDOW + 1]
-            continue
-        stretches = list(group)
-        owner, place = zip(*group.values(), strict=True)
-        for stretch, owners in zip(stretches, least_owner(stretches, list(owner), list(place)), strict=True):
-            answers[stretch] = [x for m, same in groupby(owners) for x in (m, len(list(same)))]
+        else:
+            step, least, place, sizes, text = unpacked(
+                block, ("<u8", n), ("<i8", n), ("u1", n), ("u1", n), ("u1", n_bytes)
+            )
+            blocks.append((bucket, chunk, step, least, place, _filled(text, sizes)))
     rows += _least_of_windows(windows)
-    for bucket, chunk, step, own in blocks:
-        found = [answers[s] for s in own]
-        n_runs = np.fromiter(map(len, found), np.uint32, len(found)) // np.uint32(2)
-        flat = np.fromiter(chain.from_iterable(found), np.int64)
-        owner, size = np.ascontiguousarray(flat[::2]), flat[1::2].astype(np.uint32)
-        rows.append((_STRETCHES, bucket, chunk, len(own), len(owner), packed(step, n_runs, owner, size)))
+    if blocks:
+        number, owners = _owners(*(np.concatenate(c) for c in zip(*((_summed(b[2]), *b[3:]) for b in blocks), strict=True)))
+        flat_owner, flat_size, counts = owners
+        at = 0
+        for bucket, chunk, step, least, *_ in blocks:
+            own = number[at : at + len(least)]
+            at += len(least)
+            owner, _ = gather(flat_owner, counts, own)
+            size, _ = gather(flat_size, counts, own)
+            block = packed(step, counts[own].astype(np.uint8), owner, size)
+            rows.append((_STRETCHES, bucket, chunk, len(own), len(owner), block))
     return _block_table(rows, "n_runs")
 
 
+def _summed(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint64)
+
+
+def _owners(
+    hashes: np.ndarray, least: np.ndarray, place: np.ndarray, texts: np.ndarray
+) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Number of the stretch of each row; runs of equal least owners, (owner, windows), and how many each stretch has.
+
+    Only stretches whose anchor has another one are sorted, anchor by anchor.
+    """
+    number, seen = _told_apart(texts)
+    owner = np.full(len(seen), _NO_ID)
+    np.minimum.at(owner, number, least)
+    own_hash, size = hashes[seen], texts[seen, _WIDTH].astype(np.int64)
+    order = np.argsort(own_hash, kind="stable")
+    begins = np.flatnonzero(np.concatenate(([True], np.diff(own_hash[order]) != 0)))
+    ends = np.append(begins[1:], len(order))
+    flat_owner: list[np.ndarray] = [owner]
+    flat_size: list[np.ndarray] = [size - WINDOW + 1]
+    counts, start = np.ones(len(seen), np.int64), np.arange(len(seen))
+    total = len(seen)
+    for lo, hi in zip(begins[ends - begins > 1].tolist(), ends[ends - begins > 1].tolist(), strict=True):
+        group = order[lo:hi]
+        stretches = [texts[r, :n].tobytes() for r, n in zip(seen[group].tolist(), size[group].tolist(), strict=True)]
+        found = least_owner(stretches, owner[group].tolist(), place[seen[group]].tolist())
+        for s, owners in zip(group.tolist(), found, strict=True):
+            runs = [(m, len(list(same))) for m, same in groupby(owners)]
+            flat_owner.append(np.array([m for m, _ in runs], np.int64))
+            flat_size.append(np.array([n for _, n in runs], np.int64))
+            counts[s], start[s] = len(runs), total
+            total += len(runs)
+    # Runs in order of their stretch.
+    at = np.repeat(start - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    sizes = np.concatenate(flat_size)[at].astype(np.uint8)
+    return number, (np.concatenate(flat_owner)[at], sizes, counts)
+
+
 def _kept_schema(carried: pa.Schema) -> pa.Schema:
     fields = [
         ("doc_id", pa.int64()),
@@ -639,6 +711,22 @@ def _remove(whole: bool):
     return run
 
 
+def _marked(own: _Stretches, n_runs: np.ndarray, answers: tuple, length: int) -> np.ndarray:
+    """Steps up and down where windows of an earlier owner begin and end: answers of a stretch, for each of its runs."""
+    counts, owner, size, before = answers
+    out = np.zeros(length, np.int64)
+    stretch = np.repeat(np.arange(len(counts)), n_runs)
+    for lo in range(0, len(stretch), 200_000):
+        which = stretch[lo : lo + 200_000]
+        entry, _ = gather(np.arange(len(owner)), counts, which)
+        run = np.repeat(np.arange(lo, lo + len(which)), counts[which])
+        hit = owner[entry] < own.owner[run]
+        entry, place = entry[hit], own.first[run[hit]] + before[entry[hit]]
+        out += np.bincount(place, minlength=length)
+        out -= np.bincount(place + size[entry] - 1 + WINDOW, minlength=length)
+    return out
+
+
 def _removed(key: tuple, texts: pa.Table, answers: pa.Table, carried: pa.Table, whole: bool) -> pa.Table:
     ids, ends, data = _unpack_texts(texts)
     marks = np.zeros(len(data) + 1, np.int64)
@@ -652,30 +740,21 @@ def _removed(key: tuple, texts: pa.Table, answers: pa.Table, carried: pa.Table,
         if kind == _CROWDED:
             crowded = np.cumsum(unpacked(block, ("<u8", n))[0], dtype=np.uint64)
             continue
-        parts.append(unpacked(block, ("<u8", n), ("<u4", n), ("<i8", n_runs), ("<u4", n_runs)))
+        parts.append(unpacked(block, ("<u8", n), ("u1", n), ("<i8", n_runs), ("u1", n_runs)))
     if parts:
-        hashes = [np.cumsum(p[0], dtype=np.uint64) for p in parts]
-        runs, same, listed = _stretches(data, ends, ids, np.unique(np.concatenate(hashes)))
         # Blocks hold the chunk's stretches in order, bucket by bucket.
-        hash_order = sorted(range(len(parts)), key=lambda i: int(hashes[i][0]))
-        ordered = iter(listed)
-        for i in hash_order:
-            _, counts, owner, size = parts[i]
-            at = 0
-            owner, size = owner.tolist(), size.tolist()
-            for h, k in zip(hashes[i].tolist(), counts.tolist(), strict=True):
-                own = same[next(ordered)]
-                if runs[own[0]][3] != h:
-                    raise RuntimeError(f"chunk {key[0]}: its documents changed between two readings")
-                for r in own:
-                    doc, first, _, _ = runs[r]
-                    place = first
-                    for j in range(at, at + k):
-                        if owner[j] < doc:
-                            marks[place] += 1
-                            marks[place + size[j] - 1 + WINDOW] -= 1
-                        place += size[j]
-                at += k
+        hashes = [_summed(p[0]) for p in parts]
+        parts = [parts[i] for i in sorted(range(len(parts)), key=lambda i: int(hashes[i][0]))]
+        hashes = np.sort(np.concatenate(hashes))
+        _, counts, owner, size = (np.concatenate(c) for c in zip(*parts, strict=True))
+        own = _stretches(data, ends, ids, np.unique(hashes))
+        if not np.array_equal(own.hashes, hashes):
+            raise RuntimeError(f"chunk {key[0]}: its documents changed between two readings")
+        counts, size = counts.astype(np.int64), size.astype(np.int64)
+        before = np.cumsum(size) - size  # windows before a run of answers, then those in its stretch only
+        before -= np.repeat(before[np.cumsum(counts) - counts], counts)
+        n_runs = np.diff(own.begins, append=len(own.first))
+        marks += _marked(own, n_runs, (counts, owner, size, before), len(marks))
     if crowded is not None:
         _, first, owner, begins = _windows(data, ends, ids, crowded)
         least = np.concatenate([windows[b] for b in sorted(windows)])
