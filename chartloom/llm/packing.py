@@ -13,19 +13,20 @@ piece by its rank in a last distributed pass.
 from __future__ import annotations
 
 import bisect
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartloom.llm.tokens import WordEncoder, gather, slices, words_of
+from chartloom.llm.tokens import CACHE_WORDS, WordEncoder, gather, slices, words_of
 from chartloom.session import materialize, ship_package
 
 CAPACITY = 2048
@@ -33,28 +34,58 @@ END_ID = 0
 # White space ends words and is dropped, so a newline is as good as a space.
 _LINE_END = " "
 # A word of plain letters and what ASCII marks follow them are tokenised apart from each other.
-_STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_STEM = r"^(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local_rank long"
 
 
+class _Runs(NamedTuple):
+    """Ids of words: those of run ``first`` and then those of run ``second`` of the runs that ``flat`` is made of."""
+
+    flat: np.ndarray
+    counts: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+
+
 class _LowerEncoder(WordEncoder):
-    """Encodes the lower-case stem and the tail of a plain word once each, other words whole."""
+    """Encodes the lower-case stem and the tail of a plain word once each, other words whole.
+
+    Words are split, lowered and told apart in bulk, so that only distinct stems and tails
+    are looked up.
+    """
 
     def __init__(self, path: str):
         super().__init__(path)
-        self._parts = WordEncoder(path, plain=True)
-
-    def encode(self, words: list[str]) -> list[bytes]:
-        split = [_STEM.fullmatch(w) for w in words]
-        whole = [w for m, w in zip(split, words, strict=True) if not m]
-        pairs = [(m[1].lower(), m[2]) for m in split if m]
-        numbers = {p: i for i, p in enumerate(dict.fromkeys(p for pair in pairs for p in pair if p))}
-        flat, counts = self._parts.lookup(list(numbers))
-        ends, data = np.cumsum(counts).tolist(), flat.tobytes()
-        ids = {p: data[4 * (ends[i] - n) : 4 * ends[i]] for (p, i), n in zip(numbers.items(), counts.tolist(), strict=True)}
-        ids[""] = b""
-        plain, others = iter(pairs), iter(super().encode(whole))
-        return [ids[(p := next(plain))[0]] + ids[p[1]] if m else next(others) for m in split]
+        self._parts = WordEncoder(path, 2 * CACHE_WORDS, plain=True)
+
+    def runs(self, words: pa.Array) -> _Runs:
+        parts = pc.extract_regex(words, _STEM)
+        plain = parts.is_valid()
+        stems = pc.utf8_lower(pc.struct_field(parts, "stem")).drop_null().dictionary_encode()
+        tails = pc.struct_field(parts, "tail").drop_null().dictionary_encode()
+        others = words.filter(pc.invert(plain))
+        found = [
+            self._parts.lookup(stems.dictionary.to_pylist()),
+            self._parts.lookup(tails.dictionary.to_pylist()),
+            self.lookup(others.to_pylist()),
+        ]
+        start = np.cumsum([0, *(len(counts) for _, counts in found)])
+        flat = np.concatenate([ids for ids, _ in found])
+        counts = np.concatenate([*(counts for _, counts in found), [0]])  # the last run is empty
+        plain = plain.to_numpy(zero_copy_only=False)
+        first, second = np.empty(len(words), np.int64), np.full(len(words), len(counts) - 1)
+        first[plain], second[plain] = stems.indices.to_numpy(), tails.indices.to_numpy() + start[1]
+        first[~plain] = np.arange(len(others)) + start[2]
+        return _Runs(flat, counts, first, second)
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each begins; one more at the end)."""
+        words, at, offsets = words_of(texts, _LINE_END)
+        runs = self.runs(words)
+        both = np.empty(2 * len(at), np.int64)
+        both[::2], both[1::2] = runs.first[at], runs.second[at]
+        ids, ends = gather(runs.flat, runs.counts, both)
+        return ids, np.concatenate(([0], ends[1::2]))[offsets]
 
 
 @lru_cache(maxsize=1)
@@ -77,9 +108,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) ->
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for rows in slices(batch, 1):
-                words, at, offsets = words_of(rows.column(1), _LINE_END)
-                ids, ends = gather(*encoder.lookup(words.to_pylist()), at)
-                ends = np.concatenate(([0], ends))[offsets]
+                ids, ends = encoder.ids(rows.column(1))
                 out = []
                 for doc, lo, hi in zip(rows.column(0).to_pylist(), ends, ends[1:], strict=False):
                     data = ids[lo:hi].tobytes() + END_ID.to_bytes(4, "little")
