@@ -30,7 +30,7 @@ from chartloom.session import materialize, ship_package
 
 WINDOW = 50
 GRAM = 25
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 # An anchor's order: 46 bits of its hash, then its place in a segment of the text.
 _PLACE = 18
 _SEGMENT = 1 << _PLACE
@@ -695,7 +695,7 @@ def _kept_schema(carried: pa.Schema) -> pa.Schema:
 
 def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
     """``gone`` with every character that loses a byte gone as a whole."""
-    character = np.cumsum((data & 0xC0) != 0x80)
+    character = np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)
     hit = np.zeros(int(character[-1]) + 1 if len(character) else 1, bool)
     hit[character[gone]] = True
     return hit[character]
@@ -714,7 +714,7 @@ def _remove(whole: bool):
 def _marked(own: _Stretches, n_runs: np.ndarray, answers: tuple, length: int) -> np.ndarray:
     """Steps up and down where windows of an earlier owner begin and end: answers of a stretch, for each of its runs."""
     counts, owner, size, before = answers
-    out = np.zeros(length, np.int64)
+    out = np.zeros(length, np.int32)
     stretch = np.repeat(np.arange(len(counts)), n_runs)
     for lo in range(0, len(stretch), 200_000):
         which = stretch[lo : lo + 200_000]
@@ -722,14 +722,14 @@ def _marked(own: _Stretches, n_runs: np.ndarray, answers: tuple, length: int) ->
         run = np.repeat(np.arange(lo, lo + len(which)), counts[which])
         hit = owner[entry] < own.owner[run]
         entry, place = entry[hit], own.first[run[hit]] + before[entry[hit]]
-        out += np.bincount(place, minlength=length)
-        out -= np.bincount(place + size[entry] - 1 + WINDOW, minlength=length)
+        np.add.at(out, place, 1)
+        np.subtract.at(out, place + size[entry] - 1 + WINDOW, 1)
     return out
 
 
 def _removed(key: tuple, texts: pa.Table, answers: pa.Table, carried: pa.Table, whole: bool) -> pa.Table:
     ids, ends, data = _unpack_texts(texts)
-    marks = np.zeros(len(data) + 1, np.int64)
+    marks = np.zeros(len(data) + 1, np.int32)
     parts, windows, crowded = [], {}, None
     for kind, bucket, n, n_runs, block in zip(
         *(answers.column(c).to_pylist() for c in ("kind", "bucket", "n", "n_runs", "block")), strict=True
@@ -763,7 +763,7 @@ def _removed(key: tuple, texts: pa.Table, answers: pa.Table, carried: pa.Table,
         first = first[np.repeat(least, np.diff(begins, append=len(first))) < owner]
         marks[first] += 1
         marks[first + WINDOW] -= 1
-    gone = np.cumsum(marks[:-1]) > 0
+    gone = np.cumsum(marks[:-1], dtype=np.int32) > 0
     if whole:
         gone = _whole_characters(data, gone)
     doc_ids, sizes, spans, kept = [], [], [], []
