@@ -26,11 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartloom.llm.tokens import CACHE_WORDS, WordEncoder, gather, slices, words_of
+from chartloom.llm.tokens import WordEncoder, gather, slices, words_of
 from chartloom.session import materialize, ship_package
 
 CAPACITY = 2048
 END_ID = 0
+# Texts tokenised at once.
+SLICE_BYTES = 4 << 20
 # White space ends words and is dropped, so a newline is as good as a space.
 _LINE_END = " "
 # A word of plain letters and what ASCII marks follow them are tokenised apart from each other.
@@ -56,7 +58,7 @@ class _LowerEncoder(WordEncoder):
 
     def __init__(self, path: str):
         super().__init__(path)
-        self._parts = WordEncoder(path, 2 * CACHE_WORDS, plain=True)
+        self._parts = WordEncoder(path, plain=True)
 
     def runs(self, words: pa.Array) -> _Runs:
         parts = pc.extract_regex(words, _STEM)
@@ -107,7 +109,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) ->
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for rows in slices(batch, 1):
+            for rows in slices(batch, 1, SLICE_BYTES):
                 ids, ends = encoder.ids(rows.column(1))
                 out = []
                 for doc, lo, hi in zip(rows.column(0).to_pylist(), ends, ends[1:], strict=False):
