@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,6 +112,71 @@ def dataset_info(
     )
 
 
+def dataset_infos(
+    current: DataFrame,
+    labels: DataFrame,
+    split: DataFrame,
+    *,
+    rollups: Sequence[str],
+    buckets: Sequence[str] = ("dev", "test"),
+    min_code_freq: int = MIN_CODE_FREQ,
+) -> DataFrame:
+    """``dataset_info`` of every (rollup, bucket), without a dataset for each.
+
+    ``current``: (note_id, key) of the usable notes. Two narrow tables are stored, whatever the
+    number of rollups and buckets: the notes' buckets, and one count per (rollup, note, code).
+    """
+    for bucket in buckets:
+        _check_bucket(bucket)
+    members = materialize(bucket_notes(current, split, "all").select("note_id", "bucket"), "members")
+    wanted = labels.join(members, "note_id", "left_semi")
+    rolled = [rollup_labels(wanted, r).select(F.lit(r).alias("rollup"), "note_id", "label_code") for r in rollups]
+    counted = reduce(DataFrame.unionByName, rolled).groupBy("rollup", "note_id", "label_code")
+    cells = materialize(counted.agg(F.count("*").alias("n_rows")).join(members, "note_id"), "label-cells")
+    counts = (
+        cells.where("bucket = 'dev'")
+        .groupBy("rollup", "label_code")
+        .agg((F.sum("n_rows") >= min_code_freq).alias("kept"))
+    )
+    per_note = (
+        cells.join(counts.where("kept"), ["rollup", "label_code"], "left_semi")
+        .groupBy("rollup", "bucket", "note_id")
+        .agg(F.count("*").alias("n"))
+    )
+
+    def named(rows: DataFrame) -> DataFrame:
+        """Each row once for every asked bucket that its own one belongs to."""
+        names = [F.when(F.col("bucket").isin(*BUCKETS[b]), b) for b in buckets]
+        return rows.withColumn("bucket", F.explode(F.array_compact(F.array(*names))))
+
+    used = named(per_note.groupBy("rollup", "bucket").agg(F.count("*").alias("n_notes"), F.sum("n").alias("n_labels")))
+    used = used.groupBy("rollup", "bucket").agg(F.sum("n_notes").alias("n_notes"), F.sum("n_labels").alias("n_labels"))
+    sizes = named(members.groupBy("bucket").agg(F.count("*").alias("n_members"))).groupBy("bucket")
+    codes = counts.groupBy("rollup").agg(
+        F.count_if("kept").alias("n_codes_kept"), F.count_if(~F.col("kept")).alias("n_codes_dropped_rare")
+    )
+    asked = [F.struct(F.lit(r).alias("rollup"), F.lit(b).alias("bucket")) for r in rollups for b in buckets]
+    spark = current.sparkSession
+    n_notes = F.coalesce("n_notes", F.lit(0).cast("long"))
+    return (
+        spark.range(1)
+        .select(F.inline(F.array(*asked)))
+        .join(used, ["rollup", "bucket"], "left")
+        .join(sizes.agg(F.sum("n_members").alias("n_members")), "bucket", "left")
+        .join(codes, "rollup", "left")
+        .select(
+            "rollup",
+            "bucket",
+            n_notes.alias("n_notes"),
+            (F.coalesce("n_members", F.lit(0).cast("long")) - n_notes).alias("n_notes_dropped_empty"),
+            F.coalesce("n_codes_kept", F.lit(0).cast("long")).alias("n_codes_kept"),
+            F.coalesce("n_codes_dropped_rare", F.lit(0).cast("long")).alias("n_codes_dropped_rare"),
+            F.lit(min_code_freq).alias("min_code_freq"),
+            F.coalesce(F.col("n_labels") / F.col("n_notes"), F.lit(0.0)).alias("avg_labels_per_note"),
+        )
+    )
+
+
 def _assemble(current, notes, labels, split, rollup, bucket, min_code_freq) -> Dataset:
     """``current``: (note_id, key) of the usable notes. ``labels``: raw label rows.
 

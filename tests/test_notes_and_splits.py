@@ -121,6 +121,15 @@ def test_dataset_uses_dev_vocabulary_and_drops_empty_notes(spark, rows):
     assert (empty.n_notes, empty.avg_labels_per_note) == (0, 0.0)
     with pytest.raises(ValueError):
         ds.load_patient_dataset(notes, labels, split, bucket="nope")
+    labels = labels.unionByName(labels.limit(3)).unionByName(labels.withColumn("icd10_code", F.lit("Z00.1")))
+    rollups, buckets = ("dirty", "3char", "chapter"), ("dev", "test", "all")
+    current = notes.select("note_id", F.concat("patient_id", F.lit("::multilabel")).alias("key"))
+    for kept in (split, split.where("bucket = 'dev'"), split.where("false")):
+        each = [ds.load_patient_dataset(notes, labels, kept, rollup=r, bucket=b).info for r in rollups for b in buckets]
+        at_once = ds.dataset_infos(current, labels, kept, rollups=rollups, buckets=buckets)
+        assert rows(at_once, *each[0].columns) == sorted((tuple(i.first()) for i in each), key=str)
+    with pytest.raises(ValueError):
+        ds.dataset_infos(current, labels, split, rollups=rollups, buckets=("nope",))
 
 
 @pytest.fixture
