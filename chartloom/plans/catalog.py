@@ -12,6 +12,7 @@ from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -633,18 +634,14 @@ def nonempty_notes(x):
 
 @query
 def dataset_info(x):
-    infos = [x.dataset(bucket, rollup).info for rollup in ROLLUPS for bucket in ("dev", "test")]
-    joined = infos[0]
-    for info in infos[1:]:
-        joined = joined.unionByName(info)
-    return rounded(joined)
+    return rounded(ds.dataset_infos(x.current, x.labels, x.split, rollups=ROLLUPS))
 
 
 @query
 def encounter_dataset_info(x):
     split = sp.encounter_split(x.encounter_ids)
-    infos = [ds.load_encounter_dataset(x.notes, x.labels, split, bucket=b).info for b in ("dev", "test")]
-    return rounded(infos[0].unionByName(infos[1]))
+    current = nt.encounter_notes(x.notes).select("note_id", F.col("encounter_id").alias("key"))
+    return rounded(ds.dataset_infos(current, x.labels, split, rollups=("3char",)))
 
 
 @query
@@ -1005,6 +1002,24 @@ def stored_notes(x):
     return _store(x).notes().select("note_id", "run_id", "patient_id", "strategy", "note_text")
 
 
+@query
+def stored_after_failure(x):
+    """Notes and label counts of the first append, after a second one failed with its labels already written."""
+    store = NoteStore(x.spark, scratch_path(x.spark, "store"))
+    store.ensure_tables()
+    first = F.substring(F.md5("note_id"), 1, 1) < "8"
+    store.append(x.notes.where(first), x.labels.where(first))
+    broken = x.notes.where(~first).withColumn("note_text", F.lit(None).cast("string"))
+    try:
+        store.append(broken, x.labels.where(~first))
+    except PySparkException:
+        pass
+    else:
+        raise AssertionError("a note without text was stored")
+    n_labels = store.labels().groupBy("note_id").agg(F.count("*").alias("n_labels"))
+    return store.notes().join(n_labels, "note_id", "left").select("note_id", "run_id", F.coalesce("n_labels", F.lit(0)).alias("n_labels"))
+
+
 @query
 def stored_labels(x):
     return _store(x).labels().select("note_id", "icd10_code", "is_primary")
@@ -1048,7 +1063,7 @@ def _scored_stream(x):
     arriving = x.spark.readStream.schema(columns).parquet(source).select(
         F.col("doc_id").cast("string").alias("note_id"), F.col("text").alias("note_text")
     )
-    st_scoring.score_stream(arriving, model, out, threshold=0.6, model_name="hashed").awaitTermination()
+    st_scoring.score_stream(arriving, model, out, threshold=0.6, model_name="hashed", dictionary=lambda _: x.dictionary).awaitTermination()
     return out
 
 
@@ -1059,8 +1074,13 @@ def stream_score(x):
 
 @query
 def stream_responses(x):
+    """Whole responses; their predictions in order as code:confidence:description, set apart by bars."""
+    shown = F.transform(
+        "predictions",
+        lambda p: F.concat_ws(":", p["code"], p["confidence"].cast("decimal(5,4)").cast("string"), p["description"]),
+    )
     return st_scoring.read_responses(x.spark, _scored_stream(x)).select(
-        "note_id", "model", "n_codes_evaluated", "note_length", F.size("predictions").alias("n_predictions")
+        "note_id", "model", "n_codes_evaluated", "note_length", F.array_join(shown, "|").alias("predictions")
     )
 
 

@@ -656,12 +656,16 @@ FINAL: dict[str, str] = {
     "CAST(CODE AS VARCHAR) AS CODE, DESCRIPTION FROM conditions",
     "tsv_vocabulary": "SELECT * FROM concept",
     "stored_notes": "SELECT note_id, run_id, patient_id, strategy, note_text FROM notes_synth",
+    "stored_after_failure": "SELECT n.note_id, n.run_id, count(l.note_id) AS n_labels FROM notes_synth n LEFT JOIN notes_labels l ON n.note_id = l.note_id "
+    "WHERE substring(md5(n.note_id), 1, 1) < '8' GROUP BY n.note_id, n.run_id",
     "stored_labels": "SELECT note_id, icd10_code, is_primary FROM notes_labels",
     "notes_backup": "SELECT note_id, run_id, strategy, primary_code, input_tokens, note_text FROM notes_synth",
     "stored_split": "SELECT key, bucket FROM split",
     "stream_responses": "SELECT t.note_id, 'hashed' AS model, CAST((SELECT count(*) FROM vocab) AS INT) AS n_codes_evaluated, "
-    "CAST(length(t.note_text) AS INT) AS note_length, CAST(count(s.code) AS INT) AS n_predictions FROM valid_texts t "
-    "LEFT JOIN (SELECT note_id, code FROM arrived_scored WHERE y_proba >= 0.6) s ON t.note_id = s.note_id GROUP BY t.note_id, t.note_text",
+    "CAST(length(t.note_text) AS INT) AS note_length, coalesce(string_agg(s.shown, '|' ORDER BY s.confidence DESC, s.code), '') AS predictions FROM valid_texts t "
+    "LEFT JOIN (SELECT a.note_id, a.code, round(a.y_proba, 4) AS confidence, a.code || ':' || CAST(CAST(round(a.y_proba, 4) AS DECIMAL(5,4)) AS VARCHAR) || ':' || "
+    "coalesce(d.description, '') AS shown FROM arrived_scored a LEFT JOIN dictionary d ON a.code = d.code_3char WHERE a.y_proba >= 0.6) s "
+    "ON t.note_id = s.note_id GROUP BY t.note_id, t.note_text",
     "stream_rejects": "SELECT CAST(doc_id AS VARCHAR) AS note_id, CAST(length(text) AS INT) AS note_length, "
     "CASE WHEN text IS NULL THEN 'no text' ELSE 'too short' END AS reason FROM documents WHERE text IS NULL OR length(text) < 10",
     "stream_score": "SELECT note_id, code, round(y_proba, 4) AS confidence FROM arrived_scored WHERE y_proba >= 0.6",

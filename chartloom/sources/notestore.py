@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.operators.profiling import table_profile
-from chartloom.sources.paths import exists
+from chartloom.sources import commits
 
 NOTES_SCHEMA = (
     "note_id string NOT NULL, run_id string NOT NULL, patient_id string NOT NULL, strategy string NOT NULL, "
@@ -23,30 +23,40 @@ logger = logging.getLogger(__name__)
 
 
 class NoteStore:
-    """Append-only notes (partitioned by day of generation) and labels under one folder."""
+    """Append-only notes (partitioned by day of generation) and labels under one folder.
+
+    Every append writes a folder of its own in each table; one pointer then makes both
+    visible together. An append that fails half-way changes nothing a reader sees.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.notes_path = f"{root.rstrip('/')}/notes_synth"
-        self.labels_path = f"{root.rstrip('/')}/notes_labels"
+        self.root = root.rstrip("/")
+        self.notes_path = f"{self.root}/notes_synth"
+        self.labels_path = f"{self.root}/notes_labels"
 
     def ensure_tables(self) -> None:
         """Create both tables where they are missing; calling again changes nothing."""
-        if not exists(self.spark, self.notes_path):
-            empty = self.spark.createDataFrame([], NOTES_SCHEMA).withColumn(DAY, F.to_date("generated_at"))
-            empty.write.partitionBy(DAY).parquet(self.notes_path)
-        if not exists(self.spark, self.labels_path):
-            self.spark.createDataFrame([], LABELS_SCHEMA).write.parquet(self.labels_path)
+        if not commits.latest(self.spark, self.root)[0]:
+            commits.publish(self.spark, self.root, lambda state: {"notes": [], "labels": [], **state})
 
     def append(self, notes: DataFrame, labels: DataFrame) -> None:
-        """Add a run's rows. Labels go first: a note is only visible once its labels are."""
-        self._append(labels, LABELS_SCHEMA, self.labels_path, None)
-        self._append(notes, NOTES_SCHEMA, self.notes_path, DAY)
-
-    def _append(self, rows: DataFrame, schema: str, path: str, day: str | None) -> None:
+        """Add a run's rows to both tables, or to none if either cannot be written."""
+        folder = f"run={commits.fresh_name()}"
+        written = {
+            "labels": self._append(labels, LABELS_SCHEMA, f"{self.labels_path}/{folder}", None),
+            "notes": self._append(notes, NOTES_SCHEMA, f"{self.notes_path}/{folder}", DAY),
+        }
+        added = {table: [folder] for table, any_rows in written.items() if any_rows}
+        if added:
+            commits.publish(
+                self.spark, self.root, lambda state: {t: state.get(t, []) + added.get(t, []) for t in written}
+            )
+
+    def _append(self, rows: DataFrame, schema: str, path: str, day: str | None) -> bool:
         if rows.isEmpty():
             logger.warning("no rows to load for %s", path)
-            return
+            return False
         declared = self.spark.createDataFrame([], schema).schema
         absent = [f.name for f in declared.fields if f.name not in rows.columns and not f.nullable]
         if absent:
@@ -61,16 +71,27 @@ class NoteStore:
             columns.append(value.alias(field.name))
         typed = rows.select(*columns)
         if day:
-            typed.withColumn(day, F.to_date("generated_at")).write.mode("append").partitionBy(day).parquet(path)
+            typed.withColumn(day, F.to_date("generated_at")).write.partitionBy(day).parquet(path)
         else:
-            typed.write.mode("append").parquet(path)
+            typed.write.parquet(path)
+        return True
+
+    def _read(self, table: str, path: str, schema: str) -> DataFrame:
+        """The rows of every committed run."""
+        version, state = commits.latest(self.spark, self.root)
+        if not version:
+            raise FileNotFoundError(f"no note store at {self.root}")
+        if not state[table]:
+            return self.spark.createDataFrame([], schema)
+        runs = [f"{path}/{folder}" for folder in state[table]]
+        return self.spark.read.schema(schema).option("basePath", path).parquet(*runs).drop("run")
 
     def notes(self) -> DataFrame:
-        return self.spark.read.schema(f"{NOTES_SCHEMA}, {DAY} date").parquet(self.notes_path)
+        return self._read("notes", self.notes_path, f"{NOTES_SCHEMA}, {DAY} date")
 
     def labels(self) -> DataFrame:
         """Labels of visible notes."""
-        stored = self.spark.read.schema(LABELS_SCHEMA).parquet(self.labels_path)
+        stored = self._read("labels", self.labels_path, LABELS_SCHEMA)
         return stored.join(self.notes().select("note_id"), "note_id", "left_semi")
 
     def register_views(self) -> None:
@@ -85,12 +106,12 @@ class NoteStore:
     def describe(self) -> DataFrame:
         """Row count, columns, types and modes of both tables."""
         shaped = []
-        for name, path, schema in (
-            ("notes_synth", self.notes_path, NOTES_SCHEMA),
-            ("notes_labels", self.labels_path, LABELS_SCHEMA),
+        for name, table, path, schema in (
+            ("notes_synth", "notes", self.notes_path, NOTES_SCHEMA),
+            ("notes_labels", "labels", self.labels_path, LABELS_SCHEMA),
         ):
             declared = self.spark.createDataFrame([], schema).schema
-            shaped.append(table_profile(self.spark.read.schema(declared).parquet(path), name, declared))
+            shaped.append(table_profile(self._read(table, path, schema), name, declared))
         return shaped[0].unionByName(shaped[1])
 
 

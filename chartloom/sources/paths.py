@@ -7,19 +7,19 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    system, hadoop_path = _file_system(spark, path)
+    system, hadoop_path = file_system(spark, path)
     return system.exists(hadoop_path)
 
 
 def has_rows(spark: SparkSession, path: str) -> bool:
     """Whether a table folder holds at least one data file."""
-    system, hadoop_path = _file_system(spark, path)
+    system, hadoop_path = file_system(spark, path)
     if not system.exists(hadoop_path):
         return False
     files = system.listFiles(hadoop_path, True)
@@ -36,7 +36,7 @@ def versioned_path(base: str, dataset: str, version: str, file: str = "") -> str
 
 def newest_run(spark: SparkSession, base: str) -> str:
     """The run folder with the greatest name under ``base``."""
-    system, hadoop_path = _file_system(spark, base)
+    system, hadoop_path = file_system(spark, base)
     if not system.exists(hadoop_path):
         raise FileNotFoundError(f"no such folder: {base}")
     runs = [s.getPath() for s in system.listStatus(hadoop_path) if s.isDirectory()]

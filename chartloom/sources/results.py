@@ -11,7 +11,8 @@ from chartloom.functions.keys import pair_from_note_id
 from chartloom.operators.evaluation import DEFAULT_THRESHOLD
 from chartloom.operators.ovr import COEFFICIENT_SCHEMA, Model
 from chartloom.operators.splits import assert_disjoint
-from chartloom.sources.paths import exists
+from chartloom.sources import commits
+from chartloom.sources.paths import exists, file_system
 
 KEY_TYPES = ("pairs", "encounter_ids")
 # Model names and the folders their bundles live in.
@@ -104,20 +105,28 @@ def save_per_code_stats(stats: DataFrame, path: str) -> None:
 
 
 def save_model(model: Model, models_dir: str, name: str) -> str:
-    """Store a model's tables under ``models_dir/name``."""
+    """Store a model's tables under ``models_dir/name`` as its newest version.
+
+    The tables go to a new folder and a pointer is switched when all of them are whole.
+    Earlier versions stay as they are, so a model may be saved over the one it was read from.
+    """
     path = f"{models_dir.rstrip('/')}/{name}"
     spark = model.coefficients.sparkSession
-    model.vocabularies.write.mode("overwrite").parquet(f"{path}/vocabularies")
-    model.coefficients.write.mode("overwrite").parquet(f"{path}/coefficients")
+    folder = commits.fresh_name()
+    model.vocabularies.write.parquet(f"{path}/{folder}/vocabularies")
+    model.coefficients.write.parquet(f"{path}/{folder}/coefficients")
     info = spark.createDataFrame([(json.dumps(model.info), model.labels)], "info string, labels array<string>")
-    info.write.mode("overwrite").parquet(f"{path}/info")
+    info.write.parquet(f"{path}/{folder}/info")
+    commits.publish(spark, path, lambda state: {"folder": folder})
     return path
 
 
 def load_model(spark: SparkSession, models_dir: str, name: str) -> Model:
     path = f"{models_dir.rstrip('/')}/{name}"
-    if not exists(spark, f"{path}/info"):
+    version, state = commits.latest(spark, path)
+    if not version:
         raise FileNotFoundError(f"no model at {path}")
+    path = f"{path}/{state['folder']}"
     row = spark.read.parquet(f"{path}/info").first()
     return Model(
         spark.read.schema(VOCABULARY_SCHEMA).parquet(f"{path}/vocabularies"),
@@ -135,12 +144,10 @@ def load_named_model(spark: SparkSession, models_dir: str, model: str = "encount
 
 
 def available_models(spark: SparkSession, models_dir: str) -> list[str]:
-    """Public names with a stored model, from one listing of the folder."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(models_dir)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    """Public names with a whole stored model."""
+    files, path = file_system(spark, models_dir)
     present = {s.getPath().getName() for s in files.listStatus(path)} if files.exists(path) else set()
-    # The info table is written last; its folder marks a whole model.
-    whole = {f for f in present if files.exists(spark._jvm.org.apache.hadoop.fs.Path(path, f"{f}/info"))}
+    whole = {f for f in present & set(MODEL_BUNDLES.values()) if commits.latest(spark, f"{models_dir.rstrip('/')}/{f}")[0]}
     return sorted((n for n, folder in MODEL_BUNDLES.items() if folder in whole), key=list(MODEL_BUNDLES).index)
 
 

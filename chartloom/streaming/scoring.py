@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from chartloom.operators.evaluation import DEFAULT_THRESHOLD
 from chartloom.operators.notes import MIN_NOTE_CHARS
 from chartloom.operators.ovr import Model, score_notes
-from chartloom.operators.predict import SERVICE_DEFAULT_DESCRIPTION, predict_threshold, responses
+from chartloom.operators.predict import SERVICE_DEFAULT_DESCRIPTION, describe, predict_threshold, responses
 
 PREDICTION_SCHEMA = "note_id string, code string, confidence double"
 RESPONSE_SCHEMA = (
@@ -28,6 +30,7 @@ def score_stream(
     threshold: float = DEFAULT_THRESHOLD,
     available_now: bool = True,
     model_name: str = "",
+    dictionary: Callable[[SparkSession], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Write thresholded predictions and one response for each arriving (note_id, note_text).
 
@@ -35,6 +38,10 @@ def score_stream(
     overwritten when the batch is replayed, which keeps the output exactly-once. Notes the
     service would refuse (no text, or fewer than MIN_NOTE_CHARS characters) go to the
     rejects with the reason.
+
+    ``dictionary`` gives (code_3char, description), one row per code. It is called for every
+    micro-batch, so a stream that runs for months answers with the descriptions of the day;
+    codes it lacks, and all codes without it, have the empty description.
     """
     n_codes = model.coefficients.count()
 
@@ -49,7 +56,10 @@ def score_stream(
         path = f"{out}/predictions/batch={batch_id}"
         predictions.write.mode("overwrite").parquet(path)
         stored = batch.sparkSession.read.schema(PREDICTION_SCHEMA).parquet(path)
-        described = stored.withColumn("description", F.lit(SERVICE_DEFAULT_DESCRIPTION))
+        if dictionary is None:
+            described = stored.withColumn("description", F.lit(SERVICE_DEFAULT_DESCRIPTION))
+        else:
+            described = describe(stored, dictionary(batch.sparkSession), SERVICE_DEFAULT_DESCRIPTION)
         answers = responses(described, valid, model_name, n_codes)
         answers.write.mode("overwrite").parquet(f"{out}/responses/batch={batch_id}")
         notes.unpersist()

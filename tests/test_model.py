@@ -201,6 +201,12 @@ def test_model_store_round_trip(corpus, model, spark, tmp_path):
     assert rs.available_models(spark, models) == ["patient"]
     loaded = rs.load_named_model(spark, models, "patient")
     assert loaded.labels == model.labels and loaded.info == model.info
+    # Saved over the path it is read from: both the old handle and the new one stay whole.
+    rs.save_model(loaded, models, rs.MODEL_BUNDLES["patient"])
+    again = rs.load_named_model(spark, models, "patient")
+    assert again.coefficients.count() == loaded.coefficients.count() == model.coefficients.count()
+    (tmp_path / rs.MODEL_BUNDLES["encounter"] / "half" / "vocabularies").mkdir(parents=True)  # a save that never finished
+    assert rs.available_models(spark, models) == ["patient"]
     dictionary = rs.read_dictionary(spark, str(tmp_path / "none.csv"))
     one = corpus[0].limit(1)
     assert wf.predict(one, loaded, dictionary).collect() == wf.predict(one, model, dictionary).collect()

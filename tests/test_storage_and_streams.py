@@ -12,6 +12,7 @@ from chartloom.operators import ovr
 from chartloom.plans import workflows as wf
 from chartloom.plans.writers import template_writer
 from chartloom.session import scratch_root
+from chartloom.sources import commits as cm
 from chartloom.sources import landing as ld
 from chartloom.sources import paths as ph
 from chartloom.sources import results as rs
@@ -89,6 +90,47 @@ def test_note_store(spark, tmp_path, caplog):
     assert read_backup(spark, str(tmp_path / "backup")).where("encounter_id IS NULL").count() == 2
 
 
+def test_a_failed_append_changes_nothing(spark, tmp_path):
+    store = NoteStore(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        store.notes()
+    store.ensure_tables()
+    notes = spark.createDataFrame([note(1)], NOTES_SCHEMA)
+    labels = spark.createDataFrame([("n1", "A01", None, True)], LABELS_SCHEMA)
+    store.append(notes, labels)
+    before = store.notes(), store.labels()
+    # Labels of n2 are written, its note then fails: neither is seen, though files are there.
+    more = labels.withColumn("note_id", F.explode(F.array(F.lit("n2"), F.lit("n1"))))
+    with pytest.raises(Exception, match="must not be null"):
+        store.append(notes.withColumns({"note_id": F.lit("n2"), "note_text": F.lit(None).cast("string")}), more)
+    assert len(list((tmp_path / "notes_labels").glob("run=*"))) == 2
+    assert store.notes().count() == 1 and store.labels().count() == 1
+    store.append(notes.withColumn("note_id", F.lit("n2")), more)
+    assert sorted(r.note_id for r in store.labels().collect()) == ["n1", "n1", "n2"]
+    assert [frame.count() for frame in before] == [1, 1]  # opened before, still as it was
+    # A run may have notes and no labels.
+    store.append(notes.withColumn("note_id", F.lit("n3")), labels.where("false"))
+    assert store.notes().count() == 3 and store.labels().count() == 3
+
+
+def test_a_commit_in_between_is_kept(spark, tmp_path):
+    root, tries = str(tmp_path), []
+
+    def add(state):
+        if not tries:  # another writer commits after this one has read the state
+            tries.append(1)
+            cm.publish(spark, root, lambda other: {"seen": [*other.get("seen", []), "other"]})
+        return {"seen": [*state.get("seen", []), "own"]}
+
+    assert cm.latest(spark, root) == (0, {})
+    assert cm.publish(spark, root, add) == 2
+    assert cm.latest(spark, root) == (2, {"seen": ["other", "own"]})
+    for _ in range(9):
+        cm.publish(spark, root, lambda state: state)
+    assert cm.latest(spark, root)[0] == 11  # by number, not by name
+    assert not [f for f in (tmp_path / "_commits").iterdir() if f.suffix not in (".json", ".crc")]
+
+
 def test_split_and_results_round_trip(spark, tmp_path):
     split = spark.createDataFrame([("a::b", "dev")], "key string, bucket string")
     path = str(tmp_path / "split")
@@ -202,11 +244,20 @@ def test_scoring_stream_scores_each_arrival_once(spark, tmp_path):
     model = ovr.fit(notes, labels, labels.select("label_code").distinct())
     feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
     assert sc.read_predictions(spark, out).isEmpty()
+    known = tmp_path / "dictionary.csv"
     arrivals = [[("x", "a cough and fever"), ("short", "cough")], [("y", "gait trouble and knee pain")]]
-    for batch in arrivals:
+    # The dictionary is replaced between the batches: each is described by the one of its time.
+    tables = ["code_3char,description\nJ20,bronchitis\n", "code_3char,description\nM17,knee\n"]
+    for batch, table in zip(arrivals, tables):
+        known.write_text(table)
         spark.createDataFrame(batch, "note_id string, note_text string").write.mode("append").json(feed)
         stream = spark.readStream.schema("note_id string, note_text string").json(feed)
-        sc.score_stream(stream, model, out).awaitTermination()
+        sc.score_stream(stream, model, out, dictionary=lambda s: rs.read_dictionary(s, str(known))).awaitTermination()
+    answers = {r.note_id: [(p.code, p.description) for p in r.predictions] for r in sc.read_responses(spark, out).collect()}
+    assert answers == {"x": [("J20", "bronchitis")], "y": [("M17", "knee")]}
+    bare = str(tmp_path / "bare")
+    sc.score_stream(spark.readStream.schema("note_id string, note_text string").json(feed), model, bare).awaitTermination()
+    assert {p.description for r in sc.read_responses(spark, bare).collect() for p in r.predictions} == {""}
     assert sorted((r.note_id, r.code) for r in sc.read_predictions(spark, out).collect()) == [("x", "J20"), ("y", "M17")]
 
 
