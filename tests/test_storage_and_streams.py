@@ -236,6 +236,26 @@ def test_latest_stream_picks_up_later_files(spark, tmp_path):
     assert sorted(r.note_id for r in lt.read_latest(spark, out).collect()) == ["n4", "n5"]
 
 
+def test_latest_stream_is_compacted(spark, tmp_path):
+    feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
+    schema = spark.createDataFrame([], NOTES_SCHEMA).schema
+    expected = {}
+    for i in range(5):
+        arriving = [note(i, patient=f"p{i % 2}", when=T(2026, 1, 1 + (i if i != 4 else 0))), note(f"once{i}", patient=f"q{i}")]
+        for row in arriving:
+            expected[row[2]] = max(expected.get(row[2], row), row, key=lambda r: (r[6], r[0]))
+        spark.createDataFrame(arriving, NOTES_SCHEMA).coalesce(1).write.mode("append").json(feed)
+        lt.follow_latest(spark, feed, schema, out, compact_every=2).awaitTermination()
+        found = {r.patient_id: r.note_id for r in lt.read_latest(spark, out).collect()}
+        assert found == {patient: row[0] for patient, row in expected.items()}
+    through = cm.latest(spark, out)[1]["through"]
+    folders = lt.state_folders(spark, out)
+    batches = [int(f.rsplit("=", 1)[1]) for f in folders[1:]]
+    assert "/snapshots/" in folders[0] and len(batches) < 2 and all(b > through for b in batches)
+    read = lt.read_latest(spark, out).inputFiles()
+    assert read and all(any(folder in file for folder in folders) for file in read)
+
+
 def test_scoring_stream_scores_each_arrival_once(spark, tmp_path):
     notes = spark.createDataFrame(
         [(str(i), "cough and fever today" if i % 2 else "knee pain and gait trouble") for i in range(20)], "note_id string, note_text string"
