@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from chartloom.operators.joins import hot_keys, may_broadcast
 
 SOURCE_VOCABULARY = "SNOMED"
 TARGET_VOCABULARY = "ICD10CM"
@@ -54,19 +54,16 @@ def crosswalk(concept: DataFrame, concept_relationship: DataFrame) -> DataFrame:
 
 
 def billable_conditions(
-    conditions: DataFrame,
-    concept: DataFrame,
-    concept_relationship: DataFrame,
-    *,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    salts: int = 16,
+    conditions: DataFrame, concept: DataFrame, concept_relationship: DataFrame, *, salts: int = 16
 ) -> DataFrame:
     """Conditions with every billable code their source code maps to; unmapped rows drop out.
 
-    The crosswalk's rows are counted first. A small one is broadcast, and the condition
-    table is never shuffled. A larger one meets the conditions on (code, salt): each code
-    is spread over ``salts`` shuffle keys, the crosswalk repeated once per salt, so that
-    a code holding a third of all conditions does not end up in one task.
+    No job runs while the frame is built. Dictionaries that Spark estimates below its
+    broadcast limit are joined one after another, so that Spark broadcasts each and the
+    condition table is never shuffled. Larger ones are joined with each other first and
+    meet the conditions on (code, salt): codes that hold a large share of all conditions
+    are spread over ``salts`` keys, with as many copies of their few crosswalk rows; all
+    other codes have one key.
     """
     facts = conditions.select(
         F.col("PATIENT").alias("patient_id"),
@@ -76,16 +73,18 @@ def billable_conditions(
         F.col("CODE").cast("string").alias("snomed_code"),
         F.col("DESCRIPTION").alias("snomed_description"),
     )
-    codes = crosswalk(concept, concept_relationship)
-    small = broadcast_if_small(codes, max_broadcast_rows)
-    on = ["snomed_code"]
-    if small is not None:
-        codes = small
-    elif salts > 1:
-        facts = facts.withColumn("_salt", F.pmod(F.xxhash64("patient_id", "encounter_id"), F.lit(salts)))
-        codes = codes.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        on = ["snomed_code", "_salt"]
-    return facts.join(codes, on).select(
+    sides = [standard_concepts(concept), mapping_edges(concept_relationship), target_concepts(concept)]
+    if all(map(may_broadcast, sides)):
+        standard, edges, target = sides
+        target = target.withColumnRenamed("icd10_name", "icd10_description")
+        joined = (
+            facts.join(standard.select("snomed_concept_id", "snomed_code"), "snomed_code")
+            .join(edges, "snomed_concept_id")
+            .join(target, "icd10_concept_id")
+        )
+    else:
+        joined = _salted_join(facts, crosswalk(concept, concept_relationship), "snomed_code", salts)
+    return joined.select(
         "patient_id",
         "encounter_id",
         "condition_start_date",
@@ -97,6 +96,18 @@ def billable_conditions(
     )
 
 
+def _salted_join(facts: DataFrame, codes: DataFrame, key: str, salts: int) -> DataFrame:
+    """Inner join in which only hot keys of ``facts`` are spread over several shuffle keys."""
+    hot = hot_keys(facts, key)
+    one, last = F.lit(0).cast("long"), F.lit(salts - 1).cast("long")
+    is_hot = F.array_contains("_hot", F.col(key))
+    spread = F.when(is_hot, F.pmod(F.xxhash64("patient_id", "encounter_id", "condition_start_date"), F.lit(salts)))
+    copies = F.explode(F.sequence(one, F.when(is_hot, last).otherwise(one)))
+    salted = facts.withColumn("_hot", hot).withColumn("_salt", F.coalesce(spread, one)).drop("_hot")
+    copied = codes.withColumn("_hot", hot).withColumn("_salt", copies).drop("_hot")
+    return salted.join(copied, [key, "_salt"]).drop("_salt")
+
+
 def register_billable_view(
     conditions: DataFrame, concept: DataFrame, concept_relationship: DataFrame, name: str = "conditions_billable"
 ) -> DataFrame:

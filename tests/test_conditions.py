@@ -12,6 +12,8 @@ from chartloom.operators import picker as pk
 from chartloom.operators import prompts as pm
 from chartloom.operators import ranking as rk
 from chartloom.operators import terminology as tm
+from chartloom.operators.joins import hot_keys
+from chartloom.session import DEFAULTS
 
 D = dt.date
 CONDITION_SCHEMA = (
@@ -55,10 +57,53 @@ def test_mapping_fans_out_keeps_duplicates_and_drops_unmapped(terminology, rows)
     ]
 
 
-def test_salted_mapping_equals_broadcast_mapping(terminology, rows):
-    salted = tm.billable_conditions(*terminology, max_broadcast_rows=0, salts=3)
-    assert rows(salted) == rows(tm.billable_conditions(*terminology))
-    assert "Broadcast" not in salted._jdf.queryExecution().optimizedPlan().toString()
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", DEFAULTS["spark.sql.autoBroadcastJoinThreshold"])
+
+
+def test_salted_mapping_equals_broadcast_mapping(spark, terminology, rows, no_broadcast):
+    salted = tm.billable_conditions(*terminology, salts=3)
+    assert "Broadcast" not in salted._jdf.queryExecution().executedPlan().toString()
+    found = rows(salted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64MB")
+    assert found == rows(tm.billable_conditions(*terminology))
+
+
+def _many_conditions(spark, n=6000):
+    """A third of all rows has one code, the rest 500 codes."""
+    return spark.range(n).select(
+        F.concat(F.lit("p"), F.col("id") % 700).alias("PATIENT"),
+        F.col("id").cast("string").alias("ENCOUNTER"),
+        F.lit(None).cast("date").alias("START"),
+        F.lit(None).cast("date").alias("STOP"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("CODE"),
+        F.lit("d").alias("DESCRIPTION"),
+    )
+
+
+def test_only_the_hot_code_is_spread(spark, no_broadcast):
+    codes = ["hot"] + [f"c{i}" for i in range(500)]
+    crosswalk = spark.createDataFrame([(c, f"I{i}") for i, c in enumerate(codes)], "snomed_code string, icd10_code string")
+    facts = _many_conditions(spark).select(
+        F.col("PATIENT").alias("patient_id"), F.col("ENCOUNTER").alias("encounter_id"),
+        F.col("START").alias("condition_start_date"), F.col("CODE").alias("snomed_code"),
+    )
+    assert facts.select(hot_keys(facts, "snomed_code")).first()[0] == ["hot"]
+    joined = tm._salted_join(facts, crosswalk, "snomed_code", 8)
+    assert joined.count() == 6000
+    assert joined.exceptAll(facts.join(crosswalk, "snomed_code").select(*joined.columns)).isEmpty()
+    empty = facts.where("false")
+    assert tm._salted_join(empty, crosswalk, "snomed_code", 8).isEmpty()
+
+
+def test_building_the_mapping_runs_no_job(spark, terminology):
+    spark.sparkContext.setJobGroup("mapping-plan", "no job may run")
+    tm.billable_conditions(*terminology)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("mapping-plan")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.mark.parametrize(
