@@ -66,9 +66,20 @@ def select_patients(
     n_patients: int = 50,
     min_conditions: int = MIN_PATIENT_CONDITIONS,
     max_conditions: int = MAX_PATIENT_CONDITIONS,
+    *,
+    include: DataFrame | None = None,
+    exclude: DataFrame | None = None,
 ) -> DataFrame:
-    """Capped condition rows of a reproducible sample of eligible patients."""
-    chosen = hash_sample(eligible_patients(billable, min_conditions), "patient_id", n_patients)
+    """Capped condition rows of a reproducible sample of eligible patients.
+
+    ``include`` and ``exclude`` (patient_id) are applied before the sample is cut.
+    """
+    patients = eligible_patients(billable, min_conditions)
+    if include is not None:
+        patients = keep_patients(patients, include)
+    if exclude is not None:
+        patients = drop_patients(patients, exclude)
+    chosen = hash_sample(patients, "patient_id", n_patients)
     return cap_conditions(dedup_conditions(billable, PATIENT_KEY, chosen), PATIENT_KEY, max_conditions)
 
 

@@ -522,6 +522,54 @@ def generate_notes(x):
     return gn.generate_notes(_templated(x).drop("conditions"), template_writer, pause=0).drop("prompt")
 
 
+RUN_NOTE_COLUMNS = (
+    "note_id", "run_id", "patient_id", "strategy", "prompt_version", "model", "note_text", "input_tokens", "output_tokens", "finish_reason",
+)
+
+
+@query
+def encounter_note_rows(x):
+    """Notes of every eligible encounter by the deterministic writer, in stored form."""
+    written = wf.write_encounter_notes(x.encounter_conditions, RUN_ID, template_writer, pause=0).notes
+    return written.select(
+        *RUN_NOTE_COLUMNS, "encounter_id",
+        F.array_join(F.array_sort("labels"), ",").alias("labels"),
+        F.coalesce("primary_code", F.lit("")).alias("primary_code"),
+    )
+
+
+def _second_run(x):
+    """A store with every given note, and a generation run after it for patients of none of run r000000, with a backup."""
+    store = NoteStore(x.spark, scratch_path(x.spark, "store"))
+    store.ensure_tables()
+    store.append(x.notes, x.labels)
+    backup = scratch_path(x.spark, "backup")
+    done = wf.generation_run(
+        x.billable, store, RUN_ID, template_writer, not_from_run="r000000", backup=backup, pause=0
+    )
+    return store, f"{backup}/run_{RUN_ID}.jsonl", done
+
+
+@query
+def generation_run(x):
+    """Stored notes of the run with their label counts, beside the text in the backup."""
+    store, backup, _ = _second_run(x)
+    labels = store.labels().groupBy("note_id").agg(
+        F.count("*").alias("n_labels"), F.count_if("is_primary").alias("n_primary")
+    )
+    saved = read_backup(x.spark, backup).select("note_id", F.col("note_text").alias("saved_text"))
+    stored = store.notes().where(F.col("run_id") == RUN_ID).join(labels, "note_id", "left").join(saved, "note_id", "left")
+    return stored.select(
+        *RUN_NOTE_COLUMNS, "n_labels", "n_primary", F.equal_null("note_text", "saved_text").alias("is_backed_up")
+    )
+
+
+@query
+def generation_totals(x):
+    """Totals of the run."""
+    return rounded(_second_run(x)[2].summary)
+
+
 @query
 def generation_failures(x):
     return gn.generation_failures(x.clinical("generation_outcome"))

@@ -336,6 +336,14 @@ STEPS: dict[str, str] = {
     f"{_quoted(PRIMARY_DX_TEMPLATE.split('{primary_condition}')[1].split('{secondary_block}')[0])} || coalesce(s.block, '- (none)') || "
     f"{_quoted(PRIMARY_DX_TEMPLATE.split('{secondary_block}')[1])} AS prompt "
     "FROM picked p LEFT JOIN secondary s ON p.patient_id = s.patient_id",
+    "written": f"SELECT *, CAST(floor(length(prompt) / 4) AS BIGINT) AS input_tokens, 'HOSPITAL COURSE' || chr(10) || {WRITTEN} AS note_text FROM ("
+    "SELECT patient_id, 'multilabel' AS strategy, 'v1-multilabel' AS prompt_version, CAST(NULL AS VARCHAR) AS primary_code, prompt "
+    "FROM multilabel_prompts UNION ALL SELECT patient_id, 'primary_dx', 'v2-primary_dx', primary_code, prompt FROM primary_prompts)",
+    "run_patients": "SELECT * FROM eligible_p WHERE patient_id NOT IN (SELECT patient_id FROM in_run) ORDER BY md5(patient_id), patient_id LIMIT 50",
+    "run_notes": f"SELECT '{RUN_ID}_' || w.patient_id || '_' || w.strategy AS note_id, '{RUN_ID}' AS run_id, w.patient_id, w.strategy, w.prompt_version, "
+    "'template-writer' AS model, w.note_text, w.input_tokens, CAST(floor(length(w.note_text) / 4) AS BIGINT) AS output_tokens, 'STOP' AS finish_reason, "
+    "c.n_labels, CASE WHEN w.strategy = 'primary_dx' THEN 1 ELSE 0 END::BIGINT AS n_primary FROM written w JOIN run_patients r ON w.patient_id = r.patient_id "
+    "JOIN (SELECT patient_id, count(*) AS n_labels FROM patient_cap GROUP BY patient_id) c ON w.patient_id = c.patient_id",
     "labels3": _rolled(3),
     "labels1": _rolled(1),
     "labels0": "SELECT note_id, icd10_code AS label_code, is_primary FROM notes_labels",
@@ -548,10 +556,19 @@ FINAL: dict[str, str] = {
     "(SELECT patient_id, string_agg(icd10_code, ',' ORDER BY icd10_code) AS labels FROM patient_cap GROUP BY patient_id) USING (patient_id)",
     "generate_notes": "SELECT patient_id, strategy, prompt_version, primary_code, note_text, input_tokens, "
     "CAST(floor(length(note_text) / 4) AS BIGINT) AS output_tokens, 'template-writer' AS model, 'STOP' AS finish_reason, "
-    "'ok' AS status, CAST(NULL AS VARCHAR) AS error FROM (SELECT *, CAST(floor(length(prompt) / 4) AS BIGINT) AS input_tokens, "
-    f"'HOSPITAL COURSE' || chr(10) || {WRITTEN} AS note_text FROM ("
-    "SELECT patient_id, 'multilabel' AS strategy, 'v1-multilabel' AS prompt_version, CAST(NULL AS VARCHAR) AS primary_code, prompt "
-    "FROM multilabel_prompts UNION ALL SELECT patient_id, 'primary_dx', 'v2-primary_dx', primary_code, prompt FROM primary_prompts))",
+    "'ok' AS status, CAST(NULL AS VARCHAR) AS error FROM written",
+    "encounter_note_rows": f"SELECT '{RUN_ID}_' || encounter_id || '_encounter' AS note_id, '{RUN_ID}' AS run_id, patient_id, "
+    "'encounter-multilabel' AS strategy, 'v1-encounter-multilabel' AS prompt_version, 'template-writer' AS model, note_text, input_tokens, "
+    "CAST(floor(length(note_text) / 4) AS BIGINT) AS output_tokens, 'STOP' AS finish_reason, encounter_id, labels, '' AS primary_code FROM "
+    f"(SELECT *, CAST(floor(length(prompt) / 4) AS BIGINT) AS input_tokens, 'HOSPITAL COURSE' || chr(10) || {WRITTEN} AS note_text "
+    f"FROM (SELECT encounter_id, patient_id, string_agg(icd10_code, ',' ORDER BY icd10_code) AS labels, {_quoted(MULTILABEL_TEMPLATE.split('{conditions_block}')[0])} || "
+    f"string_agg({LINE}, chr(10) ORDER BY position) || {_quoted(MULTILABEL_TEMPLATE.split('{conditions_block}')[1])} AS prompt FROM encounter_cap GROUP BY encounter_id, patient_id))",
+    "generation_run": "SELECT note_id, run_id, patient_id, strategy, prompt_version, model, note_text, input_tokens, output_tokens, "
+    "finish_reason, n_labels, n_primary, true AS is_backed_up FROM run_notes",
+    "generation_totals": "SELECT run_id, n_notes, n_label_rows, CAST(0 AS BIGINT) AS n_failures, total_in, total_out, "
+    "round(total_in * 0.30::DOUBLE / 1e6 + total_out * 2.50::DOUBLE / 1e6, 6) AS cost_usd FROM (SELECT run_id, count(*) AS n_notes, "
+    "CAST(sum(n_labels) AS BIGINT) AS n_label_rows, CAST(sum(input_tokens) AS BIGINT) AS total_in, CAST(sum(output_tokens) AS BIGINT) AS total_out "
+    "FROM run_notes GROUP BY run_id)",
     "generation_failures": "SELECT * FROM generation_outcome WHERE status = 'failed'",
     "generation_cost": "SELECT run_id, CAST(total_in AS BIGINT) AS total_in, CAST(total_out AS BIGINT) AS total_out, round(total_in * 0.30::DOUBLE / 1e6 + total_out * 2.50::DOUBLE / 1e6, 6) AS cost_usd FROM "
     "(SELECT run_id, sum(coalesce(input_tokens, 0)) AS total_in, sum(coalesce(output_tokens, 0)) AS total_out FROM notes_synth GROUP BY run_id)",

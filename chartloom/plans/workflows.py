@@ -21,12 +21,13 @@ from chartloom.operators import notes as nt
 from chartloom.operators import ovr
 from chartloom.operators import predict as pr
 from chartloom.operators import prompts as pm
-from chartloom.operators.cohort import ENCOUNTER_KEY, PATIENT_KEY
+from chartloom.operators.cohort import ENCOUNTER_KEY, PATIENT_KEY, patients_in_run, select_encounters, select_patients
 from chartloom.operators.dataset import Dataset
 from chartloom.operators.generation import generate_notes, generated_ok, generation_failures
 from chartloom.operators.labels import labels_per_note
 from chartloom.operators.splits import SEED, stratified_folds
 from chartloom.session import materialize
+from chartloom.sources.notestore import NoteStore, write_backup
 
 N_FEATURES = sum(block.max_features for block in ft.BLOCKS)
 
@@ -100,6 +101,91 @@ def write_encounter_notes(
     )
 
 
+@dataclass
+class StoredRun:
+    """What a generation job did: its rows and one row of totals."""
+
+    run: GenerationRun
+    summary: DataFrame  # run_id, n_notes, n_label_rows, n_failures, total_in, total_out, cost_usd
+    stored: bool
+
+
+def _finish(run: GenerationRun, store: NoteStore, backup: str | None, dry_run: bool) -> StoredRun:
+    """Back up a run's notes, add notes and labels to the store unless it is a dry run, and sum the run up."""
+    fixed = GenerationRun(run.run_id, materialize(run.notes, "run-notes"), run.labels, run.failures)
+    if backup:
+        write_backup(fixed.notes, f"{backup.rstrip('/')}/run_{run.run_id}.jsonl")
+    if not dry_run:
+        store.ensure_tables()
+        store.append(fixed.notes, fixed.labels)
+    counts = nt.run_summary(fixed.notes, fixed.labels, fixed.failures)
+    summary = counts.join(nt.generation_cost(fixed.notes, ["run_id"]), "run_id", "left").na.fill(
+        0, ["total_in", "total_out", "cost_usd"]
+    )
+    return StoredRun(fixed, summary, not dry_run)
+
+
+def _confirmed(
+    subjects: DataFrame, n_strategies: int, confirm: Callable[[dict[str, Any]], bool] | None
+) -> bool:
+    """Whether the run may go ahead: small ones always, large ones if ``confirm`` says so or is not given."""
+    preview = nt.cost_preview(subjects, n_strategies).first().asDict()
+    return not preview["needs_confirmation"] or confirm is None or confirm(preview)
+
+
+def generation_run(
+    billable: DataFrame,
+    store: NoteStore,
+    run_id: str,
+    make_writer: Callable[[], Any],
+    *,
+    n_patients: int = 50,
+    strategies: Sequence[str] = ks.PATIENT_STRATEGIES,
+    from_run: str | None = None,
+    not_from_run: str | None = None,
+    backup: str | None = None,
+    dry_run: bool = False,
+    confirm: Callable[[dict[str, Any]], bool] | None = None,
+    **options: Any,
+) -> StoredRun | None:
+    """One job from the pool of patients to stored notes: select, prompt, write, back up, append, sum up.
+
+    ``from_run`` and ``not_from_run`` restrict the pool to patients with, or without, a note of that stored run.
+    ``confirm`` is shown the cost preview of a large run; if it refuses, nothing is written and the result is None.
+    A dry run writes notes and backup, but leaves the store alone. Give ``ledger`` (see ``generate_notes``) to
+    take a run up again that died: finished prompts are not written twice. Notes and labels become visible
+    together, or not at all.
+    """
+    include, exclude = (
+        None if run is None else patients_in_run(store.notes(), run) for run in (from_run, not_from_run)
+    )
+    chosen = select_patients(billable, n_patients, include=include, exclude=exclude)
+    conditions = materialize(chosen, "run-conditions")
+    if not _confirmed(conditions.select("patient_id").distinct(), len(strategies), confirm):
+        return None
+    run = write_patient_notes(conditions, run_id, make_writer, strategies, **options)
+    return _finish(run, store, backup, dry_run)
+
+
+def encounter_generation_run(
+    billable: DataFrame,
+    store: NoteStore,
+    run_id: str,
+    make_writer: Callable[[], Any],
+    *,
+    n_encounters: int = 200,
+    backup: str | None = None,
+    dry_run: bool = False,
+    confirm: Callable[[dict[str, Any]], bool] | None = None,
+    **options: Any,
+) -> StoredRun | None:
+    """The same job with one note per encounter."""
+    conditions = materialize(select_encounters(billable, n_encounters), "run-conditions")
+    if not _confirmed(conditions.select(*ENCOUNTER_KEY).distinct(), 1, confirm):
+        return None
+    return _finish(write_encounter_notes(conditions, run_id, make_writer, **options), store, backup, dry_run)
+
+
 # ---------------------------------------------------------------- training and evaluation
 
 
