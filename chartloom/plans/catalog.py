@@ -1026,6 +1026,16 @@ def csv_landing(x):
     return text_dates(landed).select("PATIENT", "ENCOUNTER", "START", "STOP", "CODE", "DESCRIPTION")
 
 
+@query
+def csv_quoted_lines(x):
+    """Conditions whose descriptions hold line breaks, quotes and commas, written as CSV and landed again."""
+    path = f"{scratch_path(x.spark, 'landing')}/conditions.csv"
+    broken = F.concat(F.regexp_replace("DESCRIPTION", " ", "\n"), F.lit('", "x"'))
+    x.conditions.withColumn("DESCRIPTION", broken).write.csv(path, header=True, escape='"')
+    landed = ld.read_records_csv(x.spark, path, ld.CONDITIONS_SCHEMA)
+    return text_dates(landed).select("PATIENT", "ENCOUNTER", "START", "STOP", "CODE", "DESCRIPTION")
+
+
 @query
 def tsv_vocabulary(x):
     """Concepts written as unquoted TSV and read again."""

@@ -671,6 +671,8 @@ FINAL: dict[str, str] = {
     "stream_latest": "SELECT patient_id, strategy, note_id FROM latest_all",
     "csv_landing": "SELECT PATIENT, ENCOUNTER, CAST(START AS VARCHAR) AS START, CAST(STOP AS VARCHAR) AS STOP, "
     "CAST(CODE AS VARCHAR) AS CODE, DESCRIPTION FROM conditions",
+    "csv_quoted_lines": "SELECT PATIENT, ENCOUNTER, CAST(START AS VARCHAR) AS START, CAST(STOP AS VARCHAR) AS STOP, "
+    "CAST(CODE AS VARCHAR) AS CODE, replace(DESCRIPTION, ' ', chr(10)) || '\", \"x\"' AS DESCRIPTION FROM conditions",
     "tsv_vocabulary": "SELECT * FROM concept",
     "stored_notes": "SELECT note_id, run_id, patient_id, strategy, note_text FROM notes_synth",
     "stored_after_failure": "SELECT n.note_id, n.run_id, count(l.note_id) AS n_labels FROM notes_synth n LEFT JOIN notes_labels l ON n.note_id = l.note_id "

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chartloom.sources.paths import require_files, versioned_path
+from chartloom.sources.quotedcsv import read_quoted_csv
 
 # Landed tables and their files.
 RECORD_FILES = {
@@ -27,12 +28,15 @@ def read_records_csv(
 ) -> DataFrame:
     """CSV with a header.
 
-    Quoted values may span lines with ``multi_line``; Spark then reads a file in one task,
-    so turn it off for tables that are known to have no such values.
+    Quoted values may span lines with ``multi_line``. Files are split either way; turn it off for
+    tables that are known to have no such values, which are then read once.
     Columns are matched to ``schema`` by header name, whatever their order in the file;
     columns the file lacks are null. Without a schema every column is text.
     """
-    raw = spark.read.csv(path, header=True, multiLine=multi_line, escape='"', inferSchema=False)
+    if multi_line:
+        raw = read_quoted_csv(spark, path)
+    else:
+        raw = spark.read.csv(path, header=True, escape='"', inferSchema=False)
     if schema is None:
         return raw
     wanted = spark.createDataFrame([], schema).schema
