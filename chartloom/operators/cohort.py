@@ -91,7 +91,7 @@ def select_encounters(
 ) -> DataFrame:
     """Capped condition rows of a reproducible sample of eligible encounters, without Z-codes."""
     clinical = drop_zcodes(billable, case_sensitive=True)
-    chosen = hash_sample(eligible(clinical, ENCOUNTER_KEY, min_conditions), "encounter_id", n_encounters)
+    chosen = hash_sample(eligible(clinical, ENCOUNTER_KEY, min_conditions), "encounter_id", n_encounters, ties=["patient_id"])
     return cap_conditions(dedup_conditions(clinical, ENCOUNTER_KEY, chosen), ENCOUNTER_KEY, max_conditions)
 
 

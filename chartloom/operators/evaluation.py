@@ -1,12 +1,14 @@
 """Classification metrics over long prediction tables.
 
 Input rows are (note_id, code, y_true, y_pred, y_proba), dense over notes and codes,
-optionally with group columns such as fold or rollup.
+optionally with group columns such as fold or rollup. Count metrics also take ``Sparse`` predictions, which
+hold only the rows that are true or predicted; all other cells follow by subtraction.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,8 +23,51 @@ SUPPORT_BUCKETS = ((5, "1-5"), (15, "6-15"), (30, "16-30"), (50, "31-50"), (None
 DEFAULT_THRESHOLD = 0.5
 
 
-def confusion_per_code(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+@dataclass(frozen=True)
+class Sparse:
+    """Predictions without the cells that are neither true nor at ``floor`` or above.
+
+    ``rows`` are the cells kept; ``notes`` lists every scored note once, with the group columns; ``codes`` lists
+    every code (``code``) once, or once per group if codes differ between groups. Group columns are not null.
+    """
+
+    rows: DataFrame
+    notes: DataFrame
+    codes: DataFrame
+    floor: float
+
+    def sizes(self, by: Sequence[str]) -> DataFrame:
+        """Notes of every group that has any."""
+        return self.notes.groupBy(*by).agg(F.count("*").alias("_n")).where("_n > 0")
+
+    def cells(self, by: Sequence[str]) -> DataFrame:
+        """Every (group, code) with the group's notes; as large as groups times vocabulary."""
+        shared = [c for c in by if c in self.codes.columns]
+        if shared:
+            return self.sizes(by).join(self.codes.select(*shared, "code"), shared)
+        names = self.codes.agg(F.collect_list("code")).scalar()
+        return self.sizes(by).withColumn("_codes", names).select(*by, "_n", F.explode("_codes").alias("code"))
+
+    def with_group(self, name: str) -> Sparse:
+        """The same predictions as one group."""
+        one = F.lit(0)
+        return Sparse(self.rows.withColumn(name, one), self.notes.withColumn(name, one), self.codes, self.floor)
+
+
+Predictions = DataFrame | Sparse
+
+
+def sparse(predictions: DataFrame, notes: DataFrame, codes: DataFrame, floor: float = THRESHOLDS[0]) -> Sparse:
+    """The sparse form of dense predictions; ``floor`` must not lie above one half, where rows are predicted."""
+    if floor > DEFAULT_THRESHOLD:
+        raise ValueError("predicted rows would be lost")
+    return Sparse(predictions.where((F.col("y_true") == 1) | (F.col("y_proba") >= floor)), notes, codes, floor)
+
+
+def confusion_per_code(predictions: Predictions, by: Sequence[str] = ()) -> DataFrame:
     """tp, fp, fn, tn, support and predicted positives of every code, in one pass."""
+    if isinstance(predictions, Sparse):
+        return _sparse_confusion(predictions, by)
     truth, guess = F.col("y_true") == 1, F.col("y_pred") == 1
     return predictions.groupBy(*by, "code").agg(
         F.count_if(truth & guess).alias("tp"),
@@ -34,12 +79,24 @@ def confusion_per_code(predictions: DataFrame, by: Sequence[str] = ()) -> DataFr
     )
 
 
-def per_code_scores(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def _sparse_confusion(predictions: Sparse, by: Sequence[str]) -> DataFrame:
+    truth, guess = F.col("y_true") == 1, F.col("y_pred") == 1
+    seen = predictions.rows.groupBy(*by, "code").agg(
+        F.count_if(truth & guess).alias("tp"), F.count_if(~truth & guess).alias("fp"), F.count_if(truth & ~guess).alias("fn")
+    )
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    counted = predictions.cells(by).join(seen, [*by, "code"], "left").na.fill(0, ["tp", "fp", "fn"])
+    return counted.select(
+        *by, "code", "tp", "fp", "fn", (F.col("_n") - tp - fp - fn).alias("tn"), (tp + fn).alias("support"), (tp + fp).alias("pred_positive")
+    )
+
+
+def per_code_scores(predictions: Predictions, by: Sequence[str] = ()) -> DataFrame:
     """Confusion counts with unrounded precision, recall and F1."""
     return confusion_per_code(predictions, by).withColumns(sc.ratios())
 
 
-def per_code_stats(predictions: DataFrame) -> DataFrame:
+def per_code_stats(predictions: Predictions) -> DataFrame:
     """The per-code report: ratios rounded to three digits."""
     return per_code_scores(predictions).select(
         "code",
@@ -66,24 +123,31 @@ def averaged_scores(per_code: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def micro_scores(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def micro_scores(predictions: Predictions, by: Sequence[str] = ()) -> DataFrame:
     return averaged_scores(per_code_scores(predictions, by), by).select(
         *by, "micro_precision", "micro_recall", "micro_f1"
     )
 
 
-def macro_scores(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def macro_scores(predictions: Predictions, by: Sequence[str] = ()) -> DataFrame:
     return averaged_scores(per_code_scores(predictions, by), by).select(
         *by, "macro_precision", "macro_recall", "macro_f1"
     )
 
 
-def hamming_loss(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def hamming_loss(predictions: Predictions, by: Sequence[str] = ()) -> DataFrame:
     return averaged_scores(per_code_scores(predictions, by), by).select(*by, "hamming_loss")
 
 
-def subset_accuracy(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def subset_accuracy(predictions: Predictions, by: Sequence[str] = ()) -> DataFrame:
     """Share of notes whose every code is predicted right."""
+    if isinstance(predictions, Sparse):
+        wrong = predictions.rows.where("y_true <> y_pred").select(*by, "note_id").distinct()
+        counts = wrong.groupBy(*by).agg(F.count("*").alias("_wrong"))
+        sizes = predictions.sizes(by)
+        joined = sizes.join(counts, list(by), "left") if by else sizes.withColumn("_wrong", counts.scalar())
+        right = 1 - F.coalesce("_wrong", F.lit(0)) / F.col("_n")
+        return joined.select(*by, right.alias("subset_accuracy"), F.col("_n").alias("n_notes"))
     wrong = predictions.groupBy(*by, "note_id").agg(
         F.max((F.col("y_true") != F.col("y_pred")).cast("int")).alias("wrong")
     )
@@ -92,19 +156,22 @@ def subset_accuracy(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame
     )
 
 
-def score_table(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def score_table(predictions: Predictions, by: Sequence[str] = ()) -> DataFrame:
     """One row per group: sizes, micro/macro F1, subset accuracy, Hamming loss."""
     keys = list(by) or ["_all"]
-    rows = predictions if by else predictions.withColumn("_all", F.lit(0))
+    rows = predictions
+    if not by:
+        rows = rows.with_group("_all") if isinstance(rows, Sparse) else rows.withColumn("_all", F.lit(0))
     averaged = averaged_scores(per_code_scores(rows, keys), keys)
     return averaged.join(subset_accuracy(rows, keys), keys).select(
         *by, "n_notes", "n_codes", "micro_f1", "macro_f1", "subset_accuracy", "hamming_loss"
     )
 
 
-def fold_scores(oof: DataFrame) -> DataFrame:
+def fold_scores(oof: Predictions) -> DataFrame:
     """Scores of each fold with its training and validation size."""
-    total = oof.agg(F.count_distinct("note_id")).scalar()
+    notes = oof.notes if isinstance(oof, Sparse) else oof
+    total = notes.agg(F.count_distinct("note_id")).scalar()
     return score_table(oof, ["fold"]).select(
         "fold",
         (total - F.col("n_notes")).alias("n_train"),
@@ -127,15 +194,18 @@ def fold_summary(per_fold: DataFrame) -> DataFrame:
     )
 
 
-def threshold_sweep(predictions: DataFrame, thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:
+def threshold_sweep(predictions: Predictions, thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:
     """Micro and macro scores at each threshold (``y_proba >= t``), from one pass.
 
     Each probability is replaced by the number of thresholds it reaches; counting those
     per code leaves at most len(thresholds) + 1 rows per code, from which every
     threshold's counts follow as sums over the bins at or above it.
     """
+    rows = predictions.rows if isinstance(predictions, Sparse) else predictions
+    if isinstance(predictions, Sparse) and predictions.floor > min(thresholds):
+        raise ValueError("rows below the lowest threshold are needed")
     reached = sum((F.col("y_proba") >= t).cast("int") for t in thresholds)
-    bins = predictions.groupBy("code", reached.alias("bin")).agg(
+    bins = rows.groupBy("code", reached.alias("bin")).agg(
         F.sum("y_true").alias("positives"), F.count("*").alias("n")
     )
     steps = [
@@ -148,7 +218,19 @@ def threshold_sweep(predictions: DataFrame, thresholds: Sequence[float] = THRESH
         )
         for i, t in enumerate(thresholds, start=1)
     ]
-    per_code = bins.groupBy("code").agg(F.array(*steps).alias("steps")).select("code", F.inline("steps"))
+    per_code = bins.groupBy("code").agg(F.array(*steps).alias("steps"), F.sum("n").alias("n"))
+    if isinstance(predictions, Sparse):
+        zero = F.lit(0).cast("long")
+        none = [F.struct(F.lit(t).alias("threshold"), *[zero.alias(c) for c in ("tp", "fp", "fn", "tn")]) for t in thresholds]
+        every = predictions.cells(()).join(per_code, "code", "left")
+        # Cells without a row are true negatives at every threshold.
+        per_code = every.select(
+            "code",
+            F.inline(F.coalesce("steps", F.array(*none))),
+            (F.col("_n") - F.coalesce("n", zero)).alias("_rest"),
+        ).withColumn("tn", F.col("tn") + F.col("_rest"))
+    else:
+        per_code = per_code.select("code", F.inline("steps"))
     scored = per_code.withColumns(sc.ratios())
     names = [f"{kind}_{name}" for kind in ("micro", "macro") for name in ("precision", "recall", "f1")]
     return averaged_scores(scored, ["threshold"]).select("threshold", *names)
@@ -237,7 +319,7 @@ def top_codes_by_support(stats: DataFrame, n: int = 20) -> DataFrame:
     return stats.orderBy(F.desc("support"), "code").limit(n)
 
 
-def rollup_comparison(predictions: DataFrame) -> DataFrame:
+def rollup_comparison(predictions: Predictions) -> DataFrame:
     """Score table with one row per rollup."""
     return score_table(predictions, ["rollup"])
 

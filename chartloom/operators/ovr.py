@@ -398,7 +398,7 @@ def score_vectors(
 
     Coefficients travel to the tasks in label groups of bounded size; with ``min_proba``
     the rows below it are never emitted. With ``truth`` a column y_true tells whether the
-    code is among the note's ``label_codes``.
+    code is among the note's ``label_codes``; rows of true codes are emitted in any case.
     """
     spark = vectors.sparkSession
     schema = "note_id string, code string, y_proba double" + ", y_true int" * truth
@@ -444,7 +444,11 @@ def _scorer(shared, min_proba, vectorise, truth):
                     for row, own in zip(has, part["label_codes"], strict=True):
                         row[[place[c] for c in own if c in place]] = 1
                     frame["y_true"] = has.ravel()
-                yield frame if min_proba is None else frame[frame["y_proba"] >= min_proba]
+                if min_proba is None:
+                    yield frame
+                else:
+                    kept = frame["y_proba"] >= min_proba
+                    yield frame[kept | (frame["y_true"] == 1)] if truth else frame[kept]
 
     return run
 

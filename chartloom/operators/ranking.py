@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,13 +22,14 @@ def with_hash_rank(
     hex_digits: int = 3,
     rank: str = "hash_rank",
     across_groups: bool = False,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add the 1-based rank of each row by ``md5(seed:key)``, per ``group`` or overall.
 
     A plain ``row_number`` would sort each group in one task, so a group holding a third
     of the rows would sink the job. Here the leading hex digits of the hash cut every
     group into 16**hex_digits even slices: slice sizes give each slice's starting rank,
-    and rows are only ordered inside their slice. ``key`` must be unique in its group.
+    and rows are only ordered inside their slice. ``key``, or ``key`` with ``ties``, must be unique in its group.
 
     With ``across_groups`` the rank continues from one group (ascending) to the next.
     """
@@ -50,7 +53,7 @@ def with_hash_rank(
         starts = starts.join(group_starts, "_group").select(
             "_group", "_slice", (F.col("_start") + F.col("_group_start")).alias("_start")
         )
-    in_slice = Window.partitionBy("_group", "_slice").orderBy("_hash", key)
+    in_slice = Window.partitionBy("_group", "_slice").orderBy("_hash", key, *ties)
     return (
         keyed.join(starts, ["_group", "_slice"])
         .withColumn(rank, F.col("_start") + F.row_number().over(in_slice))
@@ -58,11 +61,16 @@ def with_hash_rank(
     )
 
 
-def hash_sample(df: DataFrame, key: str, n: int | Column, *, seed: int | str | None = None) -> DataFrame:
-    """The ``n`` rows that come first in hash order; ``n`` may be a scalar-subquery column."""
+def hash_sample(
+    df: DataFrame, key: str, n: int | Column, *, seed: int | str | None = None, ties: Sequence[str] = ()
+) -> DataFrame:
+    """The ``n`` rows that come first in hash order; ``n`` may be a scalar-subquery column.
+
+    Rows of one key follow each other in the order of ``ties``.
+    """
     if isinstance(n, int) and n <= TOP_K_LIMIT:
-        return df.orderBy(seeded_hash(F.col(key), seed), F.col(key)).limit(n)
-    ranked = with_hash_rank(df, key, seed=seed, rank="_sample_rank")
+        return df.orderBy(seeded_hash(F.col(key), seed), key, *ties).limit(n)
+    ranked = with_hash_rank(df, key, seed=seed, rank="_sample_rank", ties=ties)
     return ranked.where(F.col("_sample_rank") <= n).drop("_sample_rank")
 
 

@@ -215,18 +215,28 @@ class Inputs:
         data = self.dataset(bucket, rollup)
         return hashed_predictions(ds.binarize(data.notes, data.labels, data.vocab))
 
-    @cached_property
-    def oof(self):
-        folds = self.folds.select(F.col("key").alias("note_id"), "fold")
-        return self._predictions("dev").join(folds, "note_id")
-
     @cached_property
     def held_out(self):
         return self._predictions("test")
 
+    def _sparse(self, bucket: str, rollup: str = "3char", floor: float = ev.DEFAULT_THRESHOLD):
+        data = self.dataset(bucket, rollup)
+        codes = data.vocab.select(F.col("label_code").alias("code"))
+        return ev.sparse(self._predictions(bucket, rollup), data.notes.select("note_id"), codes, floor)
+
+    @cached_property
+    def held_out_sparse(self):
+        return self._sparse("test")
+
+    def oof_sparse(self, floor: float = ev.DEFAULT_THRESHOLD):
+        """Only kept cells meet their note's fold."""
+        folds = self.folds.select(F.col("key").alias("note_id"), "fold")
+        kept = self._sparse("dev", floor=floor)
+        return ev.Sparse(kept.rows.join(folds, "note_id"), kept.notes.join(folds, "note_id"), kept.codes, floor)
+
     @cached_property
     def stats(self):
-        return ev.per_code_stats(self.held_out)
+        return ev.per_code_stats(self.held_out_sparse)
 
     # ---- model with hash-derived coefficients over a vocabulary learnt from dev
 
@@ -709,7 +719,7 @@ def rebinarize(x):
 
 @query
 def confusion_per_code(x):
-    return ev.confusion_per_code(x.held_out)
+    return ev.confusion_per_code(x.held_out_sparse)
 
 
 @query
@@ -719,53 +729,53 @@ def per_code_prf(x):
 
 @query
 def micro_scores(x):
-    return rounded(ev.micro_scores(x.held_out))
+    return rounded(ev.micro_scores(x.held_out_sparse))
 
 
 @query
 def macro_scores(x):
-    return rounded(ev.macro_scores(x.held_out))
+    return rounded(ev.macro_scores(x.held_out_sparse))
 
 
 @query
 def subset_accuracy(x):
-    return rounded(ev.subset_accuracy(x.held_out))
+    return rounded(ev.subset_accuracy(x.held_out_sparse))
 
 
 @query
 def hamming_loss(x):
-    return rounded(ev.hamming_loss(x.held_out))
+    return rounded(ev.hamming_loss(x.held_out_sparse))
 
 
 @query
 def fold_scores(x):
-    return rounded(ev.fold_scores(x.oof))
+    return rounded(ev.fold_scores(x.oof_sparse()))
 
 
 @query
 def fold_summary(x):
-    return rounded(ev.fold_summary(ev.fold_scores(x.oof)))
+    return rounded(ev.fold_summary(ev.fold_scores(x.oof_sparse())))
 
 
 @query
 def oof_scores(x):
-    return rounded(ev.score_table(x.oof))
+    return rounded(ev.score_table(x.oof_sparse()))
 
 
 @query
 def threshold_sweep(x):
-    return rounded(ev.threshold_sweep(x.oof))
+    return rounded(ev.threshold_sweep(x.oof_sparse(ev.THRESHOLDS[0])))
 
 
 @query
 def best_threshold(x):
-    return rounded(ev.best_threshold(ev.threshold_sweep(x.oof)))
+    return rounded(ev.best_threshold(ev.threshold_sweep(x.oof_sparse(ev.THRESHOLDS[0]))))
 
 
 @query
 def cv_headline(x):
-    best = ev.best_threshold(ev.threshold_sweep(x.oof))
-    return rounded(ev.cv_headline(ev.fold_summary(ev.fold_scores(x.oof)), best))
+    best = ev.best_threshold(ev.threshold_sweep(x.oof_sparse(ev.THRESHOLDS[0])))
+    return rounded(ev.cv_headline(ev.fold_summary(ev.fold_scores(x.oof_sparse())), best))
 
 
 @query
@@ -775,18 +785,22 @@ def f1_summary(x):
 
 @query
 def min_support_summary(x):
-    return rounded(ev.min_support_summary(ev.per_code_stats(x.oof), 10))
+    return rounded(ev.min_support_summary(ev.per_code_stats(x.oof_sparse()), 10))
 
 
 @query
 def support_buckets(x):
-    return rounded(ev.support_buckets(ev.per_code_stats(x.oof)))
+    return rounded(ev.support_buckets(ev.per_code_stats(x.oof_sparse())))
 
 
 @query
 def rollup_comparison(x):
-    per_rollup = [x._predictions("dev", r).withColumn("rollup", F.lit(r)) for r in ROLLUPS]
-    return rounded(ev.rollup_comparison(reduce(DataFrame.unionByName, per_rollup)))
+    per_rollup = [x._sparse("dev", r) for r in ROLLUPS]
+    rows, notes, codes = (
+        reduce(DataFrame.unionByName, [getattr(p, part).withColumn("rollup", F.lit(r)) for p, r in zip(per_rollup, ROLLUPS, strict=True)])
+        for part in ("rows", "notes", "codes")
+    )
+    return rounded(ev.rollup_comparison(ev.Sparse(rows, notes, codes, ev.DEFAULT_THRESHOLD)))
 
 
 @query
@@ -806,7 +820,7 @@ def top_codes_by_support(x):
 
 @query
 def sample_prediction(x):
-    return ev.sample_prediction(x.held_out, x.notes)
+    return ev.sample_prediction(x.held_out_sparse.rows, x.notes)
 
 
 # ------------------------------------------------------------------ profiles

@@ -211,6 +211,14 @@ def evaluate(model: ovr.Model, data: Dataset) -> DataFrame:
     return pr.predict_default(scored).select("note_id", "code", "y_true", "y_proba", "y_pred")
 
 
+def evaluate_sparse(model: ovr.Model, data: Dataset, floor: float = ev.THRESHOLDS[0]) -> ev.Sparse:
+    """``evaluate`` without the cells that are neither true nor at ``floor``; tasks never emit them."""
+    scored = ovr.score_vectors(training_vectors(model, data), model.coefficients, N_FEATURES, min_proba=floor, truth=True)
+    rows = pr.predict_default(scored).select("note_id", "code", "y_true", "y_proba", "y_pred")
+    codes = model.coefficients.select(F.col("label_code").alias("code"))
+    return ev.sparse(rows, data.notes.select("note_id"), codes, floor)
+
+
 def predict(
     notes: DataFrame, model: ovr.Model, dictionary: DataFrame, threshold: float = ev.DEFAULT_THRESHOLD
 ) -> DataFrame:
@@ -307,6 +315,12 @@ class CrossValidation:
 
     predictions: DataFrame  # note_id, fold, code, y_true, y_proba, y_pred
     not_converged: dict[int, list[str]]
+    notes: DataFrame  # note_id, fold
+    codes: DataFrame  # code
+
+    def sparse(self, floor: float = ev.THRESHOLDS[0]) -> ev.Sparse:
+        """For the metrics; ``floor`` may not be below the one that the folds were scored with."""
+        return ev.sparse(self.predictions, self.notes, self.codes, floor)
 
 
 def cross_validate(data: Dataset, **options: Any) -> DataFrame:
@@ -318,9 +332,17 @@ def cross_validate(data: Dataset, **options: Any) -> DataFrame:
 
 
 def cross_validation(
-    data: Dataset, *, k: int = 5, seed: int = SEED, parallelism: int | None = None, **options: Any
+    data: Dataset,
+    *,
+    k: int = 5,
+    seed: int = SEED,
+    parallelism: int | None = None,
+    floor: float | None = None,
+    **options: Any,
 ) -> CrossValidation:
-    """Dense out-of-fold predictions of every note, and what did not converge.
+    """Out-of-fold predictions of every note, and what did not converge.
+
+    They are dense over notes and codes; with ``floor``, cells that are neither true nor at it are never written.
 
     Every note is scored once, by a model whose vocabulary and weights were learnt
     without its fold. Texts are read twice in all, not twice per fold; folds are fitted
@@ -363,7 +385,7 @@ def cross_validation(
             spark, packed, names, positives, n_train, features, N_FEATURES, **options
         )
         held = rows.where(F.col("fold") == fold)
-        scored = ovr.score_vectors(held, coefficients, N_FEATURES, vectorise=weigh, truth=True)
+        scored = ovr.score_vectors(held, coefficients, N_FEATURES, min_proba=floor, vectorise=weigh, truth=True)
         return materialize(scored.withColumn("fold", F.lit(fold)), "fold-scores"), unsettled
 
     with ThreadPoolExecutor(max_workers=parallelism or k) as pool:
@@ -372,4 +394,6 @@ def cross_validation(
     for part, _ in parts[1:]:
         oof = oof.unionByName(part)
     predictions = pr.predict_default(oof).select("note_id", "fold", "code", "y_true", "y_proba", "y_pred")
-    return CrossValidation(predictions, {f: bad for f, (_, bad) in zip(sorted(sizes), parts, strict=True)})
+    unsettled = {f: bad for f, (_, bad) in zip(sorted(sizes), parts, strict=True)}
+    codes = data.vocab.select(F.col("label_code").alias("code"))
+    return CrossValidation(predictions, unsettled, notes.select("note_id", "fold"), codes)

@@ -192,3 +192,10 @@ def test_ids(spark):
     df = spark.createDataFrame([("r1_a_b_primary_dx",), ("r1_x_multilabel",), ("r1_x_other",), ("nounderscore",)], "id string")
     pairs = [r[0] for r in df.select(ks.pair_from_note_id(F.col("id"))).collect()]
     assert pairs == ["a_b::primary_dx", "x::multilabel", None, None]
+
+
+def test_sample_ties_are_settled_by_the_columns_named(spark):
+    df = spark.createDataFrame([("k", "b"), ("k", "c"), ("k", "a")], "k string, t string")
+    small = rk.hash_sample(df, "k", 1, ties=["t"])
+    large = rk.hash_sample(df, "k", df.agg(F.lit(1)).scalar(), ties=["t"])
+    assert small.first().t == large.first().t == "a"

@@ -212,3 +212,8 @@ def test_model_store_round_trip(corpus, model, spark, tmp_path):
     assert wf.predict(one, loaded, dictionary).collect() == wf.predict(one, model, dictionary).collect()
     table = wf.evaluate(loaded, ds.Dataset(corpus[0], corpus[1], corpus[2], spark.range(1)))
     assert ev.score_table(table).first().n_notes == 90
+    thin = wf.evaluate_sparse(loaded, ds.Dataset(corpus[0], corpus[1], corpus[2], spark.range(1)))
+    assert thin.rows.count() < table.count()
+    for metric in (ev.score_table, ev.threshold_sweep):
+        for few, all_cells in zip(metric(thin).orderBy("micro_f1").collect(), metric(table).orderBy("micro_f1").collect(), strict=True):
+            assert tuple(few) == pytest.approx(tuple(all_cells))
