@@ -5,7 +5,9 @@ import inspect
 import numpy as np
 from pyspark.sql import functions as F
 
+from chartloom.operators import generation as gn
 from chartloom.operators import ovr
+from chartloom.operators import prompts as pm
 from chartloom.plans import workflows as wf
 
 
@@ -35,3 +37,46 @@ def test_driver_takes_one_sum_of_a_large_model(spark, monkeypatch):
 
 def test_no_more_than_two_solvers_at_once_unless_asked():
     assert inspect.signature(wf.cross_validation).parameters["parallelism"].default == 2
+
+
+def test_a_task_keeps_its_answers_in_one_file(spark, tmp_path):
+    prompts = spark.range(200, numPartitions=4).select(F.concat(F.lit("q"), "id").alias("prompt"))
+    ledger = tmp_path / "ledger"
+    writer = lambda: lambda prompt: {"text": prompt}
+    assert gn.generate_notes(prompts, writer, pause=0, ledger=str(ledger)).where("note_text = prompt").count() == 200
+    assert len([p for p in ledger.rglob("*") if p.is_file() and p.suffix in (".json", ".jsonl")]) == 4
+
+
+def test_prompts_group_conditions_once(spark):
+    schema = (
+        "patient_id string, encounter_id string, position int, icd10_code string, icd10_description string, "
+        "start_date date, stop_date date, snomed_code string, snomed_description string"
+    )
+    listed = [
+        (p, f"e{p}", i + 1, code, None if i == 1 else f"disease {code}", None, None, "s", "d")
+        for p in ("p1", "p2", None) for i, code in enumerate(["J10.0", None, "Z59.1", "K06.8"][: 1 + 3 * (p == "p2")])
+    ]
+    conditions = spark.createDataFrame(listed, schema)
+    made = wf.patient_prompts(conditions, ["multilabel", "primary_dx"])
+    plain = pm.multilabel_prompts(conditions, ["patient_id"]).select("patient_id", F.lit("multilabel").alias("strategy"), "prompt")
+    focused = pm.primary_dx_prompts(conditions, ["patient_id"]).select("patient_id", F.lit("primary_dx").alias("strategy"), "prompt")
+    expected = plain.unionByName(focused).where("patient_id IS NOT NULL")
+    assert sorted(map(tuple, made.select(*expected.columns).collect())) == sorted(map(tuple, expected.collect()))
+    encounter = wf.encounter_prompts(conditions)
+    assert [r.conditions[0].icd10_code for r in encounter.orderBy("patient_id").collect()] == ["J10.0", "J10.0"]
+    for prompts in (made, encounter):
+        plan = prompts._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_a_log_gives_back_whole_answers_to_a_later_try(tmp_path):
+    key, torn = "ab" * 32, "cd" * 32
+    log = gn.Log(gn.Ledger(str(tmp_path)), "c", 3)
+    assert log.get(key) is None
+    log.put(key, {"note_text": "é\n", "input_tokens": None})
+    log.sink.write(b'{"key": "' + torn.encode())
+    again = gn.Log(gn.Ledger(str(tmp_path)), "c", 3)
+    again.put("ef" * 32, {"note_text": "b"})
+    for reader in (log, again):
+        assert reader.get(key) == {"note_text": "é\n", "input_tokens": None} and reader.get(torn) is None
+    assert again.get("ef" * 32) == {"note_text": "b"}
