@@ -16,6 +16,8 @@ from chartloom.session import ship_package
 FOLDS = 5
 # A fit reads at most so many labelled rows, the first by a hash of their id; every row is scored.
 MAX_FIT_ROWS = 20_000
+# Bytes of text that a task turns into Python strings at once, whatever the batch; a longer text is on its own.
+SLICE_BYTES = 1 << 20
 HASH_BITS = 18
 SIZE = 1 << HASH_BITS
 
@@ -55,7 +57,7 @@ def fit_rows(texts: DataFrame, features: Callable[[str], np.ndarray]) -> tuple[l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, 1):
+            for rows in slices(batch, 1, SLICE_BYTES):
                 found = [features(t).tobytes() for t in rows.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array(found, pa.binary()), rows.column(2)], ["doc_id", "features", "y"]
@@ -73,8 +75,9 @@ def score(docs: DataFrame, scorer: Callable[[str], float]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [scorer(t or "") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
+            for rows in slices(batch, 1, SLICE_BYTES):
+                scores = [scorer(t or "") for t in rows.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
 
@@ -86,12 +89,20 @@ def keep(docs: DataFrame, scorer: Callable[[str], float], wanted: Callable[[floa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            use = [wanted(scorer(t or "")) for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(use, pa.bool_()))
+            yield from kept_rows(batch, at, scorer, wanted)
 
     return docs.mapInArrow(run, docs.schema)
 
 
+def kept_rows(
+    batch: pa.RecordBatch, at: int, scorer: Callable[[str], float], wanted: Callable[[float], bool]
+) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch whose text in column ``at`` is wanted, slice by slice."""
+    for rows in slices(batch, at, SLICE_BYTES):
+        use = [wanted(scorer(t or "")) for t in rows.column(at).to_pylist()]
+        yield rows.filter(pa.array(use, pa.bool_()))
+
+
 def report(scored: DataFrame, threshold: float) -> DataFrame:
     """doc_id, held_out, score and the decision at ``threshold``."""
     return scored.select(

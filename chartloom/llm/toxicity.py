@@ -53,23 +53,20 @@ def word_features(word: str) -> list[int]:
 
 
 class Featurizer:
-    """Hashed indicators of a text's words; keeps what it has worked out for frequent words."""
+    """Hashed indicators of a text's words; keeps what it has worked out for words, as packed numbers."""
 
-    def __init__(self, limit: int = 200_000):
-        self._known: dict[str, list[int]] = {}
+    def __init__(self, limit: int = 100_000):
+        self._known: dict[str, bytes] = {}
         self._limit = limit
 
     def of_words(self, words: set[str]) -> np.ndarray:
         known = self._known
         if len(known) > self._limit:
             known.clear()
-        ids: set[int] = set()
         for w in words:
-            got = known.get(w)
-            if got is None:
-                got = known[w] = word_features(w)
-            ids.update(got)
-        return np.fromiter(sorted(ids), np.int32, len(ids))
+            if w not in known:
+                known[w] = np.array(word_features(w), np.int32).tobytes()
+        return np.unique(np.frombuffer(b"".join([known[w] for w in words]), np.int32))
 
     def __call__(self, text: str) -> np.ndarray:
         return self.of_words(_words(text))

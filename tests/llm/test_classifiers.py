@@ -117,3 +117,30 @@ def test_swaps_are_sent_as_what_they_change():
     y, rows = np.array([0, 1] * 20), [own] * 40
     by_pairs = toxicity.fit(rows, y, [pairs] * 40, rounds=3)
     assert np.array_equal(by_pairs[0], toxicity.fit(rows, y, [others] * 40, rounds=3)[0])
+
+
+def test_large_batches_are_judged_in_slices():
+    import pyarrow as pa
+
+    texts = [chr(97 + i) * 400_000 for i in range(9)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(11)), "text": pa.array(texts, pa.string())})
+    parts = list(linear.kept_rows(batch, 1, lambda t: float(len(t) == 0 or t[0] != "c"), lambda s: s > 0.5))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == [0, 1, 3, 4, 5, 6, 7, 8, 9, 10]
+    assert len(parts) >= 4
+    assert max(sum(len(t or "") for t in p.column(1).to_pylist()) for p in parts) <= linear.SLICE_BYTES
+
+
+def test_known_words_take_little_memory():
+    import tracemalloc
+
+    own = toxicity.Featurizer()
+    words = [f"{'abcdefghij'[i % 10]}{chr(97 + i // 10 % 26)}word{chr(97 + i // 260)}x" for i in range(20_000)]
+    assert own.of_words({"old"}).tolist() == sorted(set(toxicity.word_features("old")))
+    assert own.of_words(set()).tolist() == []
+    tracemalloc.start()
+    found = own.of_words(set(words))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert found.tolist() == sorted({f for w in set(words) for f in toxicity.word_features(w)})
+    # Lists of numbers took more than 250 bytes a word.
+    assert held < 200 * len(set(words))
