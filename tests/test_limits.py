@@ -80,3 +80,23 @@ def test_a_log_gives_back_whole_answers_to_a_later_try(tmp_path):
     for reader in (log, again):
         assert reader.get(key) == {"note_text": "é\n", "input_tokens": None} and reader.get(torn) is None
     assert again.get("ef" * 32) == {"note_text": "b"}
+
+
+def test_counting_words_of_a_large_batch_takes_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from chartloom.operators import ngrams as ng
+
+    rng = np.random.default_rng(1)
+    words = pa.array([f"w{i}" for i in range(50_000)])
+    picked = words.take(pa.array(rng.integers(0, 50_000, 800_000)))
+    batch = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(np.arange(0, 800_001, 1_000, np.int32)), picked)], ["tokens"])
+    tracemalloc.start()
+    n = sum(int(ng.word_counts(part.column(0), 1, 2).tf.sum()) for part in ng.slices(batch, 0, ng.SLICE_WORDS))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 800 * (1_000 + 999)
+    # Slices of 400,000 tokens took more than this.
+    assert peak < 25_000_000
