@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -54,9 +55,9 @@ def _tokens(block: Block) -> Column:
     return tx.word_tokens(text) if block.name == WORD.name else tx.spaced_words(text)
 
 
-def _count(tokens: pa.ListArray, block: Block) -> ng.Counts:
+def _count(tokens: pa.ListArray, block: Block, known: pa.Array | None = None) -> ng.Counts:
     count = ng.word_counts if block.name == WORD.name else ng.char_counts
-    return count(tokens, block.low, block.high)
+    return count(tokens, block.low, block.high, known)
 
 
 def _mapped(notes: DataFrame, schema: str, run: Callable[[pa.RecordBatch], pa.RecordBatch], block: Block) -> DataFrame:
@@ -91,14 +92,20 @@ def document_frequencies(notes: DataFrame, block: Block, by: str | None = None)
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         found = _count(part.column(1), block)
-        group = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[found.note]
         width = max(1, len(found.terms))
-        at, place = np.unique(group * width + found.term, return_inverse=True)
+        place = found.term
+        if by:
+            groups, group = np.unique(part.column(0).to_numpy(zero_copy_only=False).astype(np.int64), return_inverse=True)
+            place = group[found.note] * width + place
+        else:
+            groups = np.zeros(1, np.int64)
+        df = np.bincount(place)
+        at = np.flatnonzero(df)
         columns = [
-            pa.array(at // width),
+            pa.array(groups[at // width]),
             found.terms.take(pa.array(at % width)),
-            pa.array(np.bincount(place, minlength=len(at))),
-            pa.array(np.bincount(place, weights=found.tf, minlength=len(at)).astype(np.int64)),
+            pa.array(df[at]),
+            pa.array(np.bincount(place, weights=found.tf)[at].astype(np.int64)),
         ]
         return pa.RecordBatch.from_arrays(columns, ["_by", "term", "df", "cf"])
 
@@ -161,42 +168,50 @@ def known_counts(notes: DataFrame, terms: DataFrame, blocks=BLOCKS) -> DataFrame
     The list is brought to every task: it is a vocabulary, or the vocabularies of some folds, cut to
     ``max_features`` terms each.
     """
-    return _known(notes, terms, blocks, lambda counts: counts[2], "long")
+    return _known(notes, terms, blocks, lambda counts: counts[2], _as_rows(pa.int64()), lambda kind: f"note_id {kind}, terms array<int>, counts array<long>")
 
 
-def _known(notes: DataFrame, terms: DataFrame, blocks, finish, value_type: str) -> DataFrame:
-    """Per note the ids of known terms and what ``finish`` makes of a block's (note, id, tf, number of notes), as arrays."""
-    listed = terms.select("block", "term", "id").toArrow()
+def _as_rows(value_type: pa.DataType) -> Callable[..., pa.RecordBatch]:
+    def rows(note_id: pa.Array, ends: np.ndarray, ids: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        ends = pa.array(ends.astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(values, value_type))]
+        return pa.RecordBatch.from_arrays([note_id, *lists], ["note_id", "terms", "counts"])
+
+    return rows
+
+
+def _known(notes: DataFrame, terms: DataFrame, blocks, finish, give, schema: Callable[[str], str]) -> DataFrame:
+    """What ``give`` makes of slices of notes: their ids, and as sparse rows the known terms and their values.
+
+    ``give`` takes note ids, the bounds of each note's terms, the terms' ids (ascending in a note) and the values
+    that ``finish`` makes of a block's (note, id, tf, number of notes). ``schema`` is given the type of note ids.
+    """
+    listed = terms.select("block", "term", "id").toArrow().sort_by("id")
     tables = []
     for block in blocks:
         own = listed.filter(pc.equal(listed["block"], block.name))
         tables.append((own["term"].combine_chunks(), own["id"].to_numpy().astype(np.int64)))
+    # Ids of one block come in order; if all of a block's are below the next block's, notes alone have to be ordered.
+    ranges = [(number[0], number[-1]) for _, number in tables if len(number)]
+    apart = all(last < first for (_, last), (first, _) in pairwise(ranges))
     shared = notes.sparkSession.sparkContext.broadcast(tables)
-    kinds = {"long": pa.int64(), "double": pa.float64()}
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         note, ids, values = [], [], []
         for i, block in enumerate(blocks):
             known, number = shared.value[i]
-            found = _count(part.column(1 + i), block)
-            place = pc.fill_null(pc.index_in(found.terms, value_set=known), -1).to_numpy().astype(np.int64)[found.term]
-            use = place >= 0
-            note.append(found.note[use])
-            ids.append(number[place[use]])
-            values.append(finish((found.note[use], ids[-1], found.tf[use], part.num_rows)))
+            found = _count(part.column(1 + i), block, known)
+            note.append(found.note)
+            ids.append(number[found.term])
+            values.append(finish((found.note, ids[-1], found.tf, part.num_rows)))
         note, ids, values = (np.concatenate(c) for c in (note, ids, values))
-        order = np.lexsort((ids, note))
-        ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(note, minlength=part.num_rows)))).astype(np.int32))
-        columns = [
-            part.column(0),
-            pa.ListArray.from_arrays(ends, pa.array(ids[order].astype(np.int32))),
-            pa.ListArray.from_arrays(ends, pa.array(values[order], kinds[value_type])),
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["note_id", "terms", "counts"])
+        order = np.argsort(note, kind="stable") if apart else np.lexsort((ids, note))
+        ends = np.concatenate(([0], np.cumsum(np.bincount(note, minlength=part.num_rows))))
+        return give(part.column(0), ends, ids[order], values[order])
 
     kind = notes.schema["note_id"].dataType.simpleString()
     tokens = spread(notes, "note_id").select("note_id", *(_tokens(block).alias(block.name) for block in blocks))
-    return _mapped(tokens, f"note_id {kind}, terms array<int>, counts array<{value_type}>", run, blocks[-1])
+    return _mapped(tokens, schema(kind), run, blocks[-1])
 
 
 def feature_vectors(notes: DataFrame, vocabularies: DataFrame, blocks=BLOCKS) -> DataFrame:
@@ -204,6 +219,18 @@ def feature_vectors(notes: DataFrame, vocabularies: DataFrame, blocks=BLOCKS) ->
 
     Sublinear TF-IDF; each block has unit length.
     """
+    give = _as_rows(pa.float64())
+    vectors = map_vectors(notes, vocabularies, give, lambda kind: f"note_id {kind}, terms array<int>, counts array<double>", blocks)
+    return vectors.withColumnsRenamed({"terms": "indices", "counts": "values"})
+
+
+def map_vectors(
+    notes: DataFrame, vocabularies: DataFrame, give: Callable[..., pa.RecordBatch], schema: Callable[[str], str], blocks=BLOCKS
+) -> DataFrame:
+    """What ``give`` makes of the vectors of ``feature_vectors``, in the task that has just made them.
+
+    ``give`` takes a slice's note ids and its sparse rows: bounds, indices, values.
+    """
     offsets = block_offsets(blocks)
     start = F
     for name, first in offsets.items():
@@ -219,8 +246,7 @@ def feature_vectors(notes: DataFrame, vocabularies: DataFrame, blocks=BLOCKS) ->
         raw = (np.log(tf) + 1) * shared.value[ids]
         return raw / np.sqrt(np.bincount(note, weights=raw * raw, minlength=n_notes))[note]
 
-    vectors = _known(notes, listed, blocks, weigh, "double")
-    return vectors.withColumnsRenamed({"terms": "indices", "counts": "values"})
+    return _known(notes, listed, blocks, weigh, give, schema)
 
 
 def tfidf(notes: DataFrame, vocab: DataFrame, block: Block) -> DataFrame:

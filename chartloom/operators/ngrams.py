@@ -7,6 +7,7 @@ strings are touched once per distinct word and everything else is arithmetic on
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -20,6 +21,8 @@ SLICE_WORDS = 100_000
 _WEIGHT_BITS = 20
 # Padded words above this length are cut on their own.
 LONG_WORD = 48
+# Windows added up at once, save those of a note that has more; few enough to stay in the processor's cache.
+_CHUNK = 1 << 18
 
 
 class Counts(NamedTuple):
@@ -65,13 +68,17 @@ def _numbered(tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return np.repeat(np.arange(len(tokens)), sizes), coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
-def _counts(note: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: pa.Array) -> Counts:
-    keys, tf = _summed(note * len(terms) + term, weight)
+def _counts(keys: np.ndarray, tf: np.ndarray, terms: pa.Array) -> Counts:
     return Counts(keys // max(1, len(terms)), keys % max(1, len(terms)), tf, terms)
 
 
-def word_counts(tokens: pa.ListArray, low: int, high: int) -> Counts:
-    """Runs of ``low`` to ``high`` tokens, joined by a space."""
+def _places(terms: pa.Array, known: pa.Array) -> np.ndarray:
+    """Where each term is in ``known``; -1 where it is not."""
+    return pc.fill_null(pc.index_in(terms, value_set=known), -1).to_numpy().astype(np.int64)
+
+
+def word_counts(tokens: pa.ListArray, low: int, high: int, known: pa.Array | None = None) -> Counts:
+    """Runs of ``low`` to ``high`` tokens, joined by a space; only those in ``known``, if given, numbered by their place in it."""
     note, word, words = _numbered(tokens)
     run, names = word, words
     notes, terms, kinds, start = [], [], [], 0
@@ -94,7 +101,10 @@ def word_counts(tokens: pa.ListArray, low: int, high: int) -> Counts:
             start += len(names)
     joined = pa.concat_arrays([k.cast(pa.string()) for k in kinds])
     note, term = np.concatenate(notes), np.concatenate(terms)
-    return _counts(note, term, np.ones(len(note), np.int64), joined)
+    if known is not None:
+        term, joined = _places(joined, known)[term], known
+        note, term = note[term >= 0], term[term >= 0]
+    return _counts(*_summed(note * len(joined) + term, np.ones(len(note), np.int64)), joined)
 
 
 def _windows(words: pa.StringArray, low: int, high: int) -> tuple[np.ndarray, pa.Array]:
@@ -123,16 +133,33 @@ def _windows(words: pa.StringArray, low: int, high: int) -> tuple[np.ndarray, pa
     return np.concatenate(owners), pa.concat_arrays(pieces)
 
 
-def char_counts(tokens: pa.ListArray, low: int, high: int) -> Counts:
-    """Windows of ``low`` to ``high`` characters of each word with a space at both ends; empty words have none."""
+def char_counts(tokens: pa.ListArray, low: int, high: int, known: pa.Array | None = None) -> Counts:
+    """Windows of ``low`` to ``high`` characters of each word with a space at both ends; empty words have none.
+
+    Only those in ``known``, if given, numbered by their place in it.
+    """
     note, word, words = _numbered(tokens)
     distinct, times = _summed(note * max(1, len(words)) + word, np.ones(len(word), np.int64))
     note, word = distinct // max(1, len(words)), distinct % max(1, len(words))
     owner, windows = _windows(words, low, high)
     coded = windows.dictionary_encode()
-    gram = coded.indices.to_numpy().astype(np.int64)[np.argsort(owner, kind="stable")]
+    gram, terms = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    if known is not None:
+        gram, terms = _places(terms, known)[gram], known
+        owner, gram = owner[gram >= 0], gram[gram >= 0]
+    gram = gram[np.argsort(owner)]
     size = np.bincount(owner, minlength=len(words))
     start = np.cumsum(size) - size
     own = size[word]
-    at = np.repeat(start[word] - (np.cumsum(own) - own), own) + np.arange(own.sum())
-    return _counts(np.repeat(note, own), gram[at], np.repeat(times, own), coded.dictionary)
+    # Notes are added up a few at a time; their rows come in order, so the parts do too.
+    heads = np.flatnonzero(np.diff(note, prepend=-1))
+    part = (np.cumsum(own) - own)[heads] // _CHUNK
+    cuts = [*heads[np.flatnonzero(np.diff(part, prepend=-1))].tolist(), len(note)]
+    keys, sums = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for a, b in pairwise(cuts):
+        n = own[a:b]
+        at = np.repeat(start[word[a:b]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        some, tf = _summed(np.repeat(note[a:b] * len(terms), n) + gram[at], np.repeat(times[a:b], n))
+        keys.append(some)
+        sums.append(tf)
+    return _counts(np.concatenate(keys), np.concatenate(sums), terms)

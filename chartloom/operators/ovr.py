@@ -18,6 +18,8 @@ import math
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from itertools import pairwise
 from typing import Any
 
 import numpy as np
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.operators.features import BLOCKS, block_offsets, feature_vectors, fit_vocabularies
+from chartloom.operators.features import BLOCKS, block_offsets, feature_vectors, fit_vocabularies, map_vectors
 from chartloom.operators.labels import labels_per_note
 from chartloom.session import materialize, scratch_path, ship_package
 
@@ -53,6 +55,7 @@ SPARE_DIRECTIONS = 8
 # since it changes the path to the optimum and not the optimum.
 CURVATURE = 0.0075
 
+SCORE_SCHEMA = "note_id string, code string, y_proba double"
 COEFFICIENT_SCHEMA = "label_code string, intercept double, weights array<double>"
 PACK_SCHEMA = "n int, indptr binary, touched binary, cols binary, vals binary, y_indptr binary, y_cols binary"
 
@@ -477,22 +480,31 @@ def score_vectors(
     code is among the note's ``label_codes``; rows of true codes are emitted in any case.
     """
     spark = vectors.sparkSession
-    schema = "note_id string, code string, y_proba double" + ", y_true int" * truth
+    schema = SCORE_SCHEMA + ", y_true int" * truth
     ship_package(spark)
+    parts = [vectors.mapInPandas(_scorer(s, min_proba, vectorise, truth), schema) for s in _shared_groups(coefficients, n_features)]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+
+
+def _shared_groups(coefficients: DataFrame, n_features: int) -> Iterator[Any]:
+    """Broadcasts of (codes, weights, intercepts), one per label group of bounded size."""
     names = _names(coefficients)
-    scored = None
     for group in _groups(len(names), n_features + 1):
         members = [names[i] for i in group]
         rows = coefficients.where(F.col("label_code").isin(members)).toArrow().sort_by("label_code")
         matrix = np.empty((n_features, len(rows)))  # a feature's weights of all labels side by side
         for i, weights in enumerate(rows["weights"]):
             matrix[:, i] = weights.values.to_numpy(zero_copy_only=False)
-        shared = spark.sparkContext.broadcast((members, matrix, rows["intercept"].to_numpy()))
-        part = vectors.mapInPandas(_scorer(shared, min_proba, vectorise, truth), schema)
-        scored = part if scored is None else scored.unionByName(part)
-    if scored is None:
-        return spark.createDataFrame([], schema)
-    return scored
+        yield coefficients.sparkSession.sparkContext.broadcast((members, matrix, rows["intercept"].to_numpy()))
+
+
+def _probabilities(ends: np.ndarray, ids: np.ndarray, values: np.ndarray, matrix: np.ndarray, intercepts: np.ndarray) -> np.ndarray:
+    """(rows, labels) of sparse rows; only weights of a row's own features are read."""
+    margin = np.empty((len(ends) - 1, matrix.shape[1]))
+    for i, (a, b) in enumerate(pairwise(ends.tolist())):
+        margin[i] = values[a:b] @ matrix.take(ids[a:b], axis=0)
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-(margin + intercepts)))
 
 
 def _scorer(shared, min_proba, vectorise, truth):
@@ -508,10 +520,7 @@ def _scorer(shared, min_proba, vectorise, truth):
                 bounds = np.cumsum([0, *map(len, part["indices"])])
                 cols = np.concatenate([np.asarray(v, dtype=np.int64) for v in part["indices"]])
                 vals = np.concatenate([np.asarray(v, dtype=float) for v in part["values"]])
-                touched, local = np.unique(cols, return_inverse=True)
-                x = _dense(bounds, local, vals, len(touched))
-                with np.errstate(over="ignore"):
-                    proba = 1 / (1 + np.exp(-(x @ matrix.take(touched, axis=0) + intercepts)))
+                proba = _probabilities(bounds, cols, vals, matrix, intercepts)
                 ids = np.repeat(part["note_id"].to_numpy(), len(codes))
                 frame = pd.DataFrame(
                     {"note_id": ids, "code": np.tile(code_array, len(part)), "y_proba": proba.ravel()}
@@ -531,10 +540,28 @@ def _scorer(shared, min_proba, vectorise, truth):
 
 
 def score_notes(notes: DataFrame, model: Model, *, blocks=BLOCKS, min_proba: float | None = None) -> DataFrame:
-    """Score (note_id, note_text) with a model."""
+    """Score (note_id, note_text) with a model, as ``score_vectors`` does.
+
+    A note's vector is scored by the task that makes it and never leaves it.
+    """
+    spark = notes.sparkSession
     n_features = sum(block.max_features for block in blocks)
-    vectors = feature_vectors(notes, model.vocabularies, blocks)
-    return score_vectors(vectors, model.coefficients, n_features, min_proba=min_proba)
+    parts = [
+        map_vectors(notes, model.vocabularies, _giver(s, min_proba), lambda _: SCORE_SCHEMA, blocks)
+        for s in _shared_groups(model.coefficients, n_features)
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], SCORE_SCHEMA)
+
+
+def _giver(shared: Any, min_proba: float | None) -> Callable[..., pa.RecordBatch]:
+    def give(note_id: pa.Array, ends: np.ndarray, ids: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        codes, matrix, intercepts = shared.value
+        proba = _probabilities(ends, ids, values, matrix, intercepts)
+        row, code = np.nonzero(proba >= min_proba) if min_proba is not None else np.indices(proba.shape).reshape(2, -1)
+        columns = [note_id.cast(pa.string()).take(pa.array(row)), pa.array(codes, pa.string()).take(pa.array(code)), pa.array(proba[row, code])]
+        return pa.RecordBatch.from_arrays(columns, ["note_id", "code", "y_proba"])
+
+    return give
 
 
 __all__ = [

@@ -5,12 +5,14 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from chartloom.operators import dataset as ds
 from chartloom.operators import evaluation as ev
 from chartloom.operators import features as ft
+from chartloom.operators import ngrams as ng
 from chartloom.operators import ovr
 from chartloom.plans import workflows as wf
 from chartloom.sources import results as rs
@@ -146,6 +148,36 @@ def test_constant_labels_predict_constants(corpus, model):
     assert 0 < found["I10"][0] < found["I10"][1] < 1
 
 
+def test_a_note_is_scored_by_the_task_that_makes_its_vector(corpus, model):
+    scored = ovr.score_notes(corpus[0], model)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "MapInPandas" not in plan
+    width = sum(b.max_features for b in ft.BLOCKS)
+    apart = ovr.score_vectors(ft.feature_vectors(corpus[0], model.vocabularies), model.coefficients, width)
+    found = {(r.note_id, r.code): r.y_proba for r in scored.collect()}
+    assert found == {(r.note_id, r.code): pytest.approx(r.y_proba, abs=1e-12) for r in apart.collect()}
+    kept = {(r.note_id, r.code): r.y_proba for r in ovr.score_notes(corpus[0], model, min_proba=0.5).collect()}
+    assert kept == {k: p for k, p in found.items() if p >= 0.5} and 0 < len(kept) < len(found)
+
+
+@pytest.mark.parametrize("count, low, high", [(ng.word_counts, 1, 2), (ng.char_counts, 3, 5)])
+def test_known_terms_are_counted_alone_and_a_few_notes_at_a_time(monkeypatch, count, low, high):
+    rng = np.random.default_rng(5)
+    words = ["a", "", "bé", "abcab", "x" * 60, "caba"]
+    tokens = pa.array([None, *([words[i] for i in rng.integers(0, 6, n)] for n in (0, 1, 40, 7, 12))], pa.list_(pa.string()))
+
+    def rows(found):
+        return list(zip(found.note.tolist(), found.terms.take(pa.array(found.term)).to_pylist(), found.tf.tolist()))
+
+    whole = rows(count(tokens, low, high))
+    monkeypatch.setattr(ng, "_CHUNK", 10)
+    assert rows(count(tokens, low, high)) == whole
+    known = sorted({term for _, term, _ in whole})[::2] + ["not there"]
+    found = count(tokens, low, high, pa.array(known))
+    assert sorted(rows(found)) == sorted(r for r in whole if r[1] in known)
+    assert (np.diff(found.note * len(known) + found.term) > 0).all()
+
+
 def test_fit_and_score_in_label_groups_equal_one_group(corpus, model, monkeypatch):
     monkeypatch.setattr(ovr, "MAX_GROUP_ENTRIES", 1)
     grouped = ovr.fit(*corpus)
