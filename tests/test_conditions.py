@@ -13,6 +13,7 @@ from chartloom.operators import prompts as pm
 from chartloom.operators import ranking as rk
 from chartloom.operators import terminology as tm
 from chartloom.operators.joins import hot_keys
+from chartloom.plans import workflows as wf
 from chartloom.session import DEFAULTS
 
 D = dt.date
@@ -99,6 +100,33 @@ def test_only_the_hot_code_is_spread(spark, no_broadcast):
     assert tm._salted_join(empty, crosswalk, "snomed_code", 8).isEmpty()
 
 
+def test_notes_of_patients_take_one_shuffle(spark):
+    # Rows of a query, because the engine knows their size and broadcasts them.
+    concept = spark.sql(
+        "SELECT * FROM VALUES (1L, '0012', 'a', 'SNOMED', 'S'), (3L, '88', 'c', 'SNOMED', 'S'), (11L, 'A01.0', 'x', 'ICD10CM', NULL), "
+        "(12L, 'B02', 'y', 'ICD10CM', NULL), (13L, 'C03', 'z', 'ICD10CM', NULL) "
+        "AS t(concept_id, concept_code, concept_name, vocabulary_id, standard_concept)"
+    )
+    edges = spark.sql(
+        "SELECT * FROM VALUES (1L, 11L, 'Mapped from'), (1L, 12L, 'Mapped from'), (3L, 13L, 'Mapped from') "
+        "AS t(concept_id_1, concept_id_2, relationship_id)"
+    )
+    found = [
+        (f"p{i % 7}" if i % 5 else None, f"e{i}", dt.date(2020, 1, 1 + i % 28), None, ("0012", "77", "88")[i % 3], f"d{i % 3}")
+        for i in range(120)
+    ]
+    facts = spark.createDataFrame(found, "PATIENT string, ENCOUNTER string, START date, STOP date, CODE string, DESCRIPTION string")
+    prompts = []
+    for together in ("patient_id", None):
+        billable = tm.billable_conditions(facts, concept, edges, together=together)
+        capped = co.cap_conditions(co.dedup_conditions(billable, co.PATIENT_KEY), co.PATIENT_KEY, 2)
+        prompts.append(wf.patient_prompts(capped, ks.PATIENT_STRATEGIES))
+    shuffles = [p._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for p in prompts]
+    assert shuffles == [1, 2]
+    a, b = (sorted(map(str, p.collect())) for p in prompts)
+    assert a == b and len(a) == 14
+
+
 def test_building_the_mapping_runs_no_job(spark, terminology):
     spark.sparkContext.setJobGroup("mapping-plan", "no job may run")
     tm.billable_conditions(*terminology)
