@@ -4,7 +4,8 @@ Documents are read in chunks (a task's rows, cut where the chunk's vocabulary is
 A chunk yields its distinct words, numbered, and its documents as word numbers by
 position. Words of all chunks are brought together by word; each distinct word is encoded
 once there, and its ids go back to the chunks that have it. A chunk then joins ids to
-positions by word number, and pieces to ids by id.
+positions by word number, and pieces to ids by id, a block of documents at a time: a task
+holds a chunk's word table and packed positions, but the ids and text of one block only.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +28,10 @@ from chartloom.session import materialize, ship_package
 
 CHUNK_WORDS = 300_000
 CHUNK_BYTES = 32 << 20
+# What is cut into words at once, and what goes back to positions at once.
+SLICE_BYTES = 2 << 20
+BLOCK_DOCS = 1000
+BLOCK_POSITIONS = 1 << 18
 # White space as the tokenizer's pattern has it; Python's \s has four control characters more.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # A word is a run of white space and what follows it up to the next one. No token runs from
@@ -48,62 +52,79 @@ def _slice_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     # Part p is word p at the start of a text or of a line and word n + p after a space.
     after_space = np.fromiter((not w.startswith("\n") for w in parts), bool, n)[at]
     after_space[offsets[:-1]] = False
-    codes = at + n * after_space.astype(np.int64)
+    codes = at + n * after_space.astype(np.int32)
     extra: dict[str, int] = {}
     runs = []
     for i, irregular_text in enumerate(irregular):
         if irregular_text:
             found = WORD.findall(texts[i].as_py() or "")
-            runs.append(np.fromiter((2 * n + extra.setdefault(w, len(extra)) for w in found), np.int64, len(found)))
+            runs.append(np.fromiter((2 * n + extra.setdefault(w, len(extra)) for w in found), np.int32, len(found)))
         else:
             runs.append(codes[offsets[i] : offsets[i + 1]])
-    used, numbers = np.unique(np.concatenate(runs), return_inverse=True)
+    codes = np.concatenate(runs)
+    seen = np.zeros(2 * n + len(extra), bool)
+    seen[codes] = True
+    used = np.flatnonzero(seen)
+    numbers = (np.cumsum(seen, dtype=np.int32) - 1)[codes]
     more = list(extra)
     words = [parts[c] if c < n else " " + parts[c - n] if c < 2 * n else more[c - 2 * n] for c in used.tolist()]
     return words, numbers, np.concatenate(([0], np.cumsum([len(r) for r in runs])))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[str, int], list]]:
-    """(chunk, its words with their numbers, (doc_id, positions) of its documents)."""
-    part, chunk, size = TaskContext.get().partitionId(), 0, 0
+def _chunks(batches: Iterator[pa.RecordBatch], positions: bool) -> Iterator[tuple[int, dict[str, int], list]]:
+    """(chunk, its words with their numbers, (doc_id, positions) of its documents if ``positions``).
+
+    Both collections are emptied for the next chunk. Rows are (partition, doc_id, text).
+    """
+    part = chunk = size = rows_seen = 0
     numbers: dict[str, int] = {}
     docs: list = []
     for batch in batches:
-        for rows in slices(batch, 1):
-            words, at, offsets = _slice_words(rows.column(1))
+        for rows in slices(batch, 2, SLICE_BYTES):
+            part = rows.column(0)[0].as_py()
+            words, at, offsets = _slice_words(rows.column(2))
             number = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words))
-            at = number[at]
-            docs += [
-                (doc, at[lo:hi])
-                for doc, lo, hi in zip(rows.column(0).to_pylist(), offsets, offsets[1:], strict=False)
-            ]
+            if positions:
+                at = number[at]
+                docs += [
+                    (doc, at[lo:hi])
+                    for doc, lo, hi in zip(rows.column(1).to_pylist(), offsets, offsets[1:], strict=False)
+                ]
+            rows_seen += rows.num_rows
             size += rows.nbytes
             if len(numbers) >= CHUNK_WORDS or size >= CHUNK_BYTES:
                 yield part << 24 | chunk, numbers, docs
-                chunk, size, numbers, docs = chunk + 1, 0, {}, []
-    if docs:
+                chunk, size, rows_seen = chunk + 1, 0, 0
+                numbers.clear()
+                docs.clear()
+    if rows_seen:
         yield part << 24 | chunk, numbers, docs
 
 
+def _bucket_rows(chunk: int, numbers: dict[str, int], buckets: int) -> list[tuple]:
+    words: list[list[bytes]] = [[] for _ in range(buckets)]
+    own: list[list[int]] = [[] for _ in range(buckets)]
+    for word, number in numbers.items():
+        data = word.encode("utf-8", "surrogatepass")
+        b = crc32(data) % buckets
+        words[b].append(data)
+        own[b].append(number)
+    rows = []
+    for b in range(buckets):
+        if own[b]:
+            step = np.diff(np.array(own[b], np.int32), prepend=np.int32(0)).astype(np.int32)
+            sizes = np.fromiter(map(len, words[b]), np.uint32, len(words[b]))
+            text = np.frombuffer(b"".join(words[b]), np.uint8)
+            rows.append((b, chunk, len(step), len(text), packed(step, sizes, text)))
+    return rows
+
+
 def _chunk_words(buckets: int):
     """A chunk's words, packed by hash bucket in order of their numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, numbers, _ in _chunks(batches):
-            words: list[list[bytes]] = [[] for _ in range(buckets)]
-            own: list[list[int]] = [[] for _ in range(buckets)]
-            for word, number in numbers.items():
-                data = word.encode("utf-8", "surrogatepass")
-                b = crc32(data) % buckets
-                words[b].append(data)
-                own[b].append(number)
-            rows = []
-            for b in range(buckets):
-                if own[b]:
-                    step = np.diff(np.array(own[b], np.int32), prepend=np.int32(0)).astype(np.int32)
-                    sizes = np.fromiter(map(len, words[b]), np.uint32, len(words[b]))
-                    text = np.frombuffer(b"".join(words[b]), np.uint8)
-                    rows.append((b, chunk, len(step), len(text), packed(step, sizes, text)))
+        for chunk, numbers, _ in _chunks(batches, False):
+            rows = _bucket_rows(chunk, numbers, buckets)
             kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
             if rows:
                 yield pa.RecordBatch.from_arrays(
@@ -114,22 +135,32 @@ def _chunk_words(buckets: int):
     return run
 
 
+def _blocks(docs: list) -> Iterator[list]:
+    """Runs of documents of at most ``BLOCK_DOCS`` and ``BLOCK_POSITIONS``, a longer document by itself."""
+    start = size = 0
+    for i, (_, positions) in enumerate(docs):
+        if i > start and (i - start >= BLOCK_DOCS or size + len(positions) > BLOCK_POSITIONS):
+            yield docs[start:i]
+            start, size = i, 0
+        size += len(positions)
+    if docs:
+        yield docs[start:]
+
+
 def _chunk_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk, numbers, docs in _chunks(batches):
-        for start in range(0, len(docs), 1000):
-            part = docs[start : start + 1000]
+    for chunk, numbers, docs in _chunks(batches, True):
+        for part in _blocks(docs):
             at = np.concatenate([p for _, p in part])
             block = packed(np.array([len(p) for _, p in part], np.int64), at)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([chunk]),
-                    pa.array([start], pa.int32()),
                     pa.array([len(numbers)], pa.int32()),
                     pa.array([[d for d, _ in part]], pa.list_(pa.int64())),
                     pa.array([len(at)]),
                     pa.array([block], pa.binary()),
                 ],
-                ["chunk", "start", "n_words", "doc_ids", "n_positions", "block"],
+                ["chunk", "n_words", "doc_ids", "n", "block"],
             )
 
 
@@ -139,27 +170,19 @@ def _encoder(vocabulary: str) -> WordEncoder:
     return WordEncoder(vocabulary)
 
 
-def encode(docs: DataFrame, vocabulary: str, *, stored: bool = False, decoded: bool = False) -> DataFrame:
-    """(doc_id, ids) of every row of (doc_id, text): ids as little-endian unsigned 32-bit integers.
+def _encode_words(vocabulary: str):
+    """Ids of the words of a chunk and bucket, in their order; rows come sorted by bucket."""
 
-    With ``decoded`` the column ``text`` follows, what ``decode`` makes of the ids, joined
-    to their pieces where they arise.
-
-    Equal to the tokenizers library's encoding of the whole text without special tokens
-    added. Null texts are empty and have no ids; repeated rows are repeated. ``docs`` is
-    read twice and must give the same rows in the same tasks both times, as a stored table
-    does (``stored``); anything else is written to the shared folder first.
-    """
-    ship_package(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    docs = docs if stored else materialize(docs, "texts")
-
-    def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, held = _encoder(vocabulary), None
         for batch in batches:
-            for chunk, n, n_bytes, block in zip(
-                *(batch.column(c).to_pylist() for c in ("chunk", "n", "n_bytes", "block")), strict=True
+            for bucket, chunk, n, n_bytes, block in zip(
+                *(batch.column(c).to_pylist() for c in ("bucket", "chunk", "n", "n_bytes", "block")), strict=True
             ):
+                if bucket != held:
+                    # No other bucket has these words.
+                    encoder.clear()
+                    held = bucket
                 step, sizes, text = unpacked(block, ("<i4", n), ("<u4", n), ("u1", n_bytes))
                 data, ends = text.tobytes(), np.cumsum(sizes, dtype=np.int64)
                 words = [data[hi - k : hi].decode("utf-8", "surrogatepass") for k, hi in zip(sizes.tolist(), ends.tolist(), strict=True)]
@@ -167,51 +190,80 @@ def encode(docs: DataFrame, vocabulary: str, *, stored: bool = False, decoded: b
                 ids = flat.astype(np.uint32)
                 out = packed(step, counts.astype(np.uint32), ids)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk]), pa.array([n], pa.int32()), pa.array([len(ids)]), pa.array([out], pa.binary())],
+                    [pa.array([chunk]), pa.array([n]), pa.array([len(ids)]), pa.array([out], pa.binary())],
                     ["chunk", "n", "n_ids", "block"],
                 )
+        encoder.clear()
 
-    def join_positions(key: tuple, texts: pa.Table, encoded: pa.Table) -> pa.Table:
-        n_words = texts.column("n_words")[0].as_py()
-        numbers, counts, flat = [], [], []
-        for n, n_ids, block in zip(*(encoded.column(c).to_pylist() for c in ("n", "n_ids", "block")), strict=True):
-            step, count, ids = unpacked(block, ("<i4", n), ("<u4", n), ("<u4", n_ids))
-            numbers.append(np.cumsum(step))
-            counts.append(count)
-            flat.append(ids)
+    return run
+
+
+def _join_positions(vocabulary: str, decoded: bool):
+    """A chunk's blocks of documents with the ids of their words; rows without ``n_words`` are the chunk's words."""
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, numbers, counts, flat = [], [], [], []
+        for batch in batches:
+            for n_words, doc_ids, n, n_ids, block in zip(
+                *(batch.column(c).to_pylist() for c in ("n_words", "doc_ids", "n", "n_ids", "block")), strict=True
+            ):
+                if n_words is not None:
+                    texts.append((n_words, doc_ids, n, block))
+                    continue
+                step, count, ids = unpacked(block, ("<i4", n), ("<u4", n), ("<u4", n_ids))
+                numbers.append(np.cumsum(step))
+                counts.append(count)
+                flat.append(ids)
         number = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-        if len(number) != n_words:
-            raise RuntimeError(f"chunk {key[0]}: {n_words} words, ids of {len(number)}; the documents changed")
-        place = np.empty(n_words, np.int64)
-        place[number] = np.arange(n_words)
+        if {len(number)} != {n_words for n_words, *_ in texts}:
+            raise RuntimeError(f"chunk {key[0]}: ids of {len(number)} words, not those of its documents; the documents changed")
+        place = np.empty(len(number), np.int64)
+        place[number] = np.arange(len(number))
         counts = np.concatenate(counts).astype(np.int64) if counts else np.zeros(0, np.int64)
         flat = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-        doc_ids, out, said = [], [], []
-        for docs_of, n, block in zip(*(texts.column(c).to_pylist() for c in ("doc_ids", "n_positions", "block")), strict=True):
+        for _, docs_of, n, block in texts:
             sizes, at = unpacked(block, ("<i8", len(docs_of)), ("<i4", n))
             ids, ends = gather(flat, counts, place[at])
             ends = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))]
             data = ids.tobytes()
-            doc_ids += docs_of
             cuts = list(zip(ends.tolist(), ends[1:].tolist(), strict=False))
-            out += [data[4 * lo : 4 * hi] for lo, hi in cuts]
+            columns = [pa.array(docs_of, pa.int64()), pa.array([data[4 * lo : 4 * hi] for lo, hi in cuts], pa.binary())]
             if decoded:
-                said += [_text(vocabulary, ids[lo:hi]) for lo, hi in cuts]
-        table = pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(out, pa.binary())})
-        return table.append_column("text", pa.array(said, pa.string())) if decoded else table
+                columns.append(pa.array([_text(vocabulary, ids[lo:hi]) for lo, hi in cuts], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "text"][: len(columns)])
+
+    return run
+
+
+def encode(docs: DataFrame, vocabulary: str, *, stored: bool = False, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids) of every row of (doc_id, text): ids as little-endian unsigned 32-bit integers.
 
+    With ``decoded`` the column ``text`` follows, what ``decode`` makes of the ids, joined
+    to their pieces where they arise.
+
+    Equal to the tokenizers library's encoding of the whole text without special tokens
+    added. Null texts are empty and have no ids; repeated rows are repeated. ``docs`` is
+    read twice and must give the same rows in the same tasks both times, as a stored table
+    does (``stored``); anything else is written to the shared folder first.
+    """
+    ship_package(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs if stored else materialize(docs, "texts")
+    # Both passes number their chunks by the partition of the table, not by the task that reads it.
+    docs = docs.select(F.spark_partition_id().alias("part"), "doc_id", "text")
     # A word's bucket is a hash of it, so equal words of all chunks meet in one task.
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = docs.mapInArrow(_chunk_words(buckets), "bucket int, chunk long, n int, n_bytes long, block binary")
-    encoded = words.repartition("bucket").mapInArrow(encode_words, "chunk long, n int, n_ids long, block binary")
-    texts = docs.mapInArrow(
-        _chunk_docs,
-        "chunk long, start int, n_words int, doc_ids array<long>, n_positions long, block binary",
+    encoded = (
+        words.repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_encode_words(vocabulary), "chunk long, n long, n_ids long, block binary")
     )
+    texts = docs.mapInArrow(_chunk_docs, "chunk long, n_words int, doc_ids array<long>, n long, block binary")
     return (
-        texts.groupBy("chunk")
-        .cogroup(encoded.groupBy("chunk"))
-        .applyInArrow(join_positions, "doc_id long, ids binary" + (", text string" if decoded else ""))
+        texts.unionByName(encoded, allowMissingColumns=True)
+        .groupBy("chunk")
+        .applyInArrow(_join_positions(vocabulary, decoded), "doc_id long, ids binary" + (", text string" if decoded else ""))
     )
 
 

@@ -64,6 +64,10 @@ class WordEncoder:
         encoded = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in encoded]
 
+    def clear(self) -> None:
+        """Forget the words encoded so far."""
+        self._cache.clear()
+
     def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in order of the words, ids per word)."""
         cache = self._cache

@@ -4,6 +4,7 @@ import struct
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -120,3 +121,65 @@ def test_ids_digest_matches_little_endian_integers(documents, vocabularies):
     row = bpe.encode(documents([(1, "hello world")]), path).first()
     ids = Tokenizer.from_file(path).encode("hello world", add_special_tokens=False).ids
     assert hashlib.sha256(row.ids).hexdigest() == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+
+
+def _texts(pairs, part=3):
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part] * len(pairs), pa.int32()), pa.array([i for i, _ in pairs], pa.int64()), pa.array([t for _, t in pairs])],
+        ["part", "doc_id", "text"],
+    )
+
+
+def _words(batches):
+    """Rows of _chunk_words in one batch, sorted by bucket."""
+    return pa.Table.from_batches(batches).sort_by("bucket").combine_chunks().to_batches()
+
+
+def test_a_chunk_comes_back_in_small_batches_and_chunk_borders_lose_nothing(vocabularies, monkeypatch):
+    # One table a chunk, ids and text of 32 MB of documents at once, took an executor past its memory.
+    for name, value in (("SLICE_BYTES", 2000), ("CHUNK_WORDS", 400), ("BLOCK_DOCS", 5), ("BLOCK_POSITIONS", 200)):
+        monkeypatch.setattr(bpe, name, value)
+    rng = random.Random(1)
+    some = [" ".join(f"w{rng.randrange(2000)}" for _ in range(rng.randrange(1, 60))) for _ in range(200)]
+    pairs = [*enumerate([*ODD, *some, "long " * 3000, "", None, *ODD]), (None, "no id here")]
+    path = vocabularies["byte_bpe_50k.json"]
+    rows = defaultdict(list)
+    for batch in bpe._chunk_docs(iter([_texts(pairs)])):
+        for r in batch.to_pylist():
+            assert len(r["doc_ids"]) == 1 or (len(r["doc_ids"]) <= 5 and r["n"] <= 200)
+            rows[r["chunk"]].append(r | {"n_ids": None})
+    for batch in bpe._encode_words(path)(iter(_words(list(bpe._chunk_words(4)(iter([_texts(pairs)])))))):
+        for r in batch.to_pylist():
+            rows[r["chunk"]].append(r | {"n_words": None, "doc_ids": None})
+    assert len(rows) > 3 and {c >> 24 for c in rows} == {3}
+    kinds = [("n_words", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n", pa.int64()), ("n_ids", pa.int64()), ("block", pa.binary())]
+    got = []
+    for chunk, of in rows.items():
+        rng.shuffle(of)
+        table = pa.Table.from_pylist(of, pa.schema(kinds))
+        batches = list(bpe._join_positions(path, True)((chunk,), iter(table.to_batches(7))))
+        assert len(batches) == sum(r["n_words"] is not None for r in of)
+        got += [(r["doc_id"], r["ids"], r["text"]) for b in batches for r in b.to_pylist()]
+    tok = Tokenizer.from_file(path)
+    want = []
+    for i, t in pairs:
+        ids = tok.encode(t or "", add_special_tokens=False).ids
+        want.append((i, struct.pack(f"<{len(ids)}I", *ids), tok.decode(ids, skip_special_tokens=False)))
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_changed_documents_are_noticed(vocabularies):
+    path = vocabularies["byte_bpe_50k.json"]
+    texts = [b.append_column("n_ids", pa.array([None], pa.int64())) for b in bpe._chunk_docs(iter([_texts([(1, "a b")])]))]
+    with pytest.raises(RuntimeError, match="documents changed"):
+        list(bpe._join_positions(path, False)((1,), iter(texts)))
+
+
+def test_an_encoder_keeps_the_words_of_one_bucket(vocabularies):
+    path = vocabularies["byte_bpe_50k.json"]
+    pairs = [(i, f"word{i} and{i % 7}") for i in range(500)]
+    words = _words([b for part in range(3) for b in bpe._chunk_words(16)(iter([_texts(pairs, part)]))])
+    distinct = dict(zip(words[0].column("bucket").to_pylist(), words[0].column("n").to_pylist(), strict=True))
+    kept = [len(bpe._encoder(path)._cache) for _ in bpe._encode_words(path)(iter(words))]
+    assert kept == [distinct[b] for b in words[0].column("bucket").to_pylist()]
+    assert not bpe._encoder(path)._cache
