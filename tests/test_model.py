@@ -288,3 +288,29 @@ def test_fit_is_flattened_along_heavy_directions(spark, monkeypatch):
     # Both are within a gradient of 1e-3 or little more of the one optimum, two passes for the directions included.
     assert np.abs(flat - plain).max() < 5e-3
     assert passes < plain_passes
+
+
+def test_solver_remembers_enough_steps_for_a_wide_spectrum():
+    bend = np.geomspace(1, 1e3, 40)
+    pull = np.sqrt(bend)[None]
+
+    def evaluate(ids, points):
+        return 0.5 * (bend * points * points).sum(1) - (pull * points).sum(1), bend * points - pull
+
+    found, evaluations, settled = ovr.minimise(evaluate, 1, 40, np.array([1e-6]))
+    assert settled.all() and np.abs(found - pull / bend).max() < ovr.GRADIENT_FLOOR
+    # 160 with eight steps of double precision.
+    assert evaluations < 145
+
+
+@pytest.mark.parametrize("n_features, size", [(300, 2), (70_000, 4)])
+def test_packs_hold_narrow_positions_and_open_as_they_were(spark, n_features, size):
+    rng = np.random.default_rng(2)
+    x = rng.random((3, n_features)) + 0.1
+    rows = [(list(range(n_features)), r.tolist(), ["A"]) for r in x]
+    table = spark.createDataFrame(rows, "indices array<int>, values array<double>, label_codes array<string>")
+    packs = ovr.pack(table.coalesce(1), ["A"], np.arange(n_features)).toArrow().combine_chunks().to_batches()[0]
+    (n, indptr, touched, cols, vals, _, _), *others = ovr._packs(packs)
+    assert n == 3 and not others and len(cols.to_pybytes()) == size * x.size
+    found, opened = ovr._opened(indptr, touched, cols, vals)
+    assert np.array_equal(found, np.arange(n_features)) and np.array_equal(opened, x)
