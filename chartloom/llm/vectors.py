@@ -130,6 +130,8 @@ def shards(distinct: DataFrame, overlap: int = 2, levels: int = MAX_LEVELS) -> D
                     sim = np.take_along_axis(sim, near, 1)
                     for j in range(near.shape[1]):
                         use = np.flatnonzero(sim[:, 0] - sim[:, j] <= MARGIN)
+                        if not len(use):  # a frame without rows has no lists that Arrow could tell
+                            continue
                         # One centre left: a knot, marked as not to be split again.
                         names = [f"{shard}.{i}" for i in near[use, j]] if len(c) > 1 else [f"{shard}!"] * len(use)
                         part = own.iloc[use]

@@ -203,6 +203,26 @@ def test_knots_are_compared_in_bounded_blocks(spark, monkeypatch, limit):
     assert max(r["count"] for s in sizes for r in s.collect()) < 3 * 40
 
 
+def test_a_split_whose_vectors_have_no_second_centre_near(spark, monkeypatch):
+    """Far groups of a label: no vector goes to a second part, so a task has nothing to send there."""
+    monkeypatch.setattr(vectors, "SHARD", 40)
+    monkeypatch.setattr(vectors, "MAX_SHARD", 80)
+    rng = np.random.default_rng(4)
+    x = np.repeat(np.eye(8)[:2], 100, axis=0) + 0.02 * rng.standard_normal((200, 8))
+    unit = x.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    placed = vectors.shards(vectors.distinct_vectors(df)).collect()
+    assert sorted(r.rep for r in placed) == list(range(200))
+    together = {}
+    for r in placed:
+        together.setdefault(r.shard, set()).add(r.rep // 100)
+    assert all(len(groups) == 1 for groups in together.values())
+    assert [r.n_links for r in vectors.near_duplicates(df).orderBy("vec_id").collect()] == [
+        int(n) - 1 for n in (unit @ unit.T >= vectors.COSINE).sum(axis=1)
+    ]
+
+
 def test_vectors_of_a_chain_are_one_component(spark):
     angle = {1: 0.0, 3: 0.15, 2: 0.3, 4: 0.45}  # in order of angle: only neighbours link
     table = [(i, [float(np.cos(a)), float(np.sin(a))], 0) for i, a in angle.items()]
