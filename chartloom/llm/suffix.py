@@ -344,10 +344,28 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts], dtype=np.int64)
 
 
-def _by_bucket(hashes: np.ndarray, buckets: int) -> list[tuple[int, slice]]:
-    """Cuts of sorted hashes into ranges, one per bucket; they hold equal shares of the hash space."""
-    edges = [(b << 46) // buckets for b in range(buckets)]
-    cuts = [*np.searchsorted(hashes, np.array(edges, np.uint64)).tolist(), len(hashes)]
+def _even_edges(buckets: int) -> np.ndarray:
+    """Where buckets begin that hold equal shares of the hash space."""
+    return np.array([(b << 46) // buckets for b in range(buckets)], np.uint64)
+
+
+def _anchor_edges(buckets: int) -> np.ndarray:
+    """Where buckets begin that hold equal shares of the anchors' hashes.
+
+    A gram of hash h (of 0 to 1) is an anchor if at least m = WINDOW - GRAM grams in a row on both sides together have
+    higher ones: with a chance of (1 - h)**m * (1 + m * h). So anchors' hashes are low, and even ranges would
+    give the first bucket about m / 2 times its share. To be worked out once: tasks have to agree on every bit.
+    """
+    m = WINDOW - GRAM
+    u = np.linspace(1, 0, 1 << 16)  # 1 - h, as chances need not be exact
+    share = 1 - u ** (m + 1) * (m + 2 - m * u) / 2
+    low = 1 - np.interp(np.arange(buckets) / buckets, share, u)
+    return np.maximum.accumulate((low * (1 << 46)).astype(np.uint64))
+
+
+def _by_bucket(hashes: np.ndarray, edges: np.ndarray) -> list[tuple[int, slice]]:
+    """Cuts of sorted hashes into ranges, one per bucket."""
+    cuts = [*np.searchsorted(hashes, edges).tolist(), len(hashes)]
     return [(b, slice(lo, hi)) for b, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)) if hi > lo]
 
 
@@ -380,7 +398,7 @@ def _steps(sorted_hashes: np.ndarray) -> np.ndarray:
     return np.diff(sorted_hashes, prepend=np.uint64(0)).astype(np.uint64)
 
 
-def _send_hashes(buckets: int):
+def _send_hashes(edges: np.ndarray):
     """Distinct anchor hashes of a chunk per bucket; those of two of its documents are marked.
 
     With each goes the highest rank of its stretches.
@@ -402,7 +420,7 @@ def _send_hashes(buckets: int):
             marks = several.astype(np.uint8) | (rank >= CROWDED).astype(np.uint8) << 1
             rows = [
                 (b, chunk, cut.stop - cut.start, packed(_steps(hashes[cut]), marks[cut]))
-                for b, cut in _by_bucket(hashes, buckets)
+                for b, cut in _by_bucket(hashes, edges)
             ]
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -571,14 +589,16 @@ def _block_table(rows: list[tuple], size: str) -> pa.Table:
     return pa.table({name: pa.array(c, k) for name, c, k in zip(names, columns, _BLOCK_KINDS, strict=True)})
 
 
-def _send_stretches(buckets: int):
+def _send_stretches(edges: np.ndarray):
+    buckets = len(edges)
+
     def run(key: tuple, texts: pa.Table, repeated: pa.Table) -> pa.Table:
         (common, crowded), rows, chunk = _all_hashes(repeated), [], key[0].as_py()
         if texts.num_rows and len(common):
             ids, ends, data = _unpack_texts(texts)
             own = _stretches(data, ends, ids, common)
             least = np.minimum.reduceat(own.owner, own.begins) if len(own.begins) else own.owner
-            for b, cut in _by_bucket(own.hashes, buckets):
+            for b, cut in _by_bucket(own.hashes, edges):
                 text, sizes = _end_to_end(own.rows[cut]), own.rows[cut, _WIDTH].copy()
                 block = packed(_steps(own.hashes[cut]), least[cut], own.place[cut].astype(np.uint8), sizes, text)
                 rows.append((_STRETCHES, b, chunk, len(sizes), len(text), block))
@@ -586,7 +606,7 @@ def _send_stretches(buckets: int):
             ids, ends, data = _unpack_texts(texts)
             hashes, first, owner, begins = _windows(data, ends, ids, crowded)
             least, first = np.minimum.reduceat(owner, begins), first[begins]
-            for b, cut in _by_bucket(hashes[begins] >> np.uint64(_PLACE), buckets):
+            for b, cut in _by_bucket(hashes[begins] >> np.uint64(_PLACE), _even_edges(buckets)):
                 text = _texts_at(data, first[cut]).ravel()
                 rows.append((_WINDOWS, b, chunk, len(first[cut]), len(text), packed(least[cut], text)))
             rows.append((_CROWDED, chunk % buckets, chunk, len(crowded), 0, packed(_steps(crowded))))
@@ -798,16 +818,16 @@ def dedup(docs: DataFrame, *, stored: bool = False, carry: tuple[str, ...] = (),
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *named)
     docs = docs if stored else materialize(docs, "texts")
     carried = docs.schema[2:]
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = _anchor_edges(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.mapInArrow(_pack_texts, "chunk long, n long, n_bytes long, block binary, carried binary")
     hashes = docs.select("doc_id", "text").mapInArrow(
-        _send_hashes(buckets), "bucket int, chunk long, n long, block binary"
+        _send_hashes(edges), "bucket int, chunk long, n long, block binary"
     )
     repeated = hashes.groupBy("bucket").applyInArrow(_repeated, "chunk long, n long, block binary")
     stretches = (
         texts.groupBy("chunk")
         .cogroup(repeated.groupBy("chunk"))
-        .applyInArrow(_send_stretches(buckets), _SENT)
+        .applyInArrow(_send_stretches(edges), _SENT)
     )
     answers = stretches.groupBy("bucket").applyInArrow(_sort_stretches, _ANSWERED)
     out = T._parse_datatype_string("doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")

@@ -130,6 +130,21 @@ def test_thinned_texts_keep_their_rows_and_stay_valid(documents, rows):
     assert suffix.dedup(documents([])).count() == suffix.thin(documents([])).count() == 0
 
 
+def test_buckets_of_anchors_hold_equal_shares():
+    """An anchor is the least gram of a window, so anchors' hashes are low; even ranges put a fifth of them into the first of 64."""
+    text = np.random.default_rng(6).integers(97, 123, 400_000).astype(np.uint8)
+    hashes = np.sort(suffix.anchors(text, np.array([200_000, 400_000]))[0])
+    for buckets in (1, 64):
+        edges = suffix._anchor_edges(buckets)
+        cuts = suffix._by_bucket(hashes, edges)
+        sizes = [cut.stop - cut.start for _, cut in cuts]
+        assert edges[0] == 0 and (np.diff(edges.astype(np.int64)) >= 0).all()
+        assert [b for b, _ in cuts] == list(range(buckets)) and sum(sizes) == len(hashes)
+        assert max(sizes) < 1.3 * len(hashes) / buckets
+    even = suffix._by_bucket(hashes, suffix._even_edges(64))
+    assert max(cut.stop - cut.start for _, cut in even) > 0.15 * len(hashes)
+
+
 def test_vector_links_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(vectors, "SHARD", 60)
     monkeypatch.setattr(vectors, "MAX_SHARD", 120)
